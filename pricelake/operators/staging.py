@@ -70,9 +70,9 @@ def dedup_top1(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def stg_prices(raw: DataFrame, as_of=None) -> DataFrame:
-    """Clean, cast and validate raw daily bars; key them and derive the open-to-close change."""
-    renamed = raw.select(
+def prices_renamed(raw: DataFrame) -> DataFrame:
+    """Renamed and try-cast raw bars, before validation."""
+    return raw.select(
         F.upper(F.trim("ticker")).alias("ticker"),
         F.col("date").try_cast("date").alias("price_date"),
         F.col("open").try_cast("double").alias("open_price"),
@@ -82,7 +82,11 @@ def stg_prices(raw: DataFrame, as_of=None) -> DataFrame:
         to_bigint(raw, "volume").alias("volume"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
-    v = renamed.filter(valid_prices())
+
+
+def stg_prices(raw: DataFrame, as_of=None) -> DataFrame:
+    """Clean, cast and validate raw daily bars; key them and derive the open-to-close change."""
+    v = prices_renamed(raw).filter(valid_prices())
     chg = F.col("close_price") - F.col("open_price")
     return v.select(
         surrogate_key("ticker", "price_date").alias("stock_price_id"),
@@ -100,9 +104,9 @@ def company_order() -> list[Column]:
             F.col("company_name").asc_nulls_last()]
 
 
-def stg_companies(raw: DataFrame, as_of=None) -> DataFrame:
-    """Normalise casing, nullify blank websites, validate, keep one record per ticker."""
-    renamed = raw.select(
+def companies_renamed(raw: DataFrame) -> DataFrame:
+    """Normalised company records, before validation and de-duplication."""
+    return raw.select(
         F.upper(F.trim("ticker")).alias("ticker"),
         F.trim("company_name").alias("company_name"),
         initcap_words(F.trim("sector")).alias("sector"),
@@ -117,7 +121,16 @@ def stg_companies(raw: DataFrame, as_of=None) -> DataFrame:
         F.nullif(F.trim("website"), F.lit("")).alias("website"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
-    d = dedup_top1(renamed.filter(valid_companies()), ["ticker"], company_order())
+
+
+def companies_dedup(raw: DataFrame) -> DataFrame:
+    return dedup_top1(companies_renamed(raw).filter(valid_companies()), ["ticker"],
+                      company_order())
+
+
+def stg_companies(raw: DataFrame, as_of=None) -> DataFrame:
+    """Normalise casing, nullify blank websites, validate, keep one record per ticker."""
+    d = companies_dedup(raw)
     return d.select(
         surrogate_key("ticker").alias("company_id"),
         "ticker", "company_name", "sector", "industry", "country", "exchange", "currency",

@@ -9,10 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricelake.operators import intermediate, marts, series, staging
+from pricelake.operators import (
+    incremental,
+    intermediate,
+    joblog,
+    marts,
+    quality,
+    readmodels,
+    series,
+    staging,
+)
 from pricelake.plans import oracle_sql as O
+from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
+from pricelake.sources import files
+from pricelake.streaming import file_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +97,495 @@ def q_fct_prices(spark, sf):
 @register("dim_companies", O.with_ctes("select * from dim_companies", "dim_companies"))
 def q_dim_companies(spark, sf):
     return _no_audit(marts.dim_companies(stg_c(spark, sf)))
+
+
+# --------------------------------------------------------------------------------------------
+# Operator-level queries on the same data
+# --------------------------------------------------------------------------------------------
+@register("dedup_top1", O.with_ctes(
+    "select ticker, company_name, market_cap_usd, ingested_at from company_dedup",
+    "company_dedup"))
+def q_dedup_top1(spark, sf):
+    return staging.companies_dedup(D.raw_companies(spark, sf)).select(
+        "ticker", "company_name", "market_cap_usd", "ingested_at")
+
+
+@register("market_cap_category", O.with_ctes(
+    "select market_cap_category, count(*) as companies, sum(market_cap_usd) as total_market_cap"
+    " from stg_companies group by market_cap_category", "stg_companies"))
+def q_market_cap_category(spark, sf):
+    return stg_c(spark, sf).groupBy("market_cap_category").agg(
+        F.count(F.lit(1)).alias("companies"), F.sum("market_cap_usd").alias("total_market_cap"))
+
+
+@register("price_signal", O.with_ctes(
+    "select ticker, price_vs_sma_30d, count(*) as trading_days from moving_averages"
+    " group by ticker, price_vs_sma_30d", "moving_averages"))
+def q_price_signal(spark, sf):
+    return fct(spark, sf).groupBy("ticker", "price_vs_sma_30d").agg(
+        F.count(F.lit(1)).alias("trading_days"))
+
+
+@register("cumulative_return", O.with_ctes(
+    "select ticker, price_date, trading_day_seq, daily_return_pct, cumulative_avg_return_pct"
+    " from moving_averages", "moving_averages"))
+def q_cumulative_return(spark, sf):
+    # Small blocks on purpose: many block boundaries per ticker exercise the prefix pass.
+    return series.series_metrics(stg_p(spark, sf), chunk_days=40, block_rows=120).select(
+        "ticker", "price_date", "trading_day_seq", "daily_return_pct",
+        "cumulative_avg_return_pct")
+
+
+@register("event_moving_averages", O.with_ctes(
+    "select * from event_moving_averages", "event_moving_averages"))
+def q_event_moving_averages(spark, sf):
+    return _no_audit(series.series_metrics(staging.stg_prices(D.event_bars(spark, sf))))
+
+
+# --------------------------------------------------------------------------------------------
+# Incremental publication
+# --------------------------------------------------------------------------------------------
+CUT = "2000-01-01 00:00:00"
+OVERLAP_FROM = "1999-07-01 00:00:00"
+
+
+def _initial_target(spark, sf):
+    """Fact table as first published from the rows loaded up to CUT."""
+    early = stg_p(spark, sf).filter(F.col("ingested_at") <= F.lit(CUT).cast("timestamp_ntz"))
+    return marts.fct_prices(early, stg_c(spark, sf))
+
+
+@register("hwm_filter", O.with_ctes(
+    "select * from fct_prices where ingested_at > (select max(ingested_at) from stg_prices"
+    f" where ingested_at <= timestamp '{CUT}')", "fct_prices", "stg_prices"))
+def q_hwm_filter(spark, sf):
+    return _no_audit(incremental.new_rows(fct(spark, sf), _initial_target(spark, sf)))
+
+
+@register("fct_incremental", O.with_ctes("select * from fct_prices", "fct_prices"))
+def q_fct_incremental(spark, sf):
+    out = incremental.fct_incremental(stg_p(spark, sf), stg_c(spark, sf),
+                                      _initial_target(spark, sf))
+    return _no_audit(out)
+
+
+@register("upsert", O.with_ctes(
+    f"select *, ingested_at > timestamp '{OVERLAP_FROM}' as from_batch from fct_prices",
+    "fct_prices"))
+def q_upsert(spark, sf):
+    target = _initial_target(spark, sf).withColumn("from_batch", F.lit(False))
+    batch = (fct(spark, sf).filter(F.col("ingested_at") > F.lit(OVERLAP_FROM).cast("timestamp_ntz"))
+             .withColumn("from_batch", F.lit(True)))
+    return _no_audit(incremental.upsert(target, batch, marts.FCT_KEY))
+
+
+# --------------------------------------------------------------------------------------------
+# Extracts, universe, files
+# --------------------------------------------------------------------------------------------
+_STG_UNION = {"stg_union": (O._stg_prices(
+    "(select * from raw_prices union all select * from event_prices)"),
+    ["raw_prices", "event_prices"])}
+
+
+def _stg_union(spark, sf):
+    raw = staging.combine_extracts([D.raw_prices(spark, sf), D.event_bars(spark, sf)])
+    return staging.stg_prices(raw)
+
+
+@register("union_extracts", O.with_ctes("select * from stg_union", "stg_union", extra=_STG_UNION))
+def q_union_extracts(spark, sf):
+    return _no_audit(_stg_union(spark, sf))
+
+
+UNIVERSE_START, UNIVERSE_END = "1996-01-01", "2000-12-31"
+
+
+@register("restrict_universe", O.with_ctes(
+    "select * from stg_union where ticker in (select ticker from stg_companies)"
+    f" and price_date between date '{UNIVERSE_START}' and date '{UNIVERSE_END}'",
+    "stg_union", "stg_companies", extra=_STG_UNION))
+def q_restrict_universe(spark, sf):
+    out = staging.restrict(_stg_union(spark, sf), stg_c(spark, sf).select("ticker"),
+                           UNIVERSE_START, UNIVERSE_END)
+    return _no_audit(out)
+
+
+def _csv_landing(spark, sf):
+    """Raw prices written as CSV with the columns in another order than the table declares."""
+    path = scratch_path(spark, "raw-prices-csv")
+    raw = D.raw_prices(spark, sf)
+    files.write_csv(raw.select("close", "ticker", "volume", "low", "high", "open", "date",
+                               "ingested_at"), path)
+    return files.read_raw_csv(spark, path)
+
+
+@register("csv_roundtrip", O.with_ctes("select * from stg_prices", "stg_prices"))
+def q_csv_roundtrip(spark, sf):
+    good, _ = files.split_rejects(_csv_landing(spark, sf), files.RAW_PRICE_TYPES)
+    return _no_audit(staging.stg_prices(good))
+
+
+def _reject_sql() -> str:
+    checks = []
+    for c, t in files.RAW_PRICE_TYPES.items():
+        if t == "string":
+            continue
+        cast = (f"try_cast(round(try_cast({c} as double)) as bigint)" if t == "bigint"
+                else f"try_cast({c} as {'timestamp' if t == 'timestamp_ntz' else t})")
+        checks.append(f"case when {c} is not null and {cast} is null then '{c}' end")
+    flags = ", ".join(checks)
+    return O.with_ctes(
+        f"select date, open, high, low, close, volume, ticker, "
+        f"cast(ingested_at as varchar) as ingested_at, concat_ws(',', {flags}) as reject_columns "
+        f"from raw_prices where concat_ws(',', {flags}) <> ''", "raw_prices")
+
+
+@register("csv_rejects", _reject_sql())
+def q_csv_rejects(spark, sf):
+    _, rejects = files.split_rejects(_csv_landing(spark, sf), files.RAW_PRICE_TYPES)
+    return rejects.withColumn("ingested_at", F.regexp_replace(
+        F.col("ingested_at").cast("timestamp_ntz").cast("string"), "T", " "))
+
+
+@register("json_companies", O.with_ctes("select * from stg_companies", "stg_companies"))
+def q_json_companies(spark, sf):
+    path = scratch_path(spark, "companies-json")
+    raw = D.raw_companies(spark, sf)
+    # Upper-case field names like the loader's records; null fields are left out of the JSON
+    # lines, so they come back as missing fields.
+    raw.select(*[F.col(c).alias(c.upper()) for c in raw.columns]).write.mode("overwrite").json(path)
+    return _no_audit(staging.stg_companies(files.read_company_records(spark, path)))
+
+
+# --------------------------------------------------------------------------------------------
+# Quality checks
+# --------------------------------------------------------------------------------------------
+AS_OF = "2024-01-31 00:00:00"
+FUTURE_AS_OF = "1998-01-01"
+
+
+@register("check_not_null", O.with_ctes(
+    "select ticker, price_date from fct_prices where daily_return_pct is null", "fct_prices"))
+def q_check_not_null(spark, sf):
+    return quality.check_not_null(fct(spark, sf), "daily_return_pct").select("ticker",
+                                                                             "price_date")
+
+
+@register("check_unique", O.with_ctes(
+    "select ticker, count(*) as n_records from company_renamed where ticker is not null"
+    " group by ticker having count(*) > 1", "company_renamed"))
+def q_check_unique(spark, sf):
+    return quality.check_unique(staging.companies_renamed(D.raw_companies(spark, sf)), "ticker")
+
+
+@register("check_accepted", O.with_ctes(
+    "select ticker, sector from dim_companies where sector is not null and sector not in ("
+    + ", ".join(f"'{s}'" for s in quality.ACCEPTED_SECTORS) + ")", "dim_companies"))
+def q_check_accepted(spark, sf):
+    dim = marts.dim_companies(stg_c(spark, sf))
+    return quality.check_accepted(dim, "sector", quality.ACCEPTED_SECTORS).select("ticker",
+                                                                                 "sector")
+
+
+@register("check_return_bounds", O.with_ctes(
+    "select ticker, price_date, daily_return_pct from fct_prices where daily_return_pct is not"
+    " null and (daily_return_pct > 75 or daily_return_pct < -75)", "fct_prices"))
+def q_check_return_bounds(spark, sf):
+    return quality.check_return_bounds(fct(spark, sf))
+
+
+_RENAMED = {"prices_renamed": ("""
+  select upper(trim(ticker)) as ticker, try_cast(date as date) as price_date,
+    try_cast(open as double) as open_price, try_cast(high as double) as high_price,
+    try_cast(low as double) as low_price, try_cast(close as double) as close_price,
+    try_cast(volume as bigint) as volume, cast(ingested_at as timestamp) as ingested_at
+  from raw_prices""", ["raw_prices"])}
+
+
+@register("check_high_low", O.with_ctes(
+    "select ticker, price_date, high_price, low_price from prices_renamed"
+    " where high_price < low_price", "prices_renamed", extra=_RENAMED))
+def q_check_high_low(spark, sf):
+    # Run on the unvalidated bars: after staging the rule cannot fail.
+    return quality.check_high_low(staging.prices_renamed(D.raw_prices(spark, sf)))
+
+
+@register("check_no_future", O.with_ctes(
+    f"select ticker, price_date from fct_prices where price_date > date '{FUTURE_AS_OF}'",
+    "fct_prices"))
+def q_check_no_future(spark, sf):
+    return quality.check_no_future(fct(spark, sf), FUTURE_AS_OF)
+
+
+@register("check_positive", O.with_ctes(
+    "select ticker, price_date, open_price, high_price, low_price, close_price, volume"
+    " from prices_renamed where open_price <= 0 or high_price <= 0 or low_price <= 0"
+    " or close_price <= 0 or volume < 0", "prices_renamed", extra=_RENAMED))
+def q_check_positive(spark, sf):
+    return quality.check_positive(staging.prices_renamed(D.raw_prices(spark, sf)))
+
+
+@register("check_sma_warm", O.with_ctes(
+    "select ticker, price_date, sma_7d, sma_30d, sma_90d from fct_prices where"
+    " trading_day_seq > 90 and (sma_7d is null or sma_30d is null or sma_90d is null)",
+    "fct_prices"))
+def q_check_sma_warm(spark, sf):
+    return quality.check_sma_warm(fct(spark, sf))
+
+
+@register("check_expected", O.with_ctes(
+    "select ticker from (select distinct upper(trim(ticker)) as ticker from"
+    " (select ticker from raw_prices union all select ticker from event_prices) x) e"
+    " where ticker not in (select ticker from fct_prices)",
+    "raw_prices", "event_prices", "fct_prices"))
+def q_check_expected(spark, sf):
+    # Expected universe: every ticker that arrived in either extract, before validation.
+    arrived = staging.combine_extracts([D.raw_prices(spark, sf), D.event_bars(spark, sf)])
+    expected = arrived.select(F.upper(F.trim("ticker")).alias("ticker")).distinct()
+    return quality.check_expected(fct(spark, sf), expected)
+
+
+@register("check_referential", O.with_ctes(
+    "select distinct f.ticker from stg_union f left join dim_companies d on f.ticker = d.ticker"
+    " where d.ticker is null", "stg_union", "dim_companies", extra=_STG_UNION))
+def q_check_referential(spark, sf):
+    return quality.check_referential(_stg_union(spark, sf), marts.dim_companies(stg_c(spark, sf)))
+
+
+def _summary_sql() -> str:
+    parts = []
+    for model, src in (("fct_stock_prices", "fct_prices"), ("dim_companies", "dim_companies")):
+        for rule, col in quality.rule_list(model):
+            if col == "dbt_updated_at":
+                cond = "false"
+            elif rule == "not_null":
+                cond = f"{col} is null"
+            elif rule == "accepted_values":
+                vals = ", ".join(f"'{v}'" for v in quality.MODEL_TESTS[model]["accepted"][col])
+                cond = f"{col} is not null and {col} not in ({vals})"
+            else:
+                cond = {
+                    "daily_return_within_bounds":
+                        "daily_return_pct is not null and (daily_return_pct > 75 or"
+                        " daily_return_pct < -75)",
+                    "high_price_gte_low_price": "high_price < low_price",
+                    "no_future_dates": f"price_date > cast(timestamp '{AS_OF}' as date)",
+                    "positive_prices": "open_price <= 0 or high_price <= 0 or low_price <= 0"
+                                       " or close_price <= 0 or volume < 0",
+                    "sma_not_null_after_warm_up":
+                        "trading_day_seq > 90 and (sma_7d is null or sma_30d is null"
+                        " or sma_90d is null)",
+                }[rule]
+            parts.append(f"select '{model}' as model, '{rule}' as rule, '{col}' as column_name,"
+                         f" count_if({cond}) as failures from {src}")
+        for col in quality.MODEL_TESTS[model]["unique"]:
+            parts.append(f"select '{model}', 'unique', '{col}', count(*) from (select {col} from"
+                         f" {src} where {col} is not null group by {col} having count(*) > 1) u")
+    parts.append("select 'fct_stock_prices', 'fct_dim_referential_integrity', 'ticker', count(*)"
+                 " from (select distinct f.ticker from fct_prices f left join dim_companies d"
+                 " on f.ticker = d.ticker where d.ticker is null) r")
+    return O.with_ctes(" union all ".join(parts), "fct_prices", "dim_companies")
+
+
+@register("quality_summary", _summary_sql())
+def q_quality_summary(spark, sf):
+    return quality.run_all(spark, fct(spark, sf), marts.dim_companies(stg_c(spark, sf)), AS_OF)
+
+
+# --------------------------------------------------------------------------------------------
+# Job-log analyses
+# --------------------------------------------------------------------------------------------
+WAREHOUSE = "WH_0"
+_RECENT = (f"start_time >= timestamp '{AS_OF}' - interval 7 day and warehouse_name ="
+           f" '{WAREHOUSE}'")
+_SECS = "round(total_elapsed_time / 1000, 2)"
+_MBS = "round(bytes_scanned / 1024 / 1024, 2)"
+_PRUNE = "round((1 - partitions_scanned / nullif(partitions_total, 0)) * 100, 2)"
+
+
+def exact2(x: str) -> str:
+    u = f"sum(cast(round({x} * 100) as hugeint))"
+    n = f"count({x})"
+    return (f"case when {n} > 0 then cast(sign({u}) * ((2 * abs({u}) + {n}) // (2 * {n}))"
+            f" as double) / 100 end")
+
+
+@register("recent_queries", O.with_ctes(
+    "select query_id, query_text, database_name, schema_name, query_type, warehouse_name,"
+    f" execution_status, start_time, end_time, {_SECS} as execution_time_secs,"
+    f" {_MBS} as mb_scanned,"
+    " round(bytes_spilled_to_local_storage / 1024 / 1024, 2) as mb_spilled_to_disk,"
+    f" partitions_scanned, partitions_total, {_PRUNE} as partition_pruning_pct,"
+    f" credits_used_cloud_services from job_log where {_RECENT}"
+    " and execution_status = 'SUCCESS' order by start_time desc, query_id desc limit 100",
+    "job_log"))
+def q_recent_queries(spark, sf):
+    return joblog.recent_queries(D.job_log(spark, sf), AS_OF, WAREHOUSE)
+
+
+@register("refresh_comparison", O.with_ctes(
+    "select run_type, count(*) as total_queries,"
+    f" {exact2('execution_time_secs')} as avg_execution_secs,"
+    f" {exact2('mb_scanned')} as avg_mb_scanned, {exact2('partition_pruning_pct')} as avg_pruning_pct"
+    " from (select case when lower(query_text) like '%is_incremental%' or lower(query_text)"
+    " like '%merge into%' then 'Incremental Run' else 'Full Refresh Run' end as run_type,"
+    f" {_SECS} as execution_time_secs, {_MBS} as mb_scanned, {_PRUNE} as partition_pruning_pct"
+    f" from job_log where {_RECENT} and execution_status = 'SUCCESS' and"
+    " (lower(query_text) like '%fct_stock_prices%' or lower(query_text) like"
+    " '%int_stock_moving_averages%')) t group by run_type order by run_type", "job_log"))
+def q_refresh_comparison(spark, sf):
+    return joblog.refresh_comparison(D.job_log(spark, sf), AS_OF, WAREHOUSE)
+
+
+@register("hourly_usage", O.with_ctes(
+    "select date_trunc('hour', start_time) as hour, cast(sum(credits_used) as double) as"
+    " credits_used, cast(sum(credits_used_compute) as double) as compute_credits,"
+    " cast(sum(credits_used_cloud_services) as double) as cloud_service_credits"
+    f" from metering where {_RECENT} group by 1 order by 1 desc", "metering"))
+def q_hourly_usage(spark, sf):
+    return joblog.hourly_usage(D.metering(spark, sf), AS_OF, WAREHOUSE)
+
+
+@register("slowest", O.with_ctes(
+    f"select query_id, left(query_text, 100) as query_preview, {_SECS} as execution_time_secs,"
+    f" {_MBS} as mb_scanned, partitions_scanned, partitions_total,"
+    f" {_PRUNE} as partition_pruning_pct from job_log where {_RECENT}"
+    " and execution_status = 'SUCCESS' order by total_elapsed_time desc, query_id asc limit 10",
+    "job_log"))
+def q_slowest(spark, sf):
+    return joblog.slowest(D.job_log(spark, sf), AS_OF, WAREHOUSE)
+
+
+@register("layout_report")
+def q_layout_report(spark, sf):
+    path = scratch_path(spark, "fct-clustered")
+    files.write_clustered(fct(spark, sf), path, marts.FCT_CLUSTER)
+    return joblog.layout_report(spark, path, marts.FCT_CLUSTER)
+
+
+@register("partition_layout")
+def q_partition_layout(spark, sf):
+    return joblog.partition_layout(files.clustered(fct(spark, sf), marts.FCT_CLUSTER),
+                                   marts.FCT_CLUSTER)
+
+
+@register("table_inventory")
+def q_table_inventory(spark, sf):
+    root = scratch_path(spark, "warehouse")
+    layers = [("RAW", "raw_stock_prices", D.raw_prices(spark, sf)),
+              ("RAW", "raw_company_metadata", D.raw_companies(spark, sf)),
+              ("MARTS", "fct_stock_prices", fct(spark, sf)),
+              ("MARTS", "dim_companies", marts.dim_companies(stg_c(spark, sf)))]
+    tables = []
+    for layer, name, df in layers:
+        path = files.layer_path(root, layer, name)
+        files.full_refresh(df, path)
+        tables.append((layer, name, path))
+    return joblog.table_inventory(spark, tables)
+
+
+# --------------------------------------------------------------------------------------------
+# Read models on the fact table
+# --------------------------------------------------------------------------------------------
+@register("ohlcv_series", O.with_ctes(
+    "select ticker, price_date, open_price, high_price, low_price, close_price, volume"
+    " from fct_prices", "fct_prices"))
+def q_ohlcv_series(spark, sf):
+    return readmodels.ohlcv_series(fct(spark, sf))
+
+
+@register("sma_series", O.with_ctes(
+    "select ticker, price_date, close_price, sma_7d, sma_30d, sma_90d from fct_prices",
+    "fct_prices"))
+def q_sma_series(spark, sf):
+    return readmodels.sma_series(fct(spark, sf))
+
+
+@register("volume_series", O.with_ctes(
+    "select ticker, price_date, volume, case when close_price >= open_price then 'Up'"
+    " else 'Down' end as direction, vol_ma_7d, vol_ma_30d from fct_prices", "fct_prices"))
+def q_volume_series(spark, sf):
+    return readmodels.volume_series(fct(spark, sf))
+
+
+def _exact4_agg(x: str) -> str:
+    return O.exact4(f"sum({O.units4(x)})", f"count({x})")
+
+
+@register("returns_heatmap", O.with_ctes(
+    f"select ticker, price_month, {_exact4_agg('daily_return_pct')} as avg_daily_return_pct,"
+    " count(*) as trading_days from fct_prices group by ticker, price_month", "fct_prices"))
+def q_returns_heatmap(spark, sf):
+    return readmodels.returns_heatmap(fct(spark, sf))
+
+
+@register("sector_performance", O.with_ctes(
+    f"select sector, {_exact4_agg('daily_return_pct')} as avg_daily_return_pct,"
+    " count(distinct ticker) as tickers, sum(volume) as total_volume, count(*) as trading_days"
+    " from fct_prices group by sector", "fct_prices"))
+def q_sector_performance(spark, sf):
+    return readmodels.sector_performance(fct(spark, sf))
+
+
+@register("risk_return", O.with_ctes(
+    f"select ticker, {_exact4_agg('daily_return_pct')} as avg_daily_return_pct,"
+    " case when n > 1 then round(sqrt(cast(n * s2 - s1 * s1 as double)"
+    " / cast(n * (n - 1) as double)) / 10000, 4) end as stddev_daily_return_pct,"
+    " n as return_days from (select ticker, daily_return_pct,"
+    " count(daily_return_pct) over (partition by ticker) as n,"
+    f" sum({O.units4('daily_return_pct')}) over (partition by ticker) as s1,"
+    f" sum({O.units4('daily_return_pct')} * {O.units4('daily_return_pct')})"
+    " over (partition by ticker) as s2 from fct_prices) x group by ticker, n, s1, s2",
+    "fct_prices"))
+def q_risk_return(spark, sf):
+    return readmodels.risk_return(fct(spark, sf))
+
+
+@register("top10_30d", O.with_ctes(
+    "select ticker, base_date, base_close, latest_date, latest_close, round(case when"
+    " base_close = 0 or base_close is null then null else (latest_close - base_close)"
+    " / base_close end * 100, 4) as return_30d_pct from (select l.ticker, b.price_date as"
+    " base_date, b.close_price as base_close, l.price_date as latest_date, l.close_price as"
+    " latest_close from (select * from fct_prices qualify trading_day_seq = max(trading_day_seq)"
+    " over (partition by ticker)) l join fct_prices b on b.ticker = l.ticker and"
+    " b.trading_day_seq = l.trading_day_seq - 30) p order by return_30d_pct desc nulls last,"
+    " ticker limit 10", "fct_prices"))
+def q_top10_30d(spark, sf):
+    return readmodels.top10_30d(fct(spark, sf))
+
+
+@register("avg_volume_rank", O.with_ctes(
+    "select ticker, case when count(volume) > 0 then cast(sign(sum(volume)) * ((2 *"
+    " abs(cast(sum(volume) as hugeint)) * 100 + count(volume)) // (2 * count(volume))) as"
+    " double) / 100 end as avg_volume from fct_prices group by ticker"
+    " order by avg_volume desc nulls last, ticker limit 10", "fct_prices"))
+def q_avg_volume_rank(spark, sf):
+    return readmodels.avg_volume_rank(fct(spark, sf))
+
+
+@register("best_performer", O.with_ctes(
+    "select ticker, first_date, last_date, first_close, last_close, round(case when"
+    " first_close = 0 or first_close is null then null else (last_close - first_close)"
+    " / first_close end * 100, 4) as growth_pct from (select ticker, min(price_date) as"
+    " first_date, max(price_date) as last_date, arg_min(close_price, price_date) as first_close,"
+    " arg_max(close_price, price_date) as last_close from fct_prices group by ticker) g"
+    " order by growth_pct desc nulls last, ticker limit 10", "fct_prices"))
+def q_best_performer(spark, sf):
+    return readmodels.best_performer(fct(spark, sf))
+
+
+# --------------------------------------------------------------------------------------------
+# Streaming: file arrivals drive the incremental build
+# --------------------------------------------------------------------------------------------
+@register("stream_incremental", O.with_ctes("select * from fct_prices", "fct_prices"))
+def q_stream_incremental(spark, sf):
+    work = scratch_path(spark, "stream")
+    raw_dir = f"{work}/raw"
+    companies = stg_c(spark, sf)
+    raw = D.raw_prices(spark, sf)
+    c = F.lit(CUT).cast("timestamp_ntz")
+    raw.filter(F.col("ingested_at") <= c).write.parquet(f"{raw_dir}/arrival=1")
+    file_stream.run_available(spark, raw_dir, companies, work)          # first daily run
+    raw.filter(F.col("ingested_at") > c).write.parquet(f"{raw_dir}/arrival=2")
+    out = file_stream.run_available(spark, raw_dir, companies, work)    # next run: new files
+    return _no_audit(out)

@@ -237,7 +237,7 @@ CTE["job_log"] = """
     concat('WH_', cast(user_id % 4 as varchar)) as warehouse_name,
     case when event_type = 'error' then 'FAIL' else 'SUCCESS' end as execution_status,
     ts as start_time,
-    ts + to_milliseconds(cast(value * 1000 as bigint)) as end_time,
+    ts + to_milliseconds(cast(round(value * 1000) as bigint)) as end_time,
     value * 1000 as total_elapsed_time,
     cast(json_extract_string(props, '$.k') as bigint) * 1048576 as bytes_scanned,
     case when cast(json_extract_string(props, '$.k') as bigint) % 5 = 0

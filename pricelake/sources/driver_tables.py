@@ -146,7 +146,8 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("FAIL")).otherwise(F.lit("SUCCESS"))
          .alias("execution_status"),
         F.col("ts").alias("start_time"),
-        F.timestamp_add("MILLISECOND", (F.col("value") * 1000).cast("bigint"), F.col("ts"))
+        F.timestamp_add("MILLISECOND", F.round(F.col("value") * 1000).cast("bigint"),
+                        F.col("ts"))
          .alias("end_time"),
         (F.col("value") * 1000).alias("total_elapsed_time"),
         (k * 1048576).alias("bytes_scanned"),

@@ -43,6 +43,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
     null tokens become SQL NULL.  Reading by name (not position) keeps a file whose columns
     come in another order from silently swapping values."""
     df = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("mode", "PERMISSIVE").csv(path))
     df = df.toDF(*[c.strip().lower() for c in df.columns])
     if columns is not None:
@@ -105,7 +106,10 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 # Sinks
 # --------------------------------------------------------------------------------------------
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header row; values are written as they are (Spark trims by default)."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
