@@ -1,26 +1,30 @@
 """Per-ticker time-series windows without one-task-per-ticker.
 
 The reference computes every window ``partition by ticker order by price_date``.  Written that
-way in Spark, one task holds a ticker's whole history; if one ticker held a third of all rows,
-that task would hold a third of the data.  This module computes the *same* values in two exact
-passes that never group a whole ticker:
-
-1. **Sequence** (``trading_day_seq``): rows are grouped by (ticker, calendar chunk of
-   ``chunk_days`` days).  A small side table of row counts per chunk gives each chunk its start
-   offset (a running sum over that small table), and ``row_number`` inside the chunk plus the
-   offset is the global per-ticker row number.  Because (ticker, price_date) is unique, a chunk
-   holds at most ``chunk_days`` rows per ticker, whatever the skew.
-
-2. **Blocks**: rows are grouped by (ticker, (seq-1) div ``block_rows``).  Row frames look back at
-   most ``LOOKBACK`` rows, so the last ``LOOKBACK`` rows of every block are also emitted, as
-   context copies, into the next block.  Inside a block every row frame (lag, 7/30/90-row
-   averages) then sees exactly the rows it would see over the whole history; context copies are
-   dropped afterwards.  Unbounded frames (the cumulative mean) add, per row, the running sum
-   inside its block to the sum over all earlier blocks (a prefix over a small per-block table).
-
-Both side tables hold one row per (ticker, chunk) or (ticker, block), and are joined back on the
-same keys the big side is already partitioned by; AQE broadcasts them only when their measured
-size is small, otherwise the join keeps the existing partitioning.
+way in Spark, one task holds a ticker's whole history.  Here the same values are computed with
+ONE full-width shuffle, partitioned by (ticker, calendar chunk of ``chunk_days`` days).  Since
+(ticker, price_date) is unique, a chunk holds at most ``chunk_days`` rows whatever the skew.
+
+What a chunk cannot see by itself (rows of earlier chunks) comes from a narrow side table with one
+row per (ticker, chunk), built in two small steps:
+
+1. ``chunk_stats``: group the narrow columns (date, close, volume) by (ticker, chunk); from the
+   date-sorted list (bounded by ``chunk_days``) keep the row count, first and last close, the
+   chunk's last ``LOOKBACK`` (close, volume) pairs, and the exact sum / count of the returns
+   *inside* the chunk.
+2. ``chunk_context``: a window over that small table per ticker, ordered by chunk, gives each
+   chunk its start offset (running row count), the previous chunk's last close (for its first
+   return), the running sum / count of returns before it, and the last ``LOOKBACK`` rows before
+   it.  The context is gathered with a RANGE frame on the start offset, so it reads at most the
+   chunks that start in the last ``LOOKBACK`` rows plus the one straddling that boundary (at most
+   2 x ``LOOKBACK`` entries), never a whole history.
+
+The main pass joins the side table on (ticker, chunk) - the key it is partitioned by anyway, so
+the big side is shuffled once; AQE broadcasts the side table only when its measured size is
+small - and computes, inside each chunk: ``trading_day_seq`` = start + row_number, lag,
+returns, 7/30/90-row averages (in-chunk frame + the missing rows from the context), volume
+averages, and the cumulative mean (prefix + in-chunk running sum).  Averages use decimal sums,
+so they are exact and independent of summation order.
 """
 
 from __future__ import annotations
@@ -28,14 +32,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.functions.scalar import exact_avg, exact_ratio, safe_divide, sma_signal
+from pricelake.functions.scalar import exact_ratio, safe_divide, sma_signal
 
 # Rows of history the widest bounded frame needs before the current row (90-row average).
 LOOKBACK = 89
-# Calendar days per sequencing chunk (<= this many rows per ticker per chunk).
+# Calendar days per chunk: at most this many rows per ticker per chunk.
 CHUNK_DAYS = 366
-# Rows per window block; LOOKBACK / BLOCK_ROWS is the fraction of rows copied as context.
-BLOCK_ROWS = 8192
+PRICE_WINDOWS = (7, 30, 90)
+VOLUME_WINDOWS = (7, 30)
 
 SEQ = "trading_day_seq"
 COMPANY_COLUMNS = ["company_id", "company_name", "sector", "industry", "country", "exchange",
@@ -55,144 +59,188 @@ MOVING_AVERAGE_COLUMNS = [
     "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d", "vol_ma_30d", "price_vs_sma_30d",
     *COMPANY_COLUMNS, *AUDIT_COLUMNS,
 ]
+DERIVED = ["prev_close_price", "daily_return_pct", "intraday_range", "intraday_range_pct", SEQ,
+           "cumulative_avg_return_pct", "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d",
+           "vol_ma_30d", "price_vs_sma_30d"]
+
+PRICE_DEC = "decimal(22,2)"
+RET_DEC = "decimal(22,4)"
+RET_ACC = "decimal(38,4)"
+VOL_DEC = "decimal(38,0)"
 
 
 def _ordered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Select the published column order; columns absent from ``df`` are skipped, extra columns
-    are kept at the end."""
+    """Select the published column order; absent columns are skipped, extras kept at the end."""
     present = [c for c in order if c in df.columns]
     extra = [c for c in df.columns if c not in order]
     return df.select(*present, *extra)
 
 
-# --------------------------------------------------------------------------------------------
-# Pass 1: distributed per-key row number
-# --------------------------------------------------------------------------------------------
-def with_sequence(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                  seq_col: str = SEQ, chunk_days: int = CHUNK_DAYS) -> DataFrame:
-    """Add ``row_number() over (partition by key order by order)`` computed chunk-wise."""
-    chunk = F.floor(F.datediff(F.col(order), F.lit("1970-01-01")) / F.lit(chunk_days))
-    d = df.withColumn("_chunk", chunk)
-    starts = (d.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_start", F.coalesce(
-                  F.sum("_n").over(Window.partitionBy(key).orderBy("_chunk")
-                                   .rowsBetween(Window.unboundedPreceding, -1)),
-                  F.lit(0)))
-              .drop("_n"))
-    w = Window.partitionBy(key, "_chunk").orderBy(order)
-    return (d.join(starts, [key, "_chunk"], "inner")
-            .withColumn(seq_col, (F.col("_start") + F.row_number().over(w)).cast("int"))
-            .drop("_chunk", "_start"))
+def daily_return(close: Column, prev: Column) -> Column:
+    """round(safe_divide(close - prev, prev) * 100, 4) - the one definition used everywhere."""
+    return F.round(safe_divide(close - prev, prev) * 100, 4)
 
 
-# --------------------------------------------------------------------------------------------
-# Pass 2: row blocks with look-back context
-# --------------------------------------------------------------------------------------------
-def _blocks(df: DataFrame, key: str, seq_col: str, lookback: int, block_rows: int):
-    if lookback >= block_rows:
-        raise ValueError("block_rows must exceed the look-back")
-    pos0 = F.col(seq_col).cast("long") - 1
-    pos = pos0 % block_rows
-    copies = (F.when(pos >= block_rows - lookback, F.array(F.lit(0), F.lit(1)))
-              .otherwise(F.array(F.lit(0)))) if lookback > 0 else F.array(F.lit(0))
-    out = (df.withColumn("_copy", F.explode(copies))
-           .withColumn("_blk", (pos0 / block_rows).cast("long") + F.col("_copy")))
-    return out, Window.partitionBy(key, "_blk").orderBy(seq_col)
+def _chunk(order: str, chunk_days: int) -> Column:
+    return F.floor(F.datediff(F.col(order), F.lit("1970-01-01")) / F.lit(chunk_days))
 
 
-def _own(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("_copy") == 0)
+# --------------------------------------------------------------------------------------------
+# Side table
+# --------------------------------------------------------------------------------------------
+def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int,
+                with_context: bool) -> DataFrame:
+    """One row per (key, chunk): count, first/last close, and - for averages - the tail of the
+    chunk and the exact sum / count of the returns between consecutive rows inside it."""
+    d = df.select(key, _chunk(order, chunk_days).alias("_chunk"),
+                  F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"),
+                           F.col("volume").alias("v")).alias("_r"))
+    g = d.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list("_r")).alias("_rows"))
+    n = F.size("_rows")
+    cols = [key, "_chunk", n.alias("_n"),
+            F.element_at("_rows", 1)["c"].alias("_first_c"),
+            F.element_at("_rows", -1)["c"].alias("_last_c")]
+    if with_context:
+        inner = F.zip_with(F.slice("_rows", 2, n), F.slice("_rows", 1, n - 1),
+                           lambda cur, prev: daily_return(cur["c"], prev["c"]))
+        inner = F.filter(inner, lambda r: r.isNotNull())
+        cols += [
+            F.slice("_rows", F.greatest(n - LOOKBACK + 1, F.lit(1)), LOOKBACK).alias("_tail"),
+            F.aggregate(inner, F.lit(0).cast(RET_ACC),
+                        lambda acc, r: (acc + r.cast(RET_DEC)).cast(RET_ACC)).alias("_in_rs"),
+            F.size(inner).alias("_in_rn"),
+        ]
+    return g.select(*cols)
+
+
+def chunk_context(stats: DataFrame, key: str, with_context: bool) -> DataFrame:
+    """Per chunk: start offset, previous chunk's last close and, for averages, the return
+    prefix (sum / count before the chunk) and the last LOOKBACK rows before the chunk."""
+    by_chunk = Window.partitionBy(key).orderBy("_chunk")
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    s = stats.withColumns({
+        "_start": F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"),
+        "_prev_c": F.lag("_last_c").over(by_chunk),
+    })
+    if not with_context:
+        return s.drop("_n", "_first_c", "_last_c")
+    first_r = daily_return(F.col("_first_c"), F.col("_prev_c"))
+    s = s.withColumns({
+        "_cs": F.col("_in_rs") + F.coalesce(first_r.cast(RET_DEC), F.lit(0).cast(RET_DEC)),
+        "_cn": F.col("_in_rn") + F.when(first_r.isNotNull(), 1).otherwise(0),
+    })
+    by_start = Window.partitionBy(key).orderBy("_start")
+    near = F.flatten(F.collect_list("_tail").over(by_start.rangeBetween(-LOOKBACK, -1)))
+    straddle = F.last("_tail").over(
+        by_start.rangeBetween(Window.unboundedPreceding, -(LOOKBACK + 1)))
+    none = F.filter(near, lambda r: F.lit(False))   # empty array of the element type
+    ctx = F.concat(F.coalesce(straddle, none), near)
+    return s.select(
+        key, "_chunk", "_start", "_prev_c",
+        F.slice(ctx, F.greatest(F.size(ctx) - LOOKBACK + 1, F.lit(1)), LOOKBACK).alias("_ctx"),
+        F.coalesce(F.sum("_cs").over(before), F.lit(0).cast("decimal(38,4)")).alias("_ps"),
+        F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_pn"))
 
 
-def _return_columns(df: DataFrame, w) -> DataFrame:
-    prev = F.lag("close_price").over(w)
-    return (df.withColumn("prev_close_price", prev)
-            .withColumn("daily_return_pct", F.round(
-                safe_divide(F.col("close_price") - F.col("prev_close_price"),
-                            F.col("prev_close_price")) * 100, 4))
-            .withColumn("intraday_range", F.round(F.col("high_price") - F.col("low_price"), 4))
-            .withColumn("intraday_range_pct", F.round(
-                safe_divide(F.col("high_price") - F.col("low_price"), F.col("close_price")) * 100,
-                4)))
+# --------------------------------------------------------------------------------------------
+# Main pass
+# --------------------------------------------------------------------------------------------
+def _ctx_tail(need: Column) -> Column:
+    """The last ``need`` context rows (fewer when the history is shorter)."""
+    return F.slice("_ctx", F.greatest(F.size("_ctx") - need + 1, F.lit(1)),
+                   F.greatest(need, F.lit(0)))
 
 
-def _rows(w, n: int):
-    return w.rowsBetween(-(n - 1), Window.currentRow)
+def _acc_type(dec: str) -> str:
+    """Accumulator for a sum of ``dec`` values: same scale, widest precision."""
+    return dec if not dec.startswith("decimal") else "decimal(38," + dec.split(",")[1]
 
 
-def _average_columns(df: DataFrame, w, price_scale: int | None) -> DataFrame:
-    def sma(n: int) -> Column:
-        if price_scale is None:
-            return F.round(F.avg("close_price").over(_rows(w, n)), 4)
-        return exact_avg("close_price", price_scale, 4, over=_rows(w, n))
+def _ctx_sum(need: Column, field: str, dec: str) -> tuple[Column, Column]:
+    rows = F.filter(_ctx_tail(need), lambda r: r[field].isNotNull())
+    acc_t = _acc_type(dec)
+    total = F.aggregate(rows, F.lit(0).cast(acc_t),
+                        lambda acc, r: (acc + r[field].cast(dec)).cast(acc_t))
+    return total, F.size(rows)
 
-    def vol(n: int) -> Column:
-        return F.round(F.avg("volume").over(_rows(w, n)), 0).cast("bigint")
 
-    return df.withColumns({
-        "sma_7d": sma(7), "sma_30d": sma(30), "sma_90d": sma(90),
-        "vol_ma_7d": vol(7), "vol_ma_30d": vol(30),
+def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
+                   averages: bool = True, price_scale: int | None = 2,
+                   chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """Add the per-ticker series columns: sequence, previous close, returns, intraday range and,
+    with ``averages``, the moving averages, volume averages, cumulative mean return and signal.
+
+    ``price_scale``: decimals carried by prices (2 for cents) - averages are then exact; ``None``
+    uses a floating-point sum for the price averages instead."""
+    base = df.drop(*[c for c in DERIVED if c in df.columns])
+    ctx = chunk_context(chunk_stats(base, key, order, chunk_days, averages), key, averages)
+    d = base.withColumn("_chunk", _chunk(order, chunk_days)).join(ctx, [key, "_chunk"], "inner")
+    w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
+    pos = F.row_number().over(w)
+    d = d.withColumns({"_pos": pos, "_lag": F.lag("close_price").over(w)})
+    d = d.withColumns({
+        SEQ: (F.col("_start") + F.col("_pos")).cast("int"),
+        "prev_close_price": F.when(F.col("_pos") == 1, F.col("_prev_c")).otherwise(F.col("_lag")),
+    }).withColumns({
+        "daily_return_pct": daily_return(F.col("close_price"), F.col("prev_close_price")),
+        "intraday_range": F.round(F.col("high_price") - F.col("low_price"), 4),
+        "intraday_range_pct": F.round(
+            safe_divide(F.col("high_price") - F.col("low_price"), F.col("close_price")) * 100, 4),
     })
+    helpers = ["_chunk", "_start", "_prev_c", "_pos", "_lag"]
+    if not averages:
+        return _ordered(d.drop(*helpers), RETURNS_COLUMNS)
 
+    def frame(n: int):
+        return w.rowsBetween(-(n - 1), Window.currentRow)
 
-def _cumulative_return(b: DataFrame, key: str, seq_col: str) -> DataFrame:
-    """Cumulative mean of ``daily_return_pct`` over all earlier rows of the key (nulls skipped),
-    exact in decimal: running sum inside the block + sum over earlier blocks."""
-    units = F.col("daily_return_pct").cast("decimal(22,4)")
-    own = F.col("_copy") == 0
-    run = (Window.partitionBy(key, "_blk").orderBy(seq_col)
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    r = _own(b.withColumns({
-        "_rs": F.sum(F.when(own, units)).over(run),
-        "_rn": F.count(F.when(own, units)).over(run),
-    }))
-    per_block = r.groupBy(key, "_blk").agg(
-        F.sum(units).alias("_bs"), F.count(units).alias("_bn"))
-    earlier = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_block.select(
-        key, "_blk",
-        F.coalesce(F.sum("_bs").over(earlier), F.lit(0).cast("decimal(38,4)")).alias("_ps"),
-        F.coalesce(F.sum("_bn").over(earlier), F.lit(0)).alias("_pn"))
-    z = F.lit(0).cast("decimal(38,4)")
-    return (r.join(prefix, [key, "_blk"], "inner")
-            .withColumn("cumulative_avg_return_pct", exact_ratio(
-                F.col("_ps") + F.coalesce("_rs", z), F.col("_pn") + F.col("_rn"), 4, 4))
-            .drop("_rs", "_rn", "_ps", "_pn"))
+    need = {n: F.lit(n) - F.col("_pos") for n in set(PRICE_WINDOWS) | set(VOLUME_WINDOWS)}
+    cols = {}
+    for n in PRICE_WINDOWS:
+        if price_scale is None:
+            in_s = F.sum("close_price").over(frame(n))
+            c_s, c_n = _ctx_sum(need[n], "c", "double")
+        else:
+            dec = f"decimal(22,{price_scale})"
+            in_s = F.sum(F.col("close_price").cast(dec)).over(frame(n))
+            c_s, c_n = _ctx_sum(need[n], "c", dec)
+        in_n = F.count("close_price").over(frame(n))
+        tot_s = in_s + F.when(need[n] > 0, c_s).otherwise(F.lit(0))
+        tot_n = in_n + F.when(need[n] > 0, c_n).otherwise(F.lit(0))
+        cols[f"sma_{n}d"] = (exact_ratio(tot_s, tot_n, price_scale, 4) if price_scale is not None
+                             else F.round(tot_s / F.nullif(tot_n, F.lit(0)), 4))
+    for n in VOLUME_WINDOWS:
+        in_s = F.sum(F.col("volume").cast(VOL_DEC)).over(frame(n))
+        in_n = F.count("volume").over(frame(n))
+        c_s, c_n = _ctx_sum(need[n], "v", VOL_DEC)
+        tot_s = F.coalesce(in_s, F.lit(0).cast(VOL_DEC)) + F.when(need[n] > 0, c_s).otherwise(
+            F.lit(0).cast(VOL_DEC))
+        tot_n = in_n + F.when(need[n] > 0, c_n).otherwise(F.lit(0))
+        # avg(bigint) is a DOUBLE sum / count; the decimal sum is exact, then the same division.
+        cols[f"vol_ma_{n}d"] = F.round(
+            tot_s.cast("double") / F.nullif(tot_n, F.lit(0)).cast("double"), 0).cast("bigint")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ret = F.col("daily_return_pct").cast(RET_DEC)
+    cols["cumulative_avg_return_pct"] = exact_ratio(
+        F.col("_ps") + F.coalesce(F.sum(ret).over(run), F.lit(0).cast(RET_DEC)),
+        F.col("_pn") + F.count(ret).over(run), 4, 4)
+    d = d.withColumns(cols).withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
+    return _ordered(d.drop(*helpers, "_ctx", "_ps", "_pn"), MOVING_AVERAGE_COLUMNS)
 
 
 # --------------------------------------------------------------------------------------------
-# Public jobs
+# Public jobs (the reference's intermediate models)
 # --------------------------------------------------------------------------------------------
 def daily_returns(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                  chunk_days: int = CHUNK_DAYS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """Previous close, day-over-day return %, intraday range and %, trading-day sequence."""
-    d = df if SEQ in df.columns else with_sequence(df, key, order, SEQ, chunk_days)
-    b, w = _blocks(d, key, SEQ, 1, block_rows)
-    out = _own(_return_columns(b, w)).drop("_copy", "_blk")
-    return _ordered(out, RETURNS_COLUMNS)
+    return series_metrics(df, key, order, averages=False, chunk_days=chunk_days)
 
 
-def moving_averages(df: DataFrame, key: str = "ticker", price_scale: int | None = 2,
-                    block_rows: int = BLOCK_ROWS) -> DataFrame:
+def moving_averages(df: DataFrame, key: str = "ticker", order: str = "price_date",
+                    price_scale: int | None = 2, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """7/30/90-row price averages, 7/30-row volume averages, cumulative mean return and the
-    close-vs-30-row-average signal, on top of :func:`daily_returns` output.
-
-    ``price_scale``: decimals carried by prices (2 for cents) -> averages are exact decimals;
-    ``None`` falls back to a floating-point ``avg``."""
-    b, w = _blocks(df, key, SEQ, LOOKBACK, block_rows)
-    b = _average_columns(b, w, price_scale)
-    out = _cumulative_return(b, key, SEQ).drop("_copy", "_blk")
-    out = out.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
-    return _ordered(out, MOVING_AVERAGE_COLUMNS)
-
-
-def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                   price_scale: int | None = 2, chunk_days: int = CHUNK_DAYS,
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``moving_averages(daily_returns(df))`` fused: one sequencing pass and one block pass."""
-    d = df if SEQ in df.columns else with_sequence(df, key, order, SEQ, chunk_days)
-    b, w = _blocks(d, key, SEQ, LOOKBACK, block_rows)
-    b = _average_columns(_return_columns(b, w), w, price_scale)
-    out = _cumulative_return(b, key, SEQ).drop("_copy", "_blk")
-    out = out.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
-    return _ordered(out, MOVING_AVERAGE_COLUMNS)
+    close-vs-30-row-average signal, on top of :func:`daily_returns` output (whose columns are
+    recomputed in the same pass, with identical values)."""
+    return series_metrics(df, key, order, averages=True, price_scale=price_scale,
+                          chunk_days=chunk_days)

@@ -127,13 +127,14 @@ def q_price_signal(spark, sf):
 
 
 @register("cumulative_return", O.with_ctes(
-    "select ticker, price_date, trading_day_seq, daily_return_pct, cumulative_avg_return_pct"
-    " from moving_averages", "moving_averages"))
+    "select ticker, price_date, trading_day_seq, daily_return_pct, cumulative_avg_return_pct,"
+    " sma_7d, sma_30d, sma_90d, vol_ma_7d, vol_ma_30d from moving_averages", "moving_averages"))
 def q_cumulative_return(spark, sf):
-    # Small blocks on purpose: many block boundaries per ticker exercise the prefix pass.
-    return series.series_metrics(stg_p(spark, sf), chunk_days=40, block_rows=120).select(
+    # Small chunks on purpose (~20 rows each, fewer than the 89-row look-back): the context of
+    # a chunk then spans several earlier chunks, exercising the side-table prefix and context.
+    return series.series_metrics(stg_p(spark, sf), chunk_days=30).select(
         "ticker", "price_date", "trading_day_seq", "daily_return_pct",
-        "cumulative_avg_return_pct")
+        "cumulative_avg_return_pct", "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d", "vol_ma_30d")
 
 
 @register("event_moving_averages", O.with_ctes(
