@@ -37,7 +37,7 @@ from pricelake.functions.scalar import exact_ratio, safe_divide, sma_signal
 # Rows of history the widest bounded frame needs before the current row (90-row average).
 LOOKBACK = 89
 # Calendar days per chunk: at most this many rows per ticker per chunk.
-CHUNK_DAYS = 366
+CHUNK_DAYS = 732
 PRICE_WINDOWS = (7, 30, 90)
 VOLUME_WINDOWS = (7, 30)
 
@@ -63,7 +63,6 @@ DERIVED = ["prev_close_price", "daily_return_pct", "intraday_range", "intraday_r
            "cumulative_avg_return_pct", "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d",
            "vol_ma_30d", "price_vs_sma_30d"]
 
-PRICE_DEC = "decimal(22,2)"
 RET_DEC = "decimal(22,4)"
 RET_ACC = "decimal(38,4)"
 VOL_DEC = "decimal(38,0)"
@@ -145,39 +144,50 @@ def chunk_context(stats: DataFrame, key: str, with_context: bool) -> DataFrame:
 # --------------------------------------------------------------------------------------------
 # Main pass
 # --------------------------------------------------------------------------------------------
-def _ctx_tail(need: Column) -> Column:
-    """The last ``need`` context rows (fewer when the history is shorter)."""
-    return F.slice("_ctx", F.greatest(F.size("_ctx") - need + 1, F.lit(1)),
-                   F.greatest(need, F.lit(0)))
+def _units(x: Column, scale: int) -> Column:
+    """Exact integer units of a value carrying at most ``scale`` decimals (cents for 2)."""
+    return F.round(x * (10 ** scale)).cast("long")
 
 
-def _acc_type(dec: str) -> str:
-    """Accumulator for a sum of ``dec`` values: same scale, widest precision."""
-    return dec if not dec.startswith("decimal") else "decimal(38," + dec.split(",")[1]
+def _dec(units: Column, scale: int) -> Column:
+    """Integer units back to an exact DECIMAL value with ``scale`` decimals."""
+    u = units.cast("decimal(24,0)")
+    return u if scale == 0 else u * F.lit("0." + "0" * (scale - 1) + "1").cast(
+        f"decimal({scale},{scale})")
 
 
-def _ctx_sum(need: Column, field: str, dec: str) -> tuple[Column, Column]:
-    rows = F.filter(_ctx_tail(need), lambda r: r[field].isNotNull())
-    acc_t = _acc_type(dec)
-    total = F.aggregate(rows, F.lit(0).cast(acc_t),
-                        lambda acc, r: (acc + r[field].cast(dec)).cast(acc_t))
-    return total, F.size(rows)
+def context_rows(ctx: DataFrame, key: str, order: str) -> DataFrame:
+    """The look-back rows of every chunk as narrow rows of that chunk (``_own`` = false)."""
+    x = ctx.select(key, "_chunk", F.explode("_ctx").alias("_x"))
+    return x.select(key, "_chunk", F.col("_x.d").alias(order), F.col("_x.c").alias("close_price"),
+                    F.col("_x.v").alias("volume"), F.lit(False).alias("_own"))
 
 
 def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                   averages: bool = True, price_scale: int | None = 2,
+                   averages: bool = True, price_scale: int = 2,
                    chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """Add the per-ticker series columns: sequence, previous close, returns, intraday range and,
     with ``averages``, the moving averages, volume averages, cumulative mean return and signal.
 
-    ``price_scale``: decimals carried by prices (2 for cents) - averages are then exact; ``None``
-    uses a floating-point sum for the price averages instead."""
+    For averages, each chunk's look-back rows (from the side table) are added in front of the
+    chunk's own rows, so every frame is an ordinary in-partition frame.  Moving sums are
+    differences of running sums (``R(p) - R(p - n)``, one ``lag`` each): the cost per row does
+    not grow with the frame width.  Sums are exact integer units (``price_scale`` decimals for
+    prices, 2 for cents); only the final division per average is decimal, rounding half up like
+    the reference's ``round(avg(..), 4)``."""
     base = df.drop(*[c for c in DERIVED if c in df.columns])
     ctx = chunk_context(chunk_stats(base, key, order, chunk_days, averages), key, averages)
-    d = base.withColumn("_chunk", _chunk(order, chunk_days)).join(ctx, [key, "_chunk"], "inner")
+    data = base.withColumns({"_chunk": _chunk(order, chunk_days), "_own": F.lit(True)})
+    if averages:
+        data = data.unionByName(context_rows(ctx, key, order), allowMissingColumns=True)
+        side = ctx.select(key, "_chunk", "_start", "_prev_c", F.size("_ctx").alias("_nctx"),
+                          "_ps", "_pn")
+    else:
+        side = ctx.withColumn("_nctx", F.lit(0))
+    d = data.join(side, [key, "_chunk"], "inner")
     w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
-    pos = F.row_number().over(w)
-    d = d.withColumns({"_pos": pos, "_lag": F.lag("close_price").over(w)})
+    d = d.withColumns({"_pos": F.row_number().over(w) - F.col("_nctx"),
+                       "_lag": F.lag("close_price").over(w)})
     d = d.withColumns({
         SEQ: (F.col("_start") + F.col("_pos")).cast("int"),
         "prev_close_price": F.when(F.col("_pos") == 1, F.col("_prev_c")).otherwise(F.col("_lag")),
@@ -187,45 +197,44 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
         "intraday_range_pct": F.round(
             safe_divide(F.col("high_price") - F.col("low_price"), F.col("close_price")) * 100, 4),
     })
-    helpers = ["_chunk", "_start", "_prev_c", "_pos", "_lag"]
+    helpers = ["_chunk", "_own", "_start", "_prev_c", "_nctx", "_pos", "_lag"]
     if not averages:
         return _ordered(d.drop(*helpers), RETURNS_COLUMNS)
 
-    def frame(n: int):
-        return w.rowsBetween(-(n - 1), Window.currentRow)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def one_if(c: Column) -> Column:
+        return F.when(c, 1).otherwise(0)
+
+    own = F.col("_own")
+    ret_units = _units(F.col("daily_return_pct"), 4)
+    running = {
+        "_Rc": F.sum(F.coalesce(_units(F.col("close_price"), price_scale), F.lit(0))).over(run),
+        "_Rcn": F.sum(one_if(F.col("close_price").isNotNull())).over(run),
+        "_Rv": F.sum(F.coalesce(F.col("volume"), F.lit(0))).over(run),
+        "_Rvn": F.sum(one_if(F.col("volume").isNotNull())).over(run),
+        "_Rr": F.sum(F.when(own, F.coalesce(ret_units, F.lit(0))).otherwise(0)).over(run),
+        "_Rrn": F.sum(one_if(own & ret_units.isNotNull())).over(run),
+    }
+    d = d.withColumns(running)
+
+    def moving(r: str, n: int) -> Column:
+        return F.col(r) - F.coalesce(F.lag(r, n).over(w), F.lit(0))
 
-    need = {n: F.lit(n) - F.col("_pos") for n in set(PRICE_WINDOWS) | set(VOLUME_WINDOWS)}
     cols = {}
     for n in PRICE_WINDOWS:
-        if price_scale is None:
-            in_s = F.sum("close_price").over(frame(n))
-            c_s, c_n = _ctx_sum(need[n], "c", "double")
-        else:
-            dec = f"decimal(22,{price_scale})"
-            in_s = F.sum(F.col("close_price").cast(dec)).over(frame(n))
-            c_s, c_n = _ctx_sum(need[n], "c", dec)
-        in_n = F.count("close_price").over(frame(n))
-        tot_s = in_s + F.when(need[n] > 0, c_s).otherwise(F.lit(0))
-        tot_n = in_n + F.when(need[n] > 0, c_n).otherwise(F.lit(0))
-        cols[f"sma_{n}d"] = (exact_ratio(tot_s, tot_n, price_scale, 4) if price_scale is not None
-                             else F.round(tot_s / F.nullif(tot_n, F.lit(0)), 4))
+        cols[f"sma_{n}d"] = exact_ratio(_dec(moving("_Rc", n), price_scale), moving("_Rcn", n),
+                                        price_scale, 4)
     for n in VOLUME_WINDOWS:
-        in_s = F.sum(F.col("volume").cast(VOL_DEC)).over(frame(n))
-        in_n = F.count("volume").over(frame(n))
-        c_s, c_n = _ctx_sum(need[n], "v", VOL_DEC)
-        tot_s = F.coalesce(in_s, F.lit(0).cast(VOL_DEC)) + F.when(need[n] > 0, c_s).otherwise(
-            F.lit(0).cast(VOL_DEC))
-        tot_n = in_n + F.when(need[n] > 0, c_n).otherwise(F.lit(0))
-        # avg(bigint) is a DOUBLE sum / count; the decimal sum is exact, then the same division.
-        cols[f"vol_ma_{n}d"] = F.round(
-            tot_s.cast("double") / F.nullif(tot_n, F.lit(0)).cast("double"), 0).cast("bigint")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ret = F.col("daily_return_pct").cast(RET_DEC)
+        # avg(bigint) is a DOUBLE division of an exact integer sum by the count.
+        cols[f"vol_ma_{n}d"] = F.round(moving("_Rv", n).cast("double")
+                                       / F.nullif(moving("_Rvn", n), F.lit(0)).cast("double"),
+                                       0).cast("bigint")
     cols["cumulative_avg_return_pct"] = exact_ratio(
-        F.col("_ps") + F.coalesce(F.sum(ret).over(run), F.lit(0).cast(RET_DEC)),
-        F.col("_pn") + F.count(ret).over(run), 4, 4)
-    d = d.withColumns(cols).withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
-    return _ordered(d.drop(*helpers, "_ctx", "_ps", "_pn"), MOVING_AVERAGE_COLUMNS)
+        F.col("_ps") + _dec(F.col("_Rr"), 4), F.col("_pn") + F.col("_Rrn"), 4, 4)
+    d = d.withColumns(cols).filter(own)
+    d = d.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
+    return _ordered(d.drop(*helpers, *running, "_ps", "_pn"), MOVING_AVERAGE_COLUMNS)
 
 
 # --------------------------------------------------------------------------------------------
@@ -238,7 +247,7 @@ def daily_returns(df: DataFrame, key: str = "ticker", order: str = "price_date",
 
 
 def moving_averages(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                    price_scale: int | None = 2, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+                    price_scale: int = 2, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """7/30/90-row price averages, 7/30-row volume averages, cumulative mean return and the
     close-vs-30-row-average signal, on top of :func:`daily_returns` output (whose columns are
     recomputed in the same pass, with identical values)."""

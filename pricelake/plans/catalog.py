@@ -22,6 +22,8 @@ from pricelake.operators import (
     staging,
 )
 from pricelake.plans import oracle_sql as O
+from pricelake.plans import pipeline
+from pricelake.plans.pipeline import Warehouse
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
 from pricelake.sources import files
@@ -47,18 +49,33 @@ def _no_audit(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------------------------
 # Shared builders
 # --------------------------------------------------------------------------------------------
+def raw(spark, sf, name):
+    """A RAW table, landed once per session from the driver tables (see plans.pipeline)."""
+    return Warehouse.of(spark, sf).raw(name)
+
+
 def stg_p(spark, sf):
-    return staging.stg_prices(D.raw_prices(spark, sf))
+    return staging.stg_prices(raw(spark, sf, "raw_stock_prices"))
 
 
 def stg_c(spark, sf):
-    return staging.stg_companies(D.raw_companies(spark, sf))
+    return staging.stg_companies(raw(spark, sf, "raw_company_metadata"))
 
 
 def fct(spark, sf):
+    """The fact table computed from RAW (the build itself)."""
     return marts.fct_prices(stg_p(spark, sf), stg_c(spark, sf))
 
 
+def fct_mart(spark, sf):
+    """The published fact table, as the tests and read queries see it."""
+    return Warehouse.of(spark, sf).mart("fct_stock_prices")
+
+
+def dim_mart(spark, sf):
+    return Warehouse.of(spark, sf).mart("dim_companies")
+
+
 # --------------------------------------------------------------------------------------------
 # Models
 # --------------------------------------------------------------------------------------------
@@ -106,7 +123,7 @@ def q_dim_companies(spark, sf):
     "select ticker, company_name, market_cap_usd, ingested_at from company_dedup",
     "company_dedup"))
 def q_dedup_top1(spark, sf):
-    return staging.companies_dedup(D.raw_companies(spark, sf)).select(
+    return staging.companies_dedup(raw(spark, sf, "raw_company_metadata")).select(
         "ticker", "company_name", "market_cap_usd", "ingested_at")
 
 
@@ -122,7 +139,7 @@ def q_market_cap_category(spark, sf):
     "select ticker, price_vs_sma_30d, count(*) as trading_days from moving_averages"
     " group by ticker, price_vs_sma_30d", "moving_averages"))
 def q_price_signal(spark, sf):
-    return fct(spark, sf).groupBy("ticker", "price_vs_sma_30d").agg(
+    return fct_mart(spark, sf).groupBy("ticker", "price_vs_sma_30d").agg(
         F.count(F.lit(1)).alias("trading_days"))
 
 
@@ -140,7 +157,7 @@ def q_cumulative_return(spark, sf):
 @register("event_moving_averages", O.with_ctes(
     "select * from event_moving_averages", "event_moving_averages"))
 def q_event_moving_averages(spark, sf):
-    return _no_audit(series.series_metrics(staging.stg_prices(D.event_bars(spark, sf))))
+    return _no_audit(series.series_metrics(staging.stg_prices(raw(spark, sf, "raw_event_prices"))))
 
 
 # --------------------------------------------------------------------------------------------
@@ -151,9 +168,12 @@ OVERLAP_FROM = "1999-07-01 00:00:00"
 
 
 def _initial_target(spark, sf):
-    """Fact table as first published from the rows loaded up to CUT."""
-    early = stg_p(spark, sf).filter(F.col("ingested_at") <= F.lit(CUT).cast("timestamp_ntz"))
-    return marts.fct_prices(early, stg_c(spark, sf))
+    """Fact table as first published from the rows loaded up to CUT (written once per session,
+    clustered, and read back - the state an incremental run starts from)."""
+    def build(path):
+        early = stg_p(spark, sf).filter(F.col("ingested_at") <= F.lit(CUT).cast("timestamp_ntz"))
+        files.write_clustered(marts.fct_prices(early, stg_c(spark, sf)), path, marts.FCT_CLUSTER)
+    return Warehouse.of(spark, sf).derived("fct_initial_cut", build)
 
 
 @register("hwm_filter", O.with_ctes(
@@ -189,8 +209,9 @@ _STG_UNION = {"stg_union": (O._stg_prices(
 
 
 def _stg_union(spark, sf):
-    raw = staging.combine_extracts([D.raw_prices(spark, sf), D.event_bars(spark, sf)])
-    return staging.stg_prices(raw)
+    arrived = staging.combine_extracts([raw(spark, sf, "raw_stock_prices"),
+                                        raw(spark, sf, "raw_event_prices")])
+    return staging.stg_prices(arrived)
 
 
 @register("union_extracts", O.with_ctes("select * from stg_union", "stg_union", extra=_STG_UNION))
@@ -214,8 +235,8 @@ def q_restrict_universe(spark, sf):
 def _csv_landing(spark, sf):
     """Raw prices written as CSV with the columns in another order than the table declares."""
     path = scratch_path(spark, "raw-prices-csv")
-    raw = D.raw_prices(spark, sf)
-    files.write_csv(raw.select("close", "ticker", "volume", "low", "high", "open", "date",
+    prices = raw(spark, sf, "raw_stock_prices")
+    files.write_csv(prices.select("close", "ticker", "volume", "low", "high", "open", "date",
                                "ingested_at"), path)
     return files.read_raw_csv(spark, path)
 
@@ -251,10 +272,10 @@ def q_csv_rejects(spark, sf):
 @register("json_companies", O.with_ctes("select * from stg_companies", "stg_companies"))
 def q_json_companies(spark, sf):
     path = scratch_path(spark, "companies-json")
-    raw = D.raw_companies(spark, sf)
+    companies = raw(spark, sf, "raw_company_metadata")
     # Upper-case field names like the loader's records; null fields are left out of the JSON
     # lines, so they come back as missing fields.
-    raw.select(*[F.col(c).alias(c.upper()) for c in raw.columns]).write.mode("overwrite").json(path)
+    companies.select(*[F.col(c).alias(c.upper()) for c in companies.columns]).write.mode("overwrite").json(path)
     return _no_audit(staging.stg_companies(files.read_company_records(spark, path)))
 
 
@@ -268,7 +289,7 @@ FUTURE_AS_OF = "1998-01-01"
 @register("check_not_null", O.with_ctes(
     "select ticker, price_date from fct_prices where daily_return_pct is null", "fct_prices"))
 def q_check_not_null(spark, sf):
-    return quality.check_not_null(fct(spark, sf), "daily_return_pct").select("ticker",
+    return quality.check_not_null(fct_mart(spark, sf), "daily_return_pct").select("ticker",
                                                                              "price_date")
 
 
@@ -276,14 +297,14 @@ def q_check_not_null(spark, sf):
     "select ticker, count(*) as n_records from company_renamed where ticker is not null"
     " group by ticker having count(*) > 1", "company_renamed"))
 def q_check_unique(spark, sf):
-    return quality.check_unique(staging.companies_renamed(D.raw_companies(spark, sf)), "ticker")
+    return quality.check_unique(staging.companies_renamed(raw(spark, sf, "raw_company_metadata")), "ticker")
 
 
 @register("check_accepted", O.with_ctes(
     "select ticker, sector from dim_companies where sector is not null and sector not in ("
     + ", ".join(f"'{s}'" for s in quality.ACCEPTED_SECTORS) + ")", "dim_companies"))
 def q_check_accepted(spark, sf):
-    dim = marts.dim_companies(stg_c(spark, sf))
+    dim = dim_mart(spark, sf)
     return quality.check_accepted(dim, "sector", quality.ACCEPTED_SECTORS).select("ticker",
                                                                                  "sector")
 
@@ -292,7 +313,7 @@ def q_check_accepted(spark, sf):
     "select ticker, price_date, daily_return_pct from fct_prices where daily_return_pct is not"
     " null and (daily_return_pct > 75 or daily_return_pct < -75)", "fct_prices"))
 def q_check_return_bounds(spark, sf):
-    return quality.check_return_bounds(fct(spark, sf))
+    return quality.check_return_bounds(fct_mart(spark, sf))
 
 
 _RENAMED = {"prices_renamed": ("""
@@ -308,14 +329,14 @@ _RENAMED = {"prices_renamed": ("""
     " where high_price < low_price", "prices_renamed", extra=_RENAMED))
 def q_check_high_low(spark, sf):
     # Run on the unvalidated bars: after staging the rule cannot fail.
-    return quality.check_high_low(staging.prices_renamed(D.raw_prices(spark, sf)))
+    return quality.check_high_low(staging.prices_renamed(raw(spark, sf, "raw_stock_prices")))
 
 
 @register("check_no_future", O.with_ctes(
     f"select ticker, price_date from fct_prices where price_date > date '{FUTURE_AS_OF}'",
     "fct_prices"))
 def q_check_no_future(spark, sf):
-    return quality.check_no_future(fct(spark, sf), FUTURE_AS_OF)
+    return quality.check_no_future(fct_mart(spark, sf), FUTURE_AS_OF)
 
 
 @register("check_positive", O.with_ctes(
@@ -323,7 +344,7 @@ def q_check_no_future(spark, sf):
     " from prices_renamed where open_price <= 0 or high_price <= 0 or low_price <= 0"
     " or close_price <= 0 or volume < 0", "prices_renamed", extra=_RENAMED))
 def q_check_positive(spark, sf):
-    return quality.check_positive(staging.prices_renamed(D.raw_prices(spark, sf)))
+    return quality.check_positive(staging.prices_renamed(raw(spark, sf, "raw_stock_prices")))
 
 
 @register("check_sma_warm", O.with_ctes(
@@ -331,7 +352,7 @@ def q_check_positive(spark, sf):
     " trading_day_seq > 90 and (sma_7d is null or sma_30d is null or sma_90d is null)",
     "fct_prices"))
 def q_check_sma_warm(spark, sf):
-    return quality.check_sma_warm(fct(spark, sf))
+    return quality.check_sma_warm(fct_mart(spark, sf))
 
 
 @register("check_expected", O.with_ctes(
@@ -341,16 +362,17 @@ def q_check_sma_warm(spark, sf):
     "raw_prices", "event_prices", "fct_prices"))
 def q_check_expected(spark, sf):
     # Expected universe: every ticker that arrived in either extract, before validation.
-    arrived = staging.combine_extracts([D.raw_prices(spark, sf), D.event_bars(spark, sf)])
+    arrived = staging.combine_extracts([raw(spark, sf, "raw_stock_prices"),
+                                      raw(spark, sf, "raw_event_prices")])
     expected = arrived.select(F.upper(F.trim("ticker")).alias("ticker")).distinct()
-    return quality.check_expected(fct(spark, sf), expected)
+    return quality.check_expected(fct_mart(spark, sf), expected)
 
 
 @register("check_referential", O.with_ctes(
     "select distinct f.ticker from stg_union f left join dim_companies d on f.ticker = d.ticker"
     " where d.ticker is null", "stg_union", "dim_companies", extra=_STG_UNION))
 def q_check_referential(spark, sf):
-    return quality.check_referential(_stg_union(spark, sf), marts.dim_companies(stg_c(spark, sf)))
+    return quality.check_referential(_stg_union(spark, sf), dim_mart(spark, sf))
 
 
 def _summary_sql() -> str:
@@ -390,7 +412,7 @@ def _summary_sql() -> str:
 
 @register("quality_summary", _summary_sql())
 def q_quality_summary(spark, sf):
-    return quality.run_all(spark, fct(spark, sf), marts.dim_companies(stg_c(spark, sf)), AS_OF)
+    return quality.run_all(spark, fct_mart(spark, sf), dim_mart(spark, sf), AS_OF)
 
 
 # --------------------------------------------------------------------------------------------
@@ -421,7 +443,7 @@ def exact2(x: str) -> str:
     " and execution_status = 'SUCCESS' order by start_time desc, query_id desc limit 100",
     "job_log"))
 def q_recent_queries(spark, sf):
-    return joblog.recent_queries(D.job_log(spark, sf), AS_OF, WAREHOUSE)
+    return joblog.recent_queries(raw(spark, sf, "query_history"), AS_OF, WAREHOUSE)
 
 
 @register("refresh_comparison", O.with_ctes(
@@ -435,7 +457,7 @@ def q_recent_queries(spark, sf):
     " (lower(query_text) like '%fct_stock_prices%' or lower(query_text) like"
     " '%int_stock_moving_averages%')) t group by run_type order by run_type", "job_log"))
 def q_refresh_comparison(spark, sf):
-    return joblog.refresh_comparison(D.job_log(spark, sf), AS_OF, WAREHOUSE)
+    return joblog.refresh_comparison(raw(spark, sf, "query_history"), AS_OF, WAREHOUSE)
 
 
 @register("hourly_usage", O.with_ctes(
@@ -444,7 +466,7 @@ def q_refresh_comparison(spark, sf):
     " cast(sum(credits_used_cloud_services) as double) as cloud_service_credits"
     f" from metering where {_RECENT} group by 1 order by 1 desc", "metering"))
 def q_hourly_usage(spark, sf):
-    return joblog.hourly_usage(D.metering(spark, sf), AS_OF, WAREHOUSE)
+    return joblog.hourly_usage(raw(spark, sf, "warehouse_metering_history"), AS_OF, WAREHOUSE)
 
 
 @register("slowest", O.with_ctes(
@@ -454,13 +476,15 @@ def q_hourly_usage(spark, sf):
     " and execution_status = 'SUCCESS' order by total_elapsed_time desc, query_id asc limit 10",
     "job_log"))
 def q_slowest(spark, sf):
-    return joblog.slowest(D.job_log(spark, sf), AS_OF, WAREHOUSE)
+    return joblog.slowest(raw(spark, sf, "query_history"), AS_OF, WAREHOUSE)
 
 
 @register("layout_report")
 def q_layout_report(spark, sf):
-    path = scratch_path(spark, "fct-clustered")
-    files.write_clustered(fct(spark, sf), path, marts.FCT_CLUSTER)
+    # Clustering depth of the published (range-partitioned, sorted) fact table's files.
+    w = Warehouse.of(spark, sf)
+    w.publish()
+    path = pipeline.current_path(spark, w.root, "fct_stock_prices")
     return joblog.layout_report(spark, path, marts.FCT_CLUSTER)
 
 
@@ -472,17 +496,11 @@ def q_partition_layout(spark, sf):
 
 @register("table_inventory")
 def q_table_inventory(spark, sf):
-    root = scratch_path(spark, "warehouse")
-    layers = [("RAW", "raw_stock_prices", D.raw_prices(spark, sf)),
-              ("RAW", "raw_company_metadata", D.raw_companies(spark, sf)),
-              ("MARTS", "fct_stock_prices", fct(spark, sf)),
-              ("MARTS", "dim_companies", marts.dim_companies(stg_c(spark, sf)))]
-    tables = []
-    for layer, name, df in layers:
-        path = files.layer_path(root, layer, name)
-        files.full_refresh(df, path)
-        tables.append((layer, name, path))
-    return joblog.table_inventory(spark, tables)
+    w = Warehouse.of(spark, sf)
+    w.publish()
+    for name in pipeline.RAW_TABLES:
+        w.raw(name)
+    return joblog.table_inventory(spark, pipeline.inventory(spark, w.root))
 
 
 # --------------------------------------------------------------------------------------------
@@ -492,21 +510,21 @@ def q_table_inventory(spark, sf):
     "select ticker, price_date, open_price, high_price, low_price, close_price, volume"
     " from fct_prices", "fct_prices"))
 def q_ohlcv_series(spark, sf):
-    return readmodels.ohlcv_series(fct(spark, sf))
+    return readmodels.ohlcv_series(fct_mart(spark, sf))
 
 
 @register("sma_series", O.with_ctes(
     "select ticker, price_date, close_price, sma_7d, sma_30d, sma_90d from fct_prices",
     "fct_prices"))
 def q_sma_series(spark, sf):
-    return readmodels.sma_series(fct(spark, sf))
+    return readmodels.sma_series(fct_mart(spark, sf))
 
 
 @register("volume_series", O.with_ctes(
     "select ticker, price_date, volume, case when close_price >= open_price then 'Up'"
     " else 'Down' end as direction, vol_ma_7d, vol_ma_30d from fct_prices", "fct_prices"))
 def q_volume_series(spark, sf):
-    return readmodels.volume_series(fct(spark, sf))
+    return readmodels.volume_series(fct_mart(spark, sf))
 
 
 def _exact4_agg(x: str) -> str:
@@ -517,7 +535,7 @@ def _exact4_agg(x: str) -> str:
     f"select ticker, price_month, {_exact4_agg('daily_return_pct')} as avg_daily_return_pct,"
     " count(*) as trading_days from fct_prices group by ticker, price_month", "fct_prices"))
 def q_returns_heatmap(spark, sf):
-    return readmodels.returns_heatmap(fct(spark, sf))
+    return readmodels.returns_heatmap(fct_mart(spark, sf))
 
 
 @register("sector_performance", O.with_ctes(
@@ -525,7 +543,7 @@ def q_returns_heatmap(spark, sf):
     " count(distinct ticker) as tickers, sum(volume) as total_volume, count(*) as trading_days"
     " from fct_prices group by sector", "fct_prices"))
 def q_sector_performance(spark, sf):
-    return readmodels.sector_performance(fct(spark, sf))
+    return readmodels.sector_performance(fct_mart(spark, sf))
 
 
 @register("risk_return", O.with_ctes(
@@ -539,7 +557,7 @@ def q_sector_performance(spark, sf):
     " over (partition by ticker) as s2 from fct_prices) x group by ticker, n, s1, s2",
     "fct_prices"))
 def q_risk_return(spark, sf):
-    return readmodels.risk_return(fct(spark, sf))
+    return readmodels.risk_return(fct_mart(spark, sf))
 
 
 @register("top10_30d", O.with_ctes(
@@ -552,7 +570,7 @@ def q_risk_return(spark, sf):
     " b.trading_day_seq = l.trading_day_seq - 30) p order by return_30d_pct desc nulls last,"
     " ticker limit 10", "fct_prices"))
 def q_top10_30d(spark, sf):
-    return readmodels.top10_30d(fct(spark, sf))
+    return readmodels.top10_30d(fct_mart(spark, sf))
 
 
 @register("avg_volume_rank", O.with_ctes(
@@ -561,7 +579,7 @@ def q_top10_30d(spark, sf):
     " double) / 100 end as avg_volume from fct_prices group by ticker"
     " order by avg_volume desc nulls last, ticker limit 10", "fct_prices"))
 def q_avg_volume_rank(spark, sf):
-    return readmodels.avg_volume_rank(fct(spark, sf))
+    return readmodels.avg_volume_rank(fct_mart(spark, sf))
 
 
 @register("best_performer", O.with_ctes(
@@ -572,7 +590,7 @@ def q_avg_volume_rank(spark, sf):
     " arg_max(close_price, price_date) as last_close from fct_prices group by ticker) g"
     " order by growth_pct desc nulls last, ticker limit 10", "fct_prices"))
 def q_best_performer(spark, sf):
-    return readmodels.best_performer(fct(spark, sf))
+    return readmodels.best_performer(fct_mart(spark, sf))
 
 
 # --------------------------------------------------------------------------------------------
@@ -583,10 +601,10 @@ def q_stream_incremental(spark, sf):
     work = scratch_path(spark, "stream")
     raw_dir = f"{work}/raw"
     companies = stg_c(spark, sf)
-    raw = D.raw_prices(spark, sf)
+    prices = raw(spark, sf, "raw_stock_prices")
     c = F.lit(CUT).cast("timestamp_ntz")
-    raw.filter(F.col("ingested_at") <= c).write.parquet(f"{raw_dir}/arrival=1")
+    prices.filter(F.col("ingested_at") <= c).write.parquet(f"{raw_dir}/arrival=1")
     file_stream.run_available(spark, raw_dir, companies, work)          # first daily run
-    raw.filter(F.col("ingested_at") > c).write.parquet(f"{raw_dir}/arrival=2")
+    prices.filter(F.col("ingested_at") > c).write.parquet(f"{raw_dir}/arrival=2")
     out = file_stream.run_available(spark, raw_dir, companies, work)    # next run: new files
     return _no_audit(out)

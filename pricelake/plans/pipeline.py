@@ -1,0 +1,145 @@
+"""The pipeline as the reference runs it: load RAW, build the marts, test them.
+
+* ``land_raw``   RAW layer: tables derived from the driver's tables, written once as parquet
+                 (the loaders' full refresh: truncate and reload).
+* ``build``      staging views -> marts.  Full refresh writes the fact and dimension tables
+                 clustered by their keys; an incremental build reads the current version, runs
+                 the watermark / changed-ticker increment and writes the upserted next version
+                 (a version being read is never overwritten).
+* ``run_tests``  the quality summary over the published marts.
+
+``Warehouse`` keeps one such layout per (Spark application, input folder) under the shared
+checkpoint folder, so queries in one session read RAW and published marts like the reference's
+models and dashboard read warehouse tables, instead of re-deriving them per query.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pricelake.operators import incremental, marts, quality, staging
+from pricelake.session import scratch_path
+from pricelake.sources import driver_tables as D
+from pricelake.sources import files
+from pricelake.streaming.file_stream import list_versions, path_exists
+
+RAW_TABLES = {
+    "raw_stock_prices": D.raw_prices,
+    "raw_company_metadata": D.raw_companies,
+    "raw_event_prices": D.event_bars,
+    "query_history": D.job_log,
+    "warehouse_metering_history": D.metering,
+}
+RAW, MARTS = "RAW", "MARTS"
+
+
+def land_raw(spark: SparkSession, sf_dir: str, root: str,
+             names: list[str] | None = None) -> dict[str, str]:
+    """Full-refresh load of the RAW tables; returns their paths."""
+    out = {}
+    for name in names or list(RAW_TABLES):
+        path = files.layer_path(root, RAW, name)
+        files.full_refresh(RAW_TABLES[name](spark, sf_dir), path)
+        out[name] = path
+    return out
+
+
+def _version_path(root: str, name: str, v: int) -> str:
+    return f"{files.layer_path(root, MARTS, name)}/v={v}"
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str | None:
+    vs = list_versions(spark, files.layer_path(root, MARTS, name), "v=")
+    return _version_path(root, name, vs[-1]) if vs else None
+
+
+def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    path = current_path(spark, root, name)
+    return spark.read.parquet(path) if path else None
+
+
+def inventory(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
+    """(layer, table, path) of every RAW table and the current version of every mart."""
+    out = []
+    for name in RAW_TABLES:
+        path = files.layer_path(root, RAW, name)
+        if path_exists(spark, f"{path}/_SUCCESS"):
+            out.append((RAW, name, path))
+    for name in ("fct_stock_prices", "dim_companies"):
+        path = current_path(spark, root, name)
+        if path:
+            out.append((MARTS, name, path))
+    return out
+
+
+def build(spark: SparkSession, root: str, full_refresh: bool = True, as_of=None,
+          **series_opts) -> dict[str, str]:
+    """Build both marts from RAW.  Returns the paths of the versions written."""
+    raw_p = spark.read.parquet(files.layer_path(root, RAW, "raw_stock_prices"))
+    raw_c = spark.read.parquet(files.layer_path(root, RAW, "raw_company_metadata"))
+    stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
+    out = {}
+    for name, keys in (("fct_stock_prices", marts.FCT_CLUSTER),
+                       ("dim_companies", marts.DIM_CLUSTER)):
+        vs = list_versions(spark, files.layer_path(root, MARTS, name), "v=")
+        target = None if full_refresh or not vs else current(spark, root, name)
+        if name == "fct_stock_prices":
+            df = (marts.fct_prices(stg_p, stg_c, **series_opts) if target is None
+                  else incremental.fct_incremental(stg_p, stg_c, target, **series_opts))
+        else:
+            df = (marts.dim_companies(stg_c) if target is None
+                  else incremental.dim_incremental(stg_c, target))
+        path = _version_path(root, name, (vs[-1] + 1) if vs else 1)
+        files.write_clustered(df, path, keys)
+        out[name] = path
+    return out
+
+
+def run_tests(spark: SparkSession, root: str, as_of=None, expected=None) -> DataFrame:
+    return quality.run_all(spark, current(spark, root, "fct_stock_prices"),
+                           current(spark, root, "dim_companies"), as_of, expected)
+
+
+class Warehouse:
+    """RAW tables and published marts of one input folder, laid out once per session."""
+
+    _registry: dict[tuple[str, str], Warehouse] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.root = scratch_path(spark, "warehouse")
+        self._raw: dict[str, str] = {}
+        self._published = False
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        if key not in cls._registry:
+            cls._registry[key] = cls(spark, sf_dir)
+        return cls._registry[key]
+
+    def raw(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            self._raw.update(land_raw(self.spark, self.sf_dir, self.root, [name]))
+        return self.spark.read.parquet(self._raw[name])
+
+    def derived(self, name: str, write) -> DataFrame:
+        """A table written once per session by ``write(path)`` and read back."""
+        path = files.layer_path(self.root, "DERIVED", name)
+        if name not in self._raw:
+            write(path)
+            self._raw[name] = path
+        return self.spark.read.parquet(path)
+
+    def publish(self) -> None:
+        if not self._published:
+            self.raw("raw_stock_prices")
+            self.raw("raw_company_metadata")
+            build(self.spark, self.root, full_refresh=True)
+            self._published = True
+
+    def mart(self, name: str) -> DataFrame:
+        self.publish()
+        return current(self.spark, self.root, name)
