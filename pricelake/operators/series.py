@@ -63,9 +63,6 @@ DERIVED = ["prev_close_price", "daily_return_pct", "intraday_range", "intraday_r
            "cumulative_avg_return_pct", "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d",
            "vol_ma_30d", "price_vs_sma_30d"]
 
-RET_DEC = "decimal(22,4)"
-RET_ACC = "decimal(38,4)"
-VOL_DEC = "decimal(38,0)"
 
 
 def _ordered(df: DataFrame, order: list[str]) -> DataFrame:
@@ -89,32 +86,35 @@ def _chunk(order: str, chunk_days: int) -> Column:
 # --------------------------------------------------------------------------------------------
 def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int,
                 with_context: bool) -> DataFrame:
-    """One row per (key, chunk): count, first/last close, and - for averages - the tail of the
-    chunk and the exact sum / count of the returns between consecutive rows inside it."""
-    d = df.select(key, _chunk(order, chunk_days).alias("_chunk"),
-                  F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"),
-                           F.col("volume").alias("v")).alias("_r"))
-    g = d.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list("_r")).alias("_rows"))
-    n = F.size("_rows")
-    cols = [key, "_chunk", n.alias("_n"),
-            F.element_at("_rows", 1)["c"].alias("_first_c"),
-            F.element_at("_rows", -1)["c"].alias("_last_c")]
+    """One row per (key, chunk): row count, first/last close and - for averages - the chunk's last
+    ``LOOKBACK`` rows and the exact sum / count of the returns between consecutive rows inside
+    it.  A window over the narrow columns (it spills like any sort) followed by an aggregate on
+    the same partitioning; the only collected list holds at most ``LOOKBACK`` rows."""
+    narrow = df.select(key, _chunk(order, chunk_days).alias("_chunk"), order, "close_price",
+                       "volume")
+    w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
+    x = narrow.withColumns({
+        "_pos": F.row_number().over(w),
+        "_lagc": F.lag("close_price").over(w),
+        "_cnt": F.count(F.lit(1)).over(Window.partitionBy(key, "_chunk")),
+    })
+    aggs = [F.max("_cnt").alias("_n"),
+            F.max(F.when(F.col("_pos") == 1, F.col("close_price"))).alias("_first_c"),
+            F.max(F.when(F.col("_pos") == F.col("_cnt"), F.col("close_price"))).alias("_last_c")]
     if with_context:
-        inner = F.zip_with(F.slice("_rows", 2, n), F.slice("_rows", 1, n - 1),
-                           lambda cur, prev: daily_return(cur["c"], prev["c"]))
-        inner = F.filter(inner, lambda r: r.isNotNull())
-        cols += [
-            F.slice("_rows", F.greatest(n - LOOKBACK + 1, F.lit(1)), LOOKBACK).alias("_tail"),
-            F.aggregate(inner, F.lit(0).cast(RET_ACC),
-                        lambda acc, r: (acc + r.cast(RET_DEC)).cast(RET_ACC)).alias("_in_rs"),
-            F.size(inner).alias("_in_rn"),
-        ]
-    return g.select(*cols)
+        ret = _units(daily_return(F.col("close_price"), F.col("_lagc")), 4)
+        tail = F.when(F.col("_pos") > F.col("_cnt") - LOOKBACK,
+                      F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"),
+                               F.col("volume").alias("v")))
+        aggs += [F.coalesce(F.sum(ret), F.lit(0)).alias("_in_rs"),
+                 F.count(ret).alias("_in_rn"),
+                 F.array_sort(F.collect_list(tail)).alias("_tail")]
+    return x.groupBy(key, "_chunk").agg(*aggs)
 
 
 def chunk_context(stats: DataFrame, key: str, with_context: bool) -> DataFrame:
     """Per chunk: start offset, previous chunk's last close and, for averages, the return
-    prefix (sum / count before the chunk) and the last LOOKBACK rows before the chunk."""
+    prefix (sum in 1e-4 units / count before the chunk) and the last LOOKBACK rows before it."""
     by_chunk = Window.partitionBy(key).orderBy("_chunk")
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     s = stats.withColumns({
@@ -123,9 +123,9 @@ def chunk_context(stats: DataFrame, key: str, with_context: bool) -> DataFrame:
     })
     if not with_context:
         return s.drop("_n", "_first_c", "_last_c")
-    first_r = daily_return(F.col("_first_c"), F.col("_prev_c"))
+    first_r = _units(daily_return(F.col("_first_c"), F.col("_prev_c")), 4)
     s = s.withColumns({
-        "_cs": F.col("_in_rs") + F.coalesce(first_r.cast(RET_DEC), F.lit(0).cast(RET_DEC)),
+        "_cs": (F.col("_in_rs") + F.coalesce(first_r, F.lit(0))).cast("decimal(38,0)"),
         "_cn": F.col("_in_rn") + F.when(first_r.isNotNull(), 1).otherwise(0),
     })
     by_start = Window.partitionBy(key).orderBy("_start")
@@ -137,7 +137,7 @@ def chunk_context(stats: DataFrame, key: str, with_context: bool) -> DataFrame:
     return s.select(
         key, "_chunk", "_start", "_prev_c",
         F.slice(ctx, F.greatest(F.size(ctx) - LOOKBACK + 1, F.lit(1)), LOOKBACK).alias("_ctx"),
-        F.coalesce(F.sum("_cs").over(before), F.lit(0).cast("decimal(38,4)")).alias("_ps"),
+        F.coalesce(F.sum("_cs").over(before), F.lit(0).cast("decimal(38,0)")).alias("_ps"),
         F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_pn"))
 
 
@@ -151,7 +151,7 @@ def _units(x: Column, scale: int) -> Column:
 
 def _dec(units: Column, scale: int) -> Column:
     """Integer units back to an exact DECIMAL value with ``scale`` decimals."""
-    u = units.cast("decimal(24,0)")
+    u = units.cast("decimal(28,0)")
     return u if scale == 0 else u * F.lit("0." + "0" * (scale - 1) + "1").cast(
         f"decimal({scale},{scale})")
 
@@ -231,7 +231,7 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
                                        / F.nullif(moving("_Rvn", n), F.lit(0)).cast("double"),
                                        0).cast("bigint")
     cols["cumulative_avg_return_pct"] = exact_ratio(
-        F.col("_ps") + _dec(F.col("_Rr"), 4), F.col("_pn") + F.col("_Rrn"), 4, 4)
+        _dec(F.col("_ps") + F.col("_Rr"), 4), F.col("_pn") + F.col("_Rrn"), 4, 4)
     d = d.withColumns(cols).filter(own)
     d = d.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
     return _ordered(d.drop(*helpers, *running, "_ps", "_pn"), MOVING_AVERAGE_COLUMNS)

@@ -20,9 +20,14 @@ def d(x: float) -> Decimal:
     return Decimal(repr(x))
 
 
+def _key(h):
+    # Spark order: date, close, volume with nulls first.
+    return (h[0], h[1], float("-inf") if h[4] is None else h[4])
+
+
 def brute(hist):
     """Reference computation over one ticker's rows [(date, close, high, low, volume)]."""
-    hist = sorted(hist)
+    hist = sorted(hist, key=_key)
     out, rets = [], []
     for i, (day, close, high, low, vol) in enumerate(hist):
         prev = hist[i - 1][1] if i else None
@@ -42,14 +47,15 @@ def brute(hist):
     return out
 
 
-def make_rows(seed, tickers=3, days=260):
+def make_rows(seed, tickers=3, days=260, dup_share=0.0):
     rnd = random.Random(seed)
     rows = []
     for t in range(tickers):
         day = dt.date(2000, 1, 3)
         n = rnd.randint(days // 3, days)
         for _ in range(n):
-            day += dt.timedelta(days=rnd.choice([1, 1, 1, 2, 3, 7, 20]))
+            if rnd.random() >= dup_share:        # else: another bar on the same day
+                day += dt.timedelta(days=rnd.choice([1, 1, 1, 2, 3, 7, 20]))
             close = round(rnd.uniform(1, 500), 2)
             high, low = close + 1.0, max(close - 1.0, 0.01)
             vol = None if rnd.random() < 0.05 else rnd.randint(0, 10_000)
@@ -57,9 +63,12 @@ def make_rows(seed, tickers=3, days=260):
     return rows
 
 
-@pytest.mark.parametrize("seed,chunk_days", [(1, 5), (2, 45), (3, 732)])
-def test_series_matches_brute_force(spark, seed, chunk_days):
-    data = make_rows(seed)
+@pytest.mark.parametrize("seed,chunk_days,dup_share",
+                         [(1, 5, 0.0), (2, 45, 0.0), (3, 732, 0.0), (4, 10, 0.3)])
+def test_series_matches_brute_force(spark, seed, chunk_days, dup_share):
+    """dup_share > 0: several bars per (ticker, date) - not valid data, but the order (date,
+    close, volume) must then be applied the same way in the side table and the main pass."""
+    data = make_rows(seed, dup_share=dup_share)
     df = spark.createDataFrame(
         data, "ticker string, price_date date, close_price double, high_price double, "
               "low_price double, volume bigint")
@@ -67,12 +76,12 @@ def test_series_matches_brute_force(spark, seed, chunk_days):
     by_t = {}
     for t, day, c, h, lo, v in data:
         by_t.setdefault(t, []).append((day, c, h, lo, v))
-    want = {(t, r["price_date"]): r for t, hist in by_t.items() for r in brute(hist)}
+    want = {(t, r["trading_day_seq"]): r for t, hist in by_t.items() for r in brute(hist)}
     assert len(got) == len(want)
-    cols = ["trading_day_seq", "prev_close_price", "daily_return_pct", "sma_7d", "sma_30d",
+    cols = ["price_date", "trading_day_seq", "prev_close_price", "daily_return_pct", "sma_7d", "sma_30d",
             "sma_90d", "vol_ma_7d", "vol_ma_30d", "cumulative_avg_return_pct"]
     for r in got:
-        w = want[(r["ticker"], r["price_date"])]
+        w = want[(r["ticker"], r["trading_day_seq"])]
         for c in cols:
             assert r[c] == w[c], (r["ticker"], r["price_date"], c, r[c], w[c])
 
