@@ -84,12 +84,12 @@ def _chunk(order: str, chunk_days: int) -> Column:
 # --------------------------------------------------------------------------------------------
 # Side table
 # --------------------------------------------------------------------------------------------
-def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int,
-                with_context: bool) -> DataFrame:
-    """One row per (key, chunk): row count, first/last close and - for averages - the chunk's last
-    ``LOOKBACK`` rows and the exact sum / count of the returns between consecutive rows inside
-    it.  A window over the narrow columns (it spills like any sort) followed by an aggregate on
-    the same partitioning; the only collected list holds at most ``LOOKBACK`` rows."""
+def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int, lookback: int,
+                with_returns: bool) -> DataFrame:
+    """One row per (key, chunk): row count, first/last close, the chunk's last ``lookback`` rows
+    and - for averages - the exact sum / count of the returns between consecutive rows inside it.
+    A window over the narrow columns (it spills like any sort) followed by an aggregate on the
+    same partitioning; the only collected list holds at most ``lookback`` rows."""
     narrow = df.select(key, _chunk(order, chunk_days).alias("_chunk"), order, "close_price",
                        "volume")
     w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
@@ -98,47 +98,42 @@ def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int,
         "_lagc": F.lag("close_price").over(w),
         "_cnt": F.count(F.lit(1)).over(Window.partitionBy(key, "_chunk")),
     })
+    tail = F.when(F.col("_pos") > F.col("_cnt") - lookback,
+                  F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"),
+                           F.col("volume").alias("v")))
     aggs = [F.max("_cnt").alias("_n"),
             F.max(F.when(F.col("_pos") == 1, F.col("close_price"))).alias("_first_c"),
-            F.max(F.when(F.col("_pos") == F.col("_cnt"), F.col("close_price"))).alias("_last_c")]
-    if with_context:
+            F.max(F.when(F.col("_pos") == F.col("_cnt"), F.col("close_price"))).alias("_last_c"),
+            F.array_sort(F.collect_list(tail)).alias("_tail")]
+    if with_returns:
         ret = _units(daily_return(F.col("close_price"), F.col("_lagc")), 4)
-        tail = F.when(F.col("_pos") > F.col("_cnt") - LOOKBACK,
-                      F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"),
-                               F.col("volume").alias("v")))
-        aggs += [F.coalesce(F.sum(ret), F.lit(0)).alias("_in_rs"),
-                 F.count(ret).alias("_in_rn"),
-                 F.array_sort(F.collect_list(tail)).alias("_tail")]
+        aggs += [F.coalesce(F.sum(ret), F.lit(0)).alias("_in_rs"), F.count(ret).alias("_in_rn")]
     return x.groupBy(key, "_chunk").agg(*aggs)
 
 
-def chunk_context(stats: DataFrame, key: str, with_context: bool) -> DataFrame:
-    """Per chunk: start offset, previous chunk's last close and, for averages, the return
-    prefix (sum in 1e-4 units / count before the chunk) and the last LOOKBACK rows before it."""
+def chunk_context(stats: DataFrame, key: str, lookback: int, with_returns: bool) -> DataFrame:
+    """Per chunk: start offset, the last ``lookback`` rows before the chunk and, for averages,
+    the return prefix (sum in 1e-4 units and count of the returns before the chunk)."""
     by_chunk = Window.partitionBy(key).orderBy("_chunk")
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    s = stats.withColumns({
-        "_start": F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"),
-        "_prev_c": F.lag("_last_c").over(by_chunk),
-    })
-    if not with_context:
-        return s.drop("_n", "_first_c", "_last_c")
-    first_r = _units(daily_return(F.col("_first_c"), F.col("_prev_c")), 4)
-    s = s.withColumns({
-        "_cs": (F.col("_in_rs") + F.coalesce(first_r, F.lit(0))).cast("decimal(38,0)"),
-        "_cn": F.col("_in_rn") + F.when(first_r.isNotNull(), 1).otherwise(0),
-    })
+    s = stats.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"))
     by_start = Window.partitionBy(key).orderBy("_start")
-    near = F.flatten(F.collect_list("_tail").over(by_start.rangeBetween(-LOOKBACK, -1)))
+    near = F.flatten(F.collect_list("_tail").over(by_start.rangeBetween(-lookback, -1)))
     straddle = F.last("_tail").over(
-        by_start.rangeBetween(Window.unboundedPreceding, -(LOOKBACK + 1)))
+        by_start.rangeBetween(Window.unboundedPreceding, -(lookback + 1)))
     none = F.filter(near, lambda r: F.lit(False))   # empty array of the element type
     ctx = F.concat(F.coalesce(straddle, none), near)
-    return s.select(
-        key, "_chunk", "_start", "_prev_c",
-        F.slice(ctx, F.greatest(F.size(ctx) - LOOKBACK + 1, F.lit(1)), LOOKBACK).alias("_ctx"),
-        F.coalesce(F.sum("_cs").over(before), F.lit(0).cast("decimal(38,0)")).alias("_ps"),
-        F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_pn"))
+    cols = [key, "_chunk", "_start",
+            F.slice(ctx, F.greatest(F.size(ctx) - lookback + 1, F.lit(1)), lookback).alias("_ctx")]
+    if with_returns:
+        first_r = _units(daily_return(F.col("_first_c"), F.lag("_last_c").over(by_chunk)), 4)
+        s = s.withColumns({
+            "_cs": (F.col("_in_rs") + F.coalesce(first_r, F.lit(0))).cast("decimal(38,0)"),
+            "_cn": F.col("_in_rn") + F.when(first_r.isNotNull(), 1).otherwise(0),
+        })
+        cols += [F.coalesce(F.sum("_cs").over(before), F.lit(0).cast("decimal(38,0)")).alias("_ps"),
+                 F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_pn")]
+    return s.select(*cols)
 
 
 # --------------------------------------------------------------------------------------------
@@ -156,11 +151,13 @@ def _dec(units: Column, scale: int) -> Column:
         f"decimal({scale},{scale})")
 
 
-def context_rows(ctx: DataFrame, key: str, order: str) -> DataFrame:
-    """The look-back rows of every chunk as narrow rows of that chunk (``_own`` = false)."""
-    x = ctx.select(key, "_chunk", F.explode("_ctx").alias("_x"))
-    return x.select(key, "_chunk", F.col("_x.d").alias(order), F.col("_x.c").alias("close_price"),
-                    F.col("_x.v").alias("volume"), F.lit(False).alias("_own"))
+def context_rows(ctx: DataFrame, key: str, order: str, side: list[str]) -> DataFrame:
+    """The look-back rows of every chunk as narrow rows of that chunk (``_own`` = false); they
+    also carry the chunk's side values (start offset, return prefix)."""
+    x = ctx.select(key, "_chunk", *side, F.explode("_ctx").alias("_x"))
+    return x.select(key, "_chunk", *side, F.col("_x.d").alias(order),
+                    F.col("_x.c").alias("close_price"), F.col("_x.v").alias("volume"),
+                    F.lit(False).alias("_own"))
 
 
 def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
@@ -169,46 +166,50 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     """Add the per-ticker series columns: sequence, previous close, returns, intraday range and,
     with ``averages``, the moving averages, volume averages, cumulative mean return and signal.
 
-    For averages, each chunk's look-back rows (from the side table) are added in front of the
-    chunk's own rows, so every frame is an ordinary in-partition frame.  Moving sums are
-    differences of running sums (``R(p) - R(p - n)``, one ``lag`` each): the cost per row does
-    not grow with the frame width.  Sums are exact integer units (``price_scale`` decimals for
-    prices, 2 for cents); only the final division per average is decimal, rounding half up like
-    the reference's ``round(avg(..), 4)``."""
+    Each chunk gets its look-back rows (the previous row, or the previous ``LOOKBACK`` rows for
+    averages) from the side table, unioned in front of its own rows; so every frame is an
+    ordinary in-partition frame, and ONE exchange on (key, chunk) feeds the whole pass.  The
+    context rows also carry the chunk's start offset and return prefix (a chunk without context
+    rows is the first of its key, where both are zero).  Moving sums are differences of running
+    sums (``R(p) - R(p - n)``, one ``lag`` each), so the cost per row does not grow with the frame
+    width.  Sums are exact integer units (``price_scale`` decimals for prices, 2 for cents); only
+    the final division per average is decimal, rounding half up like ``round(avg(..), 4)``."""
     base = df.drop(*[c for c in DERIVED if c in df.columns])
-    ctx = chunk_context(chunk_stats(base, key, order, chunk_days, averages), key, averages)
+    lookback = LOOKBACK if averages else 1
+    side = ["_start", "_ps", "_pn"] if averages else ["_start"]
+    ctx = chunk_context(chunk_stats(base, key, order, chunk_days, lookback, averages), key,
+                        lookback, averages)
     data = base.withColumns({"_chunk": _chunk(order, chunk_days), "_own": F.lit(True)})
-    if averages:
-        data = data.unionByName(context_rows(ctx, key, order), allowMissingColumns=True)
-        side = ctx.select(key, "_chunk", "_start", "_prev_c", F.size("_ctx").alias("_nctx"),
-                          "_ps", "_pn")
-    else:
-        side = ctx.withColumn("_nctx", F.lit(0))
-    d = data.join(side, [key, "_chunk"], "inner")
-    w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
-    d = d.withColumns({"_pos": F.row_number().over(w) - F.col("_nctx"),
-                       "_lag": F.lag("close_price").over(w)})
+    d = data.unionByName(context_rows(ctx, key, order, side), allowMissingColumns=True)
+    part = Window.partitionBy(key, "_chunk")
+    w = part.orderBy(order, "close_price", "volume")
+    own = F.col("_own")
+    d = d.withColumns({
+        "_nctx": F.sum(F.when(own, 0).otherwise(1)).over(part),
+        "_start": F.coalesce(F.max("_start").over(part), F.lit(0)),
+        "_pos": F.row_number().over(w),
+        "prev_close_price": F.lag("close_price").over(w),
+    })
+    d = d.withColumn(SEQ, (F.col("_start") + F.col("_pos") - F.col("_nctx")).cast("int"))
     d = d.withColumns({
-        SEQ: (F.col("_start") + F.col("_pos")).cast("int"),
-        "prev_close_price": F.when(F.col("_pos") == 1, F.col("_prev_c")).otherwise(F.col("_lag")),
-    }).withColumns({
         "daily_return_pct": daily_return(F.col("close_price"), F.col("prev_close_price")),
         "intraday_range": F.round(F.col("high_price") - F.col("low_price"), 4),
         "intraday_range_pct": F.round(
             safe_divide(F.col("high_price") - F.col("low_price"), F.col("close_price")) * 100, 4),
     })
-    helpers = ["_chunk", "_own", "_start", "_prev_c", "_nctx", "_pos", "_lag"]
+    helpers = ["_chunk", "_own", "_start", "_nctx", "_pos"]
     if not averages:
-        return _ordered(d.drop(*helpers), RETURNS_COLUMNS)
+        return _ordered(d.filter(own).drop(*helpers), RETURNS_COLUMNS)
 
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def one_if(c: Column) -> Column:
         return F.when(c, 1).otherwise(0)
 
-    own = F.col("_own")
     ret_units = _units(F.col("daily_return_pct"), 4)
     running = {
+        "_ps": F.coalesce(F.max("_ps").over(part), F.lit(0).cast("decimal(38,0)")),
+        "_pn": F.coalesce(F.max("_pn").over(part), F.lit(0)),
         "_Rc": F.sum(F.coalesce(_units(F.col("close_price"), price_scale), F.lit(0))).over(run),
         "_Rcn": F.sum(one_if(F.col("close_price").isNotNull())).over(run),
         "_Rv": F.sum(F.coalesce(F.col("volume"), F.lit(0))).over(run),
@@ -234,7 +235,7 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
         _dec(F.col("_ps") + F.col("_Rr"), 4), F.col("_pn") + F.col("_Rrn"), 4, 4)
     d = d.withColumns(cols).filter(own)
     d = d.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
-    return _ordered(d.drop(*helpers, *running, "_ps", "_pn"), MOVING_AVERAGE_COLUMNS)
+    return _ordered(d.drop(*helpers, *running), MOVING_AVERAGE_COLUMNS)
 
 
 # --------------------------------------------------------------------------------------------
