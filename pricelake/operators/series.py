@@ -121,10 +121,12 @@ def chunk_context(stats: DataFrame, key: str, lookback: int, with_returns: bool)
     near = F.flatten(F.collect_list("_tail").over(by_start.rangeBetween(-lookback, -1)))
     straddle = F.last("_tail").over(
         by_start.rangeBetween(Window.unboundedPreceding, -(lookback + 1)))
-    none = F.filter(near, lambda r: F.lit(False))   # empty array of the element type
-    ctx = F.concat(F.coalesce(straddle, none), near)
+    s = s.withColumns({"_near": near, "_straddle": straddle})
+    none = F.filter("_near", lambda r: F.lit(False))   # empty array of the element type
+    s = s.withColumn("_all", F.concat(F.coalesce("_straddle", none), "_near"))
     cols = [key, "_chunk", "_start",
-            F.slice(ctx, F.greatest(F.size(ctx) - lookback + 1, F.lit(1)), lookback).alias("_ctx")]
+            F.slice("_all", F.greatest(F.size("_all") - lookback + 1, F.lit(1)),
+                    lookback).alias("_ctx")]
     if with_returns:
         first_r = _units(daily_return(F.col("_first_c"), F.lag("_last_c").over(by_chunk)), 4)
         s = s.withColumns({
@@ -181,47 +183,48 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
                         lookback, averages)
     data = base.withColumns({"_chunk": _chunk(order, chunk_days), "_own": F.lit(True)})
     d = data.unionByName(context_rows(ctx, key, order, side), allowMissingColumns=True)
-    part = Window.partitionBy(key, "_chunk")
-    w = part.orderBy(order, "close_price", "volume")
+    w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = F.col("_own")
-    d = d.withColumns({
-        "_nctx": F.sum(F.when(own, 0).otherwise(1)).over(part),
-        "_start": F.coalesce(F.max("_start").over(part), F.lit(0)),
-        "_pos": F.row_number().over(w),
+
+    def one_if(c: Column) -> Column:
+        return F.when(c, 1).otherwise(0)
+
+    # Window operator 1 (no dependency on other window results).  Context rows sort first
+    # (earlier chunks hold earlier dates), so their side values are the first non-null values
+    # of the running frame; the sequence counts own rows only.
+    first = {
+        "_start": F.coalesce(F.first("_start", ignorenulls=True).over(run), F.lit(0)),
+        "_pos": F.sum(one_if(own)).over(run),
         "prev_close_price": F.lag("close_price").over(w),
-    })
-    d = d.withColumn(SEQ, (F.col("_start") + F.col("_pos") - F.col("_nctx")).cast("int"))
+    }
+    if averages:
+        first.update({
+            "_ps": F.coalesce(F.first("_ps", ignorenulls=True).over(run),
+                              F.lit(0).cast("decimal(38,0)")),
+            "_pn": F.coalesce(F.first("_pn", ignorenulls=True).over(run), F.lit(0)),
+            "_Rc": F.sum(F.coalesce(_units(F.col("close_price"), price_scale), F.lit(0))).over(run),
+            "_Rcn": F.sum(one_if(F.col("close_price").isNotNull())).over(run),
+            "_Rv": F.sum(F.coalesce(F.col("volume"), F.lit(0))).over(run),
+            "_Rvn": F.sum(one_if(F.col("volume").isNotNull())).over(run),
+        })
+    d = d.withColumns(first)
     d = d.withColumns({
+        SEQ: (F.col("_start") + F.col("_pos")).cast("int"),
         "daily_return_pct": daily_return(F.col("close_price"), F.col("prev_close_price")),
         "intraday_range": F.round(F.col("high_price") - F.col("low_price"), 4),
         "intraday_range_pct": F.round(
             safe_divide(F.col("high_price") - F.col("low_price"), F.col("close_price")) * 100, 4),
     })
-    helpers = ["_chunk", "_own", "_start", "_nctx", "_pos"]
+    helpers = ["_chunk", "_own", "_start", "_pos"]
     if not averages:
         return _ordered(d.filter(own).drop(*helpers), RETURNS_COLUMNS)
 
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def one_if(c: Column) -> Column:
-        return F.when(c, 1).otherwise(0)
-
-    ret_units = _units(F.col("daily_return_pct"), 4)
-    running = {
-        "_ps": F.coalesce(F.max("_ps").over(part), F.lit(0).cast("decimal(38,0)")),
-        "_pn": F.coalesce(F.max("_pn").over(part), F.lit(0)),
-        "_Rc": F.sum(F.coalesce(_units(F.col("close_price"), price_scale), F.lit(0))).over(run),
-        "_Rcn": F.sum(one_if(F.col("close_price").isNotNull())).over(run),
-        "_Rv": F.sum(F.coalesce(F.col("volume"), F.lit(0))).over(run),
-        "_Rvn": F.sum(one_if(F.col("volume").isNotNull())).over(run),
-        "_Rr": F.sum(F.when(own, F.coalesce(ret_units, F.lit(0))).otherwise(0)).over(run),
-        "_Rrn": F.sum(one_if(own & ret_units.isNotNull())).over(run),
-    }
-    d = d.withColumns(running)
-
+    # Window operator 2: moving sums as R(p) - R(p - n), and the running return sum.
     def moving(r: str, n: int) -> Column:
         return F.col(r) - F.coalesce(F.lag(r, n).over(w), F.lit(0))
 
+    ret_units = _units(F.col("daily_return_pct"), 4)
     cols = {}
     for n in PRICE_WINDOWS:
         cols[f"sma_{n}d"] = exact_ratio(_dec(moving("_Rc", n), price_scale), moving("_Rcn", n),
@@ -231,11 +234,14 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
         cols[f"vol_ma_{n}d"] = F.round(moving("_Rv", n).cast("double")
                                        / F.nullif(moving("_Rvn", n), F.lit(0)).cast("double"),
                                        0).cast("bigint")
+    run_rs = F.sum(F.when(own, F.coalesce(ret_units, F.lit(0))).otherwise(0)).over(run)
+    run_rn = F.sum(one_if(own & ret_units.isNotNull())).over(run)
     cols["cumulative_avg_return_pct"] = exact_ratio(
-        _dec(F.col("_ps") + F.col("_Rr"), 4), F.col("_pn") + F.col("_Rrn"), 4, 4)
+        _dec(F.col("_ps") + run_rs, 4), F.col("_pn") + run_rn, 4, 4)
     d = d.withColumns(cols).filter(own)
     d = d.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
-    return _ordered(d.drop(*helpers, *running), MOVING_AVERAGE_COLUMNS)
+    return _ordered(d.drop(*helpers, "_ps", "_pn", "_Rc", "_Rcn", "_Rv", "_Rvn"),
+                    MOVING_AVERAGE_COLUMNS)
 
 
 # --------------------------------------------------------------------------------------------

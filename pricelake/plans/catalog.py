@@ -172,7 +172,8 @@ def _initial_target(spark, sf):
     clustered, and read back - the state an incremental run starts from)."""
     def build(path):
         early = stg_p(spark, sf).filter(F.col("ingested_at") <= F.lit(CUT).cast("timestamp_ntz"))
-        files.write_clustered(marts.fct_prices(early, stg_c(spark, sf)), path, marts.FCT_CLUSTER)
+        files.write_clustered(marts.fct_prices(early, stg_c(spark, sf)), path, marts.FCT_CLUSTER,
+                              materialize=True)
     return Warehouse.of(spark, sf).derived("fct_initial_cut", build)
 
 

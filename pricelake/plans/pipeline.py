@@ -92,7 +92,7 @@ def build(spark: SparkSession, root: str, full_refresh: bool = True, as_of=None,
             df = (marts.dim_companies(stg_c) if target is None
                   else incremental.dim_incremental(stg_c, target))
         path = _version_path(root, name, (vs[-1] + 1) if vs else 1)
-        files.write_clustered(df, path, keys)
+        files.write_clustered(df, path, keys, materialize=(name == "fct_stock_prices"))
         out[name] = path
     return out
 

@@ -125,5 +125,13 @@ def clustered(df: DataFrame, keys: list[str], partitions: int | None = None) ->
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str], partitions: int | None = None,
-                    mode: str = "overwrite") -> None:
+                    mode: str = "overwrite", materialize: bool = False) -> None:
+    """Write ``df`` range-partitioned and sorted by ``keys``.
+
+    Range partitioning samples its input to find the boundaries, which runs the input plan once
+    more.  For an expensive plan (``materialize=True``) the input is first checkpointed to the
+    shared checkpoint folder, so the sample and the write read stored rows instead of running
+    the pipeline twice; this also cuts the lineage a lost executor would otherwise replay."""
+    if materialize:
+        df = df.checkpoint(eager=True)
     clustered(df, keys, partitions).write.mode(mode).parquet(path)
