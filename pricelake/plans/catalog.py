@@ -401,11 +401,13 @@ def _summary_sql() -> str:
                         " or sma_90d is null)",
                 }[rule]
             parts.append(f"select '{model}' as model, '{rule}' as rule, '{col}' as column_name,"
-                         f" count_if({cond}) as failures from {src}")
+                         f" cast(count_if({cond}) as bigint) as failures from {src}")
         for col in quality.MODEL_TESTS[model]["unique"]:
-            parts.append(f"select '{model}', 'unique', '{col}', count(*) from (select {col} from"
+            parts.append(f"select '{model}', 'unique', '{col}', cast(count(*) as bigint) from"
+                         f" (select {col} from"
                          f" {src} where {col} is not null group by {col} having count(*) > 1) u")
-    parts.append("select 'fct_stock_prices', 'fct_dim_referential_integrity', 'ticker', count(*)"
+    parts.append("select 'fct_stock_prices', 'fct_dim_referential_integrity', 'ticker',"
+                 " cast(count(*) as bigint)"
                  " from (select distinct f.ticker from fct_prices f left join dim_companies d"
                  " on f.ticker = d.ticker where d.ticker is null) r")
     return O.with_ctes(" union all ".join(parts), "fct_prices", "dim_companies")
@@ -541,7 +543,8 @@ def q_returns_heatmap(spark, sf):
 
 @register("sector_performance", O.with_ctes(
     f"select sector, {_exact4_agg('daily_return_pct')} as avg_daily_return_pct,"
-    " count(distinct ticker) as tickers, sum(volume) as total_volume, count(*) as trading_days"
+    " count(distinct ticker) as tickers, cast(sum(volume) as bigint) as total_volume,"
+    " count(*) as trading_days"
     " from fct_prices group by sector", "fct_prices"))
 def q_sector_performance(spark, sf):
     return readmodels.sector_performance(fct_mart(spark, sf))

@@ -133,5 +133,7 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], partitions: int |
     shared checkpoint folder, so the sample and the write read stored rows instead of running
     the pipeline twice; this also cuts the lineage a lost executor would otherwise replay."""
     if materialize:
+        from pricelake.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     clustered(df, keys, partitions).write.mode(mode).parquet(path)

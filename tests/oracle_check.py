@@ -26,13 +26,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False     # compare floats bit-for-bit instead of to 9 decimals
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if hasattr(v, "isoformat") and not isinstance(v, str):
         try:
             return pd.Timestamp(v).isoformat()
@@ -89,6 +92,10 @@ def main(argv):
     from pricelake.plans import catalog
     from pricelake.session import get_spark
 
+    global STRICT
+    if "--strict" in argv:
+        STRICT = True
+        argv = [a for a in argv if a != "--strict"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(catalog.QUERIES)
     spark = get_spark("local[8]", shuffle_partitions=8)
