@@ -40,15 +40,19 @@ def new_rows(source: DataFrame, target: DataFrame | None, col: str = WATERMARK)
     return source.filter(newer_than(col, watermark(target, col)))
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str]) -> DataFrame:
+def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str],
+           batch_keys: DataFrame | None = None) -> DataFrame:
     """Merge ``batch`` into ``target`` on ``key``: replace matches, insert new, keep the rest.
 
     The anti-join reads only the batch keys; AQE broadcasts them when the batch is small (the
-    usual daily increment) and shuffles otherwise."""
+    usual daily increment) and shuffles otherwise.  When the batch is an expensive plan, pass
+    ``batch_keys``: a cheap DataFrame holding exactly the batch's keys, so the batch plan is not
+    run a second time just to produce its keys."""
     if target is None:
         return batch
     keys = [key] if isinstance(key, str) else list(key)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    k = (batch if batch_keys is None else batch_keys).select(*keys)
+    kept = target.join(k, keys, "left_anti")
     return batch.unionByName(kept.select(*batch.columns))
 
 
@@ -80,8 +84,14 @@ def fct_increment(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
 
 def fct_incremental(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
                     **series_opts) -> DataFrame:
-    """Target after an incremental run: ``upsert(target, fct_increment(...))``."""
-    return upsert(target, fct_increment(stg_p, stg_c, target, **series_opts), FCT_KEY)
+    """Target after an incremental run: ``upsert(target, fct_increment(...))``.  The fact batch
+    holds one row per staged row newer than the watermark, so those staged rows' keys (a narrow
+    scan) are the batch keys for the anti-join."""
+    batch = fct_increment(stg_p, stg_c, target, **series_opts)
+    if target is None:
+        return batch
+    new_keys = stg_p.filter(newer_than(WATERMARK, watermark(target))).select(FCT_KEY)
+    return upsert(target, batch, FCT_KEY, batch_keys=new_keys)
 
 
 def dim_incremental(stg_c: DataFrame, target: DataFrame | None) -> DataFrame:

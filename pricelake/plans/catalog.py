@@ -167,7 +167,7 @@ CUT = "2000-01-01 00:00:00"
 OVERLAP_FROM = "1999-07-01 00:00:00"
 
 
-def _initial_target(spark, sf):
+def initial_target(spark, sf):
     """Fact table as first published from the rows loaded up to CUT (written once per session,
     clustered, and read back - the state an incremental run starts from)."""
     def build(path):
@@ -181,13 +181,13 @@ def _initial_target(spark, sf):
     "select * from fct_prices where ingested_at > (select max(ingested_at) from stg_prices"
     f" where ingested_at <= timestamp '{CUT}')", "fct_prices", "stg_prices"))
 def q_hwm_filter(spark, sf):
-    return _no_audit(incremental.new_rows(fct(spark, sf), _initial_target(spark, sf)))
+    return _no_audit(incremental.new_rows(fct(spark, sf), initial_target(spark, sf)))
 
 
 @register("fct_incremental", O.with_ctes("select * from fct_prices", "fct_prices"))
 def q_fct_incremental(spark, sf):
     out = incremental.fct_incremental(stg_p(spark, sf), stg_c(spark, sf),
-                                      _initial_target(spark, sf))
+                                      initial_target(spark, sf))
     return _no_audit(out)
 
 
@@ -195,7 +195,7 @@ def q_fct_incremental(spark, sf):
     f"select *, ingested_at > timestamp '{OVERLAP_FROM}' as from_batch from fct_prices",
     "fct_prices"))
 def q_upsert(spark, sf):
-    target = _initial_target(spark, sf).withColumn("from_batch", F.lit(False))
+    target = initial_target(spark, sf).withColumn("from_batch", F.lit(False))
     batch = (fct(spark, sf).filter(F.col("ingested_at") > F.lit(OVERLAP_FROM).cast("timestamp_ntz"))
              .withColumn("from_batch", F.lit(True)))
     return _no_audit(incremental.upsert(target, batch, marts.FCT_KEY))
