@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pricelake.plans import catalog  # noqa: E402
-from pricelake.plans.pipeline import RAW_TABLES, Warehouse  # noqa: E402
+from pricelake.plans.warehouse import RAW_TABLES, Warehouse  # noqa: E402
 from pricelake.session import get_spark  # noqa: E402
 
 HEADLINE = [

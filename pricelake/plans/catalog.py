@@ -22,8 +22,8 @@ from pricelake.operators import (
     staging,
 )
 from pricelake.plans import oracle_sql as O
-from pricelake.plans import pipeline
-from pricelake.plans.pipeline import Warehouse
+from pricelake.plans import warehouse
+from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
 from pricelake.sources import files
@@ -50,7 +50,7 @@ def _no_audit(df: DataFrame) -> DataFrame:
 # Shared builders
 # --------------------------------------------------------------------------------------------
 def raw(spark, sf, name):
-    """A RAW table, landed once per session from the driver tables (see plans.pipeline)."""
+    """A RAW table, landed once per session from the driver tables (see plans.warehouse)."""
     return Warehouse.of(spark, sf).raw(name)
 
 
@@ -487,7 +487,7 @@ def q_layout_report(spark, sf):
     # Clustering depth of the published (range-partitioned, sorted) fact table's files.
     w = Warehouse.of(spark, sf)
     w.publish()
-    path = pipeline.current_path(spark, w.root, "fct_stock_prices")
+    path = warehouse.current_path(spark, w.root, "fct_stock_prices")
     return joblog.layout_report(spark, path, marts.FCT_CLUSTER)
 
 
@@ -501,9 +501,9 @@ def q_partition_layout(spark, sf):
 def q_table_inventory(spark, sf):
     w = Warehouse.of(spark, sf)
     w.publish()
-    for name in pipeline.RAW_TABLES:
+    for name in warehouse.RAW_TABLES:
         w.raw(name)
-    return joblog.table_inventory(spark, pipeline.inventory(spark, w.root))
+    return joblog.table_inventory(spark, warehouse.inventory(spark, w.root))
 
 
 # --------------------------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""The pipeline as the reference runs it: load RAW, build the marts, test them.
+"""The build as the reference runs it: load RAW, build the marts, test them.
 
 * ``land_raw``   RAW layer: tables derived from the driver's tables, written once as parquet
                  (the loaders' full refresh: truncate and reload).

@@ -131,7 +131,7 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], partitions: int |
     Range partitioning samples its input to find the boundaries, which runs the input plan once
     more.  For an expensive plan (``materialize=True``) the input is first checkpointed to the
     shared checkpoint folder, so the sample and the write read stored rows instead of running
-    the pipeline twice; this also cuts the lineage a lost executor would otherwise replay."""
+    the whole job twice; this also cuts the lineage a lost executor would otherwise replay."""
     if materialize:
         from pricelake.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)

@@ -47,27 +47,27 @@ def test_duplicate_keys(spark):
     assert [r["k"] for r in incremental.duplicate_keys(b, "k").collect()] == ["k"]
 
 
-def test_pipeline_full_then_incremental_versions(spark):
+def test_build_full_then_incremental_versions(spark):
     """land RAW (early rows) -> full build v=1 -> land all rows -> incremental build v=2;
     v=2 equals a full rebuild, v=1 is left as it was, and the quality summary runs."""
-    from pricelake.plans import pipeline
+    from pricelake.plans import warehouse
     from pricelake.session import scratch_path
     from pricelake.sources import driver_tables as D
     from pricelake.sources import files
 
     sf = "/root/testdata/sf0.001"
-    root = scratch_path(spark, "pipeline-test")
-    raw_path = files.layer_path(root, pipeline.RAW, "raw_stock_prices")
+    root = scratch_path(spark, "build-test")
+    raw_path = files.layer_path(root, warehouse.RAW, "raw_stock_prices")
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    pipeline.land_raw(spark, sf, root, ["raw_company_metadata"])
+    warehouse.land_raw(spark, sf, root, ["raw_company_metadata"])
     files.full_refresh(D.raw_prices(spark, sf).filter(F.col("ingested_at") <= cut), raw_path)
-    v1 = pipeline.build(spark, root, full_refresh=True)
+    v1 = warehouse.build(spark, root, full_refresh=True)
     n1 = spark.read.parquet(v1["fct_stock_prices"]).count()
     files.full_refresh(D.raw_prices(spark, sf), raw_path)          # the next daily load
-    v2 = pipeline.build(spark, root, full_refresh=False)
+    v2 = warehouse.build(spark, root, full_refresh=False)
     assert v2["fct_stock_prices"].endswith("v=2") and v1["fct_stock_prices"].endswith("v=1")
-    inc = pipeline.current(spark, root, "fct_stock_prices").drop("dbt_updated_at")
+    inc = warehouse.current(spark, root, "fct_stock_prices").drop("dbt_updated_at")
     full = marts.fct_prices(catalog.stg_p(spark, sf), catalog.stg_c(spark, sf)).drop("dbt_updated_at")
     assert inc.count() == full.count() > n1 == spark.read.parquet(v1["fct_stock_prices"]).count()
     assert inc.exceptAll(full).count() == 0
-    assert pipeline.run_tests(spark, root, as_of="2024-01-31").count() > 0
+    assert warehouse.run_tests(spark, root, as_of="2024-01-31").count() > 0
