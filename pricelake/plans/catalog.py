@@ -612,3 +612,23 @@ def q_stream_incremental(spark, sf):
     prices.filter(F.col("ingested_at") > c).write.parquet(f"{raw_dir}/arrival=2")
     out = file_stream.run_available(spark, raw_dir, companies, work)    # next run: new files
     return _no_audit(out)
+
+
+# --------------------------------------------------------------------------------------------
+# Dimension, incremental (watermark + upsert on company_id)
+# --------------------------------------------------------------------------------------------
+DIM_CUT = "2024-01-15 00:00:00"
+
+
+@register("dim_incremental", O.with_ctes(
+    "select * from dim_companies", "dim_companies",
+    extra={"raw_companies": (O.CTE["raw_companies"], ["company_base"])}))
+def q_dim_incremental(spark, sf):
+    """First load: the company records loaded up to DIM_CUT; then an incremental run over all
+    records.  Later records that lose the de-duplication (lower or null market cap) never
+    replace the published row, so the result equals a full rebuild."""
+    companies = raw(spark, sf, "raw_company_metadata")
+    first = staging.stg_companies(
+        companies.filter(F.col("ingested_at") <= F.lit(DIM_CUT).cast("timestamp_ntz")))
+    target = marts.dim_companies(first)
+    return _no_audit(incremental.dim_incremental(stg_c(spark, sf), target))
