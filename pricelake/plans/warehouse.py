@@ -16,6 +16,7 @@ models and dashboard read warehouse tables, instead of re-deriving them per quer
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,6 +107,7 @@ class Warehouse:
     """RAW tables and published marts of one input folder, laid out once per session."""
 
     _registry: dict[tuple[str, str], Warehouse] = {}
+    _lock = threading.RLock()     # queries may be run from several threads on one session
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -116,29 +118,33 @@ class Warehouse:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
         key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-        if key not in cls._registry:
-            cls._registry[key] = cls(spark, sf_dir)
-        return cls._registry[key]
+        with cls._lock:
+            if key not in cls._registry:
+                cls._registry[key] = cls(spark, sf_dir)
+            return cls._registry[key]
 
     def raw(self, name: str) -> DataFrame:
-        if name not in self._raw:
-            self._raw.update(land_raw(self.spark, self.sf_dir, self.root, [name]))
-        return self.spark.read.parquet(self._raw[name])
+        with self._lock:
+            if name not in self._raw:
+                self._raw.update(land_raw(self.spark, self.sf_dir, self.root, [name]))
+            return self.spark.read.parquet(self._raw[name])
 
     def derived(self, name: str, write) -> DataFrame:
         """A table written once per session by ``write(path)`` and read back."""
         path = files.layer_path(self.root, "DERIVED", name)
-        if name not in self._raw:
-            write(path)
-            self._raw[name] = path
+        with self._lock:
+            if name not in self._raw:
+                write(path)
+                self._raw[name] = path
         return self.spark.read.parquet(path)
 
     def publish(self) -> None:
-        if not self._published:
-            self.raw("raw_stock_prices")
-            self.raw("raw_company_metadata")
-            build(self.spark, self.root, full_refresh=True)
-            self._published = True
+        with self._lock:
+            if not self._published:
+                self.raw("raw_stock_prices")
+                self.raw("raw_company_metadata")
+                build(self.spark, self.root, full_refresh=True)
+                self._published = True
 
     def mart(self, name: str) -> DataFrame:
         self.publish()
