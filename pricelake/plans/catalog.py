@@ -25,7 +25,6 @@ from pricelake.plans import oracle_sql as O
 from pricelake.plans import warehouse
 from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
-from pricelake.sources import driver_tables as D
 from pricelake.sources import files
 from pricelake.streaming import file_stream
 
