@@ -631,3 +631,23 @@ def q_dim_incremental(spark, sf):
         companies.filter(F.col("ingested_at") <= F.lit(DIM_CUT).cast("timestamp_ntz")))
     target = marts.dim_companies(first)
     return _no_audit(incremental.dim_incremental(stg_c(spark, sf), target))
+
+
+@register("table_row_counts", O.with_ctes(
+    " union all ".join(
+        f"select '{layer}' as table_schema, '{name}' as table_name, count(*) as row_count"
+        f" from {cte}"
+        for layer, name, cte in [
+            ("RAW", "raw_stock_prices", "raw_prices"),
+            ("RAW", "raw_company_metadata", "raw_companies"),
+            ("RAW", "raw_event_prices", "event_prices"),
+            ("RAW", "query_history", "job_log"),
+            ("RAW", "warehouse_metering_history", "metering"),
+            ("MARTS", "fct_stock_prices", "fct_prices"),
+            ("MARTS", "dim_companies", "dim_companies")]),
+    "raw_prices", "raw_companies", "event_prices", "job_log", "metering", "fct_prices",
+    "dim_companies"))
+def q_table_row_counts(spark, sf):
+    """Row counts of every landed and published table, read from the written files (metadata
+    column only) - the checkable part of the table inventory."""
+    return q_table_inventory(spark, sf).select("table_schema", "table_name", "row_count")

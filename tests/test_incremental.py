@@ -71,3 +71,18 @@ def test_build_full_then_incremental_versions(spark):
     assert inc.count() == full.count() > n1 == spark.read.parquet(v1["fct_stock_prices"]).count()
     assert inc.exceptAll(full).count() == 0
     assert warehouse.run_tests(spark, root, as_of="2024-01-31").count() > 0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.dictionaries(st.integers(0, 30), st.integers(0, 9), max_size=12),
+       st.dictionaries(st.integers(0, 30), st.integers(10, 19), max_size=12))
+def test_upsert_matches_dict_merge(spark, target, batch):
+    """upsert == {**target, **batch} for any key sets (replace, insert, keep; never delete)."""
+    t = spark.createDataFrame(list(target.items()), "k int, v int")
+    b = spark.createDataFrame(list(batch.items()), "k int, v int")
+    got = {r["k"]: r["v"] for r in incremental.upsert(t, b, "k").collect()}
+    assert got == {**target, **batch}

@@ -92,3 +92,18 @@ def test_stamp(spark):
     out = staging.stamp(df, "MSFT", "2024-01-02 00:00:00")
     r = out.collect()[0]
     assert out.columns == ["close", "ticker", "ingested_at"] and r["ticker"] == "MSFT"
+
+
+def test_json_missing_fields_become_null(spark):
+    path = scratch_path(spark, "json-test")
+    spark.createDataFrame([('{"TICKER": "aa", "COMPANY_NAME": "A", "MARKET_CAP": 164000.0}',),
+                           ('{"TICKER": "bb", "COMPANY_NAME": "B", "SECTOR": "oil & gas e&p",'
+                            ' "INGESTED_AT": "2024-01-02 00:00:00"}',)], "value string") \
+        .write.text(path)
+    raw = files.read_company_records(spark, path)
+    assert raw.columns == list(files.RAW_COMPANY_TYPES)
+    r = {x["ticker"]: x for x in raw.collect()}
+    assert r["aa"]["market_cap"] == 164000 and r["aa"]["sector"] is None
+    assert r["bb"]["market_cap"] is None and r["bb"]["ingested_at"] == dt.datetime(2024, 1, 2)
+    out = {x["ticker"]: x for x in staging.stg_companies(raw).collect()}
+    assert out["BB"]["sector"] == "Oil & Gas E&P" and out["AA"]["market_cap_category"] == "Micro Cap"
