@@ -9,7 +9,8 @@ from pricelake.sources import files
 
 FCT = ("ticker string, price_date date, trading_day_seq int, open_price double, "
        "close_price double, daily_return_pct double, volume bigint, sector string, "
-       "price_month date, vol_ma_7d bigint, vol_ma_30d bigint")
+       "price_month date, vol_ma_7d bigint, vol_ma_30d bigint, high_price double, "
+       "low_price double")
 
 
 def fct(spark):
@@ -22,7 +23,7 @@ def fct(spark):
             day = d0 + dt.timedelta(days=i)
             ret = None if prev is None else round((c - prev) / prev * 100, 4)
             rows.append((t, day, i + 1, c - 0.5, c, ret, 100 * (i + 1), "S" + t,
-                         day.replace(day=1), 0, 0))
+                         day.replace(day=1), 0, 0, c + 1.0, c - 1.0))
             prev = c
     return spark.createDataFrame(rows, FCT)
 
