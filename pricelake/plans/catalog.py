@@ -651,3 +651,11 @@ def q_table_row_counts(spark, sf):
     """Row counts of every landed and published table, read from the written files (metadata
     column only) - the checkable part of the table inventory."""
     return q_table_inventory(spark, sf).select("table_schema", "table_name", "row_count")
+
+
+@register("check_expected_universe", O.with_ctes(
+    "select ticker from (values " + ", ".join(f"('{t}')" for t in quality.EXPECTED_TICKERS)
+    + ") v(ticker) where ticker not in (select ticker from fct_prices)", "fct_prices"))
+def q_check_expected_universe(spark, sf):
+    """The fixed expected universe (an inline list) against the published fact table."""
+    return quality.check_expected(fct_mart(spark, sf), quality.EXPECTED_TICKERS)
