@@ -3,7 +3,8 @@
 Semantics kept from the reference's incremental marts:
 
 * watermark: only rows with ``ingested_at > max(target.ingested_at)`` are processed (strict, so
-  a row equal to the max or older is never loaded); an empty or absent target loads everything;
+  a row equal to the max or older is never loaded); an absent target loads everything, an empty
+  one every row that has a load time;
 * merge on a unique key: a batch row replaces the target row with the same key, new keys are
   inserted, target rows absent from the batch are kept; nothing is deleted.
 
@@ -30,8 +31,11 @@ def watermark(target: DataFrame, col: str = WATERMARK) -> Column:
 
 
 def newer_than(col: str, hwm: Column) -> Column:
-    """Row predicate of the incremental filter; a null watermark (empty target) passes all."""
-    return hwm.isNull() | (F.col(col) > hwm)
+    """Row predicate of the incremental filter: ``col > hwm``.  A null watermark (empty target)
+    passes every row that has a load time.  The subquery is referenced once, so each use of the
+    predicate plans a single scan of the target."""
+    c = F.col(col)
+    return c > F.coalesce(hwm, c - F.expr("INTERVAL 1 MICROSECOND"))
 
 
 def new_rows(source: DataFrame, target: DataFrame | None, col: str = WATERMARK) -> DataFrame:
