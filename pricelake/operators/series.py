@@ -37,7 +37,7 @@ from pricelake.functions.scalar import exact_ratio, safe_divide, sma_signal
 # Rows of history the widest bounded frame needs before the current row (90-row average).
 LOOKBACK = 89
 # Calendar days per chunk: at most this many rows per ticker per chunk.
-CHUNK_DAYS = 732
+CHUNK_DAYS = 1464
 PRICE_WINDOWS = (7, 30, 90)
 VOLUME_WINDOWS = (7, 30)
 
