@@ -70,32 +70,52 @@ def changed_tickers(stg_p: DataFrame, hwm: Column, col: str = WATERMARK) -> Data
     return stg_p.filter(newer_than(col, hwm)).select("ticker").distinct()
 
 
+def _backfill_from(stg_p: DataFrame, hwm: Column) -> DataFrame:
+    """Per ticker with new rows, the earliest new price date."""
+    return (stg_p.filter(newer_than(WATERMARK, hwm)).groupBy("ticker")
+            .agg(F.min("price_date").alias("_from")))
+
+
 def fct_increment(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
-                  **series_opts) -> DataFrame:
+                  backfill: bool = False, **series_opts) -> DataFrame:
     """The batch of an incremental fact run: fact rows newer than the target's watermark.
 
     Windows are recomputed only for tickers that have new rows (semi-join before the windows);
     the watermark filter is applied after them, where it must be, since history rows feed the
-    windows of the new ones."""
+    windows of the new ones.
+
+    ``backfill=True`` goes beyond the reference: when new rows are dated before rows already
+    published (a late back-fill), the batch also carries every recomputed row of that ticker on or
+    after its earliest new date - exactly the rows whose windows changed."""
     if target is None:
         scope, hwm = stg_p, None
     else:
         hwm = watermark(target)
         scope = stg_p.join(changed_tickers(stg_p, hwm), "ticker", "left_semi")
     fact = fct_select(attach_companies(series_metrics(scope, **series_opts), stg_c))
-    return fact if hwm is None else fact.filter(newer_than(WATERMARK, hwm))
+    if hwm is None:
+        return fact
+    if backfill:
+        return (fact.join(_backfill_from(stg_p, hwm), "ticker")
+                .filter(F.col("price_date") >= F.col("_from")).select(*fact.columns))
+    return fact.filter(newer_than(WATERMARK, hwm))
 
 
 def fct_incremental(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
-                    **series_opts) -> DataFrame:
+                    backfill: bool = False, **series_opts) -> DataFrame:
     """Target after an incremental run: ``upsert(target, fct_increment(...))``.  The fact batch
-    holds one row per staged row newer than the watermark, so those staged rows' keys (a narrow
-    scan) are the batch keys for the anti-join."""
-    batch = fct_increment(stg_p, stg_c, target, **series_opts)
+    holds one row per staged row it covers, so those staged rows' keys (a narrow scan) are the
+    batch keys for the anti-join."""
+    batch = fct_increment(stg_p, stg_c, target, backfill=backfill, **series_opts)
     if target is None:
         return batch
-    new_keys = stg_p.filter(newer_than(WATERMARK, watermark(target))).select(FCT_KEY)
-    return upsert(target, batch, FCT_KEY, batch_keys=new_keys)
+    hwm = watermark(target)
+    if backfill:
+        keys = (stg_p.join(_backfill_from(stg_p, hwm), "ticker")
+                .filter(F.col("price_date") >= F.col("_from")).select(FCT_KEY))
+    else:
+        keys = stg_p.filter(newer_than(WATERMARK, hwm)).select(FCT_KEY)
+    return upsert(target, batch, FCT_KEY, batch_keys=keys)
 
 
 def dim_incremental(stg_c: DataFrame, target: DataFrame | None) -> DataFrame:
