@@ -47,6 +47,27 @@ def land_raw(spark: SparkSession, sf_dir: str, root: str,
     return out
 
 
+def load_csv(spark: SparkSession, path: str, root: str, name: str = "raw_stock_prices",
+             types: dict[str, str] | None = None) -> dict[str, str]:
+    """The loaders' file path: CSV by header name -> typed RAW table (full refresh) and, like a
+    continue-on-error copy, the rows that do not cast kept aside in ``<name>_rejects``."""
+    good, rejects = files.split_rejects(files.read_raw_csv(spark, path),
+                                        types or files.RAW_PRICE_TYPES)
+    out = {name: files.layer_path(root, RAW, name),
+           f"{name}_rejects": files.layer_path(root, RAW, f"{name}_rejects")}
+    files.full_refresh(good, out[name])
+    files.full_refresh(rejects, out[f"{name}_rejects"])
+    return out
+
+
+def load_company_json(spark: SparkSession, path: str, root: str,
+                      name: str = "raw_company_metadata") -> str:
+    """Company records (JSON lines) -> RAW table (full refresh)."""
+    out = files.layer_path(root, RAW, name)
+    files.full_refresh(files.read_company_records(spark, path), out)
+    return out
+
+
 def _version_path(root: str, name: str, v: int) -> str:
     return f"{files.layer_path(root, MARTS, name)}/v={v}"
 

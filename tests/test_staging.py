@@ -107,3 +107,26 @@ def test_json_missing_fields_become_null(spark):
     assert r["bb"]["market_cap"] is None and r["bb"]["ingested_at"] == dt.datetime(2024, 1, 2)
     out = {x["ticker"]: x for x in staging.stg_companies(raw).collect()}
     assert out["BB"]["sector"] == "Oil & Gas E&P" and out["AA"]["market_cap_category"] == "Micro Cap"
+
+
+def test_file_loads_into_raw_then_build(spark):
+    """CSV + JSON files -> RAW (rejects kept aside) -> marts, through the warehouse module."""
+    from pricelake.plans import warehouse
+    root = scratch_path(spark, "file-load")
+    csv_path, json_path = scratch_path(spark, "csv-in"), scratch_path(spark, "json-in")
+    files.write_csv(spark.createDataFrame(
+        [("2024-01-02", "10", "11", "9", "10.5", "100", "abc", "2024-01-03 00:00:00"),
+         ("2024-01-03", "10.5", "12", "10", "11", "164000.0", "abc", "2024-01-04 00:00:00"),
+         ("bad", "1", "2", "1", "1.5", "10", "abc", "2024-01-04 00:00:00")],
+        "date string, open string, high string, low string, close string, volume string, "
+        "ticker string, ingested_at string"), csv_path)
+    spark.createDataFrame([('{"TICKER": "abc", "COMPANY_NAME": "Abc Inc", "SECTOR": "energy",'
+                            ' "MARKET_CAP": 5e11, "INGESTED_AT": "2024-01-01 00:00:00"}',)],
+                          "value string").write.text(json_path)
+    paths = warehouse.load_csv(spark, csv_path, root)
+    warehouse.load_company_json(spark, json_path, root)
+    assert spark.read.parquet(paths["raw_stock_prices_rejects"]).count() == 1
+    warehouse.build(spark, root, full_refresh=True)
+    fct = {r["trading_day_seq"]: r for r in warehouse.current(spark, root, "fct_stock_prices").collect()}
+    assert len(fct) == 2 and fct[2]["daily_return_pct"] == round((11 - 10.5) / 10.5 * 100, 4)
+    assert fct[2]["volume"] == 164000 and fct[1]["market_cap_category"] == "Mega Cap"
