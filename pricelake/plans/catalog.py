@@ -195,9 +195,10 @@ def q_fct_incremental(spark, sf):
     "fct_prices"))
 def q_upsert(spark, sf):
     target = initial_target(spark, sf).withColumn("from_batch", F.lit(False))
-    batch = (fct(spark, sf).filter(F.col("ingested_at") > F.lit(OVERLAP_FROM).cast("timestamp_ntz"))
-             .withColumn("from_batch", F.lit(True)))
-    return _no_audit(incremental.upsert(target, batch, marts.FCT_KEY))
+    newer = F.col("ingested_at") > F.lit(OVERLAP_FROM).cast("timestamp_ntz")
+    batch = fct(spark, sf).filter(newer).withColumn("from_batch", F.lit(True))
+    keys = stg_p(spark, sf).filter(newer).select(marts.FCT_KEY)    # one fact row per staged row
+    return _no_audit(incremental.upsert(target, batch, marts.FCT_KEY, batch_keys=keys))
 
 
 # --------------------------------------------------------------------------------------------
@@ -237,7 +238,7 @@ def _csv_landing(spark, sf):
     path = scratch_path(spark, "raw-prices-csv")
     prices = raw(spark, sf, "raw_stock_prices")
     files.write_csv(prices.select("close", "ticker", "volume", "low", "high", "open", "date",
-                               "ingested_at"), path)
+                                  "ingested_at"), path)
     return files.read_raw_csv(spark, path)
 
 
