@@ -493,7 +493,8 @@ def q_layout_report(spark, sf):
 
 @register("partition_layout")
 def q_partition_layout(spark, sf):
-    return joblog.partition_layout(files.clustered(fct(spark, sf), marts.FCT_CLUSTER),
+    # Clustering depth of the Spark partitions a range-partitioned layout of the fact table makes.
+    return joblog.partition_layout(files.clustered(fct_mart(spark, sf), marts.FCT_CLUSTER),
                                    marts.FCT_CLUSTER)
 
 
