@@ -60,3 +60,47 @@ def test_exact_avg_half_up(spark):
     assert df.select(exact_avg("x", 4, 4)).collect()[0][0] == 0.0001
     df2 = spark.createDataFrame([(-0.0001,), (0.0,)], "x double")
     assert df2.select(exact_avg("x", 4, 4)).collect()[0][0] == -0.0001
+
+
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from pricelake.functions.scalar import INITCAP_DELIMITERS  # noqa: E402
+
+_DELIMS = set(' \t\n!?@"^#$&~_,.:;+-*%/|\\[](){}<>')
+
+
+def py_initcap(s):
+    out, cap = [], True
+    for ch in s.lower():
+        out.append(ch.upper() if cap else ch)
+        cap = ch in _DELIMS
+    return "".join(out)
+
+
+def test_delimiter_list_matches_python_set():
+    # The regex character class used by the library equals the set used by py_initcap.
+    import re
+    rx = re.compile(f"[{INITCAP_DELIMITERS}]")
+    assert {c for c in map(chr, range(32, 127)) if rx.match(c)} == {c for c in _DELIMS if c >= " "}
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="abcXYZ &-/_.(é ", min_size=0, max_size=12), min_size=1,
+                max_size=8))
+def test_initcap_matches_python_rule(spark, words):
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = [r[0] for r in df.select(initcap_words("s")).collect()]
+    assert got == [py_initcap(w) for w in words]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=40))
+def test_exact_avg_is_half_up_of_true_mean(spark, units):
+    xs = [u / 10**4 for u in units]                      # values with at most 4 decimals
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = df.select(exact_avg("x", 4, 4)).collect()[0][0]
+    true = (Decimal(sum(units)) / len(units) / 10**4).quantize(Decimal("0.0001"), ROUND_HALF_UP)
+    assert got == float(true)

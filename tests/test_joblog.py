@@ -49,3 +49,18 @@ def test_layout_report_on_written_table(spark):
     df.repartition(4, "ticker").write.parquet(bad)
     rep2 = joblog.layout_report(spark, bad, ["price_date", "ticker"]).collect()[0]
     assert rep2["average_depth"] > 1.5          # every file spans the whole date range
+
+
+def test_hourly_usage_sums(spark):
+    from decimal import Decimal
+    m = spark.createDataFrame([
+        (dt.datetime(2024, 1, 30, 10, 5), Decimal("1.25"), Decimal("1.00"), Decimal("0.25"), "WH"),
+        (dt.datetime(2024, 1, 30, 10, 55), Decimal("2.50"), Decimal("2.00"), Decimal("0.50"), "WH"),
+        (dt.datetime(2024, 1, 30, 11, 0), Decimal("1.00"), Decimal("1.00"), Decimal("0.00"), "WH"),
+        (dt.datetime(2024, 1, 30, 11, 0), Decimal("9.00"), Decimal("9.00"), Decimal("0.00"), "X"),
+        (dt.datetime(2024, 1, 1, 11, 0), Decimal("9.00"), Decimal("9.00"), Decimal("0.00"), "WH"),
+    ], "start_time timestamp_ntz, credits_used decimal(20,4), credits_used_compute decimal(20,4), "
+       "credits_used_cloud_services decimal(20,4), warehouse_name string")
+    out = joblog.hourly_usage(m, "2024-01-31", "WH").collect()
+    assert [(r["hour"].hour, r["credits_used"], r["cloud_service_credits"]) for r in out] == [
+        (11, 1.0, 0.0), (10, 3.75, 0.75)]
