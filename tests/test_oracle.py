@@ -36,3 +36,21 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("conf", [
+    {"spark.sql.ansi.enabled": "false", "spark.sql.adaptive.enabled": "false"},
+    {"spark.sql.session.timeZone": "America/Los_Angeles"},
+])
+def test_results_do_not_depend_on_session_settings(spark, con, conf):
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in ["stg_prices", "fct_prices", "recent_queries", "hourly_usage", "csv_rejects"]:
+            res = oracle_check.compare(spark, con, name, catalog.QUERIES[name],
+                                       catalog.SQL[name], SF)
+            assert res["ok"], (conf, res)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
