@@ -2,9 +2,10 @@
 
     python tools/plan_report.py /root/testdata/sf0.01 > PLANS.md
 
-For each query: exchanges (shuffles), broadcast exchanges chosen by AQE, join strategies, window
-and aggregate operators, and per scan the pushed filters and the columns read.  The plans are
-the final adaptive plans (each query is executed once through the ``noop`` sink first).
+For each query: shuffle and broadcast stages (AQE query stages), join strategies, window and
+aggregate operators, whole-stage codegen stages, Python evaluation nodes, and per scan the pushed
+filters and the columns read.  Each query's own plan is executed once first, so the report shows
+the final adaptive plan (with AQE's runtime decisions).
 """
 
 from __future__ import annotations
@@ -18,18 +19,30 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pricelake.plans import catalog  # noqa: E402
 from pricelake.session import get_spark  # noqa: E402
 
-OPS = ["Exchange", "BroadcastExchange", "ReusedExchange", "SortMergeJoin", "BroadcastHashJoin",
+OPS = ["ShuffleQueryStage", "BroadcastQueryStage", "Exchange", "BroadcastExchange",
+       "ReusedExchange", "SortMergeJoin", "BroadcastHashJoin",
        "ShuffledHashJoin", "Window", "WindowGroupLimit", "HashAggregate", "ObjectHashAggregate",
        "SortAggregate", "TakeOrderedAndProject", "Generate", "Union"]
 
 
 def summarise(plan: str) -> dict:
-    final = plan.split("== Final Plan ==")[-1] if "== Final Plan ==" in plan else plan
-    counts = {op: len(re.findall(rf"\b{op}\b(?! \()", final)) for op in OPS}
+    if "== Final Plan ==" in plan:
+        tree = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    else:
+        tree = plan.split("\n\n")[0]
+    ids = set(re.findall(r"\((\d+)\)", tree))
+    counts = {op: len(re.findall(rf"[-+*] (?:\* )?{op}\b", tree)) for op in OPS}
     counts = {k: v for k, v in counts.items() if v}
+    details = {}
+    for body in re.split(r"\n(?=\(\d+\) )", plan):
+        m = re.match(r"\((\d+)\) ", body)
+        if m and m.group(1) in ids:
+            details[m.group(1)] = body
+    codegen = len({c for b in details.values() for c in re.findall(r"\[codegen id : (\d+)\]", b)})
+    python_nodes = len(re.findall(r"\b(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|"
+                                  r"MapInPandas|PythonUDF)\b", plan))
     scans = []
-    sections = re.split(r"\n(?=\(\d+\) )", final)
-    for body in sections:
+    for _, body in sorted(details.items(), key=lambda kv: int(kv[0])):
         if not re.match(r"\(\d+\) Scan parquet", body):
             continue
         loc = re.search(r"Location: \w+ \[(?:file:)?([^\]]*)\]", body)
@@ -38,7 +51,7 @@ def summarise(plan: str) -> dict:
         scans.append((os.path.basename(loc.group(1)) if loc else "?",
                       pushed.group(1) if pushed else "[]",
                       len(schema.group(1).split(",")) if schema else 0))
-    return {"ops": counts, "scans": scans}
+    return {"ops": counts, "scans": scans, "codegen": codegen, "python": python_nodes}
 
 
 def main(argv):
@@ -46,17 +59,19 @@ def main(argv):
     names = argv[2:] or list(catalog.QUERIES)
     spark = get_spark("local[8]", shuffle_partitions=8)
     print("# Physical plans of the registered queries\n")
-    print(f"Input `{sf}`; final adaptive plans after one execution. `Exchange` = shuffle; "
-          "`BroadcastExchange` = a broadcast AQE chose from a measured size (there are no "
-          "broadcast hints in the code). Scans list the table folder, pushed filters and the "
-          "number of columns read.\n")
+    print(f"Input `{sf}`; final adaptive plans after one execution. `ShuffleQueryStage` = a "
+          "shuffle; `BroadcastQueryStage` = a broadcast AQE chose from a measured size (there "
+          "are no broadcast hints in the code). Scans list the table folder, pushed filters and the "
+          "number of columns read. Python evaluation nodes (UDF / pandas operators) are counted "
+          "to show that no row leaves the JVM.\n")
     for n in names:
         df = catalog.QUERIES[n](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
+        df._jdf.queryExecution().toRdd().count()     # run THIS plan, so AQE finalises it
         plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         s = summarise(plan)
         ops = ", ".join(f"{k} {v}" for k, v in s["ops"].items())
         print(f"## {n}\n\n- operators: {ops}")
+        print(f"- whole-stage codegen stages: {s['codegen']}; Python evaluation nodes: {s['python']}")
         for table, pushed, ncols in s["scans"]:
             print(f"- scan `{table}`: {ncols} columns, pushed {pushed}")
         print()
