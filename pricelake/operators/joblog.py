@@ -165,8 +165,8 @@ def table_inventory(spark: SparkSession, tables: list[tuple[str, str, str]]) ->
         per_file = m.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("sz").alias("sz"),
                                       F.max("mt").alias("mt"))
         parts.append(per_file.agg(
-            F.sum("n").alias("row_count"),
-            F.round(F.sum("sz") / MB, 2).alias("size_mb"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+            F.coalesce(F.round(F.sum("sz") / MB, 2), F.lit(0.0)).alias("size_mb"),
             F.max("mt").alias("last_altered"))
             .select(F.lit(layer).alias("table_schema"), F.lit(name).alias("table_name"),
                     "row_count", "size_mb", "last_altered"))

@@ -236,7 +236,7 @@ def q_restrict_universe(spark, sf):
 def _csv_landing(spark, sf):
     """Raw prices written as CSV with the columns in another order than the table declares."""
     path = scratch_path(spark, "raw-prices-csv")
-    prices = raw(spark, sf, "raw_stock_prices")
+    prices = Warehouse.of(spark, sf).stage("raw_stock_prices")      # the text extract
     files.write_csv(prices.select("close", "ticker", "volume", "low", "high", "open", "date",
                                   "ingested_at"), path)
     return files.read_raw_csv(spark, path)
@@ -248,7 +248,8 @@ def q_csv_roundtrip(spark, sf):
     return _no_audit(staging.stg_prices(good))
 
 
-def _reject_sql() -> str:
+def _reject_flags() -> str:
+    """SQL: comma-joined names of the columns whose text does not cast ('' = loadable row)."""
     checks = []
     for c, t in files.RAW_PRICE_TYPES.items():
         if t == "string":
@@ -256,7 +257,11 @@ def _reject_sql() -> str:
         cast = (f"try_cast(round(try_cast({c} as double)) as bigint)" if t == "bigint"
                 else f"try_cast({c} as {'timestamp' if t == 'timestamp_ntz' else t})")
         checks.append(f"case when {c} is not null and {cast} is null then '{c}' end")
-    flags = ", ".join(checks)
+    return f"concat_ws(',', {', '.join(checks)})"
+
+
+def _reject_sql() -> str:
+    flags = _reject_flags()[len("concat_ws(',', "):-1]
     return O.with_ctes(
         f"select date, open, high, low, close, volume, ticker, "
         f"cast(ingested_at as varchar) as ingested_at, concat_ws(',', {flags}) as reject_columns "
@@ -606,7 +611,7 @@ def q_stream_incremental(spark, sf):
     work = scratch_path(spark, "stream")
     raw_dir = f"{work}/raw"
     companies = stg_c(spark, sf)
-    prices = raw(spark, sf, "raw_stock_prices")
+    prices = Warehouse.of(spark, sf).stage("raw_stock_prices")      # arriving text files
     c = F.lit(CUT).cast("timestamp_ntz")
     prices.filter(F.col("ingested_at") <= c).write.parquet(f"{raw_dir}/arrival=1")
     file_stream.run_available(spark, raw_dir, companies, work)          # first daily run
@@ -638,15 +643,17 @@ def q_dim_incremental(spark, sf):
 @register("table_row_counts", O.with_ctes(
     " union all ".join(
         f"select '{layer}' as table_schema, '{name}' as table_name, count(*) as row_count"
-        f" from {cte}"
-        for layer, name, cte in [
-            ("RAW", "raw_stock_prices", "raw_prices"),
-            ("RAW", "raw_company_metadata", "raw_companies"),
-            ("RAW", "raw_event_prices", "event_prices"),
-            ("RAW", "query_history", "job_log"),
-            ("RAW", "warehouse_metering_history", "metering"),
-            ("MARTS", "fct_stock_prices", "fct_prices"),
-            ("MARTS", "dim_companies", "dim_companies")]),
+        f" from {cte}{where}"
+        for layer, name, cte, where in [
+            ("RAW", "raw_stock_prices", "raw_prices", f" where {_reject_flags()} = ''"),
+            ("RAW", "raw_stock_prices_rejects", "raw_prices", f" where {_reject_flags()} <> ''"),
+            ("RAW", "raw_company_metadata", "raw_companies", ""),
+            ("RAW", "raw_event_prices", "event_prices", f" where {_reject_flags()} = ''"),
+            ("RAW", "raw_event_prices_rejects", "event_prices", f" where {_reject_flags()} <> ''"),
+            ("RAW", "query_history", "job_log", ""),
+            ("RAW", "warehouse_metering_history", "metering", ""),
+            ("MARTS", "fct_stock_prices", "fct_prices", ""),
+            ("MARTS", "dim_companies", "dim_companies", "")]),
     "raw_prices", "raw_companies", "event_prices", "job_log", "metering", "fct_prices",
     "dim_companies"))
 def q_table_row_counts(spark, sf):

@@ -33,16 +33,32 @@ RAW_TABLES = {
     "query_history": D.job_log,
     "warehouse_metering_history": D.metering,
 }
-RAW, MARTS = "RAW", "MARTS"
+# Price extracts arrive as text (like a CSV stage) and are loaded into typed RAW tables; rows
+# whose text does not cast are kept aside in ``<name>_rejects`` (continue-on-error load).
+TYPED_LOADS = {"raw_stock_prices": files.RAW_PRICE_TYPES,
+               "raw_event_prices": files.RAW_PRICE_TYPES}
+RAW, MARTS, STAGE = "RAW", "MARTS", "STAGE"
 
 
 def land_raw(spark: SparkSession, sf_dir: str, root: str,
              names: list[str] | None = None) -> dict[str, str]:
-    """Full-refresh load of the RAW tables; returns their paths."""
+    """Full-refresh load of the RAW tables; returns their paths.
+
+    Text extracts are first written to ``STAGE/<name>``; the typed RAW table and its rejects are
+    then loaded from that stage (a cheap re-read), so the extract is derived only once."""
     out = {}
     for name in names or list(RAW_TABLES):
         path = files.layer_path(root, RAW, name)
-        files.full_refresh(RAW_TABLES[name](spark, sf_dir), path)
+        if name in TYPED_LOADS:
+            stage = files.layer_path(root, STAGE, name)
+            files.full_refresh(RAW_TABLES[name](spark, sf_dir), stage)
+            good, rejects = files.split_rejects(spark.read.parquet(stage), TYPED_LOADS[name])
+            files.full_refresh(good, path)
+            files.full_refresh(rejects, f"{path}_rejects")
+            out[f"{name}_rejects"] = f"{path}_rejects"
+            out[f"stage:{name}"] = stage
+        else:
+            files.full_refresh(RAW_TABLES[name](spark, sf_dir), path)
         out[name] = path
     return out
 
@@ -85,7 +101,7 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
 def inventory(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
     """(layer, table, path) of every RAW table and the current version of every mart."""
     out = []
-    for name in RAW_TABLES:
+    for name in [n for t in RAW_TABLES for n in (t, f"{t}_rejects")]:
         path = files.layer_path(root, RAW, name)
         if path_exists(spark, f"{path}/_SUCCESS"):
             out.append((RAW, name, path))
@@ -150,6 +166,11 @@ class Warehouse:
                 self._raw.update(land_raw(self.spark, self.sf_dir, self.root, [name]))
             return self.spark.read.parquet(self._raw[name])
 
+    def stage(self, name: str) -> DataFrame:
+        """The text extract a typed RAW table was loaded from (as files would arrive)."""
+        self.raw(name)
+        return self.spark.read.parquet(self._raw[f"stage:{name}"])
+
     def derived(self, name: str, write) -> DataFrame:
         """A table written once per session by ``write(path)`` and read back."""
         path = files.layer_path(self.root, "DERIVED", name)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pricelake.operators import marts, staging
 from pricelake.plans import catalog
+from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
 from pricelake.streaming import file_stream
 
@@ -13,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_late_arrival_is_picked_up(spark):
     work = scratch_path(spark, "stream-test")
     raw_dir = f"{work}/raw"
-    prices = catalog.raw(spark, SF, "raw_stock_prices")
+    prices = Warehouse.of(spark, SF).stage("raw_stock_prices")     # text, as files arrive
     companies = catalog.stg_c(spark, SF)
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     # The newer rows arrive first, the older ones later: a max(ingested_at) watermark would
