@@ -8,23 +8,23 @@ ONE full-width shuffle, partitioned by (ticker, calendar chunk of ``chunk_days``
 What a chunk cannot see by itself (rows of earlier chunks) comes from a narrow side table with one
 row per (ticker, chunk), built in two small steps:
 
-1. ``chunk_stats``: group the narrow columns (date, close, volume) by (ticker, chunk); from the
-   date-sorted list (bounded by ``chunk_days``) keep the row count, first and last close, the
-   chunk's last ``LOOKBACK`` (close, volume) pairs, and the exact sum / count of the returns
-   *inside* the chunk.
+1. ``chunk_stats``: a window over the narrow columns (date, close, volume) per (ticker, chunk),
+   then an aggregate on the same partitioning, keeps the row count, first and last close, the
+   exact sum / count of the returns *inside* the chunk, and the chunk's last ``LOOKBACK`` rows
+   (the only collected list, so bounded by ``LOOKBACK``).
 2. ``chunk_context``: a window over that small table per ticker, ordered by chunk, gives each
-   chunk its start offset (running row count), the previous chunk's last close (for its first
-   return), the running sum / count of returns before it, and the last ``LOOKBACK`` rows before
-   it.  The context is gathered with a RANGE frame on the start offset, so it reads at most the
-   chunks that start in the last ``LOOKBACK`` rows plus the one straddling that boundary (at most
-   2 x ``LOOKBACK`` entries), never a whole history.
-
-The main pass joins the side table on (ticker, chunk) - the key it is partitioned by anyway, so
-the big side is shuffled once; AQE broadcasts the side table only when its measured size is
-small - and computes, inside each chunk: ``trading_day_seq`` = start + row_number, lag,
-returns, 7/30/90-row averages (in-chunk frame + the missing rows from the context), volume
-averages, and the cumulative mean (prefix + in-chunk running sum).  Averages use decimal sums,
-so they are exact and independent of summation order.
+   chunk its start offset (running row count), the running sum / count of returns before it
+   (using the previous chunk's last close for the chunk's first return), and the last
+   ``LOOKBACK`` rows before it.  The context is gathered with a RANGE frame on the start offset,
+   so it reads at most the chunks that start in the last ``LOOKBACK`` rows plus the one
+   straddling that boundary (at most 2 x ``LOOKBACK`` entries), never a whole history.
+
+The context rows are exploded and unioned in front of the chunk's own rows (they carry the
+chunk's start offset and return prefix too), so ONE exchange on (ticker, chunk) feeds the main
+pass and every frame is an ordinary in-partition frame.  Inside each chunk it computes
+``trading_day_seq`` = start + own-row count, lag, returns, 7/30/90-row averages and volume
+averages as differences of running sums, and the cumulative mean (prefix + running sum).  Sums
+are exact integers, so the half-up rounded averages do not depend on summation order.
 """
 
 from __future__ import annotations
