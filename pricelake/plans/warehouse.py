@@ -1,7 +1,9 @@
 """The build as the reference runs it: load RAW, build the marts, test them.
 
 * ``land_raw``   RAW layer: tables derived from the driver's tables, written once as parquet
-                 (the loaders' full refresh: truncate and reload).
+                 (the loaders' full refresh: truncate and reload).  Price extracts go through a
+                 text stage into typed tables, with non-casting rows kept in ``<name>_rejects``.
+* ``load_csv`` / ``load_company_json``  the same RAW tables from landed files.
 * ``build``      staging views -> marts.  Full refresh writes the fact and dimension tables
                  clustered by their keys; an incremental build reads the current version, runs
                  the watermark / changed-ticker increment and writes the upserted next version
