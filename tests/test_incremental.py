@@ -107,3 +107,16 @@ def test_backfill_option_repairs_later_windows(spark):
     assert merged.count() == repaired.count() == full.count()
     assert merged.exceptAll(full).count() > 0            # stale sequences / averages remain
     assert repaired.exceptAll(full).count() == 0
+
+
+def test_uncommitted_version_is_ignored(spark):
+    """A version folder without _SUCCESS (a crashed write) is not current and is rewritten."""
+    from pricelake.plans import warehouse
+    from pricelake.session import scratch_path
+    root = scratch_path(spark, "versions")
+    base = f"{root}/MARTS/fct_stock_prices"
+    spark.range(3).write.parquet(f"{base}/v=1")
+    spark.range(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
+        .parquet(f"{base}/v=2")                                   # no _SUCCESS marker
+    assert warehouse.current_path(spark, root, "fct_stock_prices").endswith("v=1")
+    assert warehouse.current(spark, root, "fct_stock_prices").count() == 3
