@@ -32,3 +32,19 @@ def test_late_arrival_is_picked_up(spark):
     versions = file_stream.list_versions(spark, f"{work}/target", "v=")
     file_stream.run_available(spark, raw_dir, companies, work)
     assert file_stream.list_versions(spark, f"{work}/target", "v=") == versions
+
+
+def test_replayed_epoch_is_idempotent(spark):
+    """foreachBatch may run an epoch again after a failure: the same epoch id rewrites the same
+    history and target folders, so the published result does not change."""
+    work = scratch_path(spark, "stream-replay")
+    prices = Warehouse.of(spark, SF).stage("raw_stock_prices")
+    companies = catalog.stg_c(spark, SF)
+    batch = prices.filter(F.col("ingested_at") <= F.lit("1997-01-01").cast("timestamp_ntz"))
+    args = (f"{work}/history", f"{work}/target", companies)
+    file_stream.process_batch(spark, batch, 0, *args)
+    first = spark.read.parquet(f"{work}/target/v=0").drop("dbt_updated_at").collect()
+    file_stream.process_batch(spark, batch, 0, *args)              # replay
+    again = spark.read.parquet(f"{work}/target/v=0").drop("dbt_updated_at").collect()
+    assert sorted(map(tuple, first)) == sorted(map(tuple, again)) and len(first) > 0
+    assert file_stream.list_versions(spark, f"{work}/history", "epoch=") == [0]
