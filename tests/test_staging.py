@@ -130,3 +130,17 @@ def test_file_loads_into_raw_then_build(spark):
     fct = {r["trading_day_seq"]: r for r in warehouse.current(spark, root, "fct_stock_prices").collect()}
     assert len(fct) == 2 and fct[2]["daily_return_pct"] == round((11 - 10.5) / 10.5 * 100, 4)
     assert fct[2]["volume"] == 164000 and fct[1]["market_cap_category"] == "Mega Cap"
+
+
+def test_orphan_ticker_keeps_its_prices_with_null_company(spark):
+    from pricelake.operators import intermediate
+    prices = spark.createDataFrame([("A", dt.date(2024, 1, 2)), ("ORPHAN", dt.date(2024, 1, 2))],
+                                   "ticker string, price_date date")
+    companies = spark.createDataFrame(
+        [("id-a", "A", "A Inc", "Energy", "Oil", "US", "NYQ", "USD", 1e9, "Small Cap", 10)],
+        "company_id string, ticker string, company_name string, sector string, industry string, "
+        "country string, exchange string, currency string, market_cap_usd double, "
+        "market_cap_category string, full_time_employees bigint")
+    out = {r["ticker"]: r for r in intermediate.attach_companies(prices, companies).collect()}
+    assert out["A"]["company_name"] == "A Inc"
+    assert out["ORPHAN"]["company_id"] is None and out["ORPHAN"]["sector"] is None
