@@ -120,3 +120,17 @@ def test_uncommitted_version_is_ignored(spark):
         .parquet(f"{base}/v=2")                                   # no _SUCCESS marker
     assert warehouse.current_path(spark, root, "fct_stock_prices").endswith("v=1")
     assert warehouse.current(spark, root, "fct_stock_prices").count() == 3
+
+
+def test_empty_inputs(spark):
+    """No price rows at all: every job still runs and returns empty / zero results."""
+    from pricelake.operators import quality, series
+    sf = "/root/testdata/sf0.001"
+    empty = catalog.stg_p(spark, sf).filter(F.lit(False))
+    assert series.series_metrics(empty).count() == 0
+    fct = marts.fct_prices(empty, catalog.stg_c(spark, sf))
+    assert fct.count() == 0 and fct.columns == marts.FCT_COLUMNS
+    summary = quality.quality_summary(fct, "fct_stock_prices", "2024-01-31").collect()
+    assert summary and all(r["failures"] == 0 for r in summary)
+    assert quality.check_expected(fct, ["A", "B"]).count() == 2     # nothing arrived
+    assert incremental.fct_incremental(empty, catalog.stg_c(spark, sf), fct).count() == 0
