@@ -9,6 +9,8 @@ Layers follow the warehouse convention raw -> staging -> intermediate -> marts:
 * ``pricelake.plans``      composition of the jobs into full / incremental builds and the
                            registered query catalog
 * ``pricelake.streaming``  file-arrival driven incremental build (Structured Streaming)
+
+Command line: ``python -m pricelake load|build|test --root <shared folder> ...``.
 """
 
 __version__ = "0.1.0"
