@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe
+from . import bpe, mixing
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -16,8 +16,16 @@ def op10_byte_bpe(spark, sf_dir):
                        public_tokenizers.PATTERN)
 
 
+def op3_mix(spark, sf_dir):
+    """Words that a mix of all documents at 150% of their size takes from each."""
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_mix": op3_mix,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_mix": mixing.SQL,
+}
