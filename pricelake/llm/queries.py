@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, mixing
-from .common import table
+from pyspark.sql import functions as F
+
+from . import bpe, langid, mixing
+from .common import bucket_of, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,8 +23,17 @@ def op3_mix(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark, sf_dir):
+    """Language of every document, learned from three quarters of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    rest = F.expr(bucket_of("doc_id", 4))
+    model = langid.learn(docs.where(rest != 2))
+    return langid.predict(docs, model, rest == 2)
+
+
 QUERIES = {
     "op3_mix": op3_mix,
+    "op4_language_id": op4_language_id,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
