@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing
+from . import bpe, langid, mixing, quality
 from .common import bucket_of, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -31,7 +31,15 @@ def op4_language_id(spark, sf_dir):
     return langid.predict(docs, model, rest == 2)
 
 
+def op2_quality(spark, sf_dir):
+    """Quality of every document, learned from four fifths of the labelled ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rest = F.expr(bucket_of("doc_id", 5))
+    return quality.classify(docs, quality.learn(docs, labels, rest != 0), rest == 0)
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op4_language_id": op4_language_id,
     "op10_byte_bpe": op10_byte_bpe,
