@@ -6,12 +6,17 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality
+from . import bpe, langid, minhash, mixing, quality
 from .common import bucket_of, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op9_minhash(spark, sf_dir):
+    """Near-duplicate classes of all documents: 4-word shingles, similarity 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op10_byte_bpe(spark, sf_dir):
     """Byte-level BPE ids of every document, and the bytes that they decode to."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
@@ -42,6 +47,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op4_language_id": op4_language_id,
+    "op9_minhash": op9_minhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
