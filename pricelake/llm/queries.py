@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, quality
+from . import bpe, langid, minhash, mixing, quality, vecdup
 from .common import bucket_of, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,11 @@ def op4_language_id(spark, sf_dir):
     return langid.predict(docs, model, rest == 2)
 
 
+def op1_vector_dups(spark, sf_dir):
+    """Links of cosine 0.98 between vectors of a label, and their classes."""
+    return vecdup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality(spark, sf_dir):
     """Quality of every document, learned from four fifths of the labelled ones."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -44,6 +49,7 @@ def op2_quality(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_vector_dups": op1_vector_dups,
     "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op4_language_id": op4_language_id,
