@@ -262,3 +262,25 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         return left
     twice = left.join(again.select("_id"), left["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
     return left.join(again.select("_id"), left["doc_id"] == F.col("_id"), "left_anti").unionAll(twice)
+
+
+SQL = """
+with recursive word as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w from documents),
+shingle as (
+  select distinct doc_id, unnest(case when len(w) >= 4
+           then [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from word),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+links as (
+  select a.doc_id as u, b.doc_id as v from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id
+  join size p on p.doc_id = a.doc_id join size q on q.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, p.n, q.n having 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach as (
+  select doc_id as u, doc_id as v from documents
+  union select r.u, l.v from reach r join links l on r.v = l.u),
+least as (select u, min(v) as component_id from reach group by u)
+select d.doc_id, coalesce(size.n, 0)::bigint as n_shingles, least.component_id, d.doc_id = least.component_id as kept
+from documents d join least on least.u = d.doc_id left join size on size.doc_id = d.doc_id
+"""

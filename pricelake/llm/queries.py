@@ -58,5 +58,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_vector_dups": vecdup.SQL,
     "op3_mix": mixing.SQL,
+    "op9_minhash": minhash.SQL,
 }

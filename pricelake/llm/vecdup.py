@@ -204,3 +204,23 @@ def near_duplicates(rows: DataFrame, least: float = 0.98, width: int = WIDTH) ->
             .select("vec_id", F.coalesce("more", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("class", "vec_id").alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+
+
+SQL = """
+with recursive good as (
+  select vec_id, label, embedding::double[] as x from embeddings
+  where label is not null and vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda c: c is null or isnan(c) or isinf(c))) = 0
+    and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links as (
+  select a.vec_id as u, b.vec_id as v from good a join good b
+    on a.label = b.label and len(a.x) = len(b.x) and a.vec_id <> b.vec_id
+  where list_inner_product(a.x, b.x) / (sqrt(list_inner_product(a.x, a.x)) * sqrt(list_inner_product(b.x, b.x))) >= 0.98),
+reach as (
+  select vec_id as u, vec_id as v from embeddings
+  union select r.u, l.v from reach r join links l on r.v = l.u),
+least as (select u, min(v) as component_id from reach group by u),
+n as (select u, count(*) as n_links from links group by u)
+select e.vec_id, coalesce(n.n_links, 0)::bigint as n_links, least.component_id, e.vec_id = least.component_id as kept
+from embeddings e join least on least.u = e.vec_id left join n on n.u = e.vec_id
+"""
