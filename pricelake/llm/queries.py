@@ -6,12 +6,20 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, quality, vecdup
+from . import bloomlm, bpe, langid, minhash, mixing, quality, vecdup
 from .common import bucket_of, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op7_bloom_lm(spark, sf_dir):
+    """Add-one and Bloom-filter bigram scores of every document."""
+    docs = table(spark, sf_dir, "documents")
+    rest = F.coalesce(F.expr(bucket_of("doc_id", 7)), F.lit(0))
+    model = bloomlm.learn(docs.where(rest != 2))
+    return bloomlm.score(docs, model, rest == 2)
+
+
 def op9_minhash(spark, sf_dir):
     """Near-duplicate classes of all documents: 4-word shingles, similarity 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
@@ -53,6 +61,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op4_language_id": op4_language_id,
+    "op7_bloom_lm": op7_bloom_lm,
     "op9_minhash": op9_minhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
