@@ -6,10 +6,21 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bloomlm, bpe, langid, minhash, mixing, quality, vecdup
+from . import bloomlm, bpe, langid, minhash, mixing, quality, tokencount, vecdup, warc
+from pricelake.session import scratch_path
+
 from .common import bucket_of, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: The first id that the vocabulary leaves free.
+END_OF_DOCUMENT = 50256
+
+
+def op6_token_counts(spark, sf_dir):
+    """Tokens of every document, counted in flat token files written from all documents."""
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
+    tokencount.write(docs, folder, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, END_OF_DOCUMENT)
+    return tokencount.with_ids(tokencount.count(spark, folder, END_OF_DOCUMENT), tokencount.numbered(docs))
 
 
 def op7_bloom_lm(spark, sf_dir):
@@ -20,6 +31,13 @@ def op7_bloom_lm(spark, sf_dir):
     return bloomlm.score(docs, model, rest == 2)
 
 
+def op8_warc(spark, sf_dir):
+    """All pages written as WARC archives and read back."""
+    folder = scratch_path(spark, "warc-files")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.digest_report(warc.read_records(spark, folder))
+
+
 def op9_minhash(spark, sf_dir):
     """Near-duplicate classes of all documents: 4-word shingles, similarity 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
@@ -61,7 +79,9 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op4_language_id": op4_language_id,
+    "op6_token_counts": op6_token_counts,
     "op7_bloom_lm": op7_bloom_lm,
+    "op8_warc": op8_warc,
     "op9_minhash": op9_minhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -69,5 +89,6 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op1_vector_dups": vecdup.SQL,
     "op3_mix": mixing.SQL,
+    "op8_warc": warc.SQL,
     "op9_minhash": minhash.SQL,
 }
