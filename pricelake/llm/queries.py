@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bloomlm, bpe, langid, minhash, mixing, quality, tokencount, vecdup, warc
+from . import ann, bloomlm, bpe, langid, minhash, mixing, quality, tokencount, vecdup, warc
 from pricelake.session import scratch_path
 
 from .common import bucket_of, table
@@ -16,6 +16,11 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 END_OF_DOCUMENT = 50256
 
 
+def op5_nearest(spark, sf_dir):
+    """The 20 nearest vectors found of every twentieth one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op6_token_counts(spark, sf_dir):
     """Tokens of every document, counted in flat token files written from all documents."""
     docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
@@ -79,6 +84,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op4_language_id": op4_language_id,
+    "op5_nearest": op5_nearest,
     "op6_token_counts": op6_token_counts,
     "op7_bloom_lm": op7_bloom_lm,
     "op8_warc": op8_warc,
