@@ -147,24 +147,28 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
 
 def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
-            text: str = "text") -> DataFrame:
+            text: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (ids as little-endian 32-bit), decoded_sha256 and n_bytes of
-    every row: encodes, then decodes the ids."""
+    every row, and the ids if ``with_ids``: encodes, then decodes the ids."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", *(["ids"] if with_ids else [])]
 
     def run(batches):
         for batch in batches:
-            n, a, b, size = [], [], [], []
+            n, a, b, size, ids = [], [], [], [], []
             for x in encode_texts(batch.column(1).fill_null("").to_pylist(), path, pattern):
                 back = decode(x, path)
                 n.append(len(x))
                 size.append(len(back))
+                if with_ids:
+                    ids.append(x.astype(np.int32))
                 a.append(hashlib.sha256(x.astype("<u4").tobytes()).hexdigest())
                 b.append(hashlib.sha256(back).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()),
-                 pa.array(b, pa.string()), pa.array(size, pa.int64())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"])
+                 pa.array(b, pa.string()), pa.array(size, pa.int64()),
+                 *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])], names=names)
 
     id_type = docs.schema[doc_id].dataType.simpleString()
     return docs.select(doc_id, text).mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long")
+        run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
+        + (", ids array<int>" if with_ids else ""))

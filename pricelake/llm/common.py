@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
+import pricelake
 from pricelake.session import scratch_path
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python workers need not
+    share the driver's import path."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        home = os.path.dirname(os.path.abspath(pricelake.__file__))
+        name = os.path.join(tempfile.mkdtemp(prefix="pricelake-"), "pricelake-code")
+        sc.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(home), os.path.basename(home)))
+        _shipped.add(sc.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
