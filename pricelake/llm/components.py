@@ -8,6 +8,7 @@ shared folder, which cuts the lineage and lets AQE split the join of a vertex wi
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +49,17 @@ def components(links: DataFrame) -> DataFrame:
         seen = after
     rows = now.select(F.col("u").alias("vertex"), F.col("v").alias("component_id"))
     return rows.unionAll(rows.select(F.col("component_id").alias("vertex"), "component_id").distinct())
+
+
+def spanning(n: int, i: np.ndarray, j: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
+    """Smallest vertex of the class of each of n vertices under links i, j (and those of ``root``)."""
+    root = np.arange(n) if root is None else root
+    while len(i):           # hook roots onto the smaller one until all links agree
+        low = np.minimum(root[i], root[j])
+        np.minimum.at(root, root[i], low)
+        np.minimum.at(root, root[j], low)
+        while (root[root] != root).any():
+            root = root[root]
+        more = root[i] != root[j]
+        i, j = i[more], j[more]
+    return root

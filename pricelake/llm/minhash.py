@@ -10,10 +10,11 @@ probability of 5e-8.
 Documents with equal sets are one node (128-bit hash of the set).  In every bucket the node with
 the smallest id is the centre and the other nodes are compared with it alone: candidate edges are
 stars, as many as bucket entries at most.  A star can miss a link between two nodes of a bucket of
-which one fails against the centre.  So buckets whose nodes are not all in one component get a
-second star, from another centre to the nodes outside the bucket's largest component, and then the
-exact rest: every node outside the largest component against every node of another component in
-its bucket.  No bucket is capped, and what joined in a star is not paired again.
+which one fails against the centre.  So the exact rest follows: all buckets of a centre are one
+group, and in a group that holds several components every node outside the largest one is compared
+with the nodes of the others.  Tiles of two bounded lists of nodes do that in a task each, by
+matrix products, and return a spanning forest; pairs are never emitted, no bucket is capped, and
+what a star has joined is not paired again.
 
 Links are confirmed on full sets (as 64-bit shingle hashes), which are computed a second time and
 only for nodes that share a bucket: a bit table of at most 16 MB, of fixed size, tells the scan
@@ -30,15 +31,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .components import components
+from .components import components, spanning
 from .textscan import BASE, U, mix, ngram_hashes, pieces, word_bounds, word_hashes
 
 BANDS, ROWS = 32, 4
 PROBES = 256
+#: Nodes of either list of a tile; shingles of a step of its matrix product.
+TILE, STEP = 512, 4096
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +175,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return stored(found.dropDuplicates(["_rep", "_k"]), "minhash-sets")
 
 
-def _confirm(pairs: DataFrame, full: DataFrame, percent: int, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (rep, k, rep2, k2) with 100 * intersection >= percent * union: u, v."""
     one = full.select(F.col("_rep").alias("a"), F.col("_k").alias("ak"), F.col("shingles").alias("sa"))
     two = full.select(F.col("_rep").alias("b"), F.col("_k").alias("bk"), F.col("shingles").alias("sb"))
@@ -180,7 +184,7 @@ def _confirm(pairs: DataFrame, full: DataFrame, percent: int, name: str) -> Data
             .select("rep", "rep2", F.size("sa").alias("na"), F.size("sb").alias("nb"),
                     F.size(F.array_intersect("sa", "sb")).alias("i")))
     return stored(both.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent)
-                  .select(F.col("rep").alias("u"), F.col("rep2").alias("v")), name)
+                  .select(F.col("rep").alias("u"), F.col("rep2").alias("v")), "minhash-stars")
 
 
 def _alike(percent: int):
@@ -190,6 +194,7 @@ def _alike(percent: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept of every row."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(sets(docs, words), "minhash-rows")
     real = rows.where("doc_id is not null and n_shingles > 0")
     # one node per distinct set; copies meet in partial aggregates
@@ -204,32 +209,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     centres = stored(entries.groupBy("b").agg(F.min(F.struct("rep", "k", "n")).alias("c"), F.count("*").alias("size"))
                      .where("size > 1").select(F.col("b").alias("cb"), F.col("c.rep").alias("rep2"),
                                                F.col("c.k").alias("k2"), F.col("c.n").alias("n2")), "minhash-centres")
-    members = stored(entries.join(centres, F.col("b") == F.col("cb")).drop("cb"), "minhash-members")
-    shared = stored(members.select("rep", "k").distinct(), "minhash-shared")
-    full = full_sets(docs, shared, words)
+    groups = stored(entries.join(centres, F.col("b") == F.col("cb")).select("rep2", "k2", "n2", "rep", "k", "n").distinct(),
+                    "minhash-groups")
+    full = full_sets(docs, stored(groups.select("rep", "k").distinct(), "minhash-shared"), words)
     different = ~((F.col("rep") == F.col("rep2")) & (F.col("k") == F.col("k2")))
-    stars = members.where(different & _alike(percent)).select("rep", "k", "rep2", "k2").distinct()
-    links = _confirm(stars, full, percent, "minhash-stars")
-    for last in (False, True):
-        open_ = _open_buckets(members, components(links))
-        if open_.isEmpty():
-            break
-        outside = open_.where("c <> big")
-        if last:
-            other = open_.select(F.col("b").alias("b2"), F.col("rep").alias("rep2"), F.col("k").alias("k2"),
-                                 F.col("n").alias("n2"), F.col("c").alias("c2"))
-            pairs = (outside.join(other, (F.col("b") == F.col("b2")) & (F.col("c") != F.col("c2")))
-                     .where(_alike(percent)))
-        else:
-            seconds = (open_.where("c = big").groupBy(F.col("b").alias("b2"))
-                       .agg(F.min_by(F.struct("rep", "k", "n"), F.xxhash64("b", "rep", "k")).alias("s"))
-                       .select("b2", F.col("s.rep").alias("rep2"), F.col("s.k").alias("k2"), F.col("s.n").alias("n2")))
-            pairs = outside.join(stored(seconds, "minhash-seconds"), F.col("b") == F.col("b2")).where(_alike(percent))
-        first = F.struct("rep", "k") < F.struct(F.col("rep2").alias("rep"), F.col("k2").alias("k"))
-        pairs = pairs.select(
-            F.when(first, F.col("rep")).otherwise(F.col("rep2")).alias("rep"), F.when(first, F.col("k")).otherwise(F.col("k2")).alias("k"),
-            F.when(first, F.col("rep2")).otherwise(F.col("rep")).alias("rep2"), F.when(first, F.col("k2")).otherwise(F.col("k")).alias("k2")).distinct()
-        links = links.unionAll(_confirm(pairs, full, percent, "minhash-more"))
+    alike = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    links = _confirm(groups.where(different & alike).select("rep", "k", "rep2", "k2"), full, percent)
+    open_ = _open_groups(groups, components(links))
+    if not open_.isEmpty():
+        links = links.unionAll(_confirm_rest(open_, full, percent))
     classes = stored(components(links.unionAll(same)), "minhash-classes")
     return (rows.join(classes, F.col("doc_id") == F.col("vertex"), "left")
             .select("doc_id", "n_shingles",
@@ -237,24 +225,98 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _open_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries (b, rep, k, n, c) of the buckets with several components, with the component that
-    has most entries there (big); in the shared folder."""
-    known = (members.select("b", "rep", "k", "n")
-             .join(stored(classes, "minhash-comps"), F.col("rep") == F.col("vertex"), "left")
-             .select("b", "rep", "k", "n", F.coalesce("component_id", "rep").alias("c")))
-    known = stored(known, "minhash-known")
-    sizes = (known.groupBy("b", "c").count().groupBy("b")
-             .agg(F.max(F.struct("count", "c")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-             .select(F.col("b").alias("ob"), F.col("m.c").alias("big")))
-    return stored(known.join(stored(sizes, "minhash-sizes"), F.col("b") == F.col("ob")).drop("ob"), "minhash-open")
+def _open_groups(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """Nodes (rep2, k2, rep, k, c) of the groups with several components, whether each is outside
+    the group's largest one, and how many nodes and outside nodes the group has."""
+    known = stored(
+        groups.join(stored(classes, "minhash-comps"), F.col("rep") == F.col("vertex"), "left")
+        .select("rep2", "k2", "rep", "k", F.coalesce("component_id", "rep").alias("c")), "minhash-known")
+    sizes = (known.groupBy("rep2", "k2", "c").count().groupBy("rep2", "k2")
+             .agg(F.max(F.struct("count", "c")).alias("m"), F.sum("count").alias("all"), F.count("*").alias("parts"))
+             .where("parts > 1").select(F.col("rep2").alias("g"), F.col("k2").alias("gk"), F.col("m.c").alias("big"), "all",
+                                        (F.col("all") - F.col("m.count")).alias("out")))
+    return stored(known.join(stored(sizes, "minhash-sizes"), (F.col("rep2") == F.col("g")) & (F.col("k2") == F.col("gk")))
+                  .withColumn("outside", F.col("c") != F.col("big")).drop("g", "gk", "big"), "minhash-open")
+
+
+def _confirm_rest(open_: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links u, v (a spanning forest of them) between each outside node of a group and the nodes of
+    other components there, found on full sets in tiles of at most 2 * TILE nodes."""
+    lists = lambda n: F.ceil(F.col(n) / TILE).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    slot = lambda n: F.pmod(F.xxhash64("rep", "k"), n).cast("int")
+    left = F.transform(every(lists("all")), lambda j: F.struct(slot(lists("out")).alias("i"), j.alias("j"), F.lit(True).alias("left")))
+    right = F.transform(every(lists("out")), lambda i: F.struct(i.alias("i"), slot(lists("all")).alias("j"), F.lit(False).alias("left")))
+    tiles = F.explode(F.when(F.col("outside"), F.concat(left, right)).otherwise(right))
+    rows = (open_.join(full, (F.col("rep") == F.col("_rep")) & (F.col("k") == F.col("_k")))
+            .select("rep2", "k2", "rep", "c", "shingles", tiles.alias("t"))
+            .select("rep2", "k2", F.col("t.i").alias("i"), F.col("t.j").alias("j"), F.col("t.left").alias("left"), "rep", "c", "shingles"))
+    n = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "rep2", "k2", "i", "j").sortWithinPartitions("rep2", "k2", "i", "j")
+
+    def run(batches):
+        key, held = None, []
+        for batch in batches:
+            keys = np.column_stack([batch.column(k).to_numpy() for k in range(4)])
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(keys)]):
+                if key is not None and (keys[a] != key).any():
+                    yield spanning_links(held, percent)
+                    held = []
+                key = keys[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield spanning_links(held, percent)
+
+    return stored(rows.mapInArrow(run, "u long, v long"), "minhash-rest")
+
+
+def spanning_links(parts: list[pa.RecordBatch], percent: int) -> pa.RecordBatch:
+    """u, v: each linked node of a tile and the one that stands for its class there.  Only left
+    nodes against right ones of another component are compared.
+
+    Intersections are products of 0/1 matrices over the shingles that both sides have, STEP at a
+    time."""
+    cat = lambda c: np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts])
+    left, ids, comp = cat("left").astype(bool), cat("rep"), cat("c")
+    size = np.concatenate([pc.list_value_length(p.column("shingles")).to_numpy() for p in parts]).astype(np.int64)
+    values = np.concatenate([p.column("shingles").flatten().to_numpy() for p in parts])
+    row = np.repeat(np.arange(len(ids)), size)
+    order = np.argsort(values, kind="stable")
+    values, row = values[order], row[order]
+    shingle = np.cumsum(np.append(False, values[1:] != values[:-1])) if len(values) else row
+    at_left = left[row]
+    both = np.zeros(shingle[-1] + 1 if len(shingle) else 0, bool)
+    both[shingle[at_left]] = True
+    right_too = np.zeros_like(both)
+    right_too[shingle[~at_left]] = True
+    both &= right_too
+    number = np.cumsum(both) - 1
+    keep = both[shingle]
+    column, row, at_left = number[shingle[keep]], row[keep], at_left[keep]
+    place = np.where(left, np.cumsum(left), np.cumsum(~left)) - 1
+    a, b = np.flatnonzero(left), np.flatnonzero(~left)
+    shared = np.zeros((len(a), len(b)), np.float32)
+    bounds = np.searchsorted(column, np.arange(0, both.sum() + STEP, STEP))
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        x, y = np.zeros((len(a), STEP), np.float32), np.zeros((len(b), STEP), np.float32)
+        c, r, l = column[lo:hi] % STEP, place[row[lo:hi]], at_left[lo:hi]
+        x[r[l], c[l]] = 1
+        y[r[~l], c[~l]] = 1
+        shared += x @ y.T
+    linked = shared * 100 >= (size[a][:, None] + size[b][None] - shared) * percent
+    linked &= comp[a][:, None] != comp[b][None]
+    i, j = np.nonzero(linked)
+    kinds, number = np.unique(ids, return_inverse=True)
+    root = spanning(len(kinds), number[a[i]], number[b[j]])
+    some = np.flatnonzero(root != np.arange(len(kinds)))
+    return pa.RecordBatch.from_arrays([pa.array(kinds[some]), pa.array(kinds[root[some]])], names=["u", "v"])
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, all columns kept.  Of rows that share
     the doc_id which stays, one stays; rows with a null doc_id all stay."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = stored(near_duplicates(known, words, percent), "minhash-out")
+    out = stored(near_duplicates(docs, words, percent), "minhash-out")
     gone = out.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
     again = stored(out.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1"), "minhash-again")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .components import components
+from .components import components, spanning
 from .vectors import matrix, packed, unpacked, usable
 
 #: Dimensions of a block, dimensions of its grid, vectors of a cell compared in one task.
@@ -149,16 +149,7 @@ def compare(ids, counts, home, chunk, turned, vector, block: int, width: int, le
             i, j = i[ok], j[ok]
             np.add.at(links, i, counts[j])
             np.add.at(links, j, counts[i])
-            while len(i):             # hook roots onto the smaller one until all pairs agree
-                low = np.minimum(root[i], root[j])
-                np.minimum.at(root, root[i], low)
-                np.minimum.at(root, root[j], low)
-                while (root[root] != root).any():
-                    root = root[root]
-                more = root[i] != root[j]
-                i, j = i[more], j[more]
-    while (root[root] != root).any():
-        root = root[root]
+            root = spanning(n, i, j, root)
     return links, ids[root]
 
 
