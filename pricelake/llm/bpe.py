@@ -27,6 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 #: The pattern built into the tokenizers library's byte-level step, which is the faster way for it.
 BUILT_IN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -140,10 +141,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 [*batch.columns, *(pa.array([x.astype(np.int32) for x in c], kind) for c in cols)],
                 names=[*batch.schema.names, *more])
 
-    schema = docs.schema
-    for c in more:
-        schema = type(schema)([*schema.fields]).add(c, "array<int>")
-    return docs.mapInArrow(run, schema)
+    lists = [StructField(c, ArrayType(IntegerType())) for c in more]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *lists]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",

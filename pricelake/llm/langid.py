@@ -5,7 +5,7 @@ one blank), hashed into DIM counts, with sublinear term frequency, inverse docum
 length 1.  Each language has several centroids, found by spherical k-means over a bounded sample
 of its labelled rows; a text gets the language of the centroid with the largest cosine.  It is
 rejected when that cosine is under the language's own bound, a fraction of the smallest cosines
-seen in the sample, or when there is nothing to compare.
+seen in the sample and 0.1 at most, or when there is nothing to compare.
 
 Training: the sample holds about ``per_language`` rows of each of the ``max_languages`` most
 frequent languages, chosen by a hash of the text; document frequencies are summed per task and one
@@ -104,8 +104,10 @@ def kmeans(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def learn(rows: DataFrame, per_language: int = 1500, max_languages: int = 250, clusters: int = 3,
-          reject: float = 0.5) -> dict:
-    """Model from ``rows`` (text, lang): languages, centroids, and the least cosine of each."""
+          reject: float = 0.5, far: float = 0.1) -> dict:
+    """Model from ``rows`` (text, lang): languages, centroids, and the least cosine of each:
+    ``reject`` times the cosine that one in 1000 sampled rows falls short of, ``far`` at most, as a
+    text of one word is not near to anything."""
     rows = rows.select("text", "lang").where("text is not null and lang is not null")
     spark = rows.sparkSession
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
@@ -140,7 +142,7 @@ def learn(rows: DataFrame, per_language: int = 1500, max_languages: int = 250, c
         if not len(v):
             return pd.DataFrame({"lang": [], "centroid": [], "least": []})
         c = kmeans(v, clusters)
-        least = reject * float(np.quantile((v @ c.T).max(1), 0.001))
+        least = min(far, reject * float(np.quantile((v @ c.T).max(1), 0.001)))
         return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [x.tolist() for x in c], "least": [least] * len(c)})
 
     got = sorted(sample.groupBy("lang").applyInPandas(centre, "lang string, centroid array<float>, least double").collect())

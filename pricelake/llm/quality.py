@@ -155,7 +155,7 @@ def _quadrants(g: np.ndarray, h: np.ndarray, least: float) -> tuple[np.ndarray,
 
 
 def fit(x: np.ndarray, y: np.ndarray, bins: int = 48, pair_bins: int = 12, rounds: int = 250,
-        pair_rounds: int = 80, pairs: int = 6, leaves: int = 3, rate: float = 0.1, least: float = 4.0) -> dict:
+        pair_rounds: int = 80, pairs: int = 6, leaves: int = 3, rate: float = 0.1, least: float = 0.5) -> dict:
     """Edges, tables, pairs and intercept from figures and 0/1 labels."""
     f = x.shape[1]
     prior = (y.sum() + 1) / (len(y) + 2)
