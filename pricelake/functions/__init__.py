@@ -6,7 +6,6 @@ from pricelake.functions.scalar import (  # noqa: F401
     exact_ratio,
     initcap_words,
     outside,
-    round_half_up,
     run_type,
     safe_divide,
     sma_signal,

@@ -53,10 +53,6 @@ def safe_divide(numerator, denominator) -> Column:
     return F.try_divide(_c(numerator), _c(denominator))
 
 
-def round_half_up(x, scale: int) -> Column:
-    return F.round(_c(x), scale)
-
-
 def surrogate_key(*cols) -> Column:
     """Deterministic text key: md5 over the '-'-joined string forms, nulls as a placeholder."""
     parts = [F.coalesce(_c(c).cast("string"), F.lit(KEY_NULL)) for c in cols]
@@ -114,17 +110,45 @@ def day_of_week0(d) -> Column:
     return F.dayofweek(_c(d)) - 1
 
 
+def int_div(a, b) -> Column:
+    """Integral quotient (truncated) of whole numbers, bigint or decimal(38,0)."""
+    return F.call_function("div", _c(a), _c(b))
+
+
 def exact_ratio(units_sum, count, in_scale: int, out_scale: int) -> Column:
-    """round(units_sum / count, out_scale) with decimal arithmetic, as DOUBLE; null if count = 0.
+    """round(units_sum / 10^in_scale / count, out_scale), half away from zero, as DOUBLE; null if
+    count = 0.  ``units_sum`` is a whole number of 10^-in_scale units.  Integers only, so the result
+    depends neither on summation order nor on how large the count is."""
+    wide = "decimal(38,0)"
+    u = _c(units_sum).cast(wide) * F.lit(10 ** max(0, out_scale - in_scale)).cast("decimal(6,0)")
+    n = (F.nullif(_c(count), F.lit(0)).cast("decimal(20,0)")
+         * F.lit(10 ** max(0, in_scale - out_scale)).cast("decimal(11,0)"))
+    half_up = int_div((F.abs(u) * 2 + n).cast(wide), (n * 2).cast(wide))
+    return F.signum(u.cast("double")) * half_up.cast("double") / F.lit(float(10 ** out_scale))
 
-    ``units_sum`` must be a DECIMAL sum with ``in_scale`` decimals.  The quotient is exact to far
-    more digits than ``out_scale`` (Spark widens the scale of a decimal division), so the final
-    HALF_UP rounding sees the true value and does not depend on summation order.
-    """
-    # decimal(24, s) / decimal(10, 0) keeps a quotient scale of s + 11 digits (no precision
-    # loss), far finer than any tie distance 1 / (2 * count * 10^s).
-    n = F.nullif(_c(count).cast("decimal(10,0)"), F.lit(0).cast("decimal(10,0)"))
-    return F.round(_c(units_sum).cast(f"decimal(24,{in_scale})") / n, out_scale).cast("double")
+
+# Decimals kept of the fraction of a price: far below the spacing of doubles of price size, so an
+# average rounds as that of the stored values.
+PRICE_SCALE = 10
+
+
+def price_parts(price) -> tuple[Column, Column]:
+    """Whole and fraction (in 10^-PRICE_SCALE units) of a price that is not negative, as bigint:
+    both subtractions are exact, and sums of either part stay exact."""
+    p = _c(price)
+    whole = F.floor(p)
+    return whole.cast("long"), F.round((p - whole) * float(10 ** PRICE_SCALE)).cast("long")
+
+
+def price_avg(whole_sum, fraction_sum, count) -> Column:
+    """round(average, 4), half up, as DOUBLE, from sums of ``price_parts``; null if count = 0.
+    All steps are bigint; what is below 1e-4 is carried as a remainder."""
+    step = 10 ** (PRICE_SCALE - 4)
+    w, f, n = _c(whole_sum), _c(fraction_sum), F.nullif(_c(count), F.lit(0))
+    a = w * 10_000 + int_div(f, F.lit(step))
+    q = int_div(a, n)
+    up = ((a - q * n) * step + f % step) * 2 >= n * step
+    return (q + F.when(up, 1).otherwise(0)).cast("double") / F.lit(10_000.0)
 
 
 def exact_avg(x, in_scale: int, out_scale: int, over: WindowSpec | Window | None = None) -> Column:
@@ -132,8 +156,8 @@ def exact_avg(x, in_scale: int, out_scale: int, over: WindowSpec | Window | None
 
     Lossless when x carries at most ``in_scale`` decimals (cent prices: 2, rounded returns: 4).
     """
-    dec = _c(x).cast(f"decimal(22,{in_scale})")
-    s, n = F.sum(dec), F.count(_c(x))
+    units = F.round(_c(x) * 10 ** in_scale).cast("decimal(20,0)")
+    s, n = F.sum(units), F.count(_c(x))
     if over is not None:
         s, n = s.over(over), n.over(over)
     return exact_ratio(s, n, in_scale, out_scale)

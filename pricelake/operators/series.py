@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.functions.scalar import exact_ratio, safe_divide, sma_signal
+from pricelake.functions.scalar import exact_ratio, price_avg, price_parts, safe_divide, sma_signal
 
 # Rows of history the widest bounded frame needs before the current row (90-row average).
 LOOKBACK = 89
@@ -42,6 +42,9 @@ PRICE_WINDOWS = (7, 30, 90)
 VOLUME_WINDOWS = (7, 30)
 
 SEQ = "trading_day_seq"
+# --------------------------------------------------------------------------------------------
+# Published column lists of the two series models
+# --------------------------------------------------------------------------------------------
 COMPANY_COLUMNS = ["company_id", "company_name", "sector", "industry", "country", "exchange",
                    "currency", "market_cap_usd", "market_cap_category", "full_time_employees"]
 AUDIT_COLUMNS = ["ingested_at", "dbt_updated_at"]
@@ -146,13 +149,6 @@ def _units(x: Column, scale: int) -> Column:
     return F.round(x * (10 ** scale)).cast("long")
 
 
-def _dec(units: Column, scale: int) -> Column:
-    """Integer units back to an exact DECIMAL value with ``scale`` decimals."""
-    u = units.cast("decimal(28,0)")
-    return u if scale == 0 else u * F.lit("0." + "0" * (scale - 1) + "1").cast(
-        f"decimal({scale},{scale})")
-
-
 def context_rows(ctx: DataFrame, key: str, order: str, side: list[str]) -> DataFrame:
     """The look-back rows of every chunk as narrow rows of that chunk (``_own`` = false); they
     also carry the chunk's side values (start offset, return prefix)."""
@@ -163,8 +159,7 @@ def context_rows(ctx: DataFrame, key: str, order: str, side: list[str]) -> DataF
 
 
 def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                   averages: bool = True, price_scale: int = 2,
-                   chunk_days: int = CHUNK_DAYS) -> DataFrame:
+                   averages: bool = True, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """Add the per-ticker series columns: sequence, previous close, returns, intraday range and,
     with ``averages``, the moving averages, volume averages, cumulative mean return and signal.
 
@@ -174,8 +169,9 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     context rows also carry the chunk's start offset and return prefix (a chunk without context
     rows is the first of its key, where both are zero).  Moving sums are differences of running
     sums (``R(p) - R(p - n)``, one ``lag`` each), so the cost per row does not grow with the frame
-    width.  Sums are exact integer units (``price_scale`` decimals for prices, 2 for cents); only
-    the final division per average is decimal, rounding half up like ``round(avg(..), 4)``."""
+    width.  Sums are exact integers: prices are summed as wholes and as fractions at 1e-10, so
+    adjusted prices keep all their digits and an average rounds half up like ``round(avg(..), 4)``
+    of the true sum."""
     base = df.drop(*[c for c in DERIVED if c in df.columns])
     lookback = LOOKBACK if averages else 1
     side = ["_start", "_ps", "_pn"] if averages else ["_start"]
@@ -203,7 +199,8 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
             "_ps": F.coalesce(F.first("_ps", ignorenulls=True).over(run),
                               F.lit(0).cast("decimal(38,0)")),
             "_pn": F.coalesce(F.first("_pn", ignorenulls=True).over(run), F.lit(0)),
-            "_Rc": F.sum(F.coalesce(_units(F.col("close_price"), price_scale), F.lit(0))).over(run),
+            "_Rc": F.sum(F.coalesce(price_parts("close_price")[0], F.lit(0))).over(run),
+            "_Rf": F.sum(F.coalesce(price_parts("close_price")[1], F.lit(0))).over(run),
             "_Rcn": F.sum(one_if(F.col("close_price").isNotNull())).over(run),
             "_Rv": F.sum(F.coalesce(F.col("volume"), F.lit(0))).over(run),
             "_Rvn": F.sum(one_if(F.col("volume").isNotNull())).over(run),
@@ -227,8 +224,7 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     ret_units = _units(F.col("daily_return_pct"), 4)
     cols = {}
     for n in PRICE_WINDOWS:
-        cols[f"sma_{n}d"] = exact_ratio(_dec(moving("_Rc", n), price_scale), moving("_Rcn", n),
-                                        price_scale, 4)
+        cols[f"sma_{n}d"] = price_avg(moving("_Rc", n), moving("_Rf", n), moving("_Rcn", n))
     for n in VOLUME_WINDOWS:
         # avg(bigint) is a DOUBLE division of an exact integer sum by the count.
         cols[f"vol_ma_{n}d"] = F.round(moving("_Rv", n).cast("double")
@@ -237,10 +233,10 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     run_rs = F.sum(F.when(own, F.coalesce(ret_units, F.lit(0))).otherwise(0)).over(run)
     run_rn = F.sum(one_if(own & ret_units.isNotNull())).over(run)
     cols["cumulative_avg_return_pct"] = exact_ratio(
-        _dec(F.col("_ps") + run_rs, 4), F.col("_pn") + run_rn, 4, 4)
+        F.col("_ps") + run_rs, F.col("_pn") + run_rn, 4, 4)
     d = d.withColumns(cols).filter(own)
     d = d.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
-    return _ordered(d.drop(*helpers, "_ps", "_pn", "_Rc", "_Rcn", "_Rv", "_Rvn"),
+    return _ordered(d.drop(*helpers, "_ps", "_pn", "_Rc", "_Rf", "_Rcn", "_Rv", "_Rvn"),
                     MOVING_AVERAGE_COLUMNS)
 
 
@@ -254,9 +250,8 @@ def daily_returns(df: DataFrame, key: str = "ticker", order: str = "price_date",
 
 
 def moving_averages(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                    price_scale: int = 2, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+                    chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """7/30/90-row price averages, 7/30-row volume averages, cumulative mean return and the
     close-vs-30-row-average signal, on top of :func:`daily_returns` output (whose columns are
     recomputed in the same pass, with identical values)."""
-    return series_metrics(df, key, order, averages=True, price_scale=price_scale,
-                          chunk_days=chunk_days)
+    return series_metrics(df, key, order, averages=True, chunk_days=chunk_days)

@@ -146,13 +146,27 @@ def q_price_signal(spark, sf):
     "select ticker, price_date, trading_day_seq, daily_return_pct, cumulative_avg_return_pct,"
     " sma_7d, sma_30d, sma_90d, vol_ma_7d, vol_ma_30d from moving_averages", "moving_averages"))
 def q_cumulative_return(spark, sf):
-    # Small chunks on purpose (~20 rows each, fewer than the 89-row look-back): the context of
-    # a chunk then spans several earlier chunks, exercising the side-table prefix and context.
-    return series.series_metrics(stg_p(spark, sf), chunk_days=30).select(
+    return series.series_metrics(stg_p(spark, sf)).select(
         "ticker", "price_date", "trading_day_seq", "daily_return_pct",
         "cumulative_avg_return_pct", "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d", "vol_ma_30d")
 
 
+def adjusted(prices: DataFrame) -> DataFrame:
+    """Staged prices as a source that adjusts for splits and dividends gives them: divided by a
+    factor that moves every day, so they carry all the decimals of a double."""
+    f = F.lit(1) + F.datediff("price_date", F.lit("1990-01-01")) / F.lit(3652.5)
+    out = prices.withColumns({c: F.col(c) / f for c in ("open_price", "high_price", "low_price", "close_price")})
+    move = F.col("close_price") - F.col("open_price")
+    return out.withColumns({"price_change": F.round(move, 4),
+                            "pct_change_open_to_close": F.round(move / F.col("open_price") * 100, 4)})
+
+
+@register("adjusted_moving_averages", O.with_ctes(
+    "select * from adjusted_moving_averages", "adjusted_moving_averages"))
+def q_adjusted_moving_averages(spark, sf):
+    return _no_audit(series.series_metrics(adjusted(stg_p(spark, sf))))
+
+
 @register("event_moving_averages", O.with_ctes(
     "select * from event_moving_averages", "event_moving_averages"))
 def q_event_moving_averages(spark, sf):

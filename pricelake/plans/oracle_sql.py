@@ -3,7 +3,8 @@
 Written directly in SQL over the driver's views (``lineitem``, ``supplier``, ``events``, ...), as
 plain window functions over whole partitions, the way the reference models are written.  The
 Spark jobs compute the same values with a different (blocked, skew-safe) plan, so agreement is a
-real check.  Exact averages use integer sums: for x with at most 4 decimals,
+real check.  Price averages sum the close in units of 1e-10 (never rounded to the output's four
+decimals first).  Other exact averages use integer sums: for x with at most 4 decimals,
 ``u = sum(round(x * 10^4))`` and ``round(u / n)`` half away from zero is
 ``sign(u) * ((2|u| + n) // (2n))``.
 """
@@ -31,6 +32,16 @@ def units4(x: str) -> str:
     return f"cast(round({x} * 10000) as hugeint)"
 
 
+def units10(x: str) -> str:
+    return (f"(cast(floor({x}) as hugeint) * 10000000000"
+            f" + cast(round(({x} - floor({x})) * 10000000000.0::double) as hugeint))")
+
+
+def price_avg(u: str, n: str) -> str:
+    return (f"case when {n} > 0 then cast((2 * {u} + {n} * 1000000::hugeint)"
+            f" // (2 * {n} * 1000000::hugeint) as double) / 10000 end")
+
+
 def safe_div(n: str, d: str) -> str:
     return f"case when ({d}) = 0 or ({d}) is null then null else ({n}) / ({d}) end"
 
@@ -171,7 +182,18 @@ def _returns(src: str) -> str:
   window w as (partition by ticker order by price_date)"""
 
 
+# Closes as a source that adjusts for splits and dividends gives them: many decimals.
+CTE["adjusted_prices"] = """
+  select stock_price_id, ticker, price_date, open_price / f as open_price,
+    high_price / f as high_price, low_price / f as low_price, close_price / f as close_price,
+    volume, ingested_at,
+    round(close_price / f - open_price / f, 4) as price_change,
+    round((close_price / f - open_price / f) / (open_price / f) * 100, 4)
+      as pct_change_open_to_close
+  from (select *, 1 + date_diff('day', date '1990-01-01', price_date) / 3652.5::double as f
+        from stg_prices) a"""
 CTE["daily_returns"] = _returns("prices_joined")
+CTE["adjusted_returns"] = _returns("adjusted_prices")
 CTE["event_returns"] = _returns("stg_event_prices")
 
 
@@ -180,9 +202,9 @@ def _ma_units(src: str) -> str:
         return f"(partition by ticker order by price_date rows between {n - 1} preceding and current row)"
     return f"""
   select *,
-    sum({units4('close_price')}) over {fr(7)} as u7, count(close_price) over {fr(7)} as n7,
-    sum({units4('close_price')}) over {fr(30)} as u30, count(close_price) over {fr(30)} as n30,
-    sum({units4('close_price')}) over {fr(90)} as u90, count(close_price) over {fr(90)} as n90,
+    sum({units10('close_price')}) over {fr(7)} as u7, count(close_price) over {fr(7)} as n7,
+    sum({units10('close_price')}) over {fr(30)} as u30, count(close_price) over {fr(30)} as n30,
+    sum({units10('close_price')}) over {fr(90)} as u90, count(close_price) over {fr(90)} as n90,
     cast(round(avg(volume) over {fr(7)}, 0) as bigint) as vol_ma_7d,
     cast(round(avg(volume) over {fr(30)}, 0) as bigint) as vol_ma_30d,
     sum({units4('daily_return_pct')}) over (partition by ticker order by price_date
@@ -198,10 +220,10 @@ def _ma(src: str) -> str:
     close_price, prev_close_price, volume, price_change, pct_change_open_to_close,
     daily_return_pct, intraday_range, intraday_range_pct,
     {exact4('uc', 'nc')} as cumulative_avg_return_pct,
-    {exact4('u7', 'n7')} as sma_7d, {exact4('u30', 'n30')} as sma_30d,
-    {exact4('u90', 'n90')} as sma_90d, vol_ma_7d, vol_ma_30d,
-    case when close_price > {exact4('u30', 'n30')} then 'Above 30d MA'
-         when close_price < {exact4('u30', 'n30')} then 'Below 30d MA'
+    {price_avg('u7', 'n7')} as sma_7d, {price_avg('u30', 'n30')} as sma_30d,
+    {price_avg('u90', 'n90')} as sma_90d, vol_ma_7d, vol_ma_30d,
+    case when close_price > {price_avg('u30', 'n30')} then 'Above 30d MA'
+         when close_price < {price_avg('u30', 'n30')} then 'Below 30d MA'
          else 'At 30d MA' end as price_vs_sma_30d,
     * exclude (stock_price_id, ticker, price_date, trading_day_seq, open_price, high_price,
                low_price, close_price, prev_close_price, volume, price_change,
@@ -211,6 +233,7 @@ def _ma(src: str) -> str:
 
 
 CTE["moving_averages"] = _ma("daily_returns")
+CTE["adjusted_moving_averages"] = _ma("adjusted_returns")
 CTE["event_moving_averages"] = _ma("event_returns")
 
 FCT_SELECT = """
@@ -268,6 +291,8 @@ DEPS = {
     "stg_companies": ["company_dedup"], "prices_joined": ["stg_prices", "stg_companies"],
     "daily_returns": ["prices_joined"], "event_returns": ["stg_event_prices"],
     "moving_averages": ["daily_returns"], "event_moving_averages": ["event_returns"],
+    "adjusted_prices": ["stg_prices"], "adjusted_returns": ["adjusted_prices"],
+    "adjusted_moving_averages": ["adjusted_returns"],
     "fct_prices": ["moving_averages"], "dim_companies": ["stg_companies"],
     "job_log": [], "metering": [],
 }

@@ -104,3 +104,12 @@ def test_exact_avg_is_half_up_of_true_mean(spark, units):
     got = df.select(exact_avg("x", 4, 4)).collect()[0][0]
     true = (Decimal(sum(units)) / len(units) / 10**4).quantize(Decimal("0.0001"), ROUND_HALF_UP)
     assert got == float(true)
+
+
+def test_exact_ratio_of_huge_counts(spark):
+    from pricelake.functions.scalar import exact_ratio, price_avg
+    df = spark.createDataFrame([(3 * 10**14 + 1, 2 * 10**13), (-5, 10**5), (0, 7), (1, 0)], "u long, n long")
+    got = [r[0] for r in df.select(exact_ratio("u", "n", 4, 4)).collect()]
+    assert got == [0.0015, -0.0001 if 2 * 5 >= 10**5 else 0.0, 0.0, None]
+    sums = spark.createDataFrame([(10, 1_500_000, 3), (0, 500_000, 1), (0, 499_999, 1), (5, 0, 0)], "w long, f long, n long")
+    assert [r[0] for r in sums.select(price_avg("w", "f", "n")).collect()] == [3.3334, 0.0001, 0.0, None]

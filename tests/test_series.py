@@ -47,7 +47,7 @@ def brute(hist):
     return out
 
 
-def make_rows(seed, tickers=3, days=260, dup_share=0.0):
+def make_rows(seed, tickers=3, days=260, dup_share=0.0, decimals=2):
     rnd = random.Random(seed)
     rows = []
     for t in range(tickers):
@@ -56,19 +56,20 @@ def make_rows(seed, tickers=3, days=260, dup_share=0.0):
         for _ in range(n):
             if rnd.random() >= dup_share:        # else: another bar on the same day
                 day += dt.timedelta(days=rnd.choice([1, 1, 1, 2, 3, 7, 20]))
-            close = round(rnd.uniform(1, 500), 2)
+            close = round(rnd.uniform(1, 500), decimals)
             high, low = close + 1.0, max(close - 1.0, 0.01)
             vol = None if rnd.random() < 0.05 else rnd.randint(0, 10_000)
             rows.append((f"T{t}", day, close, high, low, vol))
     return rows
 
 
-@pytest.mark.parametrize("seed,chunk_days,dup_share",
-                         [(1, 5, 0.0), (2, 45, 0.0), (3, 732, 0.0), (4, 10, 0.3)])
-def test_series_matches_brute_force(spark, seed, chunk_days, dup_share):
+@pytest.mark.parametrize("seed,chunk_days,dup_share,decimals",
+                         [(1, 5, 0.0, 2), (2, 45, 0.0, 2), (3, 732, 0.0, 2), (4, 10, 0.3, 2),
+                          (5, 30, 0.0, 6), (6, 30, 0.0, 10)])
+def test_series_matches_brute_force(spark, seed, chunk_days, dup_share, decimals):
     """dup_share > 0: several bars per (ticker, date) - not valid data, but the order (date,
     close, volume) must then be applied the same way in the side table and the main pass."""
-    data = make_rows(seed, dup_share=dup_share)
+    data = make_rows(seed, dup_share=dup_share, decimals=decimals)
     df = spark.createDataFrame(
         data, "ticker string, price_date date, close_price double, high_price double, "
               "low_price double, volume bigint")
