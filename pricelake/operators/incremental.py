@@ -6,36 +6,37 @@ Semantics kept from the reference's incremental marts:
   a row equal to the max or older is never loaded); an absent target loads everything, an empty
   one every row that has a load time;
 * merge on a unique key: a batch row replaces the target row with the same key, new keys are
-  inserted, target rows absent from the batch are kept; nothing is deleted.
+  inserted, target rows absent from the batch are kept; nothing is deleted.  A key that a batch
+  holds several times is reduced to its latest load first (``latest_per_key``).
 
 The watermark is a scalar subquery (``DataFrame.scalar()``), evaluated by the engine: nothing is
-collected to the driver.  Windows on price history partition by ticker, so recomputing only the
-tickers that received new rows gives the same rows as recomputing everything.
+collected to the driver.  New rows are computed from the stored state of their ticker's series, or
+from its whole history where they fall inside it; either gives the rows of a full recomputation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.operators.intermediate import attach_companies
 from pricelake.operators.marts import FCT_KEY, fct_select
-from pricelake.operators.series import series_metrics
+from pricelake.operators.series import series_metrics, series_state
 
 WATERMARK = "ingested_at"
 
 
 def watermark(target: DataFrame, col: str = WATERMARK) -> Column:
-    """``(select max(col) from target)`` as a Column."""
-    return target.agg(F.max(col)).scalar()
+    """``(select max(col) from target)`` as a Column; for an empty target a time before all
+    others, so that every row that has a load time is newer."""
+    first = F.lit("0001-01-01 00:00:00").cast(target.schema[col].dataType)
+    return target.agg(F.coalesce(F.max(col), first)).scalar()
 
 
 def newer_than(col: str, hwm: Column) -> Column:
-    """Row predicate of the incremental filter: ``col > hwm``.  A null watermark (empty target)
-    passes every row that has a load time.  The subquery is referenced once, so each use of the
-    predicate plans a single scan of the target."""
-    c = F.col(col)
-    return c > F.coalesce(hwm, c - F.expr("INTERVAL 1 MICROSECOND"))
+    """Row predicate of the incremental filter: a plain ``col > hwm``, which Spark pushes into the
+    scan once the subquery's value is known."""
+    return F.col(col) > hwm
 
 
 def new_rows(source: DataFrame, target: DataFrame | None, col: str = WATERMARK) -> DataFrame:
@@ -60,62 +61,78 @@ def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str],
     return batch.unionByName(kept.select(*batch.columns))
 
 
-def duplicate_keys(batch: DataFrame, key: str | list[str]) -> DataFrame:
-    """Keys that occur more than once in a batch (a merge needs them unique)."""
+def latest_per_key(batch: DataFrame, key: str | list[str], newest: list[str]) -> DataFrame:
+    """One row per key: that with the greatest ``newest`` columns (nulls last); of rows that agree
+    in those, the greatest by all other columns, so a re-run keeps the same one.  A limit before
+    the shuffle keeps a key that was delivered very often from travelling whole."""
     keys = [key] if isinstance(key, str) else list(key)
-    return batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-
-
-def changed_tickers(stg_p: DataFrame, hwm: Column, col: str = WATERMARK) -> DataFrame:
-    return stg_p.filter(newer_than(col, hwm)).select("ticker").distinct()
-
-
-def _backfill_from(stg_p: DataFrame, hwm: Column) -> DataFrame:
-    """Per ticker with new rows, the earliest new price date."""
-    return (stg_p.filter(newer_than(WATERMARK, hwm)).groupBy("ticker")
-            .agg(F.min("price_date").alias("_from")))
+    rest = sorted(c for c in batch.columns if c not in keys and c not in newest)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*newest, *rest]])
+    return (batch.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1)
+            .drop("_rank"))
 
 
 def fct_increment(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
-                  backfill: bool = False, **series_opts) -> DataFrame:
-    """The batch of an incremental fact run: fact rows newer than the target's watermark.
-
-    Windows are recomputed only for tickers that have new rows (semi-join before the windows);
-    the watermark filter is applied after them, where it must be, since history rows feed the
-    windows of the new ones.
-
-    ``backfill=True`` goes beyond the reference: when new rows are dated before rows already
-    published (a late back-fill), the batch also carries every recomputed row of that ticker on or
-    after its earliest new date - exactly the rows whose windows changed."""
+                  state: DataFrame | None = None, backfill: bool = False,
+                  newest: list[str] | None = None, **series_opts) -> tuple[DataFrame, DataFrame]:
+    """The batch of an incremental fact run, fact rows newer than the target's watermark, and the
+    state of the series after it.
+
+    New rows that come after everything published of their ticker are computed from ``state``, so
+    the history is not read.  Tickers with a new row on or before their last published date (a
+    late back-fill, a corrected or re-delivered bar) are computed from their whole history, of
+    each (ticker, date) the latest load.  Without a state every changed ticker is.
+
+    ``backfill=True`` goes beyond the reference: for those tickers the batch also carries every
+    recomputed row on or after the earliest new date, exactly the rows whose windows changed."""
+    newest = newest or [WATERMARK]
     if target is None:
-        scope, hwm = stg_p, None
-    else:
-        hwm = watermark(target)
-        scope = stg_p.join(changed_tickers(stg_p, hwm), "ticker", "left_semi")
-    fact = fct_select(attach_companies(series_metrics(scope, **series_opts), stg_c))
-    if hwm is None:
-        return fact
+        whole = stg_p
+        return (fct_select(attach_companies(series_metrics(whole, **series_opts), stg_c)),
+                series_state(whole))
+    hwm = watermark(target)
+    new = latest_per_key(stg_p.filter(newer_than(WATERMARK, hwm)), FCT_KEY, newest)
+    return increment_of(new, stg_p, stg_c, state, backfill, newest, **series_opts)
+
+
+def increment_of(new: DataFrame, stg_p: DataFrame, stg_c: DataFrame, state: DataFrame | None,
+                 backfill: bool, newest: list[str], **series_opts) -> tuple[DataFrame, DataFrame]:
+    """``fct_increment`` for given new rows, unique by key; ``stg_p`` is the whole history, new rows
+    included, and is read only for tickers that need it."""
+    def published(rows):
+        return fct_select(attach_companies(series_metrics(rows, **series_opts), stg_c))
+
+    since = new.groupBy("ticker").agg(F.min("price_date").alias("_from"))
+    late = since
+    if state is not None:
+        last = state.select("ticker", "_last_d")
+        late = (since.join(last, "ticker", "left").filter(F.col("_from") <= F.col("_last_d"))
+                .drop("_last_d"))
+        if late.isEmpty():
+            return (fct_select(attach_companies(series_metrics(new, state=state, **series_opts), stg_c)),
+                    series_state(new, state=state))
+    scope = latest_per_key(stg_p.join(late.select("ticker"), "ticker", "left_semi"), FCT_KEY, newest)
+    again = published(scope)
     if backfill:
-        return (fact.join(_backfill_from(stg_p, hwm), "ticker")
-                .filter(F.col("price_date") >= F.col("_from")).select(*fact.columns))
-    return fact.filter(newer_than(WATERMARK, hwm))
+        again = (again.join(late, "ticker").filter(F.col("price_date") >= F.col("_from"))
+                 .select(*again.columns))
+    else:
+        again = again.join(new.select(FCT_KEY), FCT_KEY, "left_semi").select(*again.columns)
+    if state is None:
+        return again, series_state(latest_per_key(stg_p, FCT_KEY, newest))
+    after = new.join(late, "ticker", "left_anti")
+    rest = state.join(late, "ticker", "left_anti")
+    batch = fct_select(attach_companies(series_metrics(after, state=rest, **series_opts), stg_c))
+    return batch.unionByName(again), series_state(after, state=rest).unionByName(series_state(scope))
 
 
 def fct_incremental(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
-                    backfill: bool = False, **series_opts) -> DataFrame:
-    """Target after an incremental run: ``upsert(target, fct_increment(...))``.  The fact batch
-    holds one row per staged row it covers, so those staged rows' keys (a narrow scan) are the
-    batch keys for the anti-join."""
-    batch = fct_increment(stg_p, stg_c, target, backfill=backfill, **series_opts)
-    if target is None:
-        return batch
-    hwm = watermark(target)
-    if backfill:
-        keys = (stg_p.join(_backfill_from(stg_p, hwm), "ticker")
-                .filter(F.col("price_date") >= F.col("_from")).select(FCT_KEY))
-    else:
-        keys = stg_p.filter(newer_than(WATERMARK, hwm)).select(FCT_KEY)
-    return upsert(target, batch, FCT_KEY, batch_keys=keys)
+                    state: DataFrame | None = None, backfill: bool = False,
+                    **series_opts) -> DataFrame:
+    """Target after an incremental run, as one plan: ``upsert(target, batch)``.  (``plans.warehouse``
+    writes the batch as a layer instead and touches only its months.)"""
+    batch, _ = fct_increment(stg_p, stg_c, target, state, backfill, **series_opts)
+    return batch if target is None else upsert(target, batch, FCT_KEY)
 
 
 def dim_incremental(stg_c: DataFrame, target: DataFrame | None) -> DataFrame:

@@ -4,12 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from pricelake.operators.series import (  # noqa: F401  (re-exported jobs)
-    COMPANY_COLUMNS,
-    daily_returns,
-    moving_averages,
-    series_metrics,
-)
+from pricelake.operators.series import COMPANY_COLUMNS
 
 JOINED_COLUMNS = [
     "stock_price_id", "ticker", "price_date", "open_price", "high_price", "low_price",

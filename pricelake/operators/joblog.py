@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions.scalar import exact_avg, run_type
@@ -109,57 +109,56 @@ def slowest(log: DataFrame, as_of=None, warehouse: str | None = None,
 # Storage reports over written parquet
 # --------------------------------------------------------------------------------------------
 def file_ranges(df: DataFrame, keys: list[str], unit: str = "_metadata.file_path") -> DataFrame:
-    """Per storage unit (file, or ``spark_partition_id()`` for an in-memory plan): rows and the
-    min / max of every clustering key.  A distributed group-by; nothing goes to the driver."""
-    u = F.col(unit) if isinstance(unit, str) else unit
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for k in keys:
-        aggs += [F.min(k).alias(f"min_{k}"), F.max(k).alias(f"max_{k}")]
-    return df.groupBy(u.alias("unit")).agg(*aggs)
-
-
-def _width(lo: Column, hi: Column) -> Column:
-    """Inclusive width of a key range: days for dates/timestamps, value span + 1 for numbers."""
-    return F.datediff(hi.cast("date"), lo.cast("date")) + 1
-
-
-def clustering_depth(ranges: DataFrame, key: str) -> DataFrame:
-    """Clustering summary on ``key`` from per-unit ranges, by aggregation only:
-    ``average_depth`` = (sum of unit range widths) / (width of the whole key range), the expected
-    number of units covering a key value (1.0 = perfectly clustered, = units when every unit
-    spans everything); ``average_overlaps`` = depth - 1."""
-    lo, hi = F.col(f"min_{key}"), F.col(f"max_{key}")
-    s = ranges.agg(
-        F.count(F.lit(1)).alias("total_units"),
-        F.sum("rows").alias("total_rows"),
-        F.sum(_width(lo, hi)).alias("_w"),
-        F.min(lo).alias("_lo"), F.max(hi).alias("_hi"))
-    depth = F.col("_w") / _width(F.col("_lo"), F.col("_hi"))
-    return s.select(
-        F.lit(key).alias("clustering_key"), "total_units", "total_rows",
-        F.round(depth, 4).alias("average_depth"),
-        F.round(depth - 1, 4).alias("average_overlaps"))
-
-
-def layout_report(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Clustering effectiveness of a written parquet table on its first clustering key."""
-    df = spark.read.parquet(path)
-    return clustering_depth(file_ranges(df, keys), keys[0])
-
-
-def partition_layout(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The same report for an in-memory plan, one unit per Spark partition."""
-    return clustering_depth(file_ranges(df, keys, F.spark_partition_id()), keys[0])
-
-
-def table_inventory(spark: SparkSession, tables: list[tuple[str, str, str]]) -> DataFrame:
-    """Rows, size in MB and last modification per (layer, table, path), sorted by layer, table.
+    """Per file: rows, and the smallest and greatest clustering key (``lo`` / ``hi``, of all its
+    columns).  A distributed group-by."""
+    key = F.struct(*keys)
+    return df.groupBy(F.col(unit).alias("unit")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+
+
+def clustering_depth(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Clustering summary from per-file key ranges, of any types, by a sweep: a range opens at its
+    start and closes after its end, and the running sum is the number of ranges open.
+
+    ``average_depth`` / ``max_depth``: ranges open where a file's range begins, itself included;
+    ``average_overlaps``: other files that a file's range overlaps (every overlapping pair is met
+    once, where the later one begins).  1 and 0 are perfect.  The sweep is one ordered window over
+    two rows per file."""
+    events = ranges.select(
+        "unit", F.explode(F.array(F.struct(F.col("lo").alias("at"), F.lit(1).alias("step"), F.col("rows")),
+                                  F.struct(F.col("hi").alias("at"), F.lit(-1).alias("step"), F.col("rows")))).alias("e"))
+    w = Window.orderBy("e.at", F.col("e.step").desc(), "unit").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    starts = events.withColumn("depth", F.sum("e.step").over(w)).filter("e.step = 1")
+    n, d = F.count(F.lit(1)), F.sum("depth")
+    return starts.agg(
+        F.lit(", ".join(keys)).alias("clustering_key"), n.alias("total_units"),
+        F.coalesce(F.sum("e.rows"), F.lit(0)).alias("total_rows"), F.max("depth").alias("max_depth"),
+        F.round(F.try_divide(d, n), 4).alias("average_depth"),
+        F.round(F.try_divide((d - n) * 2, n), 4).alias("average_overlaps"))
+
+
+def layout_report(spark: SparkSession, folders: list[str], keys: list[str]) -> DataFrame:
+    """Clustering effectiveness of written parquet folders on the whole clustering key."""
+    return clustering_depth(file_ranges(spark.read.parquet(*folders), keys), keys)
+
+
+def table_inventory(spark: SparkSession,
+                    tables: list[tuple[str, str, list[str] | None]]) -> DataFrame:
+    """Rows, size in MB and last modification per (layer, table, folders), sorted by layer, table;
+    a view (no folders) has nulls.
 
     Row counts come from a scan that reads no data columns (``_metadata`` only); sizes are
     summed over distinct files."""
     parts = []
-    for layer, name, path in tables:
-        m = spark.read.parquet(path).select(
+    for layer, name, folders in tables:
+        label = [F.lit(layer).alias("table_schema"), F.lit(name).alias("table_name")]
+        if not folders:
+            none = [F.lit(None).cast(t).alias(c) for c, t in
+                    (("row_count", "bigint"), ("size_mb", "double"), ("last_altered", "timestamp"))]
+            parts.append(spark.range(1).select(*label, *none))
+            continue
+        m = spark.read.parquet(*folders).select(
             F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("sz"),
             F.col("_metadata.file_modification_time").alias("mt"))
         per_file = m.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("sz").alias("sz"),
@@ -167,7 +166,5 @@ def table_inventory(spark: SparkSession, tables: list[tuple[str, str, str]]) ->
         parts.append(per_file.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
             F.coalesce(F.round(F.sum("sz") / MB, 2), F.lit(0.0)).alias("size_mb"),
-            F.max("mt").alias("last_altered"))
-            .select(F.lit(layer).alias("table_schema"), F.lit(name).alias("table_name"),
-                    "row_count", "size_mb", "last_altered"))
+            F.max("mt").alias("last_altered")).select(*label, "row_count", "size_mb", "last_altered"))
     return reduce(DataFrame.unionByName, parts).orderBy("table_schema", "table_name")

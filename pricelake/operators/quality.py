@@ -33,6 +33,38 @@ RETURN_BOUND = 75.0
 WARM_UP_ROWS = 90
 
 MODEL_TESTS = {
+    "raw_stock_prices": {
+        "not_null": ["ticker", "date", "close", "volume"], "unique": [], "accepted": {},
+    },
+    "raw_company_metadata": {
+        "not_null": ["ticker"], "unique": ["ticker"], "accepted": {},
+    },
+    "stg_stock_prices": {
+        "not_null": ["stock_price_id", "ticker", "price_date", "open_price", "high_price",
+                     "low_price", "close_price", "volume", "ingested_at", "dbt_updated_at"],
+        "unique": ["stock_price_id"], "accepted": {},
+    },
+    "stg_company_metadata": {
+        "not_null": ["company_id", "ticker", "company_name", "sector", "ingested_at",
+                     "dbt_updated_at"],
+        "unique": ["company_id", "ticker"],
+        "accepted": {"market_cap_category": CAP_CATEGORIES},
+    },
+    "int_stock_prices_joined": {
+        "not_null": ["stock_price_id", "ticker", "price_date", "open_price", "high_price",
+                     "low_price", "close_price", "volume"],
+        "unique": ["stock_price_id"], "accepted": {},
+    },
+    "int_stock_daily_returns": {
+        "not_null": ["stock_price_id", "ticker", "price_date", "intraday_range",
+                     "intraday_range_pct", "trading_day_seq"],
+        "unique": ["stock_price_id"], "accepted": {},
+    },
+    "int_stock_moving_averages": {
+        "not_null": ["stock_price_id", "ticker", "price_date", "sma_7d", "sma_30d", "sma_90d",
+                     "vol_ma_7d", "vol_ma_30d", "price_vs_sma_30d"],
+        "unique": ["stock_price_id"], "accepted": {"price_vs_sma_30d": SIGNALS},
+    },
     "fct_stock_prices": {
         "not_null": ["stock_price_id", "ticker", "company_name", "sector", "market_cap_category",
                      "price_date", "price_week", "price_month", "price_year", "day_of_week",
@@ -63,9 +95,14 @@ def check_not_null(df: DataFrame, col: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, col: str) -> DataFrame:
-    """Values that occur more than once (nulls ignored): ``(value, n_records)``.  The count is
-    partially aggregated per task, so a hot value ships one partial count per task."""
-    return (df.filter(F.col(col).isNotNull()).groupBy(col)
+    """Values that occur more than once (nulls ignored): ``(value, n_records)``.
+
+    A key that is unique gains nothing from partial aggregation, so 8-byte hashes are counted
+    instead of the values; only rows whose hash occurs again are then counted by value."""
+    some = df.filter(F.col(col).isNotNull()).select(col, F.xxhash64(col).alias("_h"))
+    again = (some.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+             .select("_h"))
+    return (some.join(again, "_h", "left_semi").groupBy(col)
             .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
 
 
@@ -184,39 +221,51 @@ def row_rules(model: str, as_of=None) -> list[tuple[str, str, Column]]:
     return out
 
 
-def quality_summary(df: DataFrame, model: str, as_of=None) -> DataFrame:
-    """One row per row-level rule: ``(model, rule, column_name, failures)`` from ONE scan."""
-    rules = [(r, c, p) for r, c, p in row_rules(model, as_of) if c in df.columns]
-    counts = df.agg(*[F.count_if(p).alias(f"r{i}") for i, (_, _, p) in enumerate(rules)])
-    pairs = ", ".join(f"'{r}', '{c}', r{i}" for i, (r, c, _) in enumerate(rules))
-    return counts.selectExpr(
-        f"'{model}' as model",
-        f"stack({len(rules)}, {pairs}) as (rule, column_name, failures)")
+def quality_summary(df: DataFrame, model: str | list[str], as_of=None) -> DataFrame:
+    """One row per row-level rule: ``(model, rule, column_name, failures)`` from ONE scan.  Several
+    models may be checked on one frame that has the rows and columns of them all."""
+    models = [model] if isinstance(model, str) else model
+    rules = [(m, r, c, p) for m in models for r, c, p in row_rules(m, as_of) if c in df.columns]
+    counts = df.agg(*[F.count_if(p).alias(f"r{i}") for i, (_, _, _, p) in enumerate(rules)])
+    rows = ", ".join(f"'{m}', '{r}', '{c}', r{i}" for i, (m, r, c, _) in enumerate(rules))
+    return counts.selectExpr(f"stack({len(rules)}, {rows}) as (model, rule, column_name, failures)")
+
 
+def _count(violations: DataFrame, model: str, rule: str, column: str) -> DataFrame:
+    return violations.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(model).alias("model"), F.lit(rule).alias("rule"),
+        F.lit(column).alias("column_name"), "failures")
 
-def uniqueness_summary(df: DataFrame, model: str) -> DataFrame:
-    parts = [check_unique(df, c).agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(model).alias("model"), F.lit("unique").alias("rule"),
-                     F.lit(c).alias("column_name"), "failures")
+
+def uniqueness_summary(df: DataFrame, model: str) -> DataFrame | None:
+    parts = [_count(check_unique(df, c), model, "unique", c)
              for c in MODEL_TESTS[model]["unique"] if c in df.columns]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+#: Views that are one frame: the moving averages hold the rows and columns of all three.
+SERIES_MODELS = ["int_stock_prices_joined", "int_stock_daily_returns", "int_stock_moving_averages"]
 
 
-def run_all(spark: SparkSession, fct: DataFrame, dim: DataFrame, as_of=None,
+def run_all(spark: SparkSession, tables: dict[str, DataFrame], as_of=None,
             expected=None) -> DataFrame:
-    """Summary of every test: fused row rules per table, uniqueness, referential integrity and
-    (when ``expected`` is given) the expected-ticker test."""
-    parts = [quality_summary(fct, "fct_stock_prices", as_of),
-             quality_summary(dim, "dim_companies", as_of),
-             uniqueness_summary(fct, "fct_stock_prices"),
-             uniqueness_summary(dim, "dim_companies"),
-             check_referential(fct, dim).agg(F.count(F.lit(1)).alias("failures")).select(
-                 F.lit("fct_stock_prices").alias("model"),
-                 F.lit("fct_dim_referential_integrity").alias("rule"),
-                 F.lit("ticker").alias("column_name"), "failures")]
-    if expected is not None:
-        parts.append(check_expected(fct, expected).agg(F.count(F.lit(1)).alias("failures"))
-                     .select(F.lit("fct_stock_prices").alias("model"),
-                             F.lit("all_tickers_present").alias("rule"),
-                             F.lit("ticker").alias("column_name"), "failures"))
-    return reduce(DataFrame.unionByName, parts)
+    """Summary of every declared test: per table one scan for its row rules, uniqueness, referential
+    integrity and the expected tickers (``EXPECTED_TICKERS`` unless given).  ``tables`` maps model
+    names to frames; models that are left out are not tested."""
+    parts = []
+    series = tables.get("int_stock_moving_averages")
+    for model, df in tables.items():
+        if model not in SERIES_MODELS:
+            parts.append(quality_summary(df, model, as_of))
+        parts.append(uniqueness_summary(df, model))
+    if series is not None:
+        parts.append(quality_summary(series, [m for m in SERIES_MODELS if m in tables], as_of))
+    fct, dim = tables.get("fct_stock_prices"), tables.get("dim_companies")
+    if fct is not None and dim is not None:
+        parts.append(_count(check_referential(fct, dim), "fct_stock_prices",
+                            "fct_dim_referential_integrity", "ticker"))
+    if fct is not None:
+        wanted = EXPECTED_TICKERS if expected is None else expected
+        parts.append(_count(check_expected(fct, wanted), "fct_stock_prices",
+                            "all_tickers_present", "ticker"))
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None])

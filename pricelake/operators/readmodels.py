@@ -89,19 +89,17 @@ def risk_return(fct: DataFrame) -> DataFrame:
 
 
 def _latest_and_back(fct: DataFrame, back: int) -> DataFrame:
-    """Per ticker the latest close and the close ``back`` rows earlier, by equi-joins on
-    (ticker, trading_day_seq) against the per-ticker max sequence (no whole-ticker window)."""
-    last = fct.groupBy("ticker").agg(F.max("trading_day_seq").alias("_last"))
-    px = fct.select("ticker", "trading_day_seq", "close_price", "price_date")
-    now = px.join(last, (px.ticker == last.ticker) & (px.trading_day_seq == last._last)).select(
-        px.ticker, px.price_date.alias("latest_date"), px.close_price.alias("latest_close"),
-        last._last)
-    earlier = px.select("ticker", F.col("trading_day_seq").alias("_seq"),
-                        F.col("close_price").alias("base_close"),
-                        F.col("price_date").alias("base_date"))
-    return now.join(earlier, (now.ticker == earlier.ticker)
-                    & (earlier._seq == now._last - back)).select(
-        now.ticker, "base_date", "base_close", "latest_date", "latest_close")
+    """Per ticker the latest close and the close ``back`` rows earlier: one aggregate gives the
+    latest row, one equi-join on (ticker, trading_day_seq) the earlier one."""
+    now = (fct.groupBy("ticker")
+           .agg(F.max(F.struct("trading_day_seq", "price_date", "close_price")).alias("l"))
+           .select("ticker", (F.col("l.trading_day_seq") - back).alias("trading_day_seq"),
+                   F.col("l.price_date").alias("latest_date"),
+                   F.col("l.close_price").alias("latest_close")))
+    earlier = fct.select("ticker", "trading_day_seq", F.col("close_price").alias("base_close"),
+                         F.col("price_date").alias("base_date"))
+    return now.join(earlier, ["ticker", "trading_day_seq"]).select(
+        "ticker", "base_date", "base_close", "latest_date", "latest_close")
 
 
 def top10_30d(fct: DataFrame, n: int = TOP_N, back: int = RETURN_WINDOW_ROWS) -> DataFrame:

@@ -141,6 +141,44 @@ def chunk_context(stats: DataFrame, key: str, lookback: int, with_returns: bool)
     return s.select(*cols)
 
 
+# --------------------------------------------------------------------------------------------
+# State of published series: what an increment needs of the history, one row per key
+# --------------------------------------------------------------------------------------------
+# Chunk number of a state row: before every calendar chunk.
+STATE_CHUNK = -(1 << 40)
+
+
+def series_state(df: DataFrame, key: str = "ticker", order: str = "price_date",
+                 state: DataFrame | None = None, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """One row per key: number of rows, last date and close, exact sum and count of all returns,
+    and the last ``LOOKBACK`` rows.  With ``state``, ``df`` holds only rows after those that it
+    covers, and keys without new rows keep theirs."""
+    stats = chunk_stats(df, key, order, chunk_days, LOOKBACK, True)
+    if state is not None:
+        stats = stats.unionByName(_as_chunk(state, stats))
+    w = Window.partitionBy(key).orderBy("_chunk")
+    first_r = _units(daily_return(F.col("_first_c"), F.lag("_last_c").over(w)), 4)
+    whole = stats.withColumns({
+        "_rs": (F.col("_in_rs") + F.coalesce(first_r, F.lit(0))).cast("decimal(38,0)"),
+        "_rn": F.col("_in_rn") + F.when(first_r.isNotNull(), 1).otherwise(0)})
+    tails = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_tail"))),
+                                  lambda x: x["_tail"]))
+    out = whole.groupBy(key).agg(
+        F.sum("_n").alias("_n"), F.max_by("_last_c", "_chunk").alias("_last_c"),
+        F.sum("_rs").cast("decimal(38,0)").alias("_in_rs"), F.sum("_rn").alias("_in_rn"),
+        tails.alias("_all"))
+    kept = F.slice("_all", F.greatest(F.size("_all") - LOOKBACK + 1, F.lit(1)), LOOKBACK)
+    out = out.withColumn("_tail", kept).drop("_all")
+    return out.withColumn("_last_d", F.element_at("_tail", -1)["d"])
+
+
+def _as_chunk(state: DataFrame, stats: DataFrame) -> DataFrame:
+    """State rows in the layout of chunk rows, as the chunk before all others."""
+    s = state.withColumns({"_chunk": F.lit(STATE_CHUNK), "_first_c": F.lit(None).cast("double"),
+                           "_in_rs": F.col("_in_rs").cast("long")})
+    return s.select(*[c for c in stats.columns if c in s.columns])
+
+
 # --------------------------------------------------------------------------------------------
 # Main pass
 # --------------------------------------------------------------------------------------------
@@ -159,7 +197,8 @@ def context_rows(ctx: DataFrame, key: str, order: str, side: list[str]) -> DataF
 
 
 def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                   averages: bool = True, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+                   averages: bool = True, chunk_days: int = CHUNK_DAYS,
+                   state: DataFrame | None = None) -> DataFrame:
     """Add the per-ticker series columns: sequence, previous close, returns, intraday range and,
     with ``averages``, the moving averages, volume averages, cumulative mean return and signal.
 
@@ -171,12 +210,20 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     sums (``R(p) - R(p - n)``, one ``lag`` each), so the cost per row does not grow with the frame
     width.  Sums are exact integers: prices are summed as wholes and as fractions at 1e-10, so
     adjusted prices keep all their digits and an average rounds half up like ``round(avg(..), 4)``
-    of the true sum."""
+    of the true sum.
+
+    ``state`` (:func:`series_state`) stands for the history before the rows of ``df``, which must
+    be later than it covers: only the new rows are computed."""
     base = df.drop(*[c for c in DERIVED if c in df.columns])
     lookback = LOOKBACK if averages else 1
     side = ["_start", "_ps", "_pn"] if averages else ["_start"]
-    ctx = chunk_context(chunk_stats(base, key, order, chunk_days, lookback, averages), key,
-                        lookback, averages)
+    stats = chunk_stats(base, key, order, chunk_days, lookback, averages)
+    if state is not None:
+        known = state.join(base.select(key).distinct(), key, "left_semi")
+        stats = stats.unionByName(_as_chunk(known, stats))
+    ctx = chunk_context(stats, key, lookback, averages)
+    if state is not None:
+        ctx = ctx.filter(F.col("_chunk") != STATE_CHUNK)
     data = base.withColumns({"_chunk": _chunk(order, chunk_days), "_own": F.lit(True)})
     d = data.unionByName(context_rows(ctx, key, order, side), allowMissingColumns=True)
     w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")

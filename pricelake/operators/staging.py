@@ -37,17 +37,13 @@ def _is_text(df: DataFrame, c: str) -> bool:
 
 
 def to_bigint(df: DataFrame, c: str) -> Column:
-    """Lenient integer cast: text such as '164000.0' is read through DOUBLE and rounded."""
+    """Lenient integer cast: text such as '164000.0' is read as a decimal, with all its digits, and
+    rounded."""
     if _is_text(df, c):
-        return F.round(F.col(c).try_cast("double")).try_cast("bigint")
+        return F.round(F.col(c).try_cast("decimal(38,6)")).try_cast("bigint")
     return F.col(c).try_cast("bigint")
 
 
-def rename_cast(df: DataFrame, spec: list[tuple[str, str, str]]) -> DataFrame:
-    """Projection that renames and try-casts: ``[(source, target, type), ...]``."""
-    return df.select(*[F.col(s).try_cast(t).alias(d) for s, d, t in spec])
-
-
 def valid_prices() -> Column:
     """Keys and the four prices present, prices positive, high >= low.  Volume is not checked."""
     prices = ["close_price", "open_price", "high_price", "low_price"]
@@ -115,9 +111,7 @@ def companies_renamed(raw: DataFrame) -> DataFrame:
         F.upper(F.trim("exchange")).alias("exchange"),
         F.upper(F.trim("currency")).alias("currency"),
         F.col("market_cap").cast("double").alias("market_cap_usd"),
-        (F.round(F.col("full_time_employees").cast("double")).cast("bigint")
-         if _is_text(raw, "full_time_employees")
-         else F.col("full_time_employees").cast("bigint")).alias("full_time_employees"),
+        to_bigint(raw, "full_time_employees").alias("full_time_employees"),
         F.nullif(F.trim("website"), F.lit("")).alias("website"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
@@ -155,15 +149,19 @@ def stamp(df: DataFrame, ticker: str | None = None, loaded_at=None) -> DataFrame
     return out.withColumns(cols)
 
 
-def combine_extracts(dfs: list[DataFrame], check_empty: bool = False) -> DataFrame:
+def combine_extracts(dfs: list[DataFrame]) -> DataFrame:
     """Bag union of per-source extracts by column name.  Failed extracts are simply absent from
     ``dfs``; nothing at all arriving is an error."""
     if not dfs:
         raise ValueError("no extract arrived")
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
-    if check_empty and out.isEmpty():
+    return arrived(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs))
+
+
+def arrived(df: DataFrame) -> DataFrame:
+    """The same rows; an error if there is none (stops at the first row found)."""
+    if df.isEmpty():
         raise ValueError("no rows arrived in any extract")
-    return out
+    return df
 
 
 def restrict(df: DataFrame, universe, start=None, end=None, ticker_col: str = "ticker",

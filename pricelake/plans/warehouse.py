@@ -4,10 +4,10 @@
                  (the loaders' full refresh: truncate and reload).  Price extracts go through a
                  text stage into typed tables, with non-casting rows kept in ``<name>_rejects``.
 * ``load_csv`` / ``load_company_json``  the same RAW tables from landed files.
-* ``build``      staging views -> marts.  Full refresh writes the fact and dimension tables
-                 clustered by their keys; an incremental build reads the current version, runs
-                 the watermark / changed-ticker increment and writes the upserted next version
-                 (a version being read is never overwritten).
+* ``build``      staging views -> marts.  A full refresh writes the fact table by month and the
+                 state of its series; an increment computes the rows after the watermark from
+                 that state and writes a layer of the months they fall into
+                 (a layer being read is never overwritten).
 * ``run_tests``  the quality summary over the published marts.
 
 ``Warehouse`` keeps one such layout per (Spark application, input folder) under the shared
@@ -17,16 +17,17 @@ models and dashboard read warehouse tables, instead of re-deriving them per quer
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricelake.operators import incremental, marts, quality, staging
+from pricelake.operators import incremental, intermediate, marts, quality, series, staging
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
 from pricelake.sources import files
-from pricelake.streaming.file_stream import list_versions, path_exists
+from pricelake.plans import layers
+from pricelake.streaming.folders import list_versions, path_exists
 
 RAW_TABLES = {
     "raw_stock_prices": D.raw_prices,
@@ -67,17 +68,25 @@ def land_raw(spark: SparkSession, sf_dir: str, root: str,
 
 def load_csv(spark: SparkSession, path: str, root: str, name: str = "raw_stock_prices",
              types: dict[str, str] | None = None) -> dict[str, str]:
-    """The loaders' file path: CSV by header name -> typed RAW table (full refresh) and, like a
-    continue-on-error copy, the rows that do not cast kept aside in ``<name>_rejects``."""
-    good, rejects = files.split_rejects(files.read_raw_csv(spark, path),
-                                        types or files.RAW_PRICE_TYPES)
+    """The loaders' file path: a folder (or glob) of CSV extracts, each read by its own header ->
+    typed RAW table (full refresh).  Like a continue-on-error copy, records of the wrong width, rows
+    that do not cast and files that lack a column go to ``<name>_rejects``.  If no row can be
+    loaded the load fails and RAW keeps what it has."""
+    types = types or files.RAW_PRICE_TYPES
+    good, rejects = files.split_rejects(files.read_raw_csv(spark, path, list(types)), types)
     out = {name: files.layer_path(root, RAW, name),
            f"{name}_rejects": files.layer_path(root, RAW, f"{name}_rejects")}
-    files.full_refresh(good, out[name])
+    files.full_refresh(staging.arrived(good), out[name])
     files.full_refresh(rejects, out[f"{name}_rejects"])
     return out
 
 
+def load_company_csv(spark: SparkSession, path: str, root: str,
+                     name: str = "raw_company_metadata") -> dict[str, str]:
+    """Company records from a named CSV file -> RAW table and rejects, like ``load_csv``."""
+    return load_csv(spark, path, root, name, files.RAW_COMPANY_TYPES)
+
+
 def load_company_json(spark: SparkSession, path: str, root: str,
                       name: str = "raw_company_metadata") -> str:
     """Company records (JSON lines) -> RAW table (full refresh)."""
@@ -86,60 +95,107 @@ def load_company_json(spark: SparkSession, path: str, root: str,
     return out
 
 
-def _version_path(root: str, name: str, v: int) -> str:
-    return f"{files.layer_path(root, MARTS, name)}/v={v}"
+FCT, DIM = "fct_stock_prices", "dim_companies"
+STATE = "STATE"
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    vs = list_versions(spark, files.layer_path(root, MARTS, name), "v=")
-    return _version_path(root, name, vs[-1]) if vs else None
+    """Folder of the newest layer (fact table) or version of a mart."""
+    home = files.layer_path(root, MARTS, name)
+    found = layers.published(spark, home)
+    return found[-1] if found else None
+
+
+def current(spark: SparkSession, root: str, name: str, months: list[str] | None = None) -> DataFrame | None:
+    found = layers.published(spark, files.layer_path(root, MARTS, name))
+    if not found:
+        return None
+    return layers.read(spark, found, months) if name == FCT else spark.read.parquet(found[-1])
 
 
-def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    path = current_path(spark, root, name)
-    return spark.read.parquet(path) if path else None
+def state(spark: SparkSession, root: str, version: int) -> DataFrame | None:
+    """Series state published with a version of the fact table."""
+    home = files.layer_path(root, STATE, FCT)
+    return (spark.read.parquet(f"{home}/v={version}")
+            if version in list_versions(spark, home, "v=") else None)
 
 
-def inventory(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
-    """(layer, table, path) of every RAW table and the current version of every mart."""
+def inventory(spark: SparkSession, root: str) -> list[tuple[str, str, list[str] | None]]:
+    """(layer, table, folders) of every RAW table and current mart; views have no folders."""
     out = []
     for name in [n for t in RAW_TABLES for n in (t, f"{t}_rejects")]:
         path = files.layer_path(root, RAW, name)
         if path_exists(spark, f"{path}/_SUCCESS"):
-            out.append((RAW, name, path))
-    for name in ("fct_stock_prices", "dim_companies"):
-        path = current_path(spark, root, name)
-        if path:
-            out.append((MARTS, name, path))
+            out.append((RAW, name, [path]))
+    out += [("STAGING", n, None) for n in ("stg_stock_prices", "stg_company_metadata")]
+    out += [("INTERMEDIATE", n, None) for n in quality.SERIES_MODELS]
+    found = layers.published(spark, files.layer_path(root, MARTS, FCT))
+    if found:
+        out.append((MARTS, FCT, layers.live_folders(spark, found)))
+    path = current_path(spark, root, DIM)
+    if path:
+        out.append((MARTS, DIM, [path]))
     return out
 
 
+def publish_fact(spark: SparkSession, root: str, stg_p: DataFrame, stg_c: DataFrame,
+                 full_refresh: bool, backfill: bool = False, **series_opts) -> str:
+    """Write the next layer of the fact table, and the series state with it."""
+    home = files.layer_path(root, MARTS, FCT)
+    found = [] if full_refresh else layers.published(spark, home)
+    n = layers.last_version(spark, home) + 1
+    path = f"{home}/{'d' if found else 'v'}={n}"
+    if found:
+        before = state(spark, root, int(found[-1].rsplit("=", 1)[1]))
+        batch, after = incremental.fct_increment(stg_p, stg_c, layers.read(spark, found), before,
+                                                 backfill, **series_opts)
+        # stored once: its months are listed, then it is merged
+        stage = files.layer_path(root, STAGE, f"{FCT}_batch_{n}")
+        files.full_refresh(batch, stage)
+        files.full_refresh(after, f"{files.layer_path(root, STATE, FCT)}/v={n}")
+        layers.merge(spark, found, spark.read.parquet(stage), path, marts.FCT_KEY, marts.FCT_CLUSTER)
+    else:
+        batch, after = incremental.fct_increment(stg_p, stg_c, None, **series_opts)
+        files.full_refresh(after, f"{files.layer_path(root, STATE, FCT)}/v={n}")
+        layers.write(batch, path, marts.FCT_CLUSTER)
+    return path
+
+
 def build(spark: SparkSession, root: str, full_refresh: bool = True, as_of=None,
           **series_opts) -> dict[str, str]:
-    """Build both marts from RAW.  Returns the paths of the versions written."""
+    """Build both marts from RAW.  Returns the folders written: a full refresh writes whole tables,
+    an increment the months of the fact table that its batch touches."""
     raw_p = spark.read.parquet(files.layer_path(root, RAW, "raw_stock_prices"))
     raw_c = spark.read.parquet(files.layer_path(root, RAW, "raw_company_metadata"))
     stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
-    out = {}
-    for name, keys in (("fct_stock_prices", marts.FCT_CLUSTER),
-                       ("dim_companies", marts.DIM_CLUSTER)):
-        vs = list_versions(spark, files.layer_path(root, MARTS, name), "v=")
-        target = None if full_refresh or not vs else current(spark, root, name)
-        if name == "fct_stock_prices":
-            df = (marts.fct_prices(stg_p, stg_c, **series_opts) if target is None
-                  else incremental.fct_incremental(stg_p, stg_c, target, **series_opts))
-        else:
-            df = (marts.dim_companies(stg_c) if target is None
-                  else incremental.dim_incremental(stg_c, target))
-        path = _version_path(root, name, (vs[-1] + 1) if vs else 1)
-        files.write_clustered(df, path, keys, materialize=(name == "fct_stock_prices"))
-        out[name] = path
+    out = {FCT: publish_fact(spark, root, stg_p, stg_c, full_refresh, **series_opts)}
+    home = files.layer_path(root, MARTS, DIM)
+    target = None if full_refresh else current(spark, root, DIM)
+    dim = (marts.dim_companies(stg_c) if target is None
+           else incremental.dim_incremental(stg_c, target))
+    out[DIM] = f"{home}/v={layers.last_version(spark, home) + 1}"
+    files.write_clustered(dim, out[DIM], marts.DIM_CLUSTER)
     return out
 
 
+def models(spark: SparkSession, root: str, as_of=None) -> dict[str, DataFrame]:
+    """Every tested table and view by name: RAW and the current marts as written, staging and
+    intermediate views as plans over RAW."""
+    raw_p = spark.read.parquet(files.layer_path(root, RAW, "raw_stock_prices"))
+    raw_c = spark.read.parquet(files.layer_path(root, RAW, "raw_company_metadata"))
+    stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
+    averages = intermediate.attach_companies(series.series_metrics(stg_p), stg_c)
+    return {"raw_stock_prices": raw_p, "raw_company_metadata": raw_c,
+            "stg_stock_prices": stg_p, "stg_company_metadata": stg_c,
+            "int_stock_prices_joined": intermediate.prices_joined(stg_p, stg_c),
+            "int_stock_daily_returns": averages, "int_stock_moving_averages": averages,
+            "fct_stock_prices": current(spark, root, "fct_stock_prices"),
+            "dim_companies": current(spark, root, "dim_companies")}
+
+
 def run_tests(spark: SparkSession, root: str, as_of=None, expected=None) -> DataFrame:
-    return quality.run_all(spark, current(spark, root, "fct_stock_prices"),
-                           current(spark, root, "dim_companies"), as_of, expected)
+    """The summary of all declared tests over all layers."""
+    return quality.run_all(spark, models(spark, root, as_of), as_of, expected)
 
 
 class Warehouse:
@@ -156,12 +212,19 @@ class Warehouse:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cls._files(spark, sf_dir))
         with cls._lock:
             if key not in cls._registry:
                 cls._registry[key] = cls(spark, sf_dir)
             return cls._registry[key]
 
+    @staticmethod
+    def _files(spark: SparkSession, sf_dir: str) -> tuple:
+        """Number, size and last change of the input files: other files are another warehouse."""
+        found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(sf_dir)
+                 .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")))
+        return tuple(found.collect()[0])
+
     def raw(self, name: str) -> DataFrame:
         with self._lock:
             if name not in self._raw:

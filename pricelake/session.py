@@ -46,8 +46,9 @@ def get_spark(master: str | None = None, app: str = "pricelake",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a folder every executor can reach).  Only when
-    it is unset, as in local tests, a fresh folder under the system temp dir is created and set.
+    On a cluster this is set by the deployment (a folder every executor can reach) and must be.
+    Only in local mode, where there is one machine, a fresh folder under the system temp dir is
+    created and set when it is not.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,8 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif (sc.master or "").startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="pricelake-ckpt-"))
+    else:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return sc.getCheckpointDir()
 
 

@@ -1,21 +1 @@
-from pricelake.sources.driver_tables import (  # noqa: F401
-    event_bars,
-    job_log,
-    metering,
-    raw_companies,
-    raw_prices,
-    supplier_bars,
-    table,
-)
-from pricelake.sources.files import (  # noqa: F401
-    as_view,
-    clustered,
-    full_refresh,
-    layer_path,
-    load,
-    read_company_records,
-    read_raw_csv,
-    split_rejects,
-    write_clustered,
-    write_csv,
-)
+"""Inputs derived from the driver tables, and file sources and sinks."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,12 @@ from pyspark.sql import types as T
 # Text values loaded as SQL NULL (CSV convention of the raw loaders).
 NULL_TOKENS = ["NULL", "null", ""]
 
-# Typed RAW layouts (declared DDL of the raw tables).
+# Column that holds the raw line of a CSV record of the wrong width.
+MALFORMED = "_malformed"
+
+# --------------------------------------------------------------------------------------------
+# Typed RAW layouts (declared DDL of the raw tables)
+# --------------------------------------------------------------------------------------------
 RAW_PRICE_TYPES = {
     "date": "date", "open": "double", "high": "double", "low": "double", "close": "double",
     "volume": "bigint", "ticker": "string", "ingested_at": "timestamp_ntz",
@@ -38,35 +45,63 @@ COMPANY_JSON_SCHEMA = T.StructType([
 # --------------------------------------------------------------------------------------------
 # Scans
 # --------------------------------------------------------------------------------------------
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of every header layout under ``path``; empty files are left out.
+
+    A file's first line is the first row of its first split, so it comes from one task; one row
+    per file reaches the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"), "value")
+    found = lines.filter("at = 0").groupBy("f").agg(F.first("value").alias("head")).collect()
+    layouts: dict[str, list[str]] = {}
+    for r in found:
+        layouts.setdefault((r["head"] or "").lstrip("\ufeff").rstrip("\r"), []).append(r["f"])
+    return [([c.strip().strip('"').strip().lower() for c in head.split(",")], sorted(fs))
+            for head, fs in sorted(layouts.items())]
+
+
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV scan by *header name*: every field is read as text, names are lower-cased, and the
-    null tokens become SQL NULL.  Reading by name (not position) keeps a file whose columns
-    come in another order from silently swapping values."""
-    df = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("mode", "PERMISSIVE").csv(path))
-    df = df.toDF(*[c.strip().lower() for c in df.columns])
-    if columns is not None:
-        missing = [c for c in columns if c not in df.columns]
-        if missing:
-            raise ValueError(f"CSV at {path} lacks columns {missing}")
-        df = df.select(*columns)
-    return df.select(*[F.when(F.col(c).isin(NULL_TOKENS), None).otherwise(F.col(c)).alias(c)
-                       for c in df.columns])
+    null tokens become SQL NULL.  Files are read by their own header, so a file whose columns come
+    in another order keeps its values, and a file that lacks a column has nulls there.
+
+    ``MALFORMED`` is the raw line of a record that has not as many fields as its header (null
+    otherwise), and names the columns that its file lacks if ``columns`` asks for them."""
+    layouts = csv_headers(spark, path)
+    if not layouts:
+        raise ValueError(f"no CSV file with a header under {path}")
+    parts = []
+    for names, paths in layouts:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, MALFORMED]])
+        df = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+              .option("mode", "PERMISSIVE").csv(paths))
+        lacking = [c for c in columns or [] if c not in names]
+        bad = F.lit(f"file without {', '.join(lacking)}") if lacking else F.col(MALFORMED)
+        wanted = columns if columns is not None else names
+        parts.append(df.select(*[F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)).alias(c) if c in names
+                                 else F.lit(None).cast("string").alias(c) for c in wanted],
+                               bad.alias(MALFORMED)))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def _typed(c: str, t: str) -> F.Column:
     if t in ("bigint", "int"):
-        # Integers written as floats ('164000.0') are accepted; text that is not a number is not.
-        return F.round(F.col(c).try_cast("double")).try_cast(t)
+        # Integers written with decimals ('164000.0') are accepted, with all their digits; text
+        # that is not a number is not.
+        return F.round(F.col(c).try_cast("decimal(38,6)")).try_cast(t)
     return F.col(c).try_cast(t)
 
 
 def split_rejects(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Continue-on-error load: rows where a non-null text does not cast to its declared type go
-    to ``rejects`` (with the offending column names); all other rows are returned typed."""
+    """Continue-on-error load: malformed records, and rows where a non-null text does not cast to
+    its declared type, go to ``rejects`` (with the offending column names, ``record`` for a
+    malformed one); all other rows are returned typed."""
     bad_flags = [F.when(F.col(c).isNotNull() & _typed(c, t).isNull(), F.lit(c))
                  for c, t in types.items()]
+    if MALFORMED in df.columns:
+        bad_flags = [F.when(F.col(MALFORMED).isNotNull(), F.lit("record")), *bad_flags]
     flagged = df.withColumn("_bad", F.array_compact(F.array(*bad_flags)))
     good = flagged.filter(F.size("_bad") == 0).select(
         *[_typed(c, t).alias(c) for c, t in types.items()])
@@ -93,10 +128,6 @@ def layer_path(root: str, layer: str | None, name: str, default_layer: str = "PU
     return f"{root.rstrip('/')}/{schema}/{name}"
 
 
-def load(spark: SparkSession, root: str, layer: str | None, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, name))
-
-
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
@@ -125,15 +156,7 @@ def clustered(df: DataFrame, keys: list[str], partitions: int | None = None) ->
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str], partitions: int | None = None,
-                    mode: str = "overwrite", materialize: bool = False) -> None:
-    """Write ``df`` range-partitioned and sorted by ``keys``.
-
-    Range partitioning samples its input to find the boundaries, which runs the input plan once
-    more.  For an expensive plan (``materialize=True``) the input is first checkpointed to the
-    shared checkpoint folder, so the sample and the write read stored rows instead of running
-    the whole job twice; this also cuts the lineage a lost executor would otherwise replay."""
-    if materialize:
-        from pricelake.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+                    mode: str = "overwrite") -> None:
+    """Write ``df`` range-partitioned and sorted by ``keys``.  Range partitioning samples its input
+    to find the boundaries, which runs the input plan once more: for small tables."""
     clustered(df, keys, partitions).write.mode(mode).parquet(path)

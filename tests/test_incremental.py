@@ -37,20 +37,61 @@ def test_initial_plus_increment_equals_full_rebuild(spark):
     assert inc.count() == full.count()
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
     # The increment holds only rows newer than the target's watermark.
-    batch = incremental.fct_increment(stg_p, stg_c, target)
+    batch, _ = incremental.fct_increment(stg_p, stg_c, target)
     hwm = target.agg(F.max("ingested_at")).collect()[0][0]
     assert batch.filter(F.col("ingested_at") <= hwm).count() == 0
 
 
-def test_duplicate_keys(spark):
-    b = spark.createDataFrame([("k",), ("k",), ("j",)], "k string")
-    assert [r["k"] for r in incremental.duplicate_keys(b, "k").collect()] == ["k"]
+def test_duplicate_keys_are_resolved(spark):
+    b = spark.createDataFrame([("k", 1, 5), ("k", 2, 3), ("k", 2, 4), ("k", None, 9), ("j", None, 1)],
+                              "k string, at int, v int")
+    got = sorted(tuple(r) for r in incremental.latest_per_key(b, "k", ["at"]).collect())
+    assert got == [("j", None, 1), ("k", 2, 4)]
+
+
+def test_increment_from_state_equals_full_rebuild(spark):
+    """Day by day from the stored state; then a late, a corrected and a re-delivered bar, which take
+    the way through the ticker's history."""
+    from pricelake.operators import series
+    sf = "/root/testdata/sf0.001"
+    stg_p, stg_c = catalog.stg_p(spark, sf).cache(), catalog.stg_c(spark, sf)
+    cols = [c for c in marts.FCT_COLUMNS if c != "dbt_updated_at"]
+    full = marts.fct_prices(stg_p, stg_c).select(cols).cache()
+    kept = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    cut = F.lit("1997-06-01 00:00:00").cast("timestamp_ntz")
+    early = stg_p.filter(F.col("ingested_at") <= cut)
+    batch, state = incremental.fct_increment(early, stg_c, None)
+    target, state = kept(batch), kept(state)
+    for until in ("1997-06-05 00:00:00", "1997-09-01 00:00:00", "2100-01-01 00:00:00"):
+        arrived = stg_p.filter(F.col("ingested_at") <= F.lit(until).cast("timestamp_ntz"))
+        batch, after = incremental.fct_increment(arrived, stg_c, target, state)
+        batch, state = kept(batch), kept(after)
+        target = kept(incremental.upsert(target, batch, marts.FCT_KEY))
+    assert target.count() == full.count()
+    assert target.select(cols).exceptAll(full).count() == 0
+    # the state is what a scan of the whole history gives
+    want = {r["ticker"]: r for r in series.series_state(stg_p).collect()}
+    assert {r["ticker"]: r for r in state.select(*series.series_state(stg_p).columns).collect()} == want
+    # corrections: older dates with a new load time
+    day = F.dayofmonth("price_date")
+    new_load = F.lit("2100-06-01 00:00:00").cast("timestamp_ntz")
+    fixed = (stg_p.filter((day == 7) & (F.col("ticker") < "SUPPLIER#000000005"))
+             .withColumns({"close_price": F.col("close_price") + 0.25, "ingested_at": new_load}))
+    arrived = stg_p.unionByName(fixed).unionByName(fixed)
+    batch, after = incremental.fct_increment(arrived, stg_c, target, state, backfill=True)
+    target = incremental.upsert(target, batch, marts.FCT_KEY)
+    latest = incremental.latest_per_key(arrived, marts.FCT_KEY, ["ingested_at"])
+    again = marts.fct_prices(latest, stg_c).select(cols)
+    assert target.count() == again.count() and target.select(cols).exceptAll(again).count() == 0
+    want = {r["ticker"]: r["_in_rs"] for r in series.series_state(latest).collect()}
+    assert {r["ticker"]: r["_in_rs"] for r in after.collect()} == want
 
 
 def test_build_full_then_incremental_versions(spark):
-    """land RAW (early rows) -> full build v=1 -> land all rows -> incremental build v=2;
-    v=2 equals a full rebuild, v=1 is left as it was, and the quality summary runs."""
-    from pricelake.plans import warehouse
+    """land RAW (early rows) -> full build v=1 -> land all rows -> incremental layer d=2; both
+    layers together equal a full rebuild, v=1 is left as it was and d=2 holds only the months of
+    the new rows; the quality summary runs."""
+    from pricelake.plans import layers, warehouse
     from pricelake.session import scratch_path
     from pricelake.sources import driver_tables as D
     from pricelake.sources import files
@@ -65,7 +106,9 @@ def test_build_full_then_incremental_versions(spark):
     n1 = spark.read.parquet(v1["fct_stock_prices"]).count()
     files.full_refresh(D.raw_prices(spark, sf), raw_path)          # the next daily load
     v2 = warehouse.build(spark, root, full_refresh=False)
-    assert v2["fct_stock_prices"].endswith("v=2") and v1["fct_stock_prices"].endswith("v=1")
+    assert v2["fct_stock_prices"].endswith("d=2") and v1["fct_stock_prices"].endswith("v=1")
+    months = layers.live_folders(spark, [v2["fct_stock_prices"]])
+    assert min(m[-7:] for m in months) == "1998-01" < max(m[-7:] for m in months)
     inc = warehouse.current(spark, root, "fct_stock_prices").drop("dbt_updated_at")
     full = marts.fct_prices(catalog.stg_p(spark, sf), catalog.stg_c(spark, sf)).drop("dbt_updated_at")
     assert inc.count() == full.count() > n1 == spark.read.parquet(v1["fct_stock_prices"]).count()
@@ -115,9 +158,12 @@ def test_uncommitted_version_is_ignored(spark):
     from pricelake.session import scratch_path
     root = scratch_path(spark, "versions")
     base = f"{root}/MARTS/fct_stock_prices"
-    spark.range(3).write.parquet(f"{base}/v=1")
-    spark.range(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
-        .parquet(f"{base}/v=2")                                   # no _SUCCESS marker
+    from pricelake.plans import layers
+    rows = lambda n: spark.range(n).selectExpr("id", "date'2024-01-05' as price_date")
+    layers.write(rows(3), f"{base}/v=1", ["id"])
+    for name in ("v=2", "d=2"):                                   # no _SUCCESS marker
+        rows(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
+            .parquet(f"{base}/{name}/part_month=2024-01")
     assert warehouse.current_path(spark, root, "fct_stock_prices").endswith("v=1")
     assert warehouse.current(spark, root, "fct_stock_prices").count() == 3
 

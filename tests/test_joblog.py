@@ -43,12 +43,25 @@ def test_layout_report_on_written_table(spark):
                                 for i in range(300)], "price_date date, ticker string")
     good = scratch_path(spark, "layout-good")
     files.write_clustered(df, good, ["price_date", "ticker"], partitions=4)
-    rep = joblog.layout_report(spark, good, ["price_date", "ticker"]).collect()[0]
-    assert rep["total_rows"] == 300 and rep["average_depth"] <= 1.05
+    rep = joblog.layout_report(spark, [good], ["price_date", "ticker"]).collect()[0]
+    assert rep["total_rows"] == 300 and rep["total_units"] == 4
+    assert (rep["average_depth"], rep["max_depth"], rep["average_overlaps"]) == (1.0, 1, 0.0)
     bad = scratch_path(spark, "layout-bad")
     df.repartition(4, "ticker").write.parquet(bad)
-    rep2 = joblog.layout_report(spark, bad, ["price_date", "ticker"]).collect()[0]
-    assert rep2["average_depth"] > 1.5          # every file spans the whole date range
+    rep2 = joblog.layout_report(spark, [bad], ["price_date", "ticker"]).collect()[0]
+    assert rep2["max_depth"] == rep2["total_units"] > 1    # every file spans the whole date range
+
+
+def test_clustering_depth_by_hand(spark):
+    """Text keys: [a, c], [b, d], [d, e], [x, y] and a single point x: pairs overlap 1-2, 2-3, 4-5."""
+    r = spark.createDataFrame([("1", 1, ("a",), ("c",)), ("2", 1, ("b",), ("d",)), ("3", 2, ("d",), ("e",)),
+                               ("4", 3, ("x",), ("y",)), ("5", 1, ("x",), ("x",))],
+                              "unit string, rows long, lo struct<k:string>, hi struct<k:string>")
+    got = joblog.clustering_depth(r, ["k"]).collect()[0]
+    assert (got["total_units"], got["total_rows"], got["max_depth"]) == (5, 8, 2)
+    assert got["average_overlaps"] == 1.2 and got["average_depth"] == 1.6
+    none = joblog.clustering_depth(r.limit(0), ["k"]).collect()[0]
+    assert none["total_units"] == 0 and none["average_depth"] is None
 
 
 def test_hourly_usage_sums(spark):

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pricelake.operators import staging
@@ -144,3 +146,37 @@ def test_orphan_ticker_keeps_its_prices_with_null_company(spark):
     out = {r["ticker"]: r for r in intermediate.attach_companies(prices, companies).collect()}
     assert out["A"]["company_name"] == "A Inc"
     assert out["ORPHAN"]["company_id"] is None and out["ORPHAN"]["sector"] is None
+
+
+def _lines(path, name, *lines):
+    path.mkdir(exist_ok=True)
+    (path / name).write_text("\n".join(lines) + "\n")
+
+
+def test_csv_folder_with_other_headers_and_bad_rows(spark, tmp_path):
+    head = "date,open,high,low,close,volume,ticker,ingested_at"
+    _lines(tmp_path / "in", "a.csv", head, "2024-01-02,1,3,1,2,9007199254740993,AA,2024-01-03 00:00:00",
+           "2024-01-03,1,3,1,2,10,AA", "2024-01-04,1,3,1,2,10,AA,2024-01-05 00:00:00,more",
+           "2024-01-05,1,3,1,x,10,AA,2024-01-06 00:00:00", '2024-01-08,1,3,1,2,164000.0,"A,B",2024-01-09 00:00:00')
+    _lines(tmp_path / "in", "b.csv", "CLOSE,ticker,volume,low,high,open,date,ingested_at",
+           "2,BB,7,1,3,1,2024-01-02,2024-01-03 00:00:00")
+    _lines(tmp_path / "in", "c.csv", "date,ticker,close", "2024-01-02,CC,5")
+    (tmp_path / "in" / "d.csv").write_text("")
+    types = files.RAW_PRICE_TYPES
+    good, rejects = files.split_rejects(files.read_raw_csv(spark, str(tmp_path / "in"), list(types)), types)
+    rows = sorted((r["ticker"], str(r["date"]), r["open"], r["close"], r["volume"]) for r in good.collect())
+    assert rows == [("A,B", "2024-01-08", 1.0, 2.0, 164000), ("AA", "2024-01-02", 1.0, 2.0, 9007199254740993),
+                    ("BB", "2024-01-02", 1.0, 2.0, 7)]
+    assert sorted(r["reject_columns"].split(",")[0] for r in rejects.collect()) == ["close", "record", "record", "record"]
+
+
+def test_csv_load_fails_when_nothing_arrives(spark, tmp_path):
+    from pricelake.plans import warehouse
+    head = "date,open,high,low,close,volume,ticker,ingested_at"
+    _lines(tmp_path / "in", "a.csv", head, "2024-01-02,1,3,1,2,5,AA,2024-01-03 00:00:00")
+    root = str(tmp_path / "wh")
+    path = warehouse.load_csv(spark, str(tmp_path / "in"), root)["raw_stock_prices"]
+    _lines(tmp_path / "in", "a.csv", head)
+    with pytest.raises(ValueError, match="no rows arrived"):
+        warehouse.load_csv(spark, str(tmp_path / "in"), root)
+    assert spark.read.parquet(path).count() == 1          # RAW keeps what it had

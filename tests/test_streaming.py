@@ -6,7 +6,9 @@ from pricelake.operators import marts, staging
 from pricelake.plans import catalog
 from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
+from pricelake.plans import layers
 from pricelake.streaming import file_stream
+from pricelake.streaming.folders import list_versions
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,9 +31,9 @@ def test_late_arrival_is_picked_up(spark):
     assert second.count() == full.count() > n_first
     assert second.select(cols).exceptAll(full.select(cols)).count() == 0
     # A run with no new files writes no new version.
-    versions = file_stream.list_versions(spark, f"{work}/target", "v=")
+    versions = layers.published(spark, f"{work}/target")
     file_stream.run_available(spark, raw_dir, companies, work)
-    assert file_stream.list_versions(spark, f"{work}/target", "v=") == versions
+    assert layers.published(spark, f"{work}/target") == versions and len(versions) == 2
 
 
 def test_replayed_epoch_is_idempotent(spark):
@@ -43,8 +45,27 @@ def test_replayed_epoch_is_idempotent(spark):
     batch = prices.filter(F.col("ingested_at") <= F.lit("1997-01-01").cast("timestamp_ntz"))
     args = (f"{work}/history", f"{work}/target", companies)
     file_stream.process_batch(spark, batch, 0, *args)
-    first = spark.read.parquet(f"{work}/target/v=0").drop("dbt_updated_at").collect()
+    now = lambda: sorted(map(tuple, file_stream.latest(spark, args[1]).drop("dbt_updated_at").collect()))
+    first = now()
     file_stream.process_batch(spark, batch, 0, *args)              # replay
-    again = spark.read.parquet(f"{work}/target/v=0").drop("dbt_updated_at").collect()
+    assert first == now() and len(first) > 0
+    later = prices.filter((F.col("ingested_at") > F.lit("1997-01-01").cast("timestamp_ntz"))
+                          & (F.col("ingested_at") <= F.lit("1997-03-01").cast("timestamp_ntz")))
+    file_stream.process_batch(spark, later, 1, *args)
+    second = now()
+    file_stream.process_batch(spark, later, 1, *args)              # replay of an increment
+    assert second == now() and len(second) > len(first)
+    assert list_versions(spark, f"{work}/history", "epoch=") == [0, 1]
+
+
+def test_bars_delivered_again_are_one_row(spark):
+    work = scratch_path(spark, "stream-again")
+    prices = Warehouse.of(spark, SF).stage("raw_stock_prices")
+    companies = catalog.stg_c(spark, SF)
+    args = (f"{work}/history", f"{work}/target", companies)
+    batch = prices.filter(F.col("ingested_at") <= F.lit("1996-01-01").cast("timestamp_ntz"))
+    file_stream.process_batch(spark, batch, 0, *args)
+    first = file_stream.latest(spark, args[1]).drop("dbt_updated_at").collect()
+    file_stream.process_batch(spark, batch, 1, *args)              # the same bars, as a new epoch
+    again = file_stream.latest(spark, args[1]).drop("dbt_updated_at").collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, again)) and len(first) > 0
-    assert file_stream.list_versions(spark, f"{work}/history", "epoch=") == [0]
