@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pricelake.operators import series
 from pricelake.operators.series import COMPANY_COLUMNS
 
 JOINED_COLUMNS = [
@@ -29,3 +30,17 @@ def prices_joined(stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:
     """Prices with company attributes (22 columns; ``website`` is not carried)."""
     out = attach_companies(stg_p, stg_c)
     return out.select(*[c for c in JOINED_COLUMNS if c in out.columns])
+
+
+# The series are computed on the narrow price columns and the companies are attached once, after
+# them: a company column never takes part in a window, and the side table of the series needs none.
+def daily_returns(stg_p: DataFrame, stg_c: DataFrame, **series_opts) -> DataFrame:
+    """Joined prices with previous close, returns, intraday range and sequence (27 columns)."""
+    out = attach_companies(series.daily_returns(stg_p, **series_opts), stg_c)
+    return out.select(*series.RETURNS_COLUMNS)
+
+
+def moving_averages(stg_p: DataFrame, stg_c: DataFrame, **series_opts) -> DataFrame:
+    """Daily returns with moving averages, cumulative mean and signal (34 columns)."""
+    out = attach_companies(series.moving_averages(stg_p, **series_opts), stg_c)
+    return out.select(*series.MOVING_AVERAGE_COLUMNS)

@@ -17,7 +17,9 @@ RETURN_WINDOW_ROWS = 30
 UP, DOWN = "Up", "Down"
 
 
-def _series(fct: DataFrame, ticker=None, start=None, end=None) -> DataFrame:
+def _series(fct: DataFrame, columns: list, ticker=None, start=None, end=None) -> DataFrame:
+    """Columns of the fact rows of a ticker and date range.  One ticker's rows come in order of
+    date; the rows of all tickers are not sorted, as that would shuffle the whole table."""
     out = fct
     if ticker is not None:
         out = out.filter(F.col("ticker") == ticker)
@@ -25,22 +27,20 @@ def _series(fct: DataFrame, ticker=None, start=None, end=None) -> DataFrame:
         out = out.filter(F.col("price_date") >= F.lit(start).cast("date"))
     if end is not None:
         out = out.filter(F.col("price_date") <= F.lit(end).cast("date"))
-    return out
+    out = out.select(*columns)
+    return out if ticker is None else out.orderBy("price_date")
 
 
 def ohlcv_series(fct: DataFrame, ticker=None, start=None, end=None) -> DataFrame:
     """OHLCV bars for a ticker (all when None) and a date range.  On the clustered fact table
     the date/ticker predicates become parquet row-group filters (``PushedFilters``)."""
-    return (_series(fct, ticker, start, end)
-            .select("ticker", "price_date", "open_price", "high_price", "low_price",
-                    "close_price", "volume")
-            .orderBy("ticker", "price_date"))
+    return _series(fct, ["ticker", "price_date", "open_price", "high_price", "low_price",
+                         "close_price", "volume"], ticker, start, end)
 
 
 def sma_series(fct: DataFrame, ticker=None, start=None, end=None) -> DataFrame:
-    return (_series(fct, ticker, start, end)
-            .select("ticker", "price_date", "close_price", "sma_7d", "sma_30d", "sma_90d")
-            .orderBy("ticker", "price_date"))
+    return _series(fct, ["ticker", "price_date", "close_price", "sma_7d", "sma_30d", "sma_90d"],
+                   ticker, start, end)
 
 
 def up_down(close="close_price", open_="open_price") -> Column:
@@ -48,10 +48,8 @@ def up_down(close="close_price", open_="open_price") -> Column:
 
 
 def volume_series(fct: DataFrame, ticker=None, start=None, end=None) -> DataFrame:
-    return (_series(fct, ticker, start, end)
-            .select("ticker", "price_date", "volume", up_down().alias("direction"),
-                    "vol_ma_7d", "vol_ma_30d")
-            .orderBy("ticker", "price_date"))
+    return _series(fct, ["ticker", "price_date", "volume", up_down().alias("direction"),
+                         "vol_ma_7d", "vol_ma_30d"], ticker, start, end)
 
 
 def returns_heatmap(fct: DataFrame) -> DataFrame:

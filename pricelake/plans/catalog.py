@@ -95,14 +95,12 @@ def q_prices_joined(spark, sf):
 
 @register("daily_returns", O.with_ctes("select * from daily_returns", "daily_returns"))
 def q_daily_returns(spark, sf):
-    j = intermediate.prices_joined(stg_p(spark, sf), stg_c(spark, sf))
-    return _no_audit(series.daily_returns(j))
+    return _no_audit(intermediate.daily_returns(stg_p(spark, sf), stg_c(spark, sf)))
 
 
 @register("moving_averages", O.with_ctes("select * from moving_averages", "moving_averages"))
 def q_moving_averages(spark, sf):
-    j = intermediate.prices_joined(stg_p(spark, sf), stg_c(spark, sf))
-    return _no_audit(series.moving_averages(series.daily_returns(j)))
+    return _no_audit(intermediate.moving_averages(stg_p(spark, sf), stg_c(spark, sf)))
 
 
 @register("fct_prices", O.with_ctes("select * from fct_prices", "fct_prices"))

@@ -22,7 +22,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.operators import incremental, intermediate, marts, quality, series, staging
+from pricelake.operators import incremental, intermediate, marts, quality, staging
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
 from pricelake.sources import files
@@ -184,7 +184,7 @@ def models(spark: SparkSession, root: str, as_of=None) -> dict[str, DataFrame]:
     raw_p = spark.read.parquet(files.layer_path(root, RAW, "raw_stock_prices"))
     raw_c = spark.read.parquet(files.layer_path(root, RAW, "raw_company_metadata"))
     stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
-    averages = intermediate.attach_companies(series.series_metrics(stg_p), stg_c)
+    averages = intermediate.moving_averages(stg_p, stg_c)
     return {"raw_stock_prices": raw_p, "raw_company_metadata": raw_c,
             "stg_stock_prices": stg_p, "stg_company_metadata": stg_c,
             "int_stock_prices_joined": intermediate.prices_joined(stg_p, stg_c),

@@ -31,7 +31,8 @@ def summarise(plan: str) -> dict:
     else:
         tree = plan.split("\n\n")[0]
     ids = set(re.findall(r"\((\d+)\)", tree))
-    counts = {op: len(re.findall(rf"[-+*] (?:\* )?{op}\b", tree)) for op in OPS}
+    # a root has no branch mark in front of it
+    counts = {op: len(re.findall(rf"(?m)(?:^|[-+] )(?:\* )?{op}\b", tree)) for op in OPS}
     counts = {k: v for k, v in counts.items() if v}
     details = {}
     for body in re.split(r"\n(?=\(\d+\) )", plan):
@@ -40,10 +41,10 @@ def summarise(plan: str) -> dict:
             details[m.group(1)] = body
     codegen = len({c for b in details.values() for c in re.findall(r"\[codegen id : (\d+)\]", b)})
     python_nodes = len(re.findall(r"\b(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|"
-                                  r"MapInPandas|PythonUDF)\b", plan))
+                                  r"MapInPandas|MapInArrow|PythonUDF)\b", plan))
     scans = []
     for _, body in sorted(details.items(), key=lambda kv: int(kv[0])):
-        if not re.match(r"\(\d+\) Scan parquet", body):
+        if not re.match(r"\(\d+\) Scan (parquet|csv|json|text)", body):
             continue
         loc = re.search(r"Location: \w+ \[(?:file:)?([^\]]*)\]", body)
         pushed = re.search(r"PushedFilters: (\[[^\n]*\])", body)
