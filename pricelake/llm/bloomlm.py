@@ -40,7 +40,7 @@ from .textscan import BASE, U, mix, pieces, word_bounds, word_hashes
 END = U(0x5851F42D4C957F2D)
 FLUSH = 1 << 20
 BITS, HITS = 12, 4
-MOST = 1 << 20
+MOST = 1 << 19
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,12 +109,16 @@ def filter_part(h: np.ndarray, q: np.ndarray, most_words: int) -> np.ndarray:
 class Filter:
     """All slices' parts, as one array with the place and size of each."""
 
-    def __init__(self, parts: list[np.ndarray], shift: int):
-        self.size = np.array([len(p) for p in parts], U)
-        self.start = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]]).astype(np.int64)
-        self.words = np.concatenate(parts)
+    def __init__(self, sizes: np.ndarray, shift: int):
+        self.size = sizes.astype(U)
+        self.start = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        self.words = np.zeros(int(sizes.sum()), U)
         self.shift = shift
 
+    def put(self, part: int, words: bytes) -> None:
+        at = self.start[part]
+        self.words[at:at + len(words) // 8] = np.frombuffer(words, U)
+
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Estimated counts: levels are asked for until one is missing."""
         q, todo = np.zeros(len(h), np.int64), np.arange(len(h))
@@ -226,9 +230,12 @@ def learn(train: DataFrame, order: int = 2, max_bytes: int = 96 << 20) -> dict:
         add, "slice int, filter binary, words binary, counts binary, n long, v long, levels array<long>"), "lm-slices")
     total = made.agg(F.sum("n").alias("n"), F.sum("v").alias("v"),
                      *(F.sum(F.col("levels")[k]).alias(f"l{k}") for k in range(64))).collect()[0]
-    parts = [np.zeros(1, U)] * slices
+    sizes = np.ones(slices, np.int64)       # a slice without n-grams is one empty word
+    for r in made.select("slice", (F.octet_length("filter") / 8).cast("long").alias("size")).collect():
+        sizes[r["slice"]] = r["size"]
+    table = Filter(sizes, shift)
     for r in made.select("slice", "filter").toLocalIterator():      # max_bytes at most in all
-        parts[r["slice"]] = np.frombuffer(r["filter"], U)
+        table.put(r["slice"], r["filter"])
     per_level = np.array([total[f"l{k}"] or 0 for k in range(64)])
     # the least level from which on there are at most MOST words
     least = next(k for k in range(65) if per_level[k:].sum() <= MOST)
@@ -239,13 +246,20 @@ def learn(train: DataFrame, order: int = 2, max_bytes: int = 96 << 20) -> dict:
                 for h, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     h, c = np.frombuffer(h, np.int64), np.frombuffer(c, np.int64)
                     pick = (level(c) >= least) == frequent
-                    yield pa.RecordBatch.from_arrays([pa.array(h[pick]), pa.array(c[pick])], names=["word", "count"])
-        return made.select("words", "counts").mapInArrow(run, "word long, count long")
-
-    top = split(True).toPandas()
-    h, c = top["word"].to_numpy(np.int64).view(U), top["count"].to_numpy(np.int64)
+                    h, c = h[pick], c[pick]
+                    cols = [pa.array([x.tobytes()], pa.binary()) for x in (h, c)] if frequent else [pa.array(h), pa.array(c)]
+                    yield pa.RecordBatch.from_arrays(cols, names=["word", "count"])
+        kind = "binary" if frequent else "long"
+        return made.select("words", "counts").mapInArrow(run, f"word {kind}, count {kind}")
+
+    h, c = np.zeros(int(per_level[least:].sum()), U), np.zeros(int(per_level[least:].sum()), np.int64)
+    at = 0
+    for r in split(True).toLocalIterator():                         # at most MOST words in all
+        n = len(r["word"]) // 8
+        h[at:at + n], c[at:at + n] = np.frombuffer(r["word"], U), np.frombuffer(r["count"], np.int64)
+        at += n
     by = np.argsort(h)
-    return {"filter": Filter(parts, shift), "order": order, "frequent": (h[by], c[by]), "rare": split(False),
+    return {"filter": table, "order": order, "frequent": (h[by], c[by]), "rare": split(False),
             "n": int(total["n"] or 0), "v": int(total["v"] or 0)}
 
 
