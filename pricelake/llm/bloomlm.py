@@ -196,7 +196,7 @@ def learn(train: DataFrame, order: int = 2, max_bytes: int = 96 << 20) -> dict:
     """Model of the texts of ``train``: its filter and frequent words (arrays to broadcast), N and V,
     and the table of all words' exact counts."""
     n = train.count()
-    bits = min(20, max(6, (n // 32).bit_length()))
+    bits = min(20, max(10, (n // 2048).bit_length()))
     slices, shift = 1 << bits, 64 - bits
     most_words = max(1, max_bytes // 8 // slices)
     spark = train.sparkSession
