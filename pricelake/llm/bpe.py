@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from .textscan import slices
+
 #: The pattern built into the tokenizers library's byte-level step, which is the faster way for it.
 BUILT_IN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of text encoded at once, so that the library's objects stay small.
@@ -131,7 +133,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     kind = pa.list_(pa.int32())
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = list(encode_texts(batch.column(at).fill_null("").to_pylist(), path, pattern))
             cols = [found]
             if spans:
@@ -152,7 +154,7 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", *(["ids"] if with_ids else [])]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             n, a, b, size, ids = [], [], [], [], []
             for x in encode_texts(batch.column(1).fill_null("").to_pylist(), path, pattern):
                 back = decode(x, path)

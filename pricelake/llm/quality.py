@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import pieces, word_bounds, word_hashes
+from .textscan import pieces, slices, word_bounds, word_hashes
 
 FIGURES = [
     "log_words", "word_length", "upper", "digits", "marks", "other_symbols", "blanks", "high_bytes",
@@ -214,7 +214,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, max_rows: int =
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "quality")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             x = figures(batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(x), pa.list_(pa.float64())), batch.column(1).cast(pa.int64())], names=["x", "y"])
@@ -230,7 +230,7 @@ def classify(docs: DataFrame, model: dict, held_out: Column, least: float = 0.3)
     """doc_id, held_out, score, predicted (1 from a score of ``least``) of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             p = score(figures(batch.column(2)), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(p, pa.float64()),
@@ -247,7 +247,7 @@ def keep_good(docs: DataFrame, model: dict, least: float = 0.3) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(score(figures(batch.column(at)), model) >= least))
 
     return docs.mapInArrow(run, docs.schema)

@@ -53,6 +53,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices (no copies), so that what a task makes of one stays small."""
+    for batch in batches:
+        for lo in range(0, len(batch), rows):
+            yield batch.slice(lo, rows)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0) of a string or binary column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
