@@ -1,11 +1,12 @@
 """Language identification by nearest centroid.
 
 A text is a vector of its letters' 1-, 2- and 3-grams (lower case, every run of other characters
-one blank), hashed into DIM counts, with sublinear term frequency, inverse document frequency and
-length 1.  Each language has several centroids, found by spherical k-means over a bounded sample
-of its labelled rows; a text gets the language of the centroid with the largest cosine.  It is
-rejected when that cosine is under the language's own bound, a fraction of the smallest cosines
-seen in the sample and 0.1 at most, or when there is nothing to compare.
+one blank), hashed into DIM counts, times the inverse document frequency, of length 1; counts are
+not damped, so that a passage in another language weighs no more than its share.  Each language
+has several centroids, found by spherical k-means over a bounded sample of its labelled rows; a
+text gets the language of the centroid with the largest cosine.  It is rejected when that cosine
+is under the language's own bound, a fraction of the smallest cosines seen in the sample and 0.1
+at most, or when there is nothing to compare.
 
 Training: the sample holds about ``per_language`` rows of each of the ``max_languages`` most
 frequent languages, chosen by a hash of the text; document frequencies are summed per task and one
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .textscan import slices
 
 DIM = 4096
 #: Rows whose counts are held at once, and about the characters of a piece.
@@ -80,9 +82,8 @@ def counts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarra
 
 
 def tfidf(n: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of 1 + log(count) times idf, of length 1."""
-    some = n > 0
-    v = np.where(some, 1 + np.log(np.where(some, n, 1)), 0).astype(np.float32) * idf
+    """Rows of count times idf, of length 1."""
+    v = n * idf
     return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-12)
 
 
@@ -124,7 +125,7 @@ def learn(rows: DataFrame, per_language: int = 1500, max_languages: int = 250, c
 
     def seen(batches):
         df, n = np.zeros(DIM, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for _, c, found in counts(batch.column(0).to_pylist()):
                 df += (c > 0).sum(0)
                 n += int(found.sum())
@@ -175,7 +176,7 @@ def predict(docs: DataFrame, model: dict, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every row of ``docs``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             names, score, kept = identify(batch.column(2).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score, pa.float64()),
@@ -191,7 +192,7 @@ def keep_known(docs: DataFrame, model: dict) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             _, _, kept = identify(batch.column(at).to_pylist(), model)
             yield batch.filter(pa.array(kept))
 
