@@ -35,9 +35,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh, stored
 from .components import components, spanning
-from .textscan import BASE, U, mix, ngram_hashes, pieces, word_bounds, word_hashes
+from .textscan import BASE, U, mix, ngram_hashes, pieces, slices, word_bounds, word_hashes
 
 BANDS, ROWS = 32, 4
 PROBES = 256
@@ -153,15 +153,19 @@ def _bit_table(nodes: DataFrame, n: int) -> np.ndarray:
     return out
 
 
+def _marked(table: np.ndarray, at: pa.Array) -> np.ndarray:
+    at = at.to_numpy()
+    return (table[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """rep, k and full set of the given nodes (rep, k), in the shared folder."""
     table = _bit_table(nodes, nodes.count())
     bits = len(table) * 64
 
     def run(batches):
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((table[at >> 6] >> (at & 63)) & 1 == 1))
+        for batch in slices(batches):
+            batch = batch.filter(pa.array(_marked(table, batch.column(2))))
             for lo, hi, data, offsets in pieces(batch.column(1)):
                 g, b = shingles(data, offsets, words)
                 yield pa.RecordBatch.from_arrays(
@@ -313,12 +317,28 @@ def spanning_links(parts: list[pa.RecordBatch], percent: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kinds[some]), pa.array(kinds[root[some]])], names=["u", "v"])
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``gone`` (rep).  Only rows that the bit table of
+    ``gone`` marks, those that go and a few false alarms, are shuffled with their texts."""
+    table = _bit_table(gone, gone.count())
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(len(table) * 64)).alias(fresh(docs, "_at"))
+
+    def side(marked):
+        def run(batches):
+            for batch in slices(batches):
+                keep = _marked(table, batch.column(batch.num_columns - 1)) == marked
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
+        return docs.select("*", at).mapInArrow(run, docs.schema)
+
+    maybe = side(True)
+    return side(False).unionAll(maybe.join(gone.withColumnRenamed("rep", "_gone"), maybe["doc_id"] == F.col("_gone"), "left_anti"))
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, all columns kept.  Of rows that share
     the doc_id which stays, one stays; rows with a null doc_id all stay."""
     out = stored(near_duplicates(docs, words, percent), "minhash-out")
-    gone = out.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    left = _without(docs, stored(out.where("not kept").select(F.col("doc_id").alias("rep")).distinct(), "minhash-gone"))
     again = stored(out.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1"), "minhash-again")
     if again.isEmpty():
         return left
