@@ -16,6 +16,8 @@ from its whole history where they fall inside it; either gives the rows of a ful
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,7 +76,8 @@ def latest_per_key(batch: DataFrame, key: str | list[str], newest: list[str]) ->
 
 def fct_increment(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
                   state: DataFrame | None = None, backfill: bool = False,
-                  newest: list[str] | None = None, **series_opts) -> tuple[DataFrame, DataFrame]:
+                  newest: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+                  **series_opts) -> tuple[DataFrame, DataFrame]:
     """The batch of an incremental fact run, fact rows newer than the target's watermark, and the
     state of the series after it.
 
@@ -84,14 +87,17 @@ def fct_increment(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
     each (ticker, date) the latest load.  Without a state every changed ticker is.
 
     ``backfill=True`` goes beyond the reference: for those tickers the batch also carries every
-    recomputed row on or after the earliest new date, exactly the rows whose windows changed."""
+    recomputed row on or after the earliest new date, exactly the rows whose windows changed.
+
+    The watermark is the state's where there is one (a row per ticker instead of the target).
+    ``keep`` may store the new rows, which are used several times."""
     newest = newest or [WATERMARK]
     if target is None:
         whole = stg_p
         return (fct_select(attach_companies(series_metrics(whole, **series_opts), stg_c)),
                 series_state(whole))
-    hwm = watermark(target)
-    new = latest_per_key(stg_p.filter(newer_than(WATERMARK, hwm)), FCT_KEY, newest)
+    hwm = watermark(target) if state is None else watermark(state, "_hwm")
+    new = keep(latest_per_key(stg_p.filter(newer_than(WATERMARK, hwm)), FCT_KEY, newest))
     return increment_of(new, stg_p, stg_c, state, backfill, newest, **series_opts)
 
 

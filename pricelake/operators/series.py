@@ -88,13 +88,14 @@ def _chunk(order: str, chunk_days: int) -> Column:
 # Side table
 # --------------------------------------------------------------------------------------------
 def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int, lookback: int,
-                with_returns: bool) -> DataFrame:
+                with_returns: bool, loaded: str | None = None) -> DataFrame:
     """One row per (key, chunk): row count, first/last close, the chunk's last ``lookback`` rows
     and - for averages - the exact sum / count of the returns between consecutive rows inside it.
     A window over the narrow columns (it spills like any sort) followed by an aggregate on the
-    same partitioning; the only collected list holds at most ``lookback`` rows."""
+    same partitioning; the only collected list holds at most ``lookback`` rows.  With ``loaded``, also
+    the latest load time of the chunk's rows."""
     narrow = df.select(key, _chunk(order, chunk_days).alias("_chunk"), order, "close_price",
-                       "volume")
+                       "volume", *([loaded] if loaded else []))
     w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
     x = narrow.withColumns({
         "_pos": F.row_number().over(w),
@@ -111,6 +112,8 @@ def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int, lookback:
     if with_returns:
         ret = _units(daily_return(F.col("close_price"), F.col("_lagc")), 4)
         aggs += [F.coalesce(F.sum(ret), F.lit(0)).alias("_in_rs"), F.count(ret).alias("_in_rn")]
+    if loaded:
+        aggs.append(F.max(loaded).alias("_hwm"))
     return x.groupBy(key, "_chunk").agg(*aggs)
 
 
@@ -149,11 +152,12 @@ STATE_CHUNK = -(1 << 40)
 
 
 def series_state(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                 state: DataFrame | None = None, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+                 state: DataFrame | None = None, chunk_days: int = CHUNK_DAYS,
+                 loaded: str = "ingested_at") -> DataFrame:
     """One row per key: number of rows, last date and close, exact sum and count of all returns,
-    and the last ``LOOKBACK`` rows.  With ``state``, ``df`` holds only rows after those that it
+    latest load time (the watermark), and the last ``LOOKBACK`` rows.  With ``state``, ``df`` holds only rows after those that it
     covers, and keys without new rows keep theirs."""
-    stats = chunk_stats(df, key, order, chunk_days, LOOKBACK, True)
+    stats = chunk_stats(df, key, order, chunk_days, LOOKBACK, True, loaded)
     if state is not None:
         stats = stats.unionByName(_as_chunk(state, stats))
     w = Window.partitionBy(key).orderBy("_chunk")
@@ -166,7 +170,7 @@ def series_state(df: DataFrame, key: str = "ticker", order: str = "price_date",
     out = whole.groupBy(key).agg(
         F.sum("_n").alias("_n"), F.max_by("_last_c", "_chunk").alias("_last_c"),
         F.sum("_rs").cast("decimal(38,0)").alias("_in_rs"), F.sum("_rn").alias("_in_rn"),
-        tails.alias("_all"))
+        F.max("_hwm").alias("_hwm"), tails.alias("_all"))
     kept = F.slice("_all", F.greatest(F.size("_all") - LOOKBACK + 1, F.lit(1)), LOOKBACK)
     out = out.withColumn("_tail", kept).drop("_all")
     return out.withColumn("_last_d", F.element_at("_tail", -1)["d"])

@@ -195,11 +195,11 @@ def _published_until(spark, sf, name: str, until) -> str:
 
 def _merged(spark, sf, path: str) -> DataFrame:
     """The table after an incremental run over all staged rows on that layer."""
-    batch, _ = incremental.fct_increment(stg_p(spark, sf), stg_c(spark, sf), layers.read(spark, [path]),
-                                         spark.read.parquet(f"{path}-state"))
     out = scratch_path(spark, "increment")
-    files.full_refresh(batch, f"{out}-batch")
-    found = layers.merge(spark, [path], spark.read.parquet(f"{out}-batch"), out, marts.FCT_KEY,
+    batch, _ = incremental.fct_increment(
+        stg_p(spark, sf), stg_c(spark, sf), layers.read(spark, [path]), spark.read.parquet(f"{path}-state"),
+        keep=lambda df: files.stored(df, f"{out}-new"))
+    found = layers.merge(spark, [path], files.stored(batch, f"{out}-batch"), out, marts.FCT_KEY,
                          marts.FCT_CLUSTER)
     return _no_audit(layers.read(spark, found))
 

@@ -27,7 +27,7 @@ from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
 from pricelake.sources import files
 from pricelake.plans import layers
-from pricelake.streaming.folders import list_versions, path_exists
+from pricelake.streaming.folders import fingerprint, list_versions, path_exists
 
 RAW_TABLES = {
     "raw_stock_prices": D.raw_prices,
@@ -147,8 +147,9 @@ def publish_fact(spark: SparkSession, root: str, stg_p: DataFrame, stg_c: DataFr
     path = f"{home}/{'d' if found else 'v'}={n}"
     if found:
         before = state(spark, root, int(found[-1].rsplit("=", 1)[1]))
-        batch, after = incremental.fct_increment(stg_p, stg_c, layers.read(spark, found), before,
-                                                 backfill, **series_opts)
+        batch, after = incremental.fct_increment(
+            stg_p, stg_c, layers.read(spark, found), before, backfill,
+            keep=lambda df: files.stored(df, files.layer_path(root, STAGE, f"{FCT}_new_{n}")), **series_opts)
         # stored once: its months are listed, then it is merged
         stage = files.layer_path(root, STAGE, f"{FCT}_batch_{n}")
         files.full_refresh(batch, stage)
@@ -212,19 +213,13 @@ class Warehouse:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cls._files(spark, sf_dir))
+        # other files in the folder are another warehouse
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fingerprint(spark, sf_dir))
         with cls._lock:
             if key not in cls._registry:
                 cls._registry[key] = cls(spark, sf_dir)
             return cls._registry[key]
 
-    @staticmethod
-    def _files(spark: SparkSession, sf_dir: str) -> tuple:
-        """Number, size and last change of the input files: other files are another warehouse."""
-        found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(sf_dir)
-                 .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")))
-        return tuple(found.collect()[0])
-
     def raw(self, name: str) -> DataFrame:
         with self._lock:
             if name not in self._raw:

@@ -148,6 +148,12 @@ def full_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back: computed once, and its lineage cut."""
+    full_refresh(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clustered(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition by the clustering keys and sort inside each partition, so every output
     file covers a narrow key range and parquet min/max statistics prune row groups."""

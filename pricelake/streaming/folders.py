@@ -16,6 +16,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def fingerprint(spark: SparkSession, root: str) -> tuple:
+    """Names, sizes and times of change of the files in a folder and in its sub-folders."""
+    fs, p = _fs(spark, root)
+    out = []
+    for st in fs.listStatus(p):
+        files = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        out += [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(out))
+
+
 def list_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """What follows ``prefix`` in the names of the folders ``<root>/<prefix>...``."""
     fs, p = _fs(spark, root)
