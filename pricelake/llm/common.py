@@ -12,12 +12,17 @@ import pricelake
 from pricelake.session import scratch_path
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch; Spark's own number lets a batch of texts grow to 64 MB on either side.
+BATCH, BATCH_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application: their Python workers need not
-    share the driver's import path."""
+    share the driver's import path.  Also sets the session to short Arrow batches, unless it has
+    its own number."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_KEY) == "10000":
+        spark.conf.set(BATCH_KEY, str(BATCH))
     if sc.applicationId not in _shipped:
         home = os.path.dirname(os.path.abspath(pricelake.__file__))
         name = os.path.join(tempfile.mkdtemp(prefix="pricelake-"), "pricelake-code")
