@@ -66,9 +66,9 @@ def fct(spark, sf):
     return marts.fct_prices(stg_p(spark, sf), stg_c(spark, sf))
 
 
-def fct_mart(spark, sf):
-    """The published fact table, as the tests and read queries see it."""
-    return Warehouse.of(spark, sf).mart("fct_stock_prices")
+def fct_mart(spark, sf, months=None):
+    """The published fact table (or some of its months), as the tests and read queries see it."""
+    return Warehouse.of(spark, sf).mart("fct_stock_prices", months)
 
 
 def dim_mart(spark, sf):
@@ -220,6 +220,14 @@ def layer_before_last_day(spark, sf) -> str:
     return _published_until(spark, sf, "fct_before_last_day", F.col("ingested_at") < F.lit(last))
 
 
+@register("new_staged_prices", O.with_ctes(
+    "select * from stg_prices where ingested_at > (select max(ingested_at) from stg_prices"
+    f" where ingested_at <= timestamp '{CUT}')", "stg_prices"))
+def q_new_staged_prices(spark, sf):
+    """What an increment reads: the watermark is pushed into the scan of RAW."""
+    return _no_audit(incremental.new_rows(stg_p(spark, sf), initial_target(spark, sf)))
+
+
 @register("hwm_filter", O.with_ctes(
     "select * from fct_prices where ingested_at > (select max(ingested_at) from stg_prices"
     f" where ingested_at <= timestamp '{CUT}')", "fct_prices", "stg_prices"))
@@ -725,6 +733,7 @@ def q_volume_series(spark, sf):
 
 # The dashboard's reads: one ticker, a date range.
 TICKER, SINCE, UNTIL = "SUPPLIER#000000003", "1995-06-01", "1997-03-31"
+MONTHS = layers.months_between(SINCE, UNTIL)
 _PICK = f" where ticker = '{TICKER}' and price_date between date '{SINCE}' and date '{UNTIL}'"
 
 
@@ -732,21 +741,21 @@ _PICK = f" where ticker = '{TICKER}' and price_date between date '{SINCE}' and d
     "select ticker, price_date, open_price, high_price, low_price, close_price, volume"
     f" from fct_prices{_PICK}", "fct_prices"))
 def q_ohlcv_of_ticker(spark, sf):
-    return readmodels.ohlcv_series(fct_mart(spark, sf), TICKER, SINCE, UNTIL)
+    return readmodels.ohlcv_series(fct_mart(spark, sf, MONTHS), TICKER, SINCE, UNTIL)
 
 
 @register("sma_of_ticker", O.with_ctes(
     f"select ticker, price_date, close_price, sma_7d, sma_30d, sma_90d from fct_prices{_PICK}",
     "fct_prices"))
 def q_sma_of_ticker(spark, sf):
-    return readmodels.sma_series(fct_mart(spark, sf), TICKER, SINCE, UNTIL)
+    return readmodels.sma_series(fct_mart(spark, sf, MONTHS), TICKER, SINCE, UNTIL)
 
 
 @register("volume_of_ticker", O.with_ctes(
     "select ticker, price_date, volume, case when close_price >= open_price then 'Up'"
     f" else 'Down' end as direction, vol_ma_7d, vol_ma_30d from fct_prices{_PICK}", "fct_prices"))
 def q_volume_of_ticker(spark, sf):
-    return readmodels.volume_series(fct_mart(spark, sf), TICKER, SINCE, UNTIL)
+    return readmodels.volume_series(fct_mart(spark, sf, MONTHS), TICKER, SINCE, UNTIL)
 
 
 def _exact4_agg(x: str) -> str:

@@ -21,6 +21,16 @@ from pricelake.streaming.folders import list_folders, list_versions
 MONTH = "part_month"
 
 
+def months_between(since: str, until: str) -> list[str]:
+    """The months (yyyy-MM) of a range of dates, both included: the folders that a read needs."""
+    y, m = int(since[:4]), int(since[5:7])
+    out = []
+    while f"{y:04d}-{m:02d}" <= until[:7]:
+        out.append(f"{y:04d}-{m:02d}")
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
 def write(df: DataFrame, path: str, keys: list[str], date: str = "price_date") -> None:
     """Write ``df`` as a layer: folders by the month of ``date``, files sorted by ``keys``."""
     out = df.withColumn(MONTH, F.date_format(date, "yyyy-MM"))

@@ -248,6 +248,6 @@ class Warehouse:
                 build(self.spark, self.root, full_refresh=True)
                 self._published = True
 
-    def mart(self, name: str) -> DataFrame:
+    def mart(self, name: str, months: list[str] | None = None) -> DataFrame:
         self.publish()
-        return current(self.spark, self.root, name)
+        return current(self.spark, self.root, name, months)
