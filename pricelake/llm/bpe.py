@@ -34,7 +34,7 @@ from .textscan import slices
 #: The pattern built into the tokenizers library's byte-level step, which is the faster way for it.
 BUILT_IN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of text encoded at once, so that the library's objects stay small.
-PIECE = 1 << 19
+PIECE = 1 << 17
 
 
 def byte_alphabet() -> list[str]:
