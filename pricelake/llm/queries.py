@@ -64,7 +64,7 @@ def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rest = F.expr(bucket_of("doc_id", 4))
     model = langid.learn(docs.where(rest != 2))
-    return langid.predict(docs, model, rest == 2)
+    return langid.predict(docs, model, F.coalesce(rest == 2, F.lit(False)))
 
 
 def op1_vector_dups(spark, sf_dir):
@@ -76,7 +76,7 @@ def op2_quality(spark, sf_dir):
     """Quality of every document, learned from four fifths of the labelled ones."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     rest = F.expr(bucket_of("doc_id", 5))
-    return quality.classify(docs, quality.learn(docs, labels, rest != 0), rest == 0)
+    return quality.classify(docs, quality.learn(docs, labels, rest != 0), F.coalesce(rest == 0, F.lit(False)))
 
 
 QUERIES = {

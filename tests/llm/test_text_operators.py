@@ -206,3 +206,15 @@ def test_language_model_of_nothing(spark):
     got = bloomlm.score(docs, bloomlm.learn(docs.limit(0)), F.lit(True)).collect()
     assert len(got) == docs.count() and all(r["n_known"] == 0 and r["base_score"] == 0 for r in got)
     assert bloomlm.score(docs.limit(0), bloomlm.learn(docs), F.lit(True)).count() == 0
+
+
+def test_queries_on_null_ids(spark, tmp_path):
+    """Rows with a null doc_id are scored, and never held out."""
+    sf = str(tmp_path)
+    odd_docs(spark).select("doc_id", "text", "lang", "source").write.parquet(f"{sf}/documents.parquet")
+    table(spark, SF, "labels").write.parquet(f"{sf}/labels.parquet")
+    for name in ("op2_quality", "op4_language_id", "op7_bloom_lm"):
+        got = queries.QUERIES[name](spark, sf).collect()
+        assert len(got) == odd_docs(spark).count()
+        assert [r["held_out"] for r in got if r["doc_id"] is None] == [False, False]
+    assert len(queries.QUERIES["op3_mix"](spark, sf).collect()) == len(got)
