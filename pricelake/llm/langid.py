@@ -141,7 +141,7 @@ def learn(rows: DataFrame, per_language: int = 1500, max_languages: int = 250, c
         parts = [tfidf(c, idf)[found] for _, c, found in counts(pdf["text"].tolist())]
         v = np.concatenate(parts) if parts else np.zeros((0, DIM), np.float32)
         if not len(v):
-            return pd.DataFrame({"lang": [], "centroid": [], "least": []})
+            return pd.DataFrame({"lang": [], "centroid": [], "least": []}, dtype=object)
         c = kmeans(v, clusters)
         least = min(far, reject * float(np.quantile((v @ c.T).max(1), 0.001)))
         return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [x.tolist() for x in c], "least": [least] * len(c)})
