@@ -344,3 +344,17 @@ def test_stages_on_odd_and_empty_documents(spark):
             assert docs.columns == [f.name for f in kind]
             docs = stored(docs, "t")
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+@pytest.mark.parametrize("rows", [0, 2])
+def test_queries_on_empty_and_null_tables(spark, tmp_path, rows):
+    """Every query over tables without rows, and with rows of nothing but nulls."""
+    sf = str(tmp_path)
+    for name in ("documents", "embeddings", "pages", "labels"):
+        given = table(spark, SF, name)
+        nulls = given.limit(rows).select(*[F.lit(None).cast(t).alias(c) for c, t in given.dtypes])
+        nulls.write.parquet(f"{sf}/{name}.parquet")
+    for name, query in queries.QUERIES.items():
+        got = query(spark, sf).collect()
+        assert len(got) == (0 if name == "op5_nearest" else rows), name
+    assert len(corpus_pipeline.run(spark, sf).collect()) == 0
