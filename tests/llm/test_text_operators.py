@@ -208,6 +208,28 @@ def test_language_model_of_nothing(spark):
     assert bloomlm.score(docs.limit(0), bloomlm.learn(docs), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_larger_than_its_broadcast(spark, monkeypatch, order):
+    docs = table(spark, SF, "documents").select("doc_id", "text").unionByName(odd_docs(spark).select("doc_id", "text"))
+    train = docs.where("doc_id % 3 > 0")
+    want = bloomlm.score(docs, bloomlm.learn(train, order=order), F.lit(True)).collect()
+    model = bloomlm.learn(train, order=order, max_bytes=1000)
+    assert model["filter"] is None
+    monkeypatch.setattr(bloomlm, "FLUSH", 5000)     # several blocks
+    got = bloomlm.score(docs, model, F.lit(True)).collect()
+    plain = lambda rows: sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows)
+    assert plain(got) == plain(want)
+
+
+def test_false_alarms_of_the_filter():
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 2**64, 200_000, dtype=np.uint64)
+    words = bloomlm.filter_part(h[:100_000], np.ones(100_000, np.int64))
+    table = bloomlm.Filter(np.array([len(words)]), 64)
+    table.put(0, words.tobytes())
+    assert (table.levels(h[:100_000]) > 0).all() and (table.levels(h[100_000:]) > 0).mean() < 0.02
+
+
 def test_queries_on_null_ids(spark, tmp_path):
     """Rows with a null doc_id are scored, and never held out."""
     sf = str(tmp_path)
