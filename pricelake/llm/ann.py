@@ -8,11 +8,15 @@ vectors are compared with it exactly (inner product in double precision, summed
 every pair), each visit returns its best k, and the tables' candidates are merged.
 
 The largest inner product is the smallest distance once every vector has the same length, so
-vectors are scaled by the largest norm and given one more coordinate that fills them up to 1;
-queries are scaled to 1 with a last coordinate of 0.
-
-m and the probes follow the number of vectors: m = log2(n) / 3.5, 3 to 8; probes = m^2.  Index and
-probes meet by (table, bucket, chunk): a bucket of more than CHUNK vectors is split into chunks
+vectors are scaled by the largest norm of their band and given one more coordinate that fills them
+up to 1; queries are scaled to 1 with a last coordinate of 0.  A band holds norms within a factor of
+the square root of 2 (the last of BANDS also all smaller ones) and has tables of its own.
+
+m follows the number of vectors of a band: m = log2(n) / 3.5, 3 to 8.  The probes follow the success
+seen: SAMPLE queries are compared with all vectors, and a band's probes are as many as find the
+share TARGET of the sample's true neighbours in it, m^2 at least; if all 3^m buckets do not, m is
+made smaller.  So recall does not depend on the number of vectors or their norms.  Index and probes
+meet by (table, bucket, chunk): a bucket of more than CHUNK vectors is split into chunks
 that each get the visiting queries, so a hot bucket is spread and a task holds one chunk.  Of
 equal vectors only the k + 1 smallest ids can be among anyone's best k; the others are left out,
 by a limit that Spark applies before the shuffle.  A query that finds fewer than k candidates is
@@ -40,12 +44,31 @@ from .common import stored
 from .vectors import matrix, packed, unpacked, usable
 
 TABLES, WIDTH, CHUNK = 8, 1.5, 4096
+BANDS, SAMPLE, TARGET = 16, 64, 0.97
+#: About the rows that the probes of a piece of queries make.
+VISITS = 1 << 16
+
+
+def functions(n: int) -> int:
+    """Functions of a table, for n vectors."""
+    return min(8, max(3, round(math.log2(max(n, 2)) / 3.5)))
+
+
+def band(norm: np.ndarray, longest: float) -> np.ndarray:
+    """Band of each norm."""
+    with np.errstate(divide="ignore"):
+        return np.clip(np.floor(2 * np.log2(longest / norm)), 0, BANDS - 1).astype(np.int64)
+
+
+def filled(x: np.ndarray, norm: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors of a band, scaled and filled up to length 1."""
+    part = norm / max(longest, 1e-300)
+    return np.column_stack([x / max(longest, 1e-300), np.sqrt(np.maximum(1 - part**2, 0))])
 
 
-def settings(n: int) -> tuple[int, int]:
-    """Functions of a table and probes of a query in it, for n vectors."""
-    m = min(8, max(3, round(math.log2(max(n, 2)) / 3.5)))
-    return m, m * m
+def asking(x: np.ndarray) -> np.ndarray:
+    """Queries, scaled to length 1."""
+    return np.column_stack([x / np.sqrt((x * x).sum(1))[:, None], np.zeros(len(x))])
 
 
 @lru_cache(maxsize=8)
@@ -70,8 +93,8 @@ def bucket(cell: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def probe(place: np.ndarray, probes: int) -> np.ndarray:
-    """Buckets to visit [rows, TABLES, probes], likeliest first."""
+def _far(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Own cells, all steps from them [steps, m], and each step's squared distance [rows, TABLES, steps]."""
     m = place.shape[-1]
     steps = np.array(list(itertools.product((0, -1, 1), repeat=m)))
     cell = np.floor(place)
@@ -80,10 +103,41 @@ def probe(place: np.ndarray, probes: int) -> np.ndarray:
     for k in range(m):
         wall = np.stack([np.zeros_like(part[..., k]), 1 - part[..., k], part[..., k]], -1)   # by step 0, 1, -1
         far += (wall**2)[..., steps[:, k]]
+    return cell, steps, far
+
+
+def probe(place: np.ndarray, probes: int) -> np.ndarray:
+    """Buckets to visit [rows, TABLES, probes], likeliest first."""
+    cell, steps, far = _far(place)
     best = np.argsort(far, axis=-1, kind="stable")[..., :probes]
     return bucket(cell[:, :, None, :] + steps[best])
 
 
+def needed(q: np.ndarray, x: np.ndarray, m: int) -> np.ndarray:
+    """Probes after which each filled query finds the filled vector beside it in some table; infinite
+    if it is in none of the 3^m buckets."""
+    out = [np.zeros(0)]
+    for lo in range(0, len(q), 32):
+        cell, _, far = _far(places(q[lo:lo + 32], m))
+        step = (np.floor(places(x[lo:lo + 32], m)) - cell).astype(np.int64)
+        digit = np.where(step == -1, 1, np.where(step == 1, 2, 0))      # the order of the steps
+        own = (digit * 3 ** np.arange(m - 1, -1, -1)).sum(-1)
+        rank = (far < np.take_along_axis(far, own[..., None], -1)).sum(-1) + 1.0
+        out.append(np.where((np.abs(step) <= 1).all(-1), rank, np.inf).min(1))
+    return np.concatenate(out)
+
+
+def settings(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[int, int]:
+    """Functions of a table and probes of a query in it, for a band of n vectors, from filled queries
+    and the filled neighbours that they should find (a pair of arrays for each length)."""
+    for m in range(functions(n), 0, -1):
+        need = np.sort(np.concatenate([np.zeros(0), *(needed(q, x, m) for q, x in pairs)]))
+        most = need[math.ceil(TARGET * len(need)) - 1] if len(need) else 0
+        if np.isfinite(most):
+            return m, int(min(max(most, m * m), 3**m))
+    return 1, 3
+
+
 def _by_length(batch: pa.RecordBatch, at: int, limit: int):
     """Parts of the batch with vectors of one length, and that length."""
     lengths = pc.list_value_length(batch.column(at)).to_numpy()
@@ -109,6 +163,72 @@ def best(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int)
     return row[keep], ids[col[keep]], score[keep]
 
 
+def _true(index: DataFrame, sample: DataFrame, k: int, kind) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(queries, vectors) for each length d: the k best of all vectors for each query of the sample,
+    pair by pair."""
+    asked: dict[int, list] = {}
+    for r in sample.collect():          # SAMPLE rows
+        asked.setdefault(len(r["embedding"]), []).append((r["vec_id"], r["embedding"]))
+    ids = {d: np.array([i for i, _ in v]) for d, v in asked.items()}
+    q = {d: np.array([x for _, x in v], np.float64) for d, v in asked.items()}
+
+    def run(batches):
+        held = {}
+        for batch in batches:
+            for d, part in _by_length(batch, 1, 4096):
+                if d not in q:
+                    continue
+                x = matrix(part.column(1))
+                score = q[d] @ x.T
+                score[ids[d][:, None] == part.column(0).to_numpy()[None]] = -np.inf
+                old, vectors = held.get(d, (np.full((len(q[d]), k), -np.inf), np.zeros((len(q[d]), k, d))))
+                both = np.concatenate([old, score], 1)
+                top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+                new = np.where((top < k)[..., None], np.take_along_axis(vectors, np.minimum(top, k - 1)[..., None], 1),
+                               x[np.maximum(top - k, 0)])
+                held[d] = np.take_along_axis(both, top, 1), new
+        for d, (score, vectors) in held.items():
+            row, col = np.nonzero(score > -np.inf)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(row), d, np.int32)), pa.array(row), pa.array(score[row, col]), packed(vectors[row, col], kind)],
+                names=["d", "q", "score", "vector"])
+
+    order = Window.partitionBy("d", "q").orderBy(F.desc("score"), "vector")
+    pairs: dict[int, list] = {}
+    for r in (index.mapInArrow(run, "d int, q long, score double, vector binary").withColumn("rank", F.row_number().over(order))
+              .where(F.col("rank") <= k).orderBy("d", "q", "rank").collect()):      # SAMPLE * k vectors at most
+        pairs.setdefault(r["d"], []).append((r["q"], r["vector"]))
+    return [(q[d][[a for a, _ in v]], unpacked([b for _, b in v], kind).astype(np.float64)) for d, v in pairs.items()]
+
+
+def _bands(index: DataFrame, queries: DataFrame, longest: float, k: int, kind) -> dict[int, tuple[float, int, int]]:
+    """Largest norm, functions and probes of each band that holds vectors."""
+
+    def run(batches):
+        n, most = np.zeros(BANDS, np.int64), np.zeros(BANDS)
+        for batch in batches:
+            for _, part in _by_length(batch, 1, 4096):
+                x = matrix(part.column(1))
+                norm = np.sqrt((x * x).sum(1))
+                own = band(norm, longest)
+                n += np.bincount(own, minlength=BANDS)
+                np.maximum.at(most, own, norm)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BANDS)), pa.array(n), pa.array(most)], names=["band", "n", "most"])
+
+    sizes = (index.mapInArrow(run, "band long, n long, most double").groupBy("band")
+             .agg(F.sum("n").alias("n"), F.max("most").alias("most")).where("n > 0").collect())
+    pairs = _true(index, queries.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(SAMPLE), k, kind)
+    out = {}
+    for r in sorted(sizes):
+        found = []
+        for q, x in pairs:
+            norm = np.sqrt((x * x).sum(1))
+            own = band(norm, longest) == r["band"]
+            found.append((asking(q[own]), filled(x[own], norm[own], r["most"])))
+        out[r["band"]] = (r["most"], *settings(r["n"], found))
+    return out
+
+
 def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of every row where ``is_query``;
     rows: vec_id, embedding."""
@@ -120,7 +240,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     square = F.aggregate("embedding", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
     n, longest = index.agg(F.count("*"), F.max(square)).collect()[0]
     longest = math.sqrt(longest or 1.0) * (1 + 1e-12)
-    m, probes = settings(n)
+    queries = good.where(is_query).select("vec_id", "embedding")
+    bands = _bands(index, queries, longest, k, kind)
     columns = "t int, b long, chunk int, query boolean, d int, id long, vector binary"
     names = [c.strip().split(" ")[0] for c in columns.split(",")]
 
@@ -131,22 +252,31 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
              pa.array(np.full(size, d, np.int32)), ids, vector], names=names)
 
     def visits(query, vectors):
+        def buckets(x):
+            """(band, rows, buckets [rows, TABLES, probes]) of each band."""
+            norm = np.sqrt((x * x).sum(1))
+            if query:
+                full = asking(x)
+                for r, (_, m, probes) in bands.items():
+                    step = max(1, VISITS // (TABLES * probes))
+                    for lo in range(0, len(x), step):
+                        yield r, np.arange(lo, min(lo + step, len(x))), probe(places(full[lo:lo + step], m), probes)
+            else:
+                own = band(norm, longest)
+                for r in np.unique(own):
+                    most, m, _ = bands[r]
+                    at = np.flatnonzero(own == r)
+                    yield r, at, bucket(np.floor(places(filled(x[at], norm[at], most), m)))[..., None]
+
         def run(batches):
             for batch in batches:
                 for d, part in _by_length(batch, 1, 512):
                     x = matrix(part.column(1))
-                    norm = np.sqrt((x * x).sum(1))
-                    if query:
-                        full = np.column_stack([x / norm[:, None], np.zeros(len(x))])
-                        b = probe(places(full, m), probes)
-                    else:
-                        full = np.column_stack([x / longest, np.sqrt(np.maximum(1 - (norm / longest) ** 2, 0))])
-                        b = bucket(np.floor(places(full, m)))[..., None]
-                    times = b.shape[2] * TABLES
-                    t = np.broadcast_to(np.arange(TABLES)[None, :, None], b.shape).reshape(-1)
-                    pick = pa.array(np.repeat(np.arange(len(x)), times))
-                    vector = packed(x, kind).take(pick) if vectors else pa.nulls(len(pick), pa.binary())
-                    yield batch_of(t, b.reshape(-1), query, d, part.column(0).take(pick), vector)
+                    for r, at, b in buckets(x):
+                        t = np.broadcast_to(r * TABLES + np.arange(TABLES)[None, :, None], b.shape).reshape(-1)
+                        pick = pa.array(np.repeat(at, b.shape[2] * TABLES))
+                        vector = packed(x, kind).take(pick) if vectors else pa.nulls(len(pick), pa.binary())
+                        yield batch_of(t, b.reshape(-1), query, d, part.column(0).take(pick), vector)
         return run
 
     def compare(batches):
@@ -177,7 +307,6 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         return (both.repartition(parts, "t", "b", "chunk", "d").sortWithinPartitions("t", "b", "chunk", "d", "query")
                 .mapInArrow(compare, "query_id long, vec_id long, score double"))
 
-    queries = good.where(is_query).select("vec_id", "embedding")
     counts = stored(index.mapInArrow(visits(False, False), columns).groupBy("t", "b").count()
                     .select(F.col("t").alias("_t"), F.col("b").alias("_b"), F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), "ann-buckets")
     here = (F.col("t") == F.col("_t")) & (F.col("b") == F.col("_b"))

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,6 +222,25 @@ def test_recall_on_given_vectors(spark):
     assert len(got) == 20 * (ids % 20 == 0).sum() and hit >= 0.9 * len(got)
 
 
+@pytest.mark.parametrize("norms", ["one long", "lognormal"])
+def test_recall_with_unequal_norms(spark, norms):
+    rng = np.random.default_rng(11)
+    n = 20_000
+    x = rng.normal(size=(n, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    if norms == "one long":
+        x[7] *= 6
+    else:
+        x *= rng.lognormal(0, 0.8, (n, 1))
+    x = x.astype(np.float32)
+    data = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": pa.array(list(x), pa.list_(pa.float32()))}))
+    got = ann.search(data, F.col("vec_id") % 100 == 0, 20).toPandas()
+    s = x[::100].astype(float) @ x.T.astype(float)
+    s[np.arange(200), np.arange(0, n, 100)] = -9
+    want = {(100 * i, j) for i, row in enumerate(np.argsort(-s, axis=1)[:, :20]) for j in row}
+    assert len(got) == 4000 and len(want & set(zip(got.query_id, got.vec_id))) >= 0.94 * len(want)
+
+
 # --- mixing ---------------------------------------------------------------------------------
 
 def water(sizes, share=1.5, most=2):
