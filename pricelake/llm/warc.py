@@ -12,7 +12,8 @@ content length to its successor, through the block and out of it.  The hops betw
 then followed by pointer jumping from the start of each file: in every round the places reached
 are joined with the jumps, and the jumps with themselves, so the number of rounds grows with the
 logarithm of the blocks of a file.  Only the places reached hold records; they are read from there.
-One block and one record are held in a task.
+One block and one record are held in a task; a header that ends beyond the block is read to its end,
+however long it is.
 
 Cases: null HTML is an empty payload; a null page_id is written without one, never chosen before
 another id, and read back as null; if all ids of a payload are null, all are responses; rows that
@@ -83,9 +84,27 @@ def header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
     return (fields, end + 4) if fields.get("content-length", "").isdigit() else None
 
 
+def unfinished(data: bytes, last: int) -> bool:
+    """Whether a place before ``last`` may be a record whose header goes on after ``data``."""
+    at = data.find(VERSION, data.rfind(b"\r\n\r\n") + 1)
+    while 0 <= at < last:
+        if all(b":" in x for x in data[at + len(VERSION):].split(b"\r\n")[:-1]):
+            return True
+        at = data.find(VERSION, at + 1)
+    return False
+
+
+def read_block(uri: str, first: int, last: int, length: int) -> bytes:
+    """Bytes from ``first`` on to the end of every header that begins before ``last``."""
+    data = read(uri, first, min(last + HEADER, length))
+    while first + len(data) < length and unfinished(data, last - first):
+        data += read(uri, first + len(data), min(first + 2 * len(data), length))
+    return data
+
+
 def candidates(data: bytes, first: int, last: int) -> list[tuple[int, int]]:
     """(place, successor) of every place in first .. last that looks like a record; ``data`` begins
-    at ``first`` and reaches a header's length beyond ``last``."""
+    at ``first`` and holds the whole header of each."""
     out, at = [], data.find(VERSION)
     while 0 <= at < last - first:
         if found := header(data, at):
@@ -113,8 +132,7 @@ def entries(spark: SparkSession, path: str, size: int = BLOCK) -> DataFrame:
     def scan(batches):
         for batch in batches:
             for uri, length, first, last in zip(*(c.to_pylist() for c in batch.columns)):
-                data = read(uri, first, min(last + HEADER, length))
-                found = exits(candidates(data, first, last), last)
+                found = exits(candidates(read_block(uri, first, last, length), first, last), last)
                 found = [(a, b) for a, b in found if b <= length]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([uri] * len(found), pa.string()), pa.array([a for a, _ in found], pa.int64()),

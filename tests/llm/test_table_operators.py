@@ -322,6 +322,15 @@ def test_archives_with_records_inside_payloads(spark):
     assert warc.read_records(spark, folder + "-empty").count() == 0
 
 
+def test_archive_with_a_header_longer_than_a_block(spark):
+    pages = [(i, "u" * (300_000 if i in (3, 8) else 20), f"page {i} " * 30) for i in range(12)]
+    folder = scratch_path(spark, "test-warc-long")
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), folder)
+    for size in (50_000,):
+        got = warc.read_records(spark, folder, size).collect()
+        assert sorted((r["page_id"], r["uri"], r["payload"].decode()) for r in got) == pages
+
+
 def test_file_that_is_no_archive(spark, tmp_path):
     (tmp_path / "x.txt").write_bytes(b"rubbish WARC/1.1\r\nContent-Length: 1\r\n\r\na\r\n\r\n")
     (tmp_path / "y.txt").write_bytes(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 1\r\n\r\na\r\n\r\ncut WARC/1.1\r\nContent-Length: 900\r\n\r\nb")
