@@ -1,6 +1,7 @@
 """Operators on vectors, sets, sources and archives against plain code, and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -222,6 +223,18 @@ def test_recall_on_given_vectors(spark):
     assert len(got) == 20 * (ids % 20 == 0).sum() and hit >= 0.9 * len(got)
 
 
+def test_probes_follow_the_success_seen():
+    rng = np.random.default_rng(6)
+    q, y = rng.normal(size=(2, 300, 64))
+    q /= np.sqrt((q * q).sum(1, keepdims=True))
+    y -= (y * q).sum(1, keepdims=True) * q
+    x = 0.55 * q + math.sqrt(1 - 0.55**2) * y / np.sqrt((y * y).sum(1, keepdims=True))
+    full = ann.asking(q), ann.asking(x)
+    m, probes = ann.settings(200_000_000, [full])
+    assert (ann.needed(*full, m) <= probes).mean() >= 0.97
+    assert (ann.needed(*full, 8) <= 64).mean() < 0.9        # m^2 probes of 8 functions do not find them
+
+
 @pytest.mark.parametrize("norms", ["one long", "lognormal"])
 def test_recall_with_unequal_norms(spark, norms):
     rng = np.random.default_rng(11)
