@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, bloomlm, bpe, langid, minhash, mixing, quality, tokencount, vecdup, warc
+from . import align, ann, bloomlm, bpe, filteraudit, langid, minhash, mixing, packing, quality, tokencount, vecdup, warc
 from pricelake.session import scratch_path
 
 from .common import bucket_of, table
@@ -79,6 +79,22 @@ def op2_quality(spark, sf_dir):
     return quality.classify(docs, quality.learn(docs, labels, rest != 0), F.coalesce(rest == 0, F.lit(False)))
 
 
+def op11_filter_audit(spark, sf_dir):
+    """What five filters remove from every source, in all orders, alone and together."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_alignment(spark, sf_dir):
+    """Tokens of two tokenizers aligned over every document, and counts of linked pairs."""
+    return align.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_vector_dups": op1_vector_dups,
     "op2_quality": op2_quality,
@@ -90,6 +106,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_minhash": op9_minhash,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_packing": op12_packing,
+    "op13_alignment": op13_alignment,
 }
 
 SQL: dict[str, str] = {
@@ -97,4 +116,5 @@ SQL: dict[str, str] = {
     "op3_mix": mixing.SQL,
     "op8_warc": warc.SQL,
     "op9_minhash": minhash.SQL,
+    "op11_filter_audit": filteraudit.SQL,
 }
