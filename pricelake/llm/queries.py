@@ -40,7 +40,7 @@ def op8_warc(spark, sf_dir):
     """All pages written as WARC archives and read back."""
     folder = scratch_path(spark, "warc-files")
     warc.write(table(spark, sf_dir, "pages"), folder)
-    return warc.digest_report(warc.read_records(spark, folder))
+    return warc.digest_report(warc.read_records(spark, folder, strict=True))
 
 
 def op9_minhash(spark, sf_dir):

@@ -12,14 +12,15 @@ content length to its successor, through the block and out of it.  The hops betw
 then followed by pointer jumping from the start of each file: in every round the places reached
 are joined with the jumps, and the jumps with themselves, so the number of rounds grows with the
 logarithm of the blocks of a file.  Only the places reached hold records; they are read from there.
-One block and one record are held in a task; a header that ends beyond the block is read to its end,
+Each block is a task's work, up to TASKS tasks.  One block and one record are held in a task; a header that ends beyond the block is read to its end,
 however long it is.
 
 Cases: null HTML is an empty payload; a null page_id is written without one, never chosen before
 another id, and read back as null; if all ids of a payload are null, all are responses; rows that
 share the smallest id of a payload are all responses; line ends in a URL become blanks, a null URL
-is left out; a file that does not begin with a record holds none, and a chain that breaks ends the
-file's records there; other columns are ignored; an empty table gives an empty result.
+is left out; a file that does not begin with a record holds none; where a chain breaks (foreign bytes,
+a record cut short) the file's records end with the last whole one before, and ``file_report``
+names the file; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from .files import blocks, grouped, read
+from .files import blocks, dealt, grouped, read
 
 VERSION = b"WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -113,53 +114,76 @@ def candidates(data: bytes, first: int, last: int) -> list[tuple[int, int]]:
     return out
 
 
-def exits(found: list[tuple[int, int]], last: int) -> list[tuple[int, int]]:
-    """(place, first place at or after ``last`` on its chain) of the candidates whose chain leaves
-    the block."""
-    out: dict[int, int] = {}
+def chains(found: list[tuple[int, int]], last: int, length: int) -> list[tuple[int, int | None, int]]:
+    """(place, exit, stop) of every candidate of a block that ends at ``last``, in a file of ``length``
+    bytes: the first place after the block on its chain (none if the chain ends in the block), and
+    where its last whole record there ends.  A record is whole if all of its content is there."""
+    out: dict[int, tuple[int | None, int]] = {}
     for place, after in reversed(found):
-        after = out.get(after, after if after >= last else -1)
-        if after >= 0:
-            out[place] = after
-    return list(out.items())
+        if after - len(END) > length:           # content is missing
+            out[place] = None, place
+        elif after > length:                    # only the record's end mark is cut
+            out[place] = None, after - len(END)
+        elif after >= last:
+            out[place] = after, after
+        else:
+            out[place] = out.get(after, (None, after))
+    return [(place, *x) for place, x in out.items()]
 
 
 def entries(spark: SparkSession, path: str, size: int = BLOCK) -> DataFrame:
-    """path, place, exit: where the records of each block that holds some begin, and the first
-    place after the block's last record."""
+    """path, length (of the file), place, exit, stop: where the records of each block that holds some
+    begin, the first place after the block (null if the chain ends before) and the end of the
+    block's last whole record."""
     files = blocks(spark, path, size)
+    names = ["path", "length", "place", "exit", "stop"]
 
     def scan(batches):
         for batch in batches:
             for uri, length, first, last in zip(*(c.to_pylist() for c in batch.columns)):
-                found = exits(candidates(read_block(uri, first, last, length), first, last), last)
-                found = [(a, b) for a, b in found if b <= length]
+                found = chains(candidates(read_block(uri, first, last, length), first, last), last, length)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([uri] * len(found), pa.string()), pa.array([a for a, _ in found], pa.int64()),
-                     pa.array([b for _, b in found], pa.int64())], names=["path", "place", "exit"])
-
-    places = stored(files.mapInArrow(scan, "path string, place long, exit long"), "warc-places")
-    # jumps: only from places where some chain arrives, or a file begins
-    arrivals = places.select("path", F.col("exit").alias("place")).distinct()
-    jumps = stored(places.where("place = 0").unionByName(places.join(arrivals, ["path", "place"], "left_semi").where("place > 0")), "warc-jumps")
-    exits_ = jumps
-    reached = jumps.where("place = 0").select("path", "place")
+                    [pa.array([uri] * len(found), pa.string()), pa.array([length] * len(found), pa.int64()),
+                     *(pa.array([x[k] for x in found], pa.int64()) for k in range(3))], names=names)
+
+    places = stored(files.mapInArrow(scan, "path string, length long, place long, exit long, stop long"), "warc-places")
+    # entries: places where some chain arrives, or a file begins
+    arrivals = places.where("exit < length").select("path", F.col("exit").alias("place")).distinct()
+    known = stored(places.where("place = 0").unionByName(places.join(arrivals, ["path", "place"], "left_semi").where("place > 0").select(*names)),
+                   "warc-entries")
+    jumps = known.where("exit < length").select("path", "place", "exit")
+    reached = known.where("place = 0").select("path", "place")
     count = reached.count()
     while True:
         step = reached.join(jumps, ["path", "place"]).select("path", F.col("exit").alias("place"))
-        more = stored(reached.unionByName(step).distinct().join(exits_, ["path", "place"], "left_semi"), "warc-reached")
+        more = stored(reached.unionByName(step).distinct().join(known, ["path", "place"], "left_semi"), "warc-reached")
         n = more.count()
         if n == count:
             break
         reached, count = more, n
         jumps = stored(jumps.join(jumps.select("path", F.col("place").alias("exit"), F.col("exit").alias("next")), ["path", "exit"])
                        .select("path", "place", F.col("next").alias("exit")), "warc-jumps")
-    return reached.join(exits_, ["path", "place"])
+    return stored(reached.join(known, ["path", "place"]).select(*names), "warc-found")
 
 
-def read_records(spark: SparkSession, path: str, size: int = BLOCK) -> DataFrame:
+def file_report(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
+    """path, length, read_to, whole of every non-empty file, given its ``entries``: how far its records
+    go, and whether they reach its end."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    met = found.groupBy(F.col("path").alias("_path")).agg(
+        F.max("stop").alias("stop"), F.max(F.coalesce(F.col("exit") == F.col("length"), F.lit(False))).alias("end"))
+    return files.join(met, F.col("path") == F.col("_path"), "left").select(
+        "path", "length", F.coalesce("stop", F.lit(0)).cast("long").alias("read_to"), F.coalesce("end", F.lit(False)).alias("whole"))
+
+
+def read_records(spark: SparkSession, path: str, size: int = BLOCK, strict: bool = False) -> DataFrame:
     """Every record: path, place, record_type, page_id, refers_to, uri, record_id, stated_digest,
-    stated_length, payload (null for revisits)."""
+    stated_length, payload (null for revisits).  ``strict``: a file that is broken is an error."""
+    found = entries(spark, path, size)
+    if strict:
+        broken = file_report(spark, path, found).where("not whole").orderBy("path")
+        if n := broken.count():
+            raise ValueError(f"{n} broken files, the first after byte {broken.first()['read_to']}: {broken.first()['path']}")
     names = ["path", "place", "record_type", "page_id", "refers_to", "uri", "record_id", "stated_digest", "stated_length", "payload"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
@@ -186,7 +210,8 @@ def read_records(spark: SparkSession, path: str, size: int = BLOCK) -> DataFrame
                 for held in grouped(records(uri, first, last), 1 << 20):
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
-    return (entries(spark, path, size).select("path", "place", "exit").repartition("path", "place").mapInArrow(
+    rows = found.where("stop > place")
+    return (dealt(rows.select("path", "place", "stop"), rows.count()).mapInArrow(
         run, "path string, place long, record_type string, page_id long, refers_to long, uri string, record_id string, "
              "stated_digest string, stated_length long, payload binary"))
 
