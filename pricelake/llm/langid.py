@@ -3,16 +3,24 @@
 A text is a vector of its letters' 1-, 2- and 3-grams (lower case, every run of other characters
 one blank), hashed into DIM counts, times the inverse document frequency, of length 1; counts are
 not damped, so that a passage in another language weighs no more than its share.  Each language
-has several centroids, found by spherical k-means over a bounded sample of its labelled rows; a
-text gets the language of the centroid with the largest cosine.  It is rejected when that cosine
-is under the language's own bound, a fraction of the smallest cosines seen in the sample and 0.1
-at most, or when there is nothing to compare.
-
-Training: the sample holds about ``per_language`` rows of each of the ``max_languages`` most
-frequent languages, chosen by a hash of the text; document frequencies are summed per task and one
-task per language runs k-means over its bounded sample.  Scoring is one pass over whole texts, a
-bounded piece of a batch at a time; the model (at most max_languages * clusters * DIM * 4 bytes,
-12 MB) is sent with the tasks.
+has several centroids, found by spherical k-means over a bounded sample of its labelled texts; a
+text gets the language of the centroid with the largest cosine.
+
+Rejection.  How near a text comes to its own language depends on its length: a word shares little
+with a centroid, a page nearly all.  So the least cosine is a bound by the number of n-grams, learned
+per language: the sampled texts are cut to several numbers of words, at a place that the text's hash
+chooses, and the bound at a length is ``reject`` times the middle cosine there.  Cuts of a few words
+scatter widely, so for them the bound is also no higher than what nearly all of them reach.  A text is
+rejected when its cosine is under the bound of its language at its length, or when there is nothing
+to compare.
+
+Training: the sample holds about ``per_language`` distinct texts of each language, chosen by a hash of
+the text from all of them, so copies neither crowd a language out nor fill its sample; every language
+with a text is learned.  Sampled texts become counts where they are read; one task per language runs
+k-means over its bounded number of them, and the bounds come from one row per cut.  Scoring is one
+pass over whole texts, a bounded piece of a batch at a time.  The model is sent with the tasks: a language
+takes ``clusters`` rows of DIM floats, fewer clusters and then fewer dimensions (counts are folded) if
+all languages would exceed ``max_bytes`` that way.
 
 Cases: a text that is null or has no letter is ``und`` with score 0 and rejected; rows with a null
 language or text are never learned from; if nothing can be learned (an empty table, no labels)
@@ -23,6 +31,7 @@ scored row by row; other columns are ignored, or kept by ``keep_known``.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,8 +43,11 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .textscan import slices
+from .vectors import packed, unpacked
 
 DIM = 4096
+#: Words of the cuts that bounds are learned from; those of up to SHORT words scatter widely.
+CUTS, SHORT = (1, 2, 4, 8, 16, 32, 64, 128, 256, 1024), 8
 #: Rows whose counts are held at once, and about the characters of a piece.
 ROWS, PIECE = 128, 1 << 19
 
@@ -82,8 +94,8 @@ def counts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarra
 
 
 def tfidf(n: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of count times idf, of length 1."""
-    v = n * idf
+    """Rows of count times idf, of length 1; counts are folded to idf's dimensions."""
+    v = n.reshape(len(n), -1, len(idf)).sum(1) * idf
     return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-12)
 
 
@@ -104,72 +116,112 @@ def kmeans(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def learn(rows: DataFrame, per_language: int = 1500, max_languages: int = 250, clusters: int = 3,
-          reject: float = 0.5, far: float = 0.1) -> dict:
-    """Model from ``rows`` (text, lang): languages, centroids, and the least cosine of each:
-    ``reject`` times the cosine that one in 1000 sampled rows falls short of, ``far`` at most, as a
-    text of one word is not near to anything."""
-    rows = rows.select("text", "lang").where("text is not null and lang is not null")
-    spark = rows.sparkSession
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not top:
-        return {"languages": [], "centroids": np.zeros((0, DIM), np.float32), "idf": np.ones(DIM, np.float32),
-                "owner": np.zeros(0, np.int64), "least": np.zeros(0)}
-    names = sorted(r["lang"] for r in top)
-    share = spark.createDataFrame(
-        [(r["lang"], min(1.0, per_language / r["count"])) for r in top], "lang string, share double")
-    sample = stored(
-        rows.join(F.broadcast(share), "lang")      # at most max_languages rows
-        .where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
-        .select("text", "lang"), "langid-sample")
+def sampled(rows: DataFrame, per_language: int) -> tuple[list[str], DataFrame]:
+    """The languages, and lang and text of about ``per_language`` distinct texts of each."""
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
+    distinct = rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).groupBy("lang").agg(F.count("*").alias("n"))
+    shares = stored(distinct.select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(per_language) / F.col("n")).alias("share")), "langid-shares")
+    names = sorted(r["_lang"] for r in shares.select("_lang").collect())       # a row per language
+    chosen = (rows.join(shares, F.col("lang") == F.col("_lang"))
+              .where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+              .groupBy("lang", "h").agg(F.min("text").alias("text")))
+    return names, stored(chosen.select("lang", "text"), "langid-sample")
+
+
+def cut(text: str, n: int) -> str | None:
+    """``n`` consecutive words of a text, at a place chosen by its hash (null if it has fewer)."""
+    words = text.split()
+    if len(words) < n:
+        return None
+    at = zlib.crc32(text.encode("utf-8", "replace")) % (len(words) - n + 1)
+    return " ".join(words[at:at + n])
+
+
+def learn(rows: DataFrame, per_language: int = 1500, clusters: int = 3, reject: float = 0.55, max_bytes: int = 24 << 20) -> dict:
+    """Model from ``rows`` (text, lang): languages, centroids, and each language's least cosine by
+    number of n-grams."""
+    names, sample = sampled(rows.where("text is not null and lang is not null"), per_language)
+    dim = DIM
+    clusters = max(1, min(clusters, max_bytes // (4 * dim * max(len(names), 1))))
+    while len(names) * clusters * dim * 4 > max_bytes and dim > 64:
+        dim //= 2
+
+    def vectors(batches):
+        for batch in slices(batches):
+            for lo, c, found in counts(batch.column(1).to_pylist()):
+                c = c.reshape(len(c), -1, dim).sum(1)[found]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)).filter(pa.array(found)), packed(c, np.float32)], names=["lang", "counts"])
+
+    counted = stored(sample.mapInArrow(vectors, "lang string, counts binary"), "langid-counts")
 
     def seen(batches):
-        df, n = np.zeros(DIM, np.int64), 0
+        df, n = np.zeros(dim, np.int64), 0
         for batch in slices(batches):
-            for _, c, found in counts(batch.column(0).to_pylist()):
+            if len(batch):
+                c = unpacked(batch.column(1).to_pylist(), np.float32)
                 df += (c > 0).sum(0)
-                n += int(found.sum())
+                n += len(c)
         yield pa.RecordBatch.from_pydict({"df": [df.tolist()], "n": [n]})
 
-    df, n = np.zeros(DIM), 0
-    for r in sample.select("text").mapInArrow(seen, "df array<long>, n long").collect():   # DIM counts a task
+    df, n = np.zeros(dim), 0
+    for r in counted.mapInArrow(seen, "df array<long>, n long").collect():      # dim counts a task
         df += r["df"]
         n += r["n"]
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def centre(key, pdf):
-        parts = [tfidf(c, idf)[found] for _, c, found in counts(pdf["text"].tolist())]
-        v = np.concatenate(parts) if parts else np.zeros((0, DIM), np.float32)
-        if not len(v):
-            return pd.DataFrame({"lang": [], "centroid": [], "least": []}, dtype=object)
-        c = kmeans(v, clusters)
-        least = min(far, reject * float(np.quantile((v @ c.T).max(1), 0.001)))
-        return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [x.tolist() for x in c], "least": [least] * len(c)})
-
-    got = sorted(sample.groupBy("lang").applyInPandas(centre, "lang string, centroid array<float>, least double").collect())
+        c = kmeans(tfidf(unpacked(pdf["counts"], np.float32), idf), clusters)
+        return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [x.tolist() for x in c]})
+
+    got = sorted(counted.groupBy("lang").applyInPandas(centre, "lang string, centroid array<float>").collect())
     names = sorted({r["lang"] for r in got})
-    return {"languages": names, "idf": idf,
-            "centroids": np.array([r["centroid"] for r in got], np.float32).reshape(-1, DIM),
-            "owner": np.array([names.index(r["lang"]) for r in got], np.int64),
-            "least": np.array([next(r["least"] for r in got if r["lang"] == x) for x in names])}
+    model = {"languages": names, "idf": idf, "centroids": np.array([r["centroid"] for r in got], np.float32).reshape(-1, dim),
+             "owner": np.array([names.index(r["lang"]) for r in got], np.int64), "bounds": {}}
+
+    def nearness(batches):
+        for batch in slices(batches):
+            for words in CUTS:
+                both = [(lang, c) for lang, t in zip(*(batch.column(k).to_pylist() for k in (0, 1))) if (c := cut(t, words)) is not None]
+                lo = 0
+                for own, cos, size, found in nearest([c for _, c in both], model):
+                    lang = pa.array([x for x, _ in both[lo:lo + len(found)]], pa.string()).filter(pa.array(found))
+                    lo += len(found)
+                    yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(lang), words, np.int32)), pa.array(size[found].astype(float)),
+                                                      pa.array(cos[found].astype(float))], names=["lang", "words", "size", "cos"])
+
+    figures = (sample.mapInArrow(nearness, "lang string, words int, size double, cos double").groupBy("lang", "words")
+               .agg(F.percentile("size", F.lit(0.5)).alias("size"), F.percentile("cos", F.lit(0.5)).alias("middle"), F.percentile("cos", F.lit(0.01)).alias("low")))
+    bounds: dict[int, list] = {}
+    for r in sorted(figures.collect()):         # a row per language and number of words
+        least = reject * r["middle"]
+        bounds.setdefault(names.index(r["lang"]), []).append((r["size"], min(least, r["low"]) if r["words"] <= SHORT else least))
+    model["bounds"] = {k: tuple(np.array(x) for x in zip(*sorted(b))) for k, b in bounds.items()}
+    return model
+
+
+def nearest(texts: list[str | None], model: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(language, cosine, number of n-grams, has a letter) of the texts, a piece at a time."""
+    for _, c, found in counts(texts):
+        if not model["languages"]:
+            yield np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros(len(c)), np.zeros(len(c), bool)
+            continue
+        cos = tfidf(c, model["idf"]) @ model["centroids"].T
+        at = np.argmax(cos, axis=1)
+        yield model["owner"][at], cos[np.arange(len(cos)), at].astype(float), c.sum(1), found
 
 
 def identify(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, cosine, and whether it is accepted, of each text."""
-    names, score, kept = [], [], []
-    for _, c, found in counts(texts):
-        if not model["languages"]:
-            best, own = np.zeros(len(c)), np.zeros(len(c), np.int64)
-            found = np.zeros(len(c), bool)
-        else:
-            cos = tfidf(c, model["idf"]) @ model["centroids"].T
-            at = np.argmax(cos, axis=1)
-            own, best = model["owner"][at], cos[np.arange(len(cos)), at].astype(float)
+    names, score, kept = [], [np.zeros(0)], [np.zeros(0, bool)]
+    for own, cos, size, found in nearest(texts, model):
+        least = np.zeros(len(own))
+        for k in np.unique(own[found]):
+            sizes, bounds = model["bounds"][k]
+            least[own == k] = np.interp(np.log(np.maximum(size[own == k], 1)), np.log(sizes), bounds)
         names += [model["languages"][o] if f else "und" for o, f in zip(own, found)]
-        score.append(np.where(found, np.clip(best, 0, 1), 0.0))
-        kept.append(found & (best >= (model["least"][own] if model["languages"] else 0)))
-    empty = np.zeros(0)
-    return names, np.concatenate([empty, *score]), np.concatenate([empty.astype(bool), *kept])
+        score.append(np.where(found, np.clip(cos, 0, 1), 0.0))
+        kept.append(found & (cos >= least))
+    return names, np.concatenate(score), np.concatenate(kept)
 
 
 def predict(docs: DataFrame, model: dict, held_out: Column) -> DataFrame:
