@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from pricelake.llm import ann, components, minhash, mixing, queries, vecdup, warc
-from pricelake.llm.common import stored, table
+from pricelake.llm import ann, components, files, langid, minhash, mixing, queries, vecdup, warc
+from pricelake.llm.common import ship, stored, table
 from pricelake.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -167,6 +167,48 @@ def test_vector_links(spark, monkeypatch, kind, tile, width):
     assert vecdup.near_duplicates(data.limit(0)).count() == 0
 
 
+def test_an_id_under_two_labels(spark):
+    v = [[1.0, x, 0.0, 0.0] for x in (0.0, 0.1, 0.6)]
+    rows = [(5, v[0], "A"), (6, v[0], "A"), (7, v[1], "A"), (5, v[0], "B"), (5, [0.0, 1.0, 0.0, 0.0], "A"), (9, v[2], "B"), (3, v[2], "B")]
+    got = vecdup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    # (5, A) is linked with 6 and 7; (5, B) and the other vector of 5 with nothing; 9 and 3 with each other
+    assert sorted(map(tuple, got)) == [(3, 1, 3, True), (5, 0, 5, True), (5, 0, 5, True), (5, 2, 5, True), (6, 2, 5, False), (7, 2, 5, False), (9, 1, 3, False)]
+
+
+@pytest.mark.parametrize("n, grid", [(2000, 2), (8000, 2), (8000, 4)])
+def test_few_pairs_of_random_vectors_are_compared(n, grid):
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    turned, pairs = vecdup.rotated(x), 0
+    allowed = vecdup.budgets(64, 8, 0.98)
+    for k, rows, home, cell in vecdup.cells(turned, 8, 0.98, grid):
+        key = vecdup._numbered(cell)
+        order = np.argsort(key)
+        for own in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            part = turned[rows[own], 8 * k:8 * k + 8].astype(float)
+            pairs += sum(len(i) for i, _ in vecdup.meetings(part, home[own], grid, allowed[k]))
+    assert pairs < 0.05 * n * (n - 1) / 2
+
+
+@pytest.mark.parametrize("d", [1, 3, 6])
+def test_rows_within_reach_meet_once(d):
+    x = np.random.default_rng(d).uniform(-2, 2, (300, d))
+    met = defaultdict(int)
+    for both in vecdup.meetings(x, np.ones(300, bool), 0, 0.3):
+        for i, j in zip(*both):
+            met[min(i, j), max(i, j)] += 1
+    near = {(i, j) for j in range(300) for i in range(j) if ((x[i] - x[j]) ** 2).sum() <= 0.3}
+    assert near <= set(met) and set(met.values()) == {1}
+
+
+def test_dealt_dimensions_grow_with_the_vectors(spark, monkeypatch):
+    ship(spark)
+    rng = np.random.default_rng(1)
+    nodes = spark.createDataFrame([(k, "a", rng.normal(size=64).tolist()) for k in range(2000)], "node long, label string, embedding array<double>")
+    few = vecdup.dealt_dimensions(nodes, 8, 0.98)
+    monkeypatch.setattr(vecdup, "TILE", 4)
+    assert vecdup.dealt_dimensions(nodes, 8, 0.98) > few == 2
+
+
 # --- nearest neighbours ---------------------------------------------------------------------
 
 def nearest(rows, is_query, k):
@@ -299,10 +341,43 @@ def test_mix(spark, seed):
     assert mix.columns == docs.columns
     assert sum(n(r["text"]) for r in mix.collect()) == sum(r["taken"] for r in got)
     weighted = mixing.mix(docs, importance="size")
-    assert weighted.columns == docs.columns and weighted.count() > 0
+    assert weighted.columns == docs.columns
+    assert sum(n(r["text"]) for r in weighted.collect()) == sum(r["taken"] for r in mixing.mix_report(docs, importance="size").collect())
     assert mixing.mix_report(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
 
 
+def inclusion(rows, need):
+    """p of each (importance, size): proportional to importance, those of 1 and more certain."""
+    sure = set()
+    while True:
+        free = [k for k in range(len(rows)) if k not in sure]
+        left = need - sum(rows[k][1] for k in sure)
+        weight = sum(rows[k][0] * rows[k][1] for k in free)
+        over = {k for k in free if left * rows[k][0] >= weight}
+        if not over:
+            return [1.0 if k in sure else max(left, 0) / weight * rows[k][0] for k in range(len(rows))]
+        sure |= over
+
+
+@pytest.mark.parametrize("importance", [[1, 1, 1, 2, 2, 3, 5, 8], [40, 30, 1, 1, 1, 1, 2, 2], [7] * 8])
+def test_inclusion_probabilities(spark, importance):
+    """300 sources with the same documents and targets: how often each document is taken."""
+    sizes, sources = [30, 12, 25, 8, 30, 14, 20, 11], 300
+    rows = [(100 * s + k, "w " * n, f"s{s:03d}", i) for s in range(sources) for k, (n, i) in enumerate(zip(sizes, importance))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, i int")
+    got = mixing.mix_report(docs, importance="i", weights=(1,), share=(1, 2)).collect()
+    assert {r["target"] for r in got} == {75.0} and all(abs(r["target"] - 75) <= 15 for r in got)
+    p = inclusion(list(zip(importance, sizes)), 75.0)
+    taken = [0] * 8
+    for r in got:
+        assert r["probability"] == pytest.approx(p[r["doc_id"] % 100])
+        taken[r["doc_id"] % 100] += r["taken"] > 0
+    for k in range(8):
+        assert (taken[k] == sources) if p[k] == 1 else abs(taken[k] / sources - p[k]) < 0.12, (k, p, taken)
+    other = mixing.mix_report(docs, importance="i", weights=(1,), share=(1, 2), seed="x").collect()
+    assert sorted(map(str, got)) != sorted(map(str, other))
+
+
 def test_mix_without_python(spark):
     plan = mixing.mix(table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
@@ -347,7 +422,56 @@ def test_archive_with_a_header_longer_than_a_block(spark):
 def test_file_that_is_no_archive(spark, tmp_path):
     (tmp_path / "x.txt").write_bytes(b"rubbish WARC/1.1\r\nContent-Length: 1\r\n\r\na\r\n\r\n")
     (tmp_path / "y.txt").write_bytes(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 1\r\n\r\na\r\n\r\ncut WARC/1.1\r\nContent-Length: 900\r\n\r\nb")
-    assert warc.read_records(spark, str(tmp_path), 16).count() in (0, 1)
+    assert [(r["path"][-5:], r["payload"]) for r in warc.read_records(spark, str(tmp_path), 16).collect()] == [("y.txt", b"a")]
+    with pytest.raises(ValueError, match="2 broken files"):
+        warc.read_records(spark, str(tmp_path), 16, strict=True)
+
+
+def in_order(data):
+    """(place, content) of every whole record from the start on, how far they go, and whether to the end."""
+    out, at = [], 0
+    while data.startswith(warc.VERSION, at) and (found := warc.header(data, at)):
+        end = found[1] + int(found[0]["content-length"])
+        if end > len(data):
+            break
+        out.append((at, data[found[1]:end]))
+        at = min(end + 4, len(data))
+        if end + 4 > len(data):
+            return out, end, False
+    return out, at, at == len(data)
+
+
+@pytest.mark.parametrize("size", [64, 700, 4096, 4 << 20])
+def test_broken_archives(spark, tmp_path, size):
+    record = lambda k, n: (b"WARC/1.1\r\nWARC-Type: resource\r\nX-Page-ID: %d\r\nContent-Length: %d\r\n\r\n" % (k, n)
+                           + (b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * n)[:n] + b"\r\n\r\n")
+    some = [record(k, k * 7 % 90) for k in range(150)]
+    whole = b"".join(some)
+    made = {"whole": whole, "mark-cut": whole[:-1], "content-cut": whole[:-10], "header-cut": whole[:-len(some[-1]) + 20], "junk": whole + b"junk",
+             "blank": whole + b"\r\n", "middle": b"".join(some[:70]) + b"??" + b"".join(some[70:]), "start": b"?" + whole,
+             "long": record(1, 9000) + whole + record(2, 20), "wrong-length": b"".join(some[:40]) + some[40].replace(b"Length: 10", b"Length: 11") + b"".join(some[41:])}
+    for name, data in made.items():
+        (tmp_path / name).write_bytes(data)
+    (tmp_path / "empty").write_bytes(b"")
+    got = defaultdict(list)
+    for r in warc.read_records(spark, str(tmp_path), size).collect():
+        got[r["path"].rsplit("/", 1)[1]].append((r["place"], r["payload"]))
+    report = {r["path"].rsplit("/", 1)[1]: (r["read_to"], r["whole"])
+              for r in warc.file_report(spark, str(tmp_path), warc.entries(spark, str(tmp_path), size)).collect()}
+    for name, data in made.items():
+        records, to, ok = in_order(data)
+        assert sorted(got[name]) == records, name
+        assert report[name] == (to, ok), name
+    assert {n for n, x in report.items() if x[1]} == {"whole", "long"}
+
+
+def test_every_block_is_a_task(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"f{k}").write_bytes(bytes(10_000 + k))
+    found = files.blocks(spark, str(tmp_path), 500)
+    assert found.rdd.getNumPartitions() == 20 + 21 + 21
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 62 and max(sizes) <= 4 and len(sizes) >= 40
 
 
 # --- pipeline -------------------------------------------------------------------------------
@@ -356,11 +480,14 @@ def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     given = {r["doc_id"]: r for r in docs.collect()}
     known = stored(corpus_pipeline.known_language(spark, docs, SF), "t")
-    assert known.columns == docs.columns and {r["doc_id"] for r in known.collect()} == set(given)
+    left = {r["doc_id"] for r in known.collect()}
+    assert known.columns == docs.columns and len(left) >= 0.98 * len(given)
+    names, _, kept = langid.identify([given[i]["text"] for i in sorted(given)], langid.learn(docs))
+    assert left == {i for i, k in zip(sorted(given), kept) if k}
     good = stored(corpus_pipeline.good_quality(spark, known, SF), "t")
     left = {r["doc_id"] for r in good.collect()}
     marks = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
-    assert [i for i in marks if (marks[i] == 1) != (i in left)] == []
+    assert [i for i in marks if i in {r["doc_id"] for r in known.collect()} and (marks[i] == 1) != (i in left)] == []
     one = stored(corpus_pipeline.one_of_each(spark, good, SF), "t")
     want = expected_classes([(i, given[i]["text"]) for i in left], 5)
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(set(want.values()))

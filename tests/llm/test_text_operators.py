@@ -121,7 +121,49 @@ def test_language_of_held_out_documents(spark):
     assert (both.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in both.doc_id]).all()
     held = both[both.held_out]
     assert (held.lang == held.lang_pred).mean() > 0.97 and both.score.between(0, 1).all()
-    assert both.rejected.sum() == 0
+    assert both.rejected.mean() < 0.005
+
+
+FOREIGN = {
+    "fi": "Suomi on pohjoismaa, jossa on tuhansia järviä ja laajoja metsiä. Talvella lunta on paljon ja päivät ovat lyhyitä, mutta kesällä "
+          "aurinko paistaa melkein koko yön. Ihmiset viettävät lomansa usein mökillä järven rannalla, saunovat ja uivat.",
+    "sw": "Watoto huenda shuleni asubuhi na kurudi nyumbani jioni. Mama anapika chakula kitamu jikoni wakati baba anafanya kazi shambani. "
+          "Serikali imetangaza mpango mpya wa kusaidia wakulima wadogo kupata mbegu bora na mbolea.",
+    "pl": "Wczoraj wieczorem poszliśmy do kina, żeby obejrzeć nowy film, który bardzo nam się podobał. Rząd ogłosił zmiany w ustawie o "
+          "podatkach, które wejdą w życie w przyszłym roku. Dzieci bawią się w ogrodzie, a babcia gotuje obiad.",
+}
+
+
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("crc32(cast(doc_id as string)) % 4 <> 2")
+    model = langid.learn(docs)
+    rng = np.random.default_rng(1)
+    junk = lambda letters, sizes: " ".join("".join(rng.choice(list(letters), rng.choice(sizes))) for _ in range(40))
+    bad = [t * n for t in FOREIGN.values() for n in (1, 30)] + [" ".join(t.split()[:12]) for t in FOREIGN.values()]
+    bad += [junk("asdfghjklqwertyuiop", [4, 6, 9]), junk("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", [60]), "Это совсем другой язык и другие буквы"]
+    assert not langid.identify(bad, model)[2].any()
+    held = [r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").where("crc32(cast(doc_id as string)) % 4 = 2 and lang is not null").collect()]
+    rows = [(n, t, langid.cut(t, n)) for t in held for n in (1, 2, 3, 5, 20, 100)]
+    kept = {}
+    for n, t, c in rows:
+        if c is not None and c.replace(" ", "").replace(".", "").replace(",", "").isalpha():
+            kept.setdefault(n, []).append(bool(langid.identify([c], model)[2][0]))
+    assert all(np.mean(x) > 0.97 for x in kept.values()), {n: np.mean(x) for n, x in kept.items()}
+    assert langid.identify(held, model)[2].mean() > 0.99
+
+
+def test_all_labelled_languages_are_learned(spark):
+    few = [("xx", "kuku paku tiktak zumzum rarara")] * 3000 + [("xx", "paku kuku rarara zumzum")]     # two distinct texts
+    rng = np.random.default_rng(3)
+    names = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(400)]
+    many = [(f"l{k}", " ".join([w * 2, w[::-1], w] * 5)) for k, w in enumerate(names)]
+    model = langid.learn(spark.createDataFrame([*few, *many, ("no", "??"), ("no", None), (None, "text")], "lang string, text string"),
+                         per_language=50, max_bytes=1 << 20)
+    assert model["languages"] == sorted({"xx", *(c for c, _ in many)})
+    assert model["centroids"].nbytes <= 1 << 20
+    got, _, kept = langid.identify(["kuku paku tiktak", many[7][1], "?"], model)
+    assert got[0] == "xx" and got[2] == "und" and list(kept) == [True, True, False]
+    assert got[1] == next(c for c, t in sorted(many) if t == many[7][1])
 
 
 def test_language_of_odd_rows(spark):
