@@ -38,13 +38,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_alphabet
 from .common import stored
 from .textscan import pieces as parts_of
 from .textscan import slices
-from .words import WordIds, as_binary, cuts, flat_ids
+from .words import WordIds, flat_ids, one_by_one, runs
 
 #: Bytes of text encoded at once.
-PIECE = 1 << 20
+PIECE = 1 << 21
+#: The character of each byte but the blank, which parts runs.
+SHOWN = {b: c for b, c in enumerate(byte_alphabet()) if b != 0x20}
 #: Partial fillings looked at and fillings kept in one step, and steps of the search.
 LOOKED, WIDTH, STEPS = 100, 8, 5000
 
@@ -251,30 +254,61 @@ def placed(table: dict[str, np.ndarray], length: np.ndarray, number: np.ndarray)
 # The documents
 # --------------------------------------------------------------------------------------------
 @lru_cache(maxsize=2)
-def word_ids(path: str, end: int) -> WordIds:
-    """Words of a tokenizer file (row 0: the end id), one thread."""
+def word_ids(path: str, end: int) -> tuple[WordIds, WordIds]:
+    """Runs of letters, digits or signs, and whole words, of a tokenizer file that lower-cases and marks
+    ends of words (row 0 of the first: the end id); one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-
-    def encode(words):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    tok, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    # runs need neither normalising nor cutting: they come as byte-level characters between blanks
+    bare.normalizer = normalizers.Sequence([])
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    mark = bare.model.end_of_word_suffix
+    last = np.zeros(bare.get_vocab_size(), bool)
+    last[[i for t, i in bare.get_vocab().items() if t.endswith(mark)]] = True
+
+    def in_runs(runs):
+        flat, sizes = [], []
+        for lo in range(0, len(runs), 2048):
+            text = b" ".join(runs[lo:lo + 2048]).decode("latin-1").translate(SHOWN)
+            ids = np.array(bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            flat.append(ids)
+            sizes.append(np.diff(np.append(-1, np.flatnonzero(last[ids]))))
+        return ((np.concatenate(flat), np.concatenate(sizes)),)
+
+    def whole(words):
         out = []
-        for lo in range(0, len(words), 4096):
-            texts = [w.decode("utf-8", "replace") for w in words[lo:lo + 4096]]
+        for lo in range(0, len(words), 1024):
+            texts = [w.decode("utf-8", "replace") for w in words[lo:lo + 1024]]
             out += [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-        return (out,)
+        return (one_by_one(out),)
 
-    return WordIds(encode, 1, ((end,),))
+    return WordIds(in_runs, 1, ((end,),)), WordIds(whole, 1)
 
 
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, ids with each row's end id, bounds of the rows), a part at a time."""
-    known = word_ids(path, end)
+    of_runs, of_words = word_ids(path, end)
     for lo, hi, data, offsets in parts_of(column, PIECE):
-        starts, first = cuts(data, offsets)
-        rows = np.insert(known.find(as_binary(data, starts)), first[1:], 0)
-        ids, bounds = flat_ids(known.take(rows, 0))
+        found, whole, first = runs(data, offsets)
+        row = np.zeros(len(found), np.int64)
+        row[~whole] = of_runs.find(found.filter(pa.array(~whole)))
+        other = of_words.find(found.filter(pa.array(whole)))
+        lists = of_runs.take(np.insert(row, first[1:], 0), 0)
+        ids, bounds = flat_ids(lists)
+        if whole.any():         # their ids take the place of the end id that stands for them
+            more, cut = flat_ids(of_words.take(other, 0))
+            at = np.flatnonzero(whole) + np.searchsorted(first[1:], np.flatnonzero(whole), side="right")
+            size = np.diff(bounds)
+            size[at] = np.diff(cut)
+            new = np.append(0, np.cumsum(size))
+            out = np.empty(new[-1], ids.dtype)
+            own = np.zeros(len(size), bool)
+            own[at] = True
+            out[np.repeat(own, size)] = more
+            out[~np.repeat(own, size)] = ids[~np.repeat(own, np.diff(bounds))]
+            ids, bounds = out, new
         yield lo, hi, ids.astype("<u4"), bounds[first + np.arange(len(first))]
 
 
