@@ -48,7 +48,7 @@ def main() -> None:
     warm = "/root/testdata/sf0.001"
     Warehouse.of(spark, warm).publish()
     catalog.initial_target(spark, warm)
-    catalog.layer_before_last_day(spark, warm)
+    catalog.before_last_day(spark, warm)
     for n in names:
         catalog.QUERIES[n](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
@@ -62,7 +62,7 @@ def main() -> None:
     times["publish_marts"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
     catalog.initial_target(spark, sf_dir)   # the published state an incremental run starts from
-    catalog.layer_before_last_day(spark, sf_dir)
+    catalog.before_last_day(spark, sf_dir)
     times["publish_initial_targets"] = round(time.perf_counter() - t0, 3)
     for n in names:
         t0 = time.perf_counter()

@@ -10,12 +10,14 @@ Semantics kept from the reference's incremental marts:
   holds several times is reduced to its latest load first (``latest_per_key``).
 
 The watermark is a scalar subquery (``DataFrame.scalar()``), evaluated by the engine: nothing is
-collected to the driver.  New rows are computed from the stored state of their ticker's series, or
-from its whole history where they fall inside it; either gives the rows of a full recomputation.
+collected to the driver.  New rows are computed from the stored state of their ticker's series, and
+where they fall inside it, from their chunk of the history on; either gives the rows of a full
+recomputation.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pricelake.operators.intermediate import attach_companies
 from pricelake.operators.marts import FCT_KEY, fct_select
-from pricelake.operators.series import series_metrics, series_state
+from pricelake.operators.series import CHUNK_DAYS, chunk_of, chunk_start, series_metrics, series_state
 
 WATERMARK = "ingested_at"
 
@@ -74,62 +76,87 @@ def latest_per_key(batch: DataFrame, key: str | list[str], newest: list[str]) ->
             .drop("_rank"))
 
 
+#: Date (or none) -> staged rows from then on.
+History = Callable[[datetime.date | None], DataFrame]
+
+
+def staged(stg_p: DataFrame) -> History:
+    """The history as the staged rows hold it."""
+    return lambda since: stg_p if since is None else stg_p.filter(F.col("price_date") >= F.lit(since))
+
+
 def fct_increment(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,
                   state: DataFrame | None = None, backfill: bool = False,
                   newest: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
-                  **series_opts) -> tuple[DataFrame, DataFrame]:
+                  history: History | None = None, **series_opts) -> tuple[DataFrame, DataFrame]:
     """The batch of an incremental fact run, fact rows newer than the target's watermark, and the
     state of the series after it.
 
     New rows that come after everything published of their ticker are computed from ``state``, so
-    the history is not read.  Tickers with a new row on or before their last published date (a
-    late back-fill, a corrected or re-delivered bar) are computed from their whole history, of
-    each (ticker, date) the latest load.  Without a state every changed ticker is.
+    the history is not read.  A ticker with a new row on or before its last published date (a late
+    back-fill, a corrected or re-delivered bar) is computed anew from the chunk of that row on, and
+    what lies before it comes from the state; of each (ticker, date) the latest load counts.  Without a
+    state every changed ticker is computed from its whole history.
+
+    ``history(since)`` gives the staged rows from a date on (all, if none), and may leave out new rows;
+    by default they are read from ``stg_p``.
 
     ``backfill=True`` goes beyond the reference: for those tickers the batch also carries every
     recomputed row on or after the earliest new date, exactly the rows whose windows changed.
 
-    The watermark is the state's where there is one (a row per ticker instead of the target).
+    The watermark is the state's where there is one (a few rows per ticker instead of the target).
     ``keep`` may store the new rows, which are used several times."""
     newest = newest or [WATERMARK]
     if target is None:
         whole = stg_p
         return (fct_select(attach_companies(series_metrics(whole, **series_opts), stg_c)),
-                series_state(whole))
+                series_state(whole, **series_opts))
     hwm = watermark(target) if state is None else watermark(state, "_hwm")
     new = keep(latest_per_key(stg_p.filter(newer_than(WATERMARK, hwm)), FCT_KEY, newest))
-    return increment_of(new, stg_p, stg_c, state, backfill, newest, **series_opts)
-
-
-def increment_of(new: DataFrame, stg_p: DataFrame, stg_c: DataFrame, state: DataFrame | None,
-                 backfill: bool, newest: list[str], **series_opts) -> tuple[DataFrame, DataFrame]:
-    """``fct_increment`` for given new rows, unique by key; ``stg_p`` is the whole history, new rows
-    included, and is read only for tickers that need it."""
-    def published(rows):
-        return fct_select(attach_companies(series_metrics(rows, **series_opts), stg_c))
-
-    since = new.groupBy("ticker").agg(F.min("price_date").alias("_from"))
-    late = since
-    if state is not None:
-        last = state.select("ticker", "_last_d")
-        late = (since.join(last, "ticker", "left").filter(F.col("_from") <= F.col("_last_d"))
-                .drop("_last_d"))
-        if late.isEmpty():
-            return (fct_select(attach_companies(series_metrics(new, state=state, **series_opts), stg_c)),
-                    series_state(new, state=state))
-    scope = latest_per_key(stg_p.join(late.select("ticker"), "ticker", "left_semi"), FCT_KEY, newest)
-    again = published(scope)
-    if backfill:
-        again = (again.join(late, "ticker").filter(F.col("price_date") >= F.col("_from"))
-                 .select(*again.columns))
-    else:
-        again = again.join(new.select(FCT_KEY), FCT_KEY, "left_semi").select(*again.columns)
+    return increment_of(new, history or staged(stg_p), stg_c, state, backfill, newest, **series_opts)
+
+
+def increment_of(new: DataFrame, history: History, stg_c: DataFrame, state: DataFrame | None,
+                 backfill: bool, newest: list[str], chunk_days: int = CHUNK_DAYS) -> tuple[DataFrame, DataFrame]:
+    """``fct_increment`` for given new rows, unique by key."""
+    def published(rows, before=None):
+        return fct_select(attach_companies(series_metrics(rows, state=before, chunk_days=chunk_days), stg_c))
+
+    def after(rows, before=None):
+        return series_state(rows, state=before, chunk_days=chunk_days)
+
+    def again(late, before):
+        """Rows of the late tickers that are published again, and all that they were computed from."""
+        since = None if before is None else late.agg(F.min("_since")).collect()[0][0]
+        old = history(since).join(late, "ticker")
+        if before is not None:
+            old = old.filter(F.col("price_date") >= F.col("_since"))
+        old = latest_per_key(old.select(*new.columns).join(new.select(FCT_KEY), FCT_KEY, "left_anti").select(*new.columns), FCT_KEY, newest)
+        scope = old.unionByName(new.join(late.select("ticker"), "ticker", "left_semi").select(*new.columns))
+        rows = published(scope, before)
+        if backfill:
+            kept = rows.join(late, "ticker").filter(F.col("price_date") >= F.col("_from"))
+        else:
+            kept = rows.join(new.select(FCT_KEY), FCT_KEY, "left_semi")
+        return kept.select(*rows.columns), scope
+
+    first = new.groupBy("ticker").agg(F.min("price_date").alias("_from"))
     if state is None:
-        return again, series_state(latest_per_key(stg_p, FCT_KEY, newest))
-    after = new.join(late, "ticker", "left_anti")
-    rest = state.join(late, "ticker", "left_anti")
-    batch = fct_select(attach_companies(series_metrics(after, state=rest, **series_opts), stg_c))
-    return batch.unionByName(again), series_state(after, state=rest).unionByName(series_state(scope))
+        batch, _ = again(first, None)
+        whole = history(None).select(*new.columns).join(new.select(FCT_KEY), FCT_KEY, "left_anti").select(*new.columns)
+        return batch, after(latest_per_key(whole, FCT_KEY, newest).unionByName(new))
+    last = state.groupBy("ticker").agg(F.max("_last_d").alias("_last"))
+    late = first.join(last, "ticker").filter(F.col("_from") <= F.col("_last")).drop("_last")
+    if late.isEmpty():
+        return published(new, state), after(new, state)
+    at = chunk_of("_from", chunk_days)
+    late = late.withColumns({"_at": at, "_since": chunk_start(at, chunk_days)})
+    before = (state.join(late.select("ticker", "_at"), "ticker").filter(F.col("_chunk") < F.col("_at"))
+              .select(*state.columns))
+    batch, scope = again(late, before)
+    on_time, rest = (x.join(late.select("ticker"), "ticker", "left_anti").select(*x.columns) for x in (new, state))
+    return (published(on_time, rest).unionByName(batch),
+            after(on_time, rest).unionByName(before).unionByName(after(scope)))
 
 
 def fct_incremental(stg_p: DataFrame, stg_c: DataFrame, target: DataFrame | None,

@@ -80,7 +80,8 @@ def daily_return(close: Column, prev: Column) -> Column:
     return F.round(safe_divide(close - prev, prev) * 100, 4)
 
 
-def _chunk(order: str, chunk_days: int) -> Column:
+def chunk_of(order: str, chunk_days: int) -> Column:
+    """Number of the calendar chunk that a date lies in."""
     return F.floor(F.datediff(F.col(order), F.lit("1970-01-01")) / F.lit(chunk_days))
 
 
@@ -94,7 +95,7 @@ def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int, lookback:
     A window over the narrow columns (it spills like any sort) followed by an aggregate on the
     same partitioning; the only collected list holds at most ``lookback`` rows.  With ``loaded``, also
     the latest load time of the chunk's rows."""
-    narrow = df.select(key, _chunk(order, chunk_days).alias("_chunk"), order, "close_price",
+    narrow = df.select(key, chunk_of(order, chunk_days).alias("_chunk"), order, "close_price",
                        "volume", *([loaded] if loaded else []))
     w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
     x = narrow.withColumns({
@@ -145,42 +146,45 @@ def chunk_context(stats: DataFrame, key: str, lookback: int, with_returns: bool)
 
 
 # --------------------------------------------------------------------------------------------
-# State of published series: what an increment needs of the history, one row per key
+# State of published series: what an increment needs of the history, one row per key and chunk
 # --------------------------------------------------------------------------------------------
-# Chunk number of a state row: before every calendar chunk.
-STATE_CHUNK = -(1 << 40)
-
-
 def series_state(df: DataFrame, key: str = "ticker", order: str = "price_date",
                  state: DataFrame | None = None, chunk_days: int = CHUNK_DAYS,
                  loaded: str = "ingested_at") -> DataFrame:
-    """One row per key: number of rows, last date and close, exact sum and count of all returns,
-    latest load time (the watermark), and the last ``LOOKBACK`` rows.  With ``state``, ``df`` holds only rows after those that it
-    covers, and keys without new rows keep theirs."""
-    stats = chunk_stats(df, key, order, chunk_days, LOOKBACK, True, loaded)
+    """One row per (key, chunk): number of rows, first, last close and last date, exact sum and count of
+    the returns inside, latest load time (the greatest is the watermark), and the last ``LOOKBACK``
+    rows.  With ``state``, ``df`` holds only rows after those that it covers; they may go on in a chunk
+    that it has, and chunks without new rows stay as they are."""
+    out = chunk_stats(df, key, order, chunk_days, LOOKBACK, True, loaded)
     if state is not None:
-        stats = stats.unionByName(_as_chunk(state, stats))
-    w = Window.partitionBy(key).orderBy("_chunk")
-    first_r = _units(daily_return(F.col("_first_c"), F.lag("_last_c").over(w)), 4)
-    whole = stats.withColumns({
-        "_rs": (F.col("_in_rs") + F.coalesce(first_r, F.lit(0))).cast("decimal(38,0)"),
-        "_rn": F.col("_in_rn") + F.when(first_r.isNotNull(), 1).otherwise(0)})
-    tails = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_tail"))),
-                                  lambda x: x["_tail"]))
-    out = whole.groupBy(key).agg(
-        F.sum("_n").alias("_n"), F.max_by("_last_c", "_chunk").alias("_last_c"),
-        F.sum("_rs").cast("decimal(38,0)").alias("_in_rs"), F.sum("_rn").alias("_in_rn"),
-        F.max("_hwm").alias("_hwm"), tails.alias("_all"))
-    kept = F.slice("_all", F.greatest(F.size("_all") - LOOKBACK + 1, F.lit(1)), LOOKBACK)
-    out = out.withColumn("_tail", kept).drop("_all")
+        names = out.columns
+        both = (state.select(*names).withColumn("_new", F.lit(0))
+                .unionByName(out.withColumn("_new", F.lit(1))))
+        link = _units(daily_return(F.col("_b"), F.col("_a")), 4)       # the return from the old to the new rows
+        tails = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_new", "_tail"))), lambda x: x["_tail"]))
+        out = both.groupBy(key, "_chunk").agg(                         # two rows at most
+            F.sum("_n").alias("_n"), F.min_by("_first_c", "_new").alias("_first_c"),
+            F.max_by("_last_c", "_new").alias("_last_c"), F.sum("_in_rs").alias("_rs"), F.sum("_in_rn").alias("_rn"),
+            F.max(F.when(F.col("_new") == 0, F.col("_last_c"))).alias("_a"),
+            F.max(F.when(F.col("_new") == 1, F.col("_first_c"))).alias("_b"),
+            F.max("_hwm").alias("_hwm"), tails.alias("_all"))
+        out = out.withColumns({
+            "_in_rs": F.col("_rs") + F.coalesce(link, F.lit(0)),
+            "_in_rn": F.col("_rn") + F.when(link.isNotNull(), 1).otherwise(0),
+            "_tail": F.slice("_all", F.greatest(F.size("_all") - LOOKBACK + 1, F.lit(1)), LOOKBACK)}).select(*names)
     return out.withColumn("_last_d", F.element_at("_tail", -1)["d"])
 
 
-def _as_chunk(state: DataFrame, stats: DataFrame) -> DataFrame:
-    """State rows in the layout of chunk rows, as the chunk before all others."""
-    s = state.withColumns({"_chunk": F.lit(STATE_CHUNK), "_first_c": F.lit(None).cast("double"),
-                           "_in_rs": F.col("_in_rs").cast("long")})
-    return s.select(*[c for c in stats.columns if c in s.columns])
+def chunk_start(chunk: Column, chunk_days: int) -> Column:
+    """First day of a chunk."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), (chunk * chunk_days).cast("int"))
+
+
+def _after_state(stats: DataFrame, state: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Chunk rows of the new rows and of the state of their keys, numbered so that a chunk of the state
+    (2k) comes before the new rows of the same chunk (2k + 1)."""
+    old = state.join(keys, key, "left_semi").withColumn("_chunk", F.col("_chunk") * 2)
+    return stats.withColumn("_chunk", F.col("_chunk") * 2 + 1).unionByName(old.select(*stats.columns))
 
 
 # --------------------------------------------------------------------------------------------
@@ -223,12 +227,12 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     side = ["_start", "_ps", "_pn"] if averages else ["_start"]
     stats = chunk_stats(base, key, order, chunk_days, lookback, averages)
     if state is not None:
-        known = state.join(base.select(key).distinct(), key, "left_semi")
-        stats = stats.unionByName(_as_chunk(known, stats))
+        stats = _after_state(stats, state, base.select(key).distinct(), key)
     ctx = chunk_context(stats, key, lookback, averages)
     if state is not None:
-        ctx = ctx.filter(F.col("_chunk") != STATE_CHUNK)
-    data = base.withColumns({"_chunk": _chunk(order, chunk_days), "_own": F.lit(True)})
+        ctx = (ctx.filter(F.col("_chunk").bitwiseAND(F.lit(1)) == 1)
+               .withColumn("_chunk", F.shiftright("_chunk", 1)))
+    data = base.withColumns({"_chunk": chunk_of(order, chunk_days), "_own": F.lit(True)})
     d = data.unionByName(context_rows(ctx, key, order, side), allowMissingColumns=True)
     w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -66,7 +66,7 @@ def dedup_top1(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def prices_renamed(raw: DataFrame) -> DataFrame:
+def prices_renamed(raw: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Renamed and try-cast raw bars, before validation."""
     return raw.select(
         F.upper(F.trim("ticker")).alias("ticker"),
@@ -77,12 +77,14 @@ def prices_renamed(raw: DataFrame) -> DataFrame:
         F.col("close").try_cast("double").alias("close_price"),
         to_bigint(raw, "volume").alias("volume"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
+        *carried,
     )
 
 
-def stg_prices(raw: DataFrame, as_of=None) -> DataFrame:
-    """Clean, cast and validate raw daily bars; key them and derive the open-to-close change."""
-    v = prices_renamed(raw).filter(valid_prices())
+def stg_prices(raw: DataFrame, as_of=None, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Clean, cast and validate raw daily bars; key them and derive the open-to-close change.  Columns
+    of ``raw`` that are ``carried`` are appended."""
+    v = prices_renamed(raw, carried).filter(valid_prices())
     chg = F.col("close_price") - F.col("open_price")
     return v.select(
         surrogate_key("ticker", "price_date").alias("stock_price_id"),
@@ -91,6 +93,7 @@ def stg_prices(raw: DataFrame, as_of=None) -> DataFrame:
         F.round(safe_divide(chg, "open_price") * 100, 4).alias("pct_change_open_to_close"),
         "ingested_at",
         updated_at(as_of).alias("dbt_updated_at"),
+        *carried,
     )
 
 

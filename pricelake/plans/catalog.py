@@ -25,7 +25,7 @@ from pricelake.plans import oracle_sql as O
 from pricelake.plans import layers, warehouse
 from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
-from pricelake.sources import files
+from pricelake.sources import files, manifest
 from pricelake.streaming import file_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,43 +178,43 @@ CUT = "2000-01-01 00:00:00"
 OVERLAP_FROM = "1999-07-01 00:00:00"
 
 
-def _published_until(spark, sf, name: str, until) -> str:
-    """A layer of the fact table built from the staged rows that ``until`` keeps, with the state of
-    its series; written once per session."""
+def _published_until(spark, sf, name: str, until) -> manifest.Manifest:
+    """The fact table built from the staged rows that ``until`` keeps, with the state of its series;
+    written once per session."""
     w = Warehouse.of(spark, sf)
     path = files.layer_path(w.root, "DERIVED", name)
 
     def build(_):
         early = stg_p(spark, sf).filter(until)
         batch, state = incremental.fct_increment(early, stg_c(spark, sf), None)
-        files.full_refresh(state, f"{path}-state")
-        layers.write(batch, path, marts.FCT_CLUSTER)
-    w.derived(name, build)
-    return path
+        files.stored(state, f"{path}-state")
+        layers.publish(batch, path, marts.FCT_CLUSTER)
+    w.once(name, build)
+    return manifest.at(spark, path, 1)
 
 
-def _merged(spark, sf, path: str) -> DataFrame:
-    """The table after an incremental run over all staged rows on that layer."""
+def _merged(spark, sf, table: manifest.Manifest) -> DataFrame:
+    """The table after an incremental run over all staged rows on that version, as a table of its own."""
     out = scratch_path(spark, "increment")
     batch, _ = incremental.fct_increment(
-        stg_p(spark, sf), stg_c(spark, sf), layers.read(spark, [path]), spark.read.parquet(f"{path}-state"),
-        keep=lambda df: files.stored(df, f"{out}-new"))
-    found = layers.merge(spark, [path], files.stored(batch, f"{out}-batch"), out, marts.FCT_KEY,
-                         marts.FCT_CLUSTER)
-    return _no_audit(layers.read(spark, found))
+        stg_p(spark, sf), stg_c(spark, sf), manifest.read(spark, table), spark.read.parquet(f"{table.root}-state"),
+        keep=lambda df: files.stored(df, f"{out}-new"), history=warehouse.staged_history(spark, table))
+    own = manifest.Manifest(out, 0, {m: [f"{table.root}/{f}" for f in fs] for m, fs in table.parts.items()}, table.schema)
+    found = layers.merge(spark, own, files.stored(batch, f"{out}-batch"), marts.FCT_KEY, marts.FCT_CLUSTER)
+    return _no_audit(manifest.read(spark, found))
 
 
-def initial_layer(spark, sf) -> str:
+def initial_version(spark, sf) -> manifest.Manifest:
     """Fact table as first published from the rows loaded up to CUT."""
     return _published_until(spark, sf, "fct_initial_cut",
                             F.col("ingested_at") <= F.lit(CUT).cast("timestamp_ntz"))
 
 
 def initial_target(spark, sf) -> DataFrame:
-    return layers.read(spark, [initial_layer(spark, sf)])
+    return manifest.read(spark, initial_version(spark, sf))
 
 
-def layer_before_last_day(spark, sf) -> str:
+def before_last_day(spark, sf) -> manifest.Manifest:
     """Fact table as published before the last load."""
     last = stg_p(spark, sf).agg(F.max("ingested_at")).collect()[0][0]
     return _published_until(spark, sf, "fct_before_last_day", F.col("ingested_at") < F.lit(last))
@@ -237,13 +237,13 @@ def q_hwm_filter(spark, sf):
 
 @register("fct_incremental", O.with_ctes("select * from fct_prices", "fct_prices"))
 def q_fct_incremental(spark, sf):
-    return _merged(spark, sf, initial_layer(spark, sf))
+    return _merged(spark, sf, initial_version(spark, sf))
 
 
 @register("fct_one_day", O.with_ctes("select * from fct_prices", "fct_prices"))
 def q_fct_one_day(spark, sf):
     """The usual increment: one more day for every ticker."""
-    return _merged(spark, sf, layer_before_last_day(spark, sf))
+    return _merged(spark, sf, before_last_day(spark, sf))
 
 
 def _overlap(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -428,8 +428,9 @@ def q_stamped_extract(spark, sf):
 def q_public_view(spark, sf):
     """The dimension in the default layer, read through a view."""
     root = scratch_path(spark, "public")
-    files.full_refresh(dim_mart(spark, sf), files.layer_path(root, None, "dim_companies"))
-    files.as_view(spark.read.parquet(f"{root}/PUBLIC/dim_companies"), "public_dim_companies")
+    path = files.layer_path(root, None, "dim_companies")
+    files.full_refresh(dim_mart(spark, sf), path)
+    files.as_view(files.table(spark, path), "public_dim_companies")
     return spark.sql("select sector, count(*) as companies from public_dim_companies group by sector")
 
 
@@ -674,9 +675,8 @@ def q_layout_report(spark, sf):
     # How far the ranges of the published fact table's files overlap on its clustering keys.
     w = Warehouse.of(spark, sf)
     w.publish()
-    folders = layers.live_folders(spark, layers.published(
-        spark, files.layer_path(w.root, warehouse.MARTS, warehouse.FCT)))
-    return joblog.layout_report(spark, folders, marts.FCT_CLUSTER)
+    table = manifest.current(spark, files.layer_path(w.root, warehouse.MARTS, warehouse.FCT))
+    return joblog.layout_report(spark, table.folders(), marts.FCT_CLUSTER)
 
 
 @register("file_overlaps", O.with_ctes(

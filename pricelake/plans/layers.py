@@ -1,9 +1,11 @@
-"""A table in month folders, published in layers.
+"""A table in month folders, published in layers under a committed manifest.
 
-A full refresh writes every month of the table into one layer; an increment writes a new layer
-that holds only the months it touches.  The table is, for each month, the folder of the newest
-layer that has it.  So a published folder is never overwritten while it is read, and an increment
-rewrites the months of its batch alone.  Only folder names are listed on the driver.
+A full refresh writes every month of the table into one layer.  An increment writes a new layer: the
+months where a row of the batch replaces a published one are written whole, merged by key; to all
+other months the batch's rows are added as one more folder, so a usual day costs its own rows
+and not its month.  A month of more than FOLDERS folders is folded into one again, also by ``fold``
+on demand.  The manifest says which folders a month has, in one file, so a reader sees one whole
+version, and neither reading nor an increment lists the layers that were written before.
 
 Rows are brought together by month with a rebalancing exchange: AQE splits a large month into
 several files and merges small ones, without sampling the plan first, and each file is sorted by
@@ -16,13 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators.incremental import upsert
-from pricelake.streaming.folders import list_folders, list_versions
+from pricelake.sources import manifest
+from pricelake.sources.manifest import Manifest
+from pricelake.streaming.folders import list_folders
 
 MONTH = "part_month"
+#: Folders of a month before it is folded.
+FOLDERS = 8
 
 
 def months_between(since: str, until: str) -> list[str]:
-    """The months (yyyy-MM) of a range of dates, both included: the folders that a read needs."""
+    """The months (yyyy-MM) of a range of dates, both included: the parts that a read needs."""
     y, m = int(since[:4]), int(since[5:7])
     out = []
     while f"{y:04d}-{m:02d}" <= until[:7]:
@@ -31,47 +37,52 @@ def months_between(since: str, until: str) -> list[str]:
     return out
 
 
-def write(df: DataFrame, path: str, keys: list[str], date: str = "price_date") -> None:
-    """Write ``df`` as a layer: folders by the month of ``date``, files sorted by ``keys``."""
-    out = df.withColumn(MONTH, F.date_format(date, "yyyy-MM"))
-    df.limit(0).write.mode("overwrite").parquet(f"{path}-schema")
-    (out.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *keys)
+def write(df: DataFrame, path: str, keys: list[str], date: str = "price_date") -> list[str]:
+    """Write ``df`` as a layer: folders by the month of ``date``, files sorted by ``keys``.  Returns the
+    months."""
+    (df.withColumn(MONTH, F.date_format(date, "yyyy-MM"))
+     .hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *keys)
      .write.mode("overwrite").partitionBy(MONTH).parquet(path))
-
-
-def live_folders(spark: SparkSession, layers: list[str], months: list[str] | None = None) -> list[str]:
-    """The folder of each month (all, or those given) in the newest layer that has it."""
-    owner = {m: path for path in layers for m in list_folders(spark, path, f"{MONTH}=")}
-    return [f"{path}/{MONTH}={m}" for m, path in sorted(owner.items()) if months is None or m in months]
-
-
-def read(spark: SparkSession, layers: list[str], months: list[str] | None = None) -> DataFrame:
-    """The table that the layers (oldest first) make up, or its given months."""
-    schema = spark.read.parquet(f"{layers[0]}-schema").schema
-    folders = live_folders(spark, layers, months)
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def merge(spark: SparkSession, layers: list[str], batch: DataFrame, path: str, key: str,
-          keys: list[str], date: str = "price_date") -> list[str]:
-    """Upsert a stored batch as a new layer; returns the layers with it.  ``key`` must determine
-    the month (a row never moves to another one)."""
-    months = [r[0] for r in batch.select(F.date_format(date, "yyyy-MM")).distinct().collect()]
-    old = read(spark, layers, months)
-    write(upsert(old, batch.select(*old.columns), key), path, keys, date)
-    return [*layers, path]
-
-
-def published(spark: SparkSession, root: str, before: int | None = None) -> list[str]:
-    """Layers of the current table: the last full one (``v=``) and the increments (``d=``) after it;
-    only those numbered below ``before`` if given."""
-    ok = lambda n: before is None or n < before
-    full = [n for n in list_versions(spark, root, "v=") if ok(n)]
-    if not full:
-        return []
-    later = [n for n in list_versions(spark, root, "d=") if ok(n) and n > full[-1]]
-    return [f"{root}/v={full[-1]}", *(f"{root}/d={n}" for n in later)]
-
-
-def last_version(spark: SparkSession, root: str) -> int:
-    return max([0, *list_versions(spark, root, "v="), *list_versions(spark, root, "d=")])
+    return list_folders(df.sparkSession, path, f"{MONTH}=")
+
+
+def publish(df: DataFrame, root: str, keys: list[str], date: str = "price_date", **info) -> Manifest:
+    """Full refresh: ``df`` is the table."""
+    spark = df.sparkSession
+    n = manifest.last(spark, root) + 1
+    months = write(df, f"{root}/v={n}", keys, date)
+    return manifest.commit(spark, root, n, {m: [f"v={n}/{MONTH}={m}"] for m in months}, df.schema,
+                           layer=f"v={n}", **info)
+
+
+def merge(spark: SparkSession, table: Manifest, batch: DataFrame, key: str, keys: list[str],
+          date: str = "price_date", folders: int = FOLDERS, **info) -> Manifest:
+    """Upsert a stored batch into the table.  ``key`` must determine the month (a row never moves to
+    another one)."""
+    month = F.date_format(date, "yyyy-MM")
+    touched = [r[0] for r in batch.select(month).distinct().collect()]
+    known = manifest.read(spark, table, touched)
+    replaced = [r[0] for r in known.select(key, month.alias(MONTH)).join(batch.select(key), key, "left_semi")
+                .select(MONTH).distinct().collect()]          # reads the key and the date of these months
+    rows = batch.select(*known.columns)
+    if replaced:
+        rows = upsert(manifest.read(spark, table, replaced), rows, key)
+    n = table.version + 1
+    parts = {**table.parts}
+    for m in write(rows, f"{table.root}/d={n}", keys, date):
+        parts[m] = [*([] if m in replaced else parts.get(m, [])), f"d={n}/{MONTH}={m}"]
+    out = manifest.commit(spark, table.root, n, parts, known.schema, **{**table.info, "layer": f"d={n}", **info})
+    return fold(spark, out, keys, date, folders)
+
+
+def fold(spark: SparkSession, table: Manifest, keys: list[str], date: str = "price_date", folders: int = 1) -> Manifest:
+    """Write the months of more than ``folders`` folders anew, each as one; a version of its own with the
+    same rows."""
+    long = [m for m, fs in table.parts.items() if len(fs) > folders]
+    if not long:
+        return table
+    n = table.version + 1
+    rows = manifest.read(spark, table, long)
+    write(rows, f"{table.root}/c={n}", keys, date)
+    parts = {**table.parts, **{m: [f"c={n}/{MONTH}={m}"] for m in long}}
+    return manifest.commit(spark, table.root, n, parts, rows.schema, **table.info)

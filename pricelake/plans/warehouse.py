@@ -1,7 +1,7 @@
 """The build as the reference runs it: load RAW, build the marts, test them.
 
-* ``land_raw``   RAW layer: tables derived from the driver's tables, written once as parquet
-                 (the loaders' full refresh: truncate and reload).  Price extracts go through a
+* ``land_raw``   RAW layer: tables derived from the driver's tables, written as parquet (the
+                 loaders' full refresh, as a new version of the table).  Price extracts go through a
                  text stage into typed tables, with non-casting rows kept in ``<name>_rejects``.
 * ``load_csv`` / ``load_company_json``  the same RAW tables from landed files.
 * ``build``      staging views -> marts.  A full refresh writes the fact table by month and the
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from pricelake.operators import incremental, intermediate, marts, quality, staging
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
-from pricelake.sources import files
+from pricelake.sources import files, manifest
 from pricelake.plans import layers
-from pricelake.streaming.folders import fingerprint, list_versions, path_exists
+from pricelake.streaming.folders import fingerprint
 
 RAW_TABLES = {
     "raw_stock_prices": D.raw_prices,
@@ -54,18 +54,23 @@ def land_raw(spark: SparkSession, sf_dir: str, root: str,
         path = files.layer_path(root, RAW, name)
         if name in TYPED_LOADS:
             stage = files.layer_path(root, STAGE, name)
-            files.full_refresh(RAW_TABLES[name](spark, sf_dir), stage)
-            good, rejects = files.split_rejects(spark.read.parquet(stage), TYPED_LOADS[name])
-            files.full_refresh(good, path)
-            files.full_refresh(rejects, f"{path}_rejects")
-            out[f"{name}_rejects"] = f"{path}_rejects"
+            extract = files.stored(RAW_TABLES[name](spark, sf_dir), stage)
+            good, rejects = files.split_rejects(extract, TYPED_LOADS[name])
+            out.update(load(good, rejects, root, name))
             out[f"stage:{name}"] = stage
         else:
-            files.full_refresh(RAW_TABLES[name](spark, sf_dir), path)
-        out[name] = path
+            out[name] = files.full_refresh(RAW_TABLES[name](spark, sf_dir), path)
     return out
 
 
+def load(good: DataFrame, rejects: DataFrame, root: str, name: str) -> dict[str, str]:
+    """Replace a RAW table and its rejects; both are written before either is committed.  Returns the
+    folders of their rows."""
+    both = {name: good, f"{name}_rejects": rejects}
+    written = {t: manifest.write_version(df, files.layer_path(root, RAW, t)) for t, df in both.items()}
+    return {t: manifest.commit_version(df, files.layer_path(root, RAW, t), written[t]).folders()[0] for t, df in both.items()}
+
+
 def load_csv(spark: SparkSession, path: str, root: str, name: str = "raw_stock_prices",
              types: dict[str, str] | None = None) -> dict[str, str]:
     """The loaders' file path: a folder (or glob) of CSV extracts, each read by its own header ->
@@ -74,11 +79,7 @@ def load_csv(spark: SparkSession, path: str, root: str, name: str = "raw_stock_p
     loaded the load fails and RAW keeps what it has."""
     types = types or files.RAW_PRICE_TYPES
     good, rejects = files.split_rejects(files.read_raw_csv(spark, path, list(types)), types)
-    out = {name: files.layer_path(root, RAW, name),
-           f"{name}_rejects": files.layer_path(root, RAW, f"{name}_rejects")}
-    files.full_refresh(staging.arrived(good), out[name])
-    files.full_refresh(rejects, out[f"{name}_rejects"])
-    return out
+    return load(staging.arrived(good), rejects, root, name)
 
 
 def load_company_csv(spark: SparkSession, path: str, root: str,
@@ -90,9 +91,7 @@ def load_company_csv(spark: SparkSession, path: str, root: str,
 def load_company_json(spark: SparkSession, path: str, root: str,
                       name: str = "raw_company_metadata") -> str:
     """Company records (JSON lines) -> RAW table (full refresh)."""
-    out = files.layer_path(root, RAW, name)
-    files.full_refresh(files.read_company_records(spark, path), out)
-    return out
+    return files.full_refresh(files.read_company_records(spark, path), files.layer_path(root, RAW, name))
 
 
 FCT, DIM = "fct_stock_prices", "dim_companies"
@@ -100,90 +99,90 @@ STATE = "STATE"
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    """Folder of the newest layer (fact table) or version of a mart."""
+    """Folder that the last run wrote of a mart (the newest layer of the fact table)."""
     home = files.layer_path(root, MARTS, name)
-    found = layers.published(spark, home)
-    return found[-1] if found else None
+    found = manifest.current(spark, home)
+    return f"{home}/{found.info['layer']}" if found else None
 
 
 def current(spark: SparkSession, root: str, name: str, months: list[str] | None = None) -> DataFrame | None:
-    found = layers.published(spark, files.layer_path(root, MARTS, name))
-    if not found:
-        return None
-    return layers.read(spark, found, months) if name == FCT else spark.read.parquet(found[-1])
+    """A mart, or some months of the fact table."""
+    found = manifest.current(spark, files.layer_path(root, MARTS, name))
+    return None if found is None else manifest.read(spark, found, months)
 
 
-def state(spark: SparkSession, root: str, version: int) -> DataFrame | None:
-    """Series state published with a version of the fact table."""
-    home = files.layer_path(root, STATE, FCT)
-    return (spark.read.parquet(f"{home}/v={version}")
-            if version in list_versions(spark, home, "v=") else None)
+def state_path(root: str, version: int) -> str:
+    """Folder of the series state that belongs to a version of the fact table."""
+    return f"{files.layer_path(root, STATE, FCT)}/v={version}"
 
 
 def inventory(spark: SparkSession, root: str) -> list[tuple[str, str, list[str] | None]]:
     """(layer, table, folders) of every RAW table and current mart; views have no folders."""
     out = []
     for name in [n for t in RAW_TABLES for n in (t, f"{t}_rejects")]:
-        path = files.layer_path(root, RAW, name)
-        if path_exists(spark, f"{path}/_SUCCESS"):
-            out.append((RAW, name, [path]))
+        if found := manifest.current(spark, files.layer_path(root, RAW, name)):
+            out.append((RAW, name, found.folders()))
     out += [("STAGING", n, None) for n in ("stg_stock_prices", "stg_company_metadata")]
     out += [("INTERMEDIATE", n, None) for n in quality.SERIES_MODELS]
-    found = layers.published(spark, files.layer_path(root, MARTS, FCT))
-    if found:
-        out.append((MARTS, FCT, layers.live_folders(spark, found)))
-    path = current_path(spark, root, DIM)
-    if path:
-        out.append((MARTS, DIM, [path]))
+    for name in (FCT, DIM):
+        if found := manifest.current(spark, files.layer_path(root, MARTS, name)):
+            out.append((MARTS, name, found.folders()))
     return out
 
 
+def staged_history(spark: SparkSession, table: manifest.Manifest, as_of=None):
+    """The published bars from a date on (all, if none) as staged rows: reads the months from there."""
+    def history(since):
+        months = None if since is None else [m for m in table.parts if m >= str(since)[:7]]
+        rows = manifest.read(spark, table, months)
+        if since is not None:
+            rows = rows.filter(F.col("price_date") >= F.lit(since))
+        return rows.select(*staging.STG_PRICE_COLUMNS[:-1], staging.updated_at(as_of).alias("dbt_updated_at"))
+    return history
+
+
 def publish_fact(spark: SparkSession, root: str, stg_p: DataFrame, stg_c: DataFrame,
-                 full_refresh: bool, backfill: bool = False, **series_opts) -> str:
-    """Write the next layer of the fact table, and the series state with it."""
+                 full_refresh: bool, backfill: bool = False, as_of=None, **series_opts) -> str:
+    """Commit the next version of the fact table, and the series state with it."""
     home = files.layer_path(root, MARTS, FCT)
-    found = [] if full_refresh else layers.published(spark, home)
-    n = layers.last_version(spark, home) + 1
-    path = f"{home}/{'d' if found else 'v'}={n}"
+    found = None if full_refresh else manifest.current(spark, home)
+    n = (found.version if found else manifest.last(spark, home)) + 1
     if found:
-        before = state(spark, root, int(found[-1].rsplit("=", 1)[1]))
         batch, after = incremental.fct_increment(
-            stg_p, stg_c, layers.read(spark, found), before, backfill,
-            keep=lambda df: files.stored(df, files.layer_path(root, STAGE, f"{FCT}_new_{n}")), **series_opts)
+            stg_p, stg_c, manifest.read(spark, found), spark.read.parquet(state_path(root, found.info["state"])), backfill,
+            keep=lambda df: files.stored(df, files.layer_path(root, STAGE, f"{FCT}_new_{n}")),
+            history=staged_history(spark, found, as_of), **series_opts)
         # stored once: its months are listed, then it is merged
-        stage = files.layer_path(root, STAGE, f"{FCT}_batch_{n}")
-        files.full_refresh(batch, stage)
-        files.full_refresh(after, f"{files.layer_path(root, STATE, FCT)}/v={n}")
-        layers.merge(spark, found, spark.read.parquet(stage), path, marts.FCT_KEY, marts.FCT_CLUSTER)
+        batch = files.stored(batch, files.layer_path(root, STAGE, f"{FCT}_batch_{n}"))
+        files.stored(after, state_path(root, n))
+        layers.merge(spark, found, batch, marts.FCT_KEY, marts.FCT_CLUSTER, state=n)
     else:
         batch, after = incremental.fct_increment(stg_p, stg_c, None, **series_opts)
-        files.full_refresh(after, f"{files.layer_path(root, STATE, FCT)}/v={n}")
-        layers.write(batch, path, marts.FCT_CLUSTER)
-    return path
+        files.stored(after, state_path(root, n))
+        layers.publish(batch, home, marts.FCT_CLUSTER, state=n)
+    return current_path(spark, root, FCT)
 
 
 def build(spark: SparkSession, root: str, full_refresh: bool = True, as_of=None,
           **series_opts) -> dict[str, str]:
     """Build both marts from RAW.  Returns the folders written: a full refresh writes whole tables,
-    an increment the months of the fact table that its batch touches."""
-    raw_p = spark.read.parquet(files.layer_path(root, RAW, "raw_stock_prices"))
-    raw_c = spark.read.parquet(files.layer_path(root, RAW, "raw_company_metadata"))
+    an increment a layer of the fact table."""
+    raw_p, raw_c = (files.table(spark, files.layer_path(root, RAW, t)) for t in ("raw_stock_prices", "raw_company_metadata"))
     stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
-    out = {FCT: publish_fact(spark, root, stg_p, stg_c, full_refresh, **series_opts)}
+    out = {FCT: publish_fact(spark, root, stg_p, stg_c, full_refresh, as_of=as_of, **series_opts)}
     home = files.layer_path(root, MARTS, DIM)
     target = None if full_refresh else current(spark, root, DIM)
     dim = (marts.dim_companies(stg_c) if target is None
            else incremental.dim_incremental(stg_c, target))
-    out[DIM] = f"{home}/v={layers.last_version(spark, home) + 1}"
-    files.write_clustered(dim, out[DIM], marts.DIM_CLUSTER)
+    n = manifest.write_version(dim, home, lambda df, path: files.write_clustered(df, path, marts.DIM_CLUSTER))
+    out[DIM] = manifest.commit_version(dim, home, n).folders()[0]
     return out
 
 
 def models(spark: SparkSession, root: str, as_of=None) -> dict[str, DataFrame]:
     """Every tested table and view by name: RAW and the current marts as written, staging and
     intermediate views as plans over RAW."""
-    raw_p = spark.read.parquet(files.layer_path(root, RAW, "raw_stock_prices"))
-    raw_c = spark.read.parquet(files.layer_path(root, RAW, "raw_company_metadata"))
+    raw_p, raw_c = (files.table(spark, files.layer_path(root, RAW, t)) for t in ("raw_stock_prices", "raw_company_metadata"))
     stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
     averages = intermediate.moving_averages(stg_p, stg_c)
     return {"raw_stock_prices": raw_p, "raw_company_metadata": raw_c,
@@ -231,14 +230,18 @@ class Warehouse:
         self.raw(name)
         return self.spark.read.parquet(self._raw[f"stage:{name}"])
 
-    def derived(self, name: str, write) -> DataFrame:
-        """A table written once per session by ``write(path)`` and read back."""
+    def once(self, name: str, write) -> str:
+        """The path of something that ``write(path)`` writes once per session."""
         path = files.layer_path(self.root, "DERIVED", name)
         with self._lock:
             if name not in self._raw:
                 write(path)
                 self._raw[name] = path
-        return self.spark.read.parquet(path)
+        return path
+
+    def derived(self, name: str, write) -> DataFrame:
+        """A table written once per session by ``write(path)`` and read back."""
+        return self.spark.read.parquet(self.once(name, write))
 
     def publish(self) -> None:
         with self._lock:

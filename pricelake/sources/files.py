@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelake.sources import manifest
+from pricelake.streaming.folders import first_lines
+
 # Text values loaded as SQL NULL (CSV convention of the raw loaders).
 NULL_TOKENS = ["NULL", "null", ""]
 
@@ -46,16 +49,12 @@ COMPANY_JSON_SCHEMA = T.StructType([
 # Scans
 # --------------------------------------------------------------------------------------------
 def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) of every header layout under ``path``; empty files are left out.
-
-    A file's first line is the first row of its first split, so it comes from one task; one row
-    per file reaches the driver."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"), "value")
-    found = lines.filter("at = 0").groupBy("f").agg(F.first("value").alias("head")).collect()
+    """(column names, files) of every header layout under ``path``; empty files are left out.  Reads the
+    first line of each file and no more, without a job."""
     layouts: dict[str, list[str]] = {}
-    for r in found:
-        layouts.setdefault((r["head"] or "").lstrip("\ufeff").rstrip("\r"), []).append(r["f"])
+    for file, head in first_lines(spark, path):
+        if head is not None:
+            layouts.setdefault(head.lstrip("\ufeff").rstrip("\r"), []).append(file)
     return [([c.strip().strip('"').strip().lower() for c in head.split(",")], sorted(fs))
             for head, fs in sorted(layouts.items())]
 
@@ -143,14 +142,24 @@ def write_csv(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """Truncate-and-reload: the whole table is replaced by ``df``."""
-    df.write.mode("overwrite").parquet(path)
+def full_refresh(df: DataFrame, path: str) -> str:
+    """Truncate-and-reload: the whole table is replaced by ``df``.  The rows are written beside the old
+    ones and then committed, so a load that dies leaves the table as it was.  Returns the folder."""
+    n = manifest.write_version(df, path)
+    return manifest.commit_version(df, path, n).folders()[0]
+
+
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that is loaded by full refresh."""
+    found = manifest.current(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return manifest.read(spark, found)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to ``path`` and read back: computed once, and its lineage cut."""
-    full_refresh(df, path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -180,3 +180,29 @@ def test_csv_load_fails_when_nothing_arrives(spark, tmp_path):
     with pytest.raises(ValueError, match="no rows arrived"):
         warehouse.load_csv(spark, str(tmp_path / "in"), root)
     assert spark.read.parquet(path).count() == 1          # RAW keeps what it had
+
+
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    """The header pass runs no job and stops at each file's first line; gzip files and empty ones too."""
+    import gzip
+    from pricelake.streaming import folders
+    body = "".join(f"{k},{k % 7},text\n" for k in range(400_000))
+    (tmp_path / "in dir").mkdir()
+    (tmp_path / "in dir" / "a.csv").write_text("x,y,z\n" + body)
+    (tmp_path / "in dir" / "b.csv").write_text("\ufeffz,\"Y\",x\r\n1,2,3\r\n")
+    (tmp_path / "in dir" / "c.csv.gz").write_bytes(gzip.compress(("x,y,z\n" + body).encode()))
+    (tmp_path / "in dir" / "d.csv").write_text("")
+    (tmp_path / "in dir" / "_hidden.csv").write_text("no,no\n")
+    jvm = spark.sparkContext._jvm
+    read = lambda: sum(s.getBytesRead() for s in jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before, n = read(), jobs()
+    found = files.csv_headers(spark, str(tmp_path / "in dir"))
+    assert jobs() == n and read() - before < 3 * 65536
+    assert [(names, [f[-8:] for f in fs]) for names, fs in found] == [(["x", "y", "z"], ["ir/a.csv", "c.csv.gz"]), (["z", "y", "x"], ["ir/b.csv"])]
+    rows = files.read_raw_csv(spark, str(tmp_path / "in dir"))
+    assert rows.count() == 800_001
+    assert rows.filter("x = '3' and y = '2' and z = '1'").count() == 1
+    long = tmp_path / "long.csv"
+    long.write_text(",".join(f"column{k}" for k in range(5000)) + "\n1\n")
+    assert len(folders.first_lines(spark, str(long))[0][1].split(",")) == 5000

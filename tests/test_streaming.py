@@ -6,7 +6,7 @@ from pricelake.operators import marts, staging
 from pricelake.plans import catalog
 from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
-from pricelake.plans import layers
+from pricelake.sources import manifest
 from pricelake.streaming import file_stream
 from pricelake.streaming.folders import list_versions
 
@@ -31,9 +31,11 @@ def test_late_arrival_is_picked_up(spark):
     assert second.count() == full.count() > n_first
     assert second.select(cols).exceptAll(full.select(cols)).count() == 0
     # A run with no new files writes no new version.
-    versions = layers.published(spark, f"{work}/target")
+    versions = manifest.versions(spark, f"{work}/target")
     file_stream.run_available(spark, raw_dir, companies, work)
-    assert layers.published(spark, f"{work}/target") == versions and len(versions) == 2
+    assert manifest.versions(spark, f"{work}/target") == versions and len(versions) >= 2
+    again = file_stream.rebuild(spark, f"{work}/history", f"{work}/rebuilt", companies)
+    assert again.count() == full.count() and again.select(cols).exceptAll(full.select(cols)).count() == 0
 
 
 def test_replayed_epoch_is_idempotent(spark):
@@ -69,3 +71,26 @@ def test_bars_delivered_again_are_one_row(spark):
     file_stream.process_batch(spark, batch, 1, *args)              # the same bars, as a new epoch
     again = file_stream.latest(spark, args[1]).drop("dbt_updated_at").collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, again)) and len(first) > 0
+
+
+def test_history_is_one_scan_and_read_by_bucket(spark):
+    """The plan over the history does not grow with its epochs, and a ticker opens its bucket only."""
+    work = scratch_path(spark, "stream-history")
+    prices = Warehouse.of(spark, SF).stage("raw_stock_prices")
+    tickers = sorted(r[0] for r in prices.select(F.upper(F.trim("ticker"))).distinct().collect())
+    plans = []
+    for epoch in range(3):
+        part = prices.filter(F.year(F.to_date("date")) == 1995 + epoch)
+        back = file_stream.add_to_history(part, epoch, f"{work}/history")
+        assert back.count() == part.count()
+        text = file_stream.history(spark, f"{work}/history", tickers[:1])._jdf.queryExecution().optimizedPlan().toString()
+        plans.append(text.count("\n"))
+    assert len(set(plans)) == 1
+    everything, own = file_stream.history(spark, f"{work}/history"), file_stream.history(spark, f"{work}/history", [tickers[0].lower()])
+    want = prices.filter((F.upper(F.trim("ticker")) == tickers[0]) & F.year(F.to_date("date")).between(1995, 1997))
+    assert own.select("date", "close").exceptAll(want.select("date", "close")).count() == 0 and own.count() == want.count()
+    paths = {r[0] for r in own.select(F.input_file_name()).distinct().collect()}
+    assert len({p.split("bucket=")[1].split("/")[0] for p in paths}) == 1
+    scan = own._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "bucket" in scan.split("PartitionFilters")[1].split("]")[0]
+    assert everything.select("epoch").distinct().count() == 3
