@@ -38,7 +38,7 @@ from .bpe import byte_alphabet
 from .common import stored
 from .textscan import pieces as parts_of
 from .textscan import slices
-from .words import WordIds, as_binary, cuts, flat_ids
+from .words import WordIds, as_binary, by_bytes, cuts, flat_ids, one_by_one, safe_end
 
 #: Bytes of text aligned at once, pairs counted before they are passed on, pairs in a row.
 PIECE, FLUSH, ROW = 1 << 20, 1 << 19, 1 << 15
@@ -83,18 +83,41 @@ class Pair:
         most = max(len(self.bytes_a), len(self.bytes_b))
         self.most, self.written = most, pa.array([s + str(i).encode() for s in (b",", b";", b"|") for i in range(most)], pa.large_binary())
 
-        def encode(words):      # each begins with the blank that B adds by itself
-            ids_a, ids_b, whole = [], [], []
-            for lo in range(0, len(words), 4096):
-                own = words[lo:lo + 4096]
-                texts = [w.decode("utf-8", "replace") for w in own]
-                xs = [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
-                ys = b.encode([t[1:] for t in texts], num_threads=1)
-                ids_a += xs
-                ids_b += ys
-                whole += [[int(b"".join(map(self.bytes_a.__getitem__, x)) == w and b"".join(map(self.bytes_b.__getitem__, y)) == w)]
-                          for x, y, w in zip(xs, ys, own)]
-            return ids_a, ids_b, whole
+        def of_a(text):
+            return a.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
+
+        def of_b(text):         # B adds the first blank by itself
+            return b.encode([text[1:].decode("utf-8", "replace")], num_threads=1)[0]
+
+        def back(ids, table):
+            return b"".join(map(table.__getitem__, ids.tolist()))
+
+        size_a, size_b = (x.to_numpy() for x in self.sizes)
+
+        def encode(words):
+            parts = []
+            data = np.frombuffer(b"".join(words), np.uint8)
+            joins = safe_end(data, np.cumsum([len(w) for w in words]))
+            order = np.argsort(~joins, kind="stable")          # those that another may follow come first
+            n = int(joins.sum())
+            for lo in [*range(0, n, 512), *range(n, len(words))]:
+                own = [words[k] for k in order[lo:min(lo + 512, n) if lo < n else lo + 1]]
+                x, y = by_bytes(own, of_a, size_a), by_bytes(own, of_b, size_b)
+                text = b"".join(own)
+                if x and y and back(x[0], self.bytes_a) == text == back(y[0], self.bytes_b):
+                    parts.append((x, y, (np.ones(len(own), np.int32), np.ones(len(own), np.int64))))
+                    continue
+                for w in own:
+                    x, y = (one_by_one([f(w)]) for f in (of_a, of_b))
+                    fine = back(x[0], self.bytes_a) == w == back(y[0], self.bytes_b)
+                    parts.append((x, y, (np.array([fine], np.int32), np.ones(1, np.int64))))
+            out = []
+            for k in range(3):
+                flat, sizes = (np.concatenate([p[k][j] for p in parts]) for j in (0, 1))
+                lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(flat))
+                lists = pc.take(lists, pa.array(np.argsort(order)))
+                out.append((flat_ids(lists)[0], np.diff(lists.offsets.to_numpy())))
+            return tuple(out)
 
         self.words = WordIds(encode, 3)
 

@@ -40,7 +40,10 @@ def test_ids_of_words_are_those_of_whole_texts():
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(WORDS)
-    own = [*ODD, *texts()]
+    own = [*ODD, *texts(), "x'smile l'eau 'S '' ''s .'s 'LL 'l 're're'v' 'Ve'd'T'm 5's 's5 é'é'sé 'sà", "ÀÉÎÕÜß×÷ÿþÞ Ÿ ø×ø", "12a3 4'4", "<| <|endoftext|>A",
+           "<|ENDOFTEXT|> <|endoftext|>", "a\x1cb\x7f c\x85d", "naïve\xa0x É́ É", "'", "x'", "'r", "x'r", "x'l'", "'s", "q're'"]
+    rng = random.Random(8)
+    own += ["".join(rng.choice(list("aZ'sStTrReEvVmMlLdD09.,<| éÉß×çñ\n\t“Ωß") + [" ", "'"]) for _ in range(rng.randint(1, 60))) for _ in range(400)]
     got = {}
     for lo, hi, ids, bounds in packing.encoded(pa.array(own, pa.string()), WORDS, 0):
         got.update({lo + k: ids[a:b].tolist() for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))})
@@ -51,7 +54,7 @@ def test_ids_of_words_are_those_of_whole_texts():
 def test_words_are_forgotten_and_encoded_again(monkeypatch):
     monkeypatch.setattr(words, "KEPT", 5)
     calls = []
-    known = words.WordIds(lambda ws: (calls.append(len(ws)) or [[len(w)] for w in ws],), 1)
+    known = words.WordIds(lambda ws: (calls.append(len(ws)) or words.one_by_one([[len(w)] for w in ws]),), 1)
     for text in ["a bb ccc", "dddd eeeee ffffff", "a bb ccc"]:
         data = np.frombuffer(text.encode(), np.uint8)
         starts, first = words.cuts(data, np.array([0, len(data)]))
