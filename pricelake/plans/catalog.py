@@ -22,7 +22,7 @@ from pricelake.operators import (
     staging,
 )
 from pricelake.plans import oracle_sql as O
-from pricelake.plans import layers, warehouse
+from pricelake.plans import layers, monthly, warehouse
 from pricelake.plans.warehouse import Warehouse
 from pricelake.session import scratch_path
 from pricelake.sources import files, manifest
@@ -552,9 +552,11 @@ _MODEL_CTES = {
 }
 
 
-def _summary_sql() -> str:
+def _summary_sql(*models: str) -> str:
     parts = []
     for model, src in _MODEL_CTES.items():
+        if models and model not in models:
+            continue
         for rule, col in quality.rule_list(model):
             if col == "dbt_updated_at":
                 cond = "false"
@@ -589,7 +591,8 @@ def _summary_sql() -> str:
     parts.append("select 'fct_stock_prices', 'all_tickers_present', 'ticker', cast(count(*) as bigint)"
                  f" from ({_EXPECTED_SQL}) e")
     typed = {"typed_prices": (f"select * from raw_prices where {_reject_flags()} = ''", ["raw_prices"])}
-    return O.with_ctes(" union all ".join(parts), *_MODEL_CTES.values(), extra=typed)
+    ctes = [c for m, c in _MODEL_CTES.items() if not models or m in (*models, "dim_companies")]
+    return O.with_ctes(" union all ".join(parts), *ctes, extra=typed)
 
 
 # An expected universe that partly exists: fixed tickers, and the first suppliers.
@@ -606,6 +609,14 @@ def q_quality_summary(spark, sf):
     return warehouse.run_tests(spark, w.root, AS_OF, EXPECTED)
 
 
+@register("fact_tests_by_month", _summary_sql("fct_stock_prices"))
+def q_fact_tests_by_month(spark, sf):
+    """The fact table's tests as sums of the months' stored counts."""
+    w = Warehouse.of(spark, sf)
+    w.publish()
+    return warehouse.fact_tests(spark, w.root, AS_OF, EXPECTED)
+
+
 # --------------------------------------------------------------------------------------------
 # Job-log analyses
 # --------------------------------------------------------------------------------------------
@@ -792,6 +803,25 @@ def q_risk_return(spark, sf):
     return readmodels.risk_return(fct_mart(spark, sf))
 
 
+def figures(spark, sf) -> DataFrame:
+    """Monthly figures that are published with the fact table."""
+    w = Warehouse.of(spark, sf)
+    w.publish()
+    return warehouse.follow_fact(spark, w.root)["fct_figures"]
+
+
+@register("sector_performance_by_month", SQL["sector_performance"])
+def q_sector_performance_by_month(spark, sf):
+    """The same answer from the monthly figures: no fact row is read."""
+    return monthly.sector_performance(figures(spark, sf))
+
+
+@register("risk_return_by_month", SQL["risk_return"])
+def q_risk_return_by_month(spark, sf):
+    """The same answer from the monthly figures: no fact row is read."""
+    return monthly.risk_return(figures(spark, sf))
+
+
 @register("top10_30d", O.with_ctes(
     "select ticker, base_date, base_close, latest_date, latest_close, round(case when"
     " base_close = 0 or base_close is null then null else (latest_close - base_close)"

@@ -17,6 +17,7 @@ models and dashboard read warehouse tables, instead of re-deriving them per quer
 
 from __future__ import annotations
 
+import datetime
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from pricelake.operators import incremental, intermediate, marts, quality, stagi
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables as D
 from pricelake.sources import files, manifest
-from pricelake.plans import layers
+from pricelake.plans import layers, monthly
 from pricelake.streaming.folders import fingerprint
 
 RAW_TABLES = {
@@ -170,6 +171,7 @@ def build(spark: SparkSession, root: str, full_refresh: bool = True, as_of=None,
     raw_p, raw_c = (files.table(spark, files.layer_path(root, RAW, t)) for t in ("raw_stock_prices", "raw_company_metadata"))
     stg_p, stg_c = staging.stg_prices(raw_p, as_of), staging.stg_companies(raw_c, as_of)
     out = {FCT: publish_fact(spark, root, stg_p, stg_c, full_refresh, as_of=as_of, **series_opts)}
+    follow_fact(spark, root)
     home = files.layer_path(root, MARTS, DIM)
     target = None if full_refresh else current(spark, root, DIM)
     dim = (marts.dim_companies(stg_c) if target is None
@@ -179,6 +181,27 @@ def build(spark: SparkSession, root: str, full_refresh: bool = True, as_of=None,
     return out
 
 
+#: Tables that follow the fact table month by month.
+FOLLOWING = {"fct_figures": monthly.figures, "fct_violations": monthly.violations}
+
+
+def follow_fact(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables that follow the fact table, brought up to it: reads the months that have changed."""
+    fact = manifest.current(spark, files.layer_path(root, MARTS, FCT))
+    return {name: manifest.read(spark, monthly.follow(spark, fact, files.layer_path(root, MARTS, name), compute))
+            for name, compute in FOLLOWING.items()}
+
+
+def fact_tests(spark: SparkSession, root: str, as_of=None, expected=None) -> DataFrame:
+    """The fact table's tests from the counts that follow it; of its rows only the months from ``as_of``
+    (today) on are read."""
+    own = follow_fact(spark, root)
+    fact = manifest.current(spark, files.layer_path(root, MARTS, FCT))
+    day = str(as_of or datetime.date.today())[:7]
+    later = manifest.read(spark, fact, [m for m in fact.parts if m >= day])
+    return monthly.summary(own["fct_violations"], own["fct_figures"], current(spark, root, DIM), later, as_of, expected)
+
+
 def models(spark: SparkSession, root: str, as_of=None) -> dict[str, DataFrame]:
     """Every tested table and view by name: RAW and the current marts as written, staging and
     intermediate views as plans over RAW."""

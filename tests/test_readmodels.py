@@ -64,3 +64,50 @@ def test_series_filter_reaches_the_scan(spark):
     plan = spark._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
     assert "EqualTo(ticker,A)" in plan and "GreaterThanOrEqual(price_date,2024-01-10)" in plan
     assert q.count() == 11
+
+
+def test_tables_that_follow_the_fact_table(spark):
+    """After an increment only its months are computed; the read models and the tests read no other
+    fact rows and equal those of the whole table."""
+    from pricelake.operators import marts, quality
+    from pricelake.plans import catalog, layers, monthly
+    from pricelake.session import scratch_path
+    from pricelake.sources import manifest
+
+    sf = "/root/testdata/sf0.001"
+    whole = catalog.fct_mart(spark, sf)
+    root = scratch_path(spark, "following")
+    cut = F.lit("1998-05-01").cast("date")
+    table = layers.publish(whole.filter(F.col("price_date") < cut), f"{root}/fct", marts.FCT_CLUSTER)
+    asked = []
+
+    def computed(compute):
+        def run(fact):
+            asked.append({r[0] for r in fact.select(layers.MONTH).distinct().collect()})
+            return compute(fact)
+        return run
+
+    def both(table):
+        return [manifest.read(spark, monthly.follow(spark, table, f"{root}/{c.__name__}", computed(c))) for c in (monthly.figures, monthly.violations)]
+
+    both(table)
+    first = [set(m) for m in asked]
+    broken = whole.filter(F.col("price_date").between(cut, F.lit("1998-05-20"))).withColumn(
+        "low_price", F.when(F.dayofmonth("price_date") == 7, F.lit(-1.0)).otherwise(F.col("low_price")))
+    table = layers.merge(spark, table, broken.unionByName(broken.filter(F.dayofmonth("price_date") == 8)), marts.FCT_KEY, marts.FCT_CLUSTER)
+    sums, counts = both(table)
+    assert first[0] == first[1] == set(table.parts) - {"1998-05"} and asked[2:] == [{"1998-05"}, {"1998-05"}]
+    both(table)
+    assert len(asked) == 4
+    fact = manifest.read(spark, table)
+    for new, old in ((monthly.risk_return(sums), readmodels.risk_return(fact)), (monthly.sector_performance(sums), readmodels.sector_performance(fact))):
+        assert sorted(map(str, new.collect())) == sorted(map(str, old.select(*new.columns).collect()))
+        assert all("/figures/" in f for f in new.inputFiles())
+    dim = catalog.dim_mart(spark, sf).limit(5)
+    as_of = "1998-05-10"
+    later = manifest.read(spark, table, [m for m in table.parts if m >= as_of[:7]])
+    got = monthly.summary(counts, sums, dim, later, as_of, ["A", "SUPPLIER#000000001"])
+    want = quality.run_all(spark, {"fct_stock_prices": fact, "dim_companies": dim}, as_of, ["A", "SUPPLIER#000000001"])
+    assert sorted(map(tuple, got.collect())) == sorted(tuple(r) for r in want.collect() if r["model"] == "fct_stock_prices")
+    failing = {r["rule"] for r in got.collect() if r["failures"]}
+    assert {"positive_prices", "unique", "no_future_dates", "fct_dim_referential_integrity", "all_tickers_present"} <= failing
