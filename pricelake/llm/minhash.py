@@ -30,6 +30,7 @@ result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -141,16 +142,28 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
         run, f"doc_id {id_type}, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
+#: 64-bit words of a bit table in one part of it.
+PART = 1 << 13
+
+
 def _bit_table(nodes: DataFrame, n: int) -> np.ndarray:
-    """Bits set at the hashes of the nodes' ids; between 8 kB and 16 MB."""
+    """Bits set at the hashes of the nodes' ids; between 8 kB and 16 MB, which come to the driver packed
+    in up to 256 parts."""
     bits = 1 << min(27, max(16, (16 * n).bit_length()))
     at = F.pmod(F.xxhash64("rep"), F.lit(bits))
     words = (nodes.select(at.alias("at")).groupBy(F.floor(F.col("at") / 64).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).collect())
-    out = np.zeros(bits // 64, np.int64)
-    for r in words:
-        out[r["word"]] = r["bits"]
-    return out
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+             .withColumn("part", F.floor(F.col("word") / PART)))
+
+    def packed(key, pdf):
+        own = np.zeros(PART, np.int64)
+        own[pdf["word"].to_numpy() % PART] = pdf["bits"].to_numpy()
+        return pd.DataFrame({"part": [key[0]], "bits": [own.tobytes()]})
+
+    out = np.zeros(max(bits // 64, PART), np.int64)
+    for r in words.groupBy("part").applyInPandas(packed, "part long, bits binary").collect():
+        out[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["bits"], np.int64)
+    return out[:bits // 64]
 
 
 def _marked(table: np.ndarray, at: pa.Array) -> np.ndarray:
@@ -331,7 +344,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
         return docs.select("*", at).mapInArrow(run, docs.schema)
 
     maybe = side(True)
-    return side(False).unionAll(maybe.join(gone.withColumnRenamed("rep", "_gone"), maybe["doc_id"] == F.col("_gone"), "left_anti"))
+    name = fresh(docs, "_gone")
+    return side(False).unionAll(maybe.join(gone.withColumnRenamed("rep", name), maybe["doc_id"] == F.col(name), "left_anti"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -339,11 +353,12 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     the doc_id which stays, one stays; rows with a null doc_id all stay."""
     out = stored(near_duplicates(docs, words, percent), "minhash-out")
     left = _without(docs, stored(out.where("not kept").select(F.col("doc_id").alias("rep")).distinct(), "minhash-gone"))
-    again = stored(out.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1"), "minhash-again")
+    name = fresh(docs, "_id")
+    again = stored(out.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(name)).count().where("count > 1"), "minhash-again")
     if again.isEmpty():
         return left
-    twice = left.join(again.select("_id"), left["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again.select("_id"), left["doc_id"] == F.col("_id"), "left_anti").unionAll(twice)
+    twice = left.join(again.select(name), left["doc_id"] == F.col(name), "left_semi").dropDuplicates(["doc_id"])
+    return left.join(again.select(name), left["doc_id"] == F.col(name), "left_anti").unionAll(twice)
 
 
 SQL = """
