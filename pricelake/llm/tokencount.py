@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 from .bpe import vocabulary
 from .common import stored
 from .files import blocks, read
+from .textscan import pieces
 
 #: Bytes of a block; even, as an id has two.
 BLOCK = 4 << 20
+#: Bytes of text encoded at once.
+PIECE = 1 << 19
 
 
 @lru_cache(maxsize=2)
@@ -49,8 +52,8 @@ def write(docs: DataFrame, folder: str, path: str, pattern: str, end: int) -> No
     def run(batches):
         tok = encoding(path, pattern)
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                texts = batch.column(0).slice(lo, 256).fill_null("").to_pylist()
+            for lo, hi, _, _ in pieces(batch.column(0), PIECE):
+                texts = batch.column(0).slice(lo, hi - lo).fill_null("").to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([np.array(tok.encode_ordinary(t), "<u2").tobytes() for t in texts], pa.binary())], names=["ids"])
 
