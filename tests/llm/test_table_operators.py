@@ -66,7 +66,7 @@ def expected_classes(rows, n, percent=80):
 
 
 def check_near(spark, rows, n):
-    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, rep string, u int")
+    docs = spark.createDataFrame([(*r, "x", 1, 2, 3, 4) for r in rows], "doc_id long, text string, rep string, u int, _gone int, _id int, _at int")
     got = minhash.near_duplicates(docs, words=n).collect()
     want = expected_classes(rows, n)
     assert sorted((str(r["doc_id"]), r["n_shingles"]) for r in got) == sorted((str(i), len(shingles(t, n))) for i, t in rows)
