@@ -15,10 +15,18 @@ the square root of 2 (the last of BANDS also all smaller ones) and has tables of
 m follows the number of vectors of a band: m = log2(n) / 3.5, 3 to 8.  The probes follow the success
 seen: SAMPLE queries are compared with all vectors, and a band's probes are as many as find the
 share TARGET of the sample's true neighbours in it, m^2 at least; if all 3^m buckets do not, m is
-made smaller.  So recall does not depend on the number of vectors or their norms.  Index and probes
-meet by (table, bucket, chunk): a bucket of more than CHUNK vectors is split into chunks
-that each get the visiting queries, so a hot bucket is spread and a task holds one chunk.  Of
-equal vectors only the k + 1 smallest ids can be among anyone's best k; the others are left out,
+made smaller.  So recall does not depend on the number of vectors or their norms.
+
+A query's candidates are the vectors in the buckets that it visits; queries and vectors meet in one of
+two arrangements, which find the same candidates.  By bucket: index and probes are sent to (table,
+bucket), where crowded buckets are cut into chunks of vectors and tiles of queries, so a hot bucket
+is spread and a task holds one chunk.  By chunk: all tables of a chunk of the index are built in one task,
+which takes a tile of queries and merges the candidates of all tables, so each pair is compared
+once.  The second costs work on every chunk, the first on every visit; a sample of queries and
+vectors tells how many vectors a query meets, and the cheaper one is taken.  Where vectors
+have no structure a query meets most of them, and chunks are cheaper; where it meets few, buckets are.
+
+Of equal vectors only the k + 1 smallest ids can be among anyone's best k; the others are left out,
 by a limit that Spark applies before the shuffle.  A query that finds fewer than k candidates is
 compared with all vectors, chunk by chunk.
 
@@ -45,6 +53,10 @@ from .vectors import matrix, packed, unpacked, usable
 
 TABLES, WIDTH, CHUNK = 8, 1.5, 4096
 BANDS, SAMPLE, TARGET = 16, 64, 0.97
+#: Vectors of a chunk and queries of a tile, where tables are built by chunk; vectors of the sample.
+SIDE, SEEN = 8192, 8192
+#: Seconds (about) of a visit and of a comparison by bucket, of a pair and of a step of probing by chunk.
+VISIT_S, PAIR_S, CHUNK_PAIR_S, STEP_S = 1e-5, 6e-8, 3e-8, 1e-7
 #: About the rows that the probes of a piece of queries make.
 VISITS = 1 << 16
 
@@ -147,9 +159,51 @@ def _by_length(batch: pa.RecordBatch, at: int, limit: int):
             yield int(d), own.slice(lo, limit)
 
 
-def best(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int):
-    """(query row, id, score) of the k largest inner products of each query."""
+class Tables:
+    """All tables of some vectors, by band: who is in each bucket."""
+
+    def __init__(self, x: np.ndarray, bands: dict[int, tuple[float, int, int]], longest: float):
+        self.n, self.bands, self.held = len(x), bands, []
+        norm = np.sqrt((x * x).sum(1))
+        own = band(norm, longest)
+        for r in np.unique(own):
+            most, m, _ = bands[r]
+            at = np.flatnonzero(own == r)
+            b = bucket(np.floor(places(filled(x[at], norm[at], most), m)))
+            self.held.append((r, at, [np.unique(b[:, t], return_inverse=True) for t in range(TABLES)]))
+
+    def candidates(self, q: np.ndarray) -> tuple[np.ndarray, int]:
+        """Whether each query (row) visits a bucket of each vector, and how often all of them do."""
+        full, met, times = asking(q), np.zeros((len(q), self.n), bool), 0
+        for r, at, tables in self.held:
+            _, m, probes = self.bands[r]
+            asked = probe(places(full, m), probes)
+            some = np.zeros((len(q), len(at)), bool)
+            for t, (known, inverse) in enumerate(tables):
+                place = np.minimum(np.searchsorted(known, asked[:, t]), len(known) - 1)
+                row, col = np.nonzero(known[place] == asked[:, t])
+                hit = np.zeros((len(q), len(known)), bool)
+                hit[row, place[row, col]] = True
+                hit = hit[:, inverse]
+                times += int(hit.sum())
+                some |= hit
+            met[:, at] = some
+        return met, times
+
+
+def cheaper_by_chunk(n: int, bands: dict[int, tuple[float, int, int]], share: float, times: float) -> bool:
+    """Whether chunks cost less than buckets, for queries that meet ``share`` of n vectors, counting each
+    table's meetings ``times`` n."""
+    visits = TABLES * sum(probes for _, _, probes in bands.values())
+    steps = TABLES * sum(3**m for _, m, _ in bands.values())
+    return n * CHUNK_PAIR_S + math.ceil(n / SIDE) * (VISIT_S + steps * STEP_S) <= visits * VISIT_S + times * n * PAIR_S
+
+
+def best(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int, met: np.ndarray | None = None):
+    """(query row, id, score) of the k largest inner products of each query (with those it has ``met``)."""
     rough = q @ x.T
+    if met is not None:
+        rough[~met] = -np.inf
     rough[own[:, None] == ids[None]] = -np.inf
     least = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
     slack = 1e-9 * (np.abs(least) + 1)
@@ -229,9 +283,23 @@ def _bands(index: DataFrame, queries: DataFrame, longest: float, k: int, kind) -
     return out
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
+def _share_met(index: DataFrame, queries: DataFrame, n: int, bands, longest: float) -> tuple[float, float]:
+    """Share of the vectors that a query meets, and how often in all tables, over n; from samples."""
+    asked = queries.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(SAMPLE).toArrow().combine_chunks()
+    part = max(1, -(-n // SEEN))
+    some = index.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(part)) == 0).toArrow().combine_chunks()   # about SEEN rows
+    met = times = pairs = 0
+    for d in pc.unique(pc.list_value_length(asked["embedding"])).to_pylist():
+        q, x = (matrix(t.filter(pc.equal(pc.list_value_length(t["embedding"]), d))["embedding"].combine_chunks()) for t in (asked, some))
+        if len(q) and len(x):
+            found, all_ = Tables(x, bands, longest).candidates(q)
+            met, times, pairs = met + int(found.sum()), times + all_, pairs + found.size
+    return (met / pairs, times / pairs) if pairs else (0.0, 0.0)
+
+
+def search(rows: DataFrame, is_query: Column, k: int = 20, by_chunk: bool | None = None) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of every row where ``is_query``;
-    rows: vec_id, embedding."""
+    rows: vec_id, embedding.  ``by_chunk`` sets the arrangement, which changes no result."""
     spark = rows.sparkSession
     kind = np.float64 if "double" in rows.schema["embedding"].dataType.simpleString() else np.float32
     good = stored(rows.select("vec_id", "embedding").where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).distinct(), "ann-rows")
@@ -242,13 +310,15 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     longest = math.sqrt(longest or 1.0) * (1 + 1e-12)
     queries = good.where(is_query).select("vec_id", "embedding")
     bands = _bands(index, queries, longest, k, kind)
-    columns = "t int, b long, chunk int, query boolean, d int, id long, vector binary"
+    if by_chunk is None:
+        by_chunk = cheaper_by_chunk(n, bands, *_share_met(index, queries, n, bands, longest))
+    columns = "t int, b long, chunk int, tile int, query boolean, d int, id long, vector binary"
     names = [c.strip().split(" ")[0] for c in columns.split(",")]
 
     def batch_of(t, b, query, d, ids, vector):
         size = len(t)
         return pa.RecordBatch.from_arrays(
-            [pa.array(t.astype(np.int32)), pa.array(b), pa.array(np.zeros(size, np.int32)), pa.array(np.full(size, query)),
+            [pa.array(t.astype(np.int32)), pa.array(b), pa.array(np.zeros(size, np.int32)), pa.array(np.zeros(size, np.int32)), pa.array(np.full(size, query)),
              pa.array(np.full(size, d, np.int32)), ids, vector], names=names)
 
     def visits(query, vectors):
@@ -279,59 +349,80 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
                         yield batch_of(t, b.reshape(-1), query, d, part.column(0).take(pick), vector)
         return run
 
-    def compare(batches):
-        key, ids, parts = None, [], []
-        for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1, 2, 4, 3)])
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            for a, z in zip([0, *cuts], [*cuts, len(keys)]):
-                if key is None or (keys[a, :4] != key).any():
-                    key, ids, parts = keys[a, :4], [], []
-                part = batch.slice(a, z - a)
-                vector = unpacked(part.column(6).to_pylist(), kind).astype(np.float64)
-                if not keys[a, 4]:          # vectors of the index come first
-                    ids.append(part.column(5).to_numpy())
-                    parts.append(vector)
-                elif ids:
-                    if len(parts) > 1:
-                        ids, parts = [np.concatenate(ids)], [np.concatenate(parts)]
-                    own = part.column(5).to_numpy()
-                    for lo in range(0, len(own), 256):
-                        r, i, s = best(ids[0], parts[0], own[lo:lo + 256], vector[lo:lo + 256], k)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(own[lo:lo + 256][r]), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
-
-    def met(stock: DataFrame, asked: DataFrame) -> DataFrame:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def plain(query):
+        """Every vector once, to be dealt to chunks and tiles."""
+        def run(batches):
+            for batch in batches:
+                for d, part in _by_length(batch, 1, 4096):
+                    zero = np.zeros(len(part), np.int64)
+                    yield batch_of(zero, zero, query, d, part.column(0), packed(matrix(part.column(1)), kind))
+        return run
+
+    def compare(hashed):
+        """Queries against the vectors of their chunk: all, or those that they meet in its tables."""
+        def run(batches):
+            key, ids, parts, tables = None, [], [], None
+            for batch in batches:
+                keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1, 2, 3, 5, 4)])
+                cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+                for a, z in zip([0, *cuts], [*cuts, len(keys)]):
+                    if key is None or (keys[a, :5] != key).any():
+                        key, ids, parts, tables = keys[a, :5], [], [], None
+                    part = batch.slice(a, z - a)
+                    vector = unpacked(part.column(7).to_pylist(), kind).astype(np.float64)
+                    if not keys[a, 5]:          # vectors of the index come first
+                        ids.append(part.column(6).to_numpy())
+                        parts.append(vector)
+                    elif ids:
+                        if len(parts) > 1:
+                            ids, parts = [np.concatenate(ids)], [np.concatenate(parts)]
+                        tables = Tables(parts[0], bands, longest) if hashed and tables is None else tables
+                        own = part.column(6).to_numpy()
+                        for lo in range(0, len(own), 256):
+                            q = vector[lo:lo + 256]
+                            r, i, s = best(ids[0], parts[0], own[lo:lo + 256], q, k, tables and tables.candidates(q)[0])
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(own[lo:lo + 256][r]), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
+        return run
+
+    def met(stock: DataFrame, asked: DataFrame, tasks: int, hashed: bool = False) -> DataFrame:
         both = stock.select(*names).unionAll(asked.select(*names))
-        return (both.repartition(parts, "t", "b", "chunk", "d").sortWithinPartitions("t", "b", "chunk", "d", "query")
-                .mapInArrow(compare, "query_id long, vec_id long, score double"))
-
-    counts = stored(index.mapInArrow(visits(False, False), columns).groupBy("t", "b").count()
-                    .select(F.col("t").alias("_t"), F.col("b").alias("_b"), F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), "ann-buckets")
-    here = (F.col("t") == F.col("_t")) & (F.col("b") == F.col("_b"))
-    crowded = counts.where("chunks > 1")
-    stock = (index.mapInArrow(visits(False, True), columns).join(crowded, here, "left")
-             .withColumn("chunk", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int")))
-    asked = (queries.mapInArrow(visits(True, True), columns).join(counts, here)
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
-    found = stored(met(stock, asked).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "ann-found")
+        key = ["t", "b", "chunk", "tile", "d"]
+        return (both.repartition(tasks, *key).sortWithinPartitions(*key, "query")
+                .mapInArrow(compare(hashed), "query_id long, vec_id long, score double"))
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    slot = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+
+    def in_tiles(asked: DataFrame, hashed: bool) -> DataFrame:
+        """All chunks of the index against all tiles of the queries."""
+        chunks, tiles = max(1, -(-n // SIDE)), max(1, -(-asked.count() // SIDE))
+        stock = index.mapInArrow(plain(False), columns).withColumn("chunk", slot(F.lit(chunks))).withColumn("tile", every(F.lit(tiles)))
+        asked = asked.mapInArrow(plain(True), columns).withColumn("tile", slot(F.lit(tiles))).withColumn("chunk", every(F.lit(chunks)))
+        return met(stock, asked, max(parts, min(chunks * tiles, 20_000)), hashed)
+
+    if by_chunk:
+        pairs = in_tiles(queries, True)
+    else:
+        cut = lambda df, name: (df.groupBy("t", "b").count()
+                                .select(F.col("t").alias("_t"), F.col("b").alias("_b"), F.ceil(F.col("count") / CHUNK).cast("int").alias(name)))
+        here = (F.col("t") == F.col("_t")) & (F.col("b") == F.col("_b"))
+        counts = stored(cut(index.mapInArrow(visits(False, False), columns), "chunks"), "ann-buckets")
+        crowds = stored(cut(queries.mapInArrow(visits(True, False), columns), "tiles").where("tiles > 1"), "ann-crowds")
+        one = lambda c: F.coalesce(c, F.lit(1))
+        stock = (index.mapInArrow(visits(False, True), columns).join(counts.where("chunks > 1"), here, "left")
+                 .withColumn("chunk", slot(one(F.col("chunks")))).select(*names)
+                 .join(crowds, here, "left").withColumn("tile", every(one(F.col("tiles")))))
+        asked = (queries.mapInArrow(visits(True, True), columns).join(counts, here)
+                 .withColumn("chunk", every(F.col("chunks"))).select(*names)
+                 .join(crowds, here, "left").withColumn("tile", slot(one(F.col("tiles")))))
+        pairs = met(stock, asked, parts)
+    found = stored(pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "ann-found")
     short = stored(queries.join(found.groupBy("query_id").count().where(F.col("count") >= min(k, max(n - 1, 0))),
                                 F.col("vec_id") == F.col("query_id"), "left_anti"), "ann-short")
     if not short.isEmpty():
-        chunks = max(1, -(-n // CHUNK))
-
-        def plain(query):
-            def run(batches):
-                for batch in batches:
-                    for d, part in _by_length(batch, 1, 4096):
-                        zero = np.zeros(len(part), np.int64)
-                        yield batch_of(zero, zero, query, d, part.column(0), packed(matrix(part.column(1)), kind))
-            return run
-
-        stock = index.mapInArrow(plain(False), columns).withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-        asked = short.mapInArrow(plain(True), columns).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-        found = (found.unionAll(met(stock, asked)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+        found = found.unionAll(in_tiles(short, False)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

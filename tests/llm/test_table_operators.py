@@ -223,15 +223,17 @@ def nearest(rows, is_query, k):
     return out
 
 
-def test_nearest_of_odd_rows(spark, monkeypatch):
+@pytest.mark.parametrize("by_chunk", [False, True])
+def test_nearest_of_odd_rows(spark, monkeypatch, by_chunk):
     monkeypatch.setattr(ann, "CHUNK", 16)
+    monkeypatch.setattr(ann, "SIDE", 16)
     rng = np.random.default_rng(2)
     rows = [(i, (rng.normal(size=8) * rng.choice([0.5, 1, 3])).tolist()) for i in range(60)]
     rows += [(100 + i, rows[3][1]) for i in range(40)] + [(200, None), (220, [0.0] * 8), (240, [float("nan")] * 8), (None, rows[0][1]),
                                                          (260, [1.0, 2.0]), (261, [2.0, 1.0]), rows[4]]
     data = spark.createDataFrame([(*r, 0, 0) for r in rows], "vec_id long, embedding array<double>, t int, score int")
     got = defaultdict(list)
-    for r in sorted(ann.search(data, F.col("vec_id") % 20 == 0, 5).collect(), key=lambda r: (r["query_id"], r["rank"])):
+    for r in sorted(ann.search(data, F.col("vec_id") % 20 == 0, 5, by_chunk).collect(), key=lambda r: (r["query_id"], r["rank"])):
         got[r["query_id"]].append((r["vec_id"], r["score"]))
     want = nearest(rows, lambda i: i % 20 == 0, 5)
     assert set(got) == {i for i in want if want[i]}
@@ -243,7 +245,31 @@ def test_nearest_of_odd_rows(spark, monkeypatch):
         found += len(set(dict(best)) & set(dict(want[i])))
         total += len(best)
     assert found >= 0.9 * total
-    assert ann.search(data.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    assert ann.search(data.limit(0), F.col("vec_id") % 20 == 0, by_chunk=by_chunk).count() == 0
+
+
+def test_both_arrangements_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CHUNK", 64)
+    monkeypatch.setattr(ann, "SIDE", 128)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(30, 24))
+    x = centres[rng.integers(0, 30, 1500)] + rng.normal(size=(1500, 24)) * 0.2
+    x[:400] = centres[0] + rng.normal(size=(400, 24)) * 0.01        # a hot bucket, on both sides
+    data = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    both = [sorted(map(str, ann.search(data, F.col("vec_id") % 3 == 0, 7, by_chunk).collect())) for by_chunk in (False, True)]
+    assert both[0] == both[1] and len(both[0]) == 500 * 7
+
+
+def test_queries_meet_fewer_than_all_vectors():
+    """Uniform vectors: each pair is compared once, so a query never makes n comparisons; by buckets
+    alone it would make more."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    bands = {0: (1.0, 4, 25)}
+    met, times = ann.Tables(x, bands, 1.0 + 1e-12).candidates(x[:50])
+    assert met.sum() < 50 * 4000 and times > met.sum()
+    assert ann.cheaper_by_chunk(100_000, {0: (1.0, 5, 60)}, 0.8, 1.8) and not ann.cheaper_by_chunk(100_000_000, {0: (1.0, 8, 64)}, 1e-5, 2e-5)
 
 
 def test_nearest_of_few_vectors_is_all_of_them(spark):
