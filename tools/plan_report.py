@@ -59,12 +59,13 @@ def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(catalog.QUERIES)
     spark = get_spark("local[8]", shuffle_partitions=8)
-    print("# Physical plans of the registered queries\n")
+    print("# Physical plans of the registered price queries\n")
     print(f"Input `{sf}`; final adaptive plans after one execution. `ShuffleQueryStage` = a "
           "shuffle; `BroadcastQueryStage` = a broadcast AQE chose from a measured size (there "
           "are no broadcast hints in the code). Scans list the table folder, pushed filters and the "
           "number of columns read. Python evaluation nodes (UDF / pandas operators) are counted "
-          "to show that no row leaves the JVM.\n")
+          "to show that no row of these queries leaves the JVM. The training-data queries are not listed; "
+          "all of them but `op3_mix` run Arrow code in Python workers.\n")
     for n in names:
         df = catalog.QUERIES[n](spark, sf)
         df._jdf.queryExecution().toRdd().count()     # run THIS plan, so AQE finalises it
