@@ -47,8 +47,8 @@ from .vectors import matrix, packed, unpacked, usable
 
 #: Dimensions of a block, the choice of those dealt out, vectors of a cell compared in one task.
 WIDTH, GRID, TILE = 8, (2, 3, 4, 5, 6), 2048
-#: Vectors looked at for that choice; pairs compared at once.
-SAMPLE, PAIRS = 20_000, 1 << 16
+#: Vectors looked at for that choice; pairs compared at once; rows that are not worth cells within a cell.
+SAMPLE, PAIRS, FEW = 5_000, 1 << 16, 20
 #: Added to the squared distance for rounding.
 SLACK = 1e-5
 #: Cells beyond TILE up to which their number of chunks is broadcast (32 bytes each).
@@ -127,7 +127,7 @@ def meetings(part: np.ndarray, home: np.ndarray, grid: int, budget: float):
     ``part``: the rows' coordinates in the block, of which the first ``grid`` made the cell; ``home``:
     who is at home in it.  Of two rows one must be at home there, and one in the cell within."""
     n = len(part)
-    if part.shape[1] <= grid:
+    if part.shape[1] <= grid or n <= FEW:
         rows, inside, key = np.arange(n), np.ones(n, bool), np.zeros(n, np.int64)
     else:
         rows, inside, cell = reach(part[:, grid:] / width_of(budget))
@@ -185,7 +185,8 @@ def _visits(nodes: DataFrame, width: int, least: float, grid: int, vectors: bool
 
 
 def dealt_dimensions(nodes: DataFrame, width: int, least: float) -> int:
-    """The number of dimensions of GRID that makes the fewest rows, by a sample."""
+    """The number of dimensions of GRID that makes the fewest rows, by a sample: more are tried as long
+    as they make fewer."""
     n = nodes.count()
     share = max(1, -(-n // SAMPLE))
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select(F.hash("label").alias("label"), "embedding").toArrow()
@@ -200,8 +201,9 @@ def dealt_dimensions(nodes: DataFrame, width: int, least: float) -> int:
                 _, at, size = np.unique(key, return_inverse=True, return_counts=True)
                 # vectors of each visit's cell: those in the sample beside it stand for ``share`` each
                 rows += share * float(np.maximum(1, ((size[at] - 1) * share + 1) / TILE).sum())
-        if rows < best[1]:
-            best = grid, rows
+        if rows >= best[1]:
+            break
+        best = grid, rows
     return best[0]
 
 
