@@ -259,8 +259,8 @@ def test_language_model_base_and_counts(spark, monkeypatch, most, order):
     mine = {i: plain(t) for i, t in texts_of}
     gaps = [abs(r["score"] - mine[str(r["doc_id"])]) / r["n_tokens"] for r in got
             if sum(k == str(r["doc_id"]) for k, _ in texts_of) == 1]
-    # false alarms of the filter (about 1% of absent n-grams) only raise a count
-    assert len(gaps) > 150 and np.mean(gaps) < 0.02 * (order - 1) and np.median(gaps) < 0.02 * (order - 1) and max(gaps) < 1
+    # false alarms of the filter (about 1% of absent n-grams) raise a count; one weighs much in a text of two tokens
+    assert len(gaps) > 150 and np.mean(gaps) < 0.02 * (order - 1) and np.median(gaps) < 0.02 * (order - 1) and max(gaps) < 3
     # the filter: never too low, seldom too high
     data, offsets = textscan.text_buffers(pa.array([" ".join(sorted(c - Counter(["\0end"])))]))
     names = sorted(w for w in c if w != "\0end")
