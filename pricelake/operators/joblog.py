@@ -108,11 +108,15 @@ def slowest(log: DataFrame, as_of=None, warehouse: str | None = None,
 # --------------------------------------------------------------------------------------------
 # Storage reports over written parquet
 # --------------------------------------------------------------------------------------------
+#: Folder of a row's file, to measure the folders of a partitioned table.
+FOLDER = "regexp_replace(_metadata.file_path, '/[^/]*$', '')"
+
+
 def file_ranges(df: DataFrame, keys: list[str], unit: str = "_metadata.file_path") -> DataFrame:
-    """Per file: rows, and the smallest and greatest clustering key (``lo`` / ``hi``, of all its
+    """Per file (or other ``unit``, an expression): rows, and the smallest and greatest clustering key (``lo`` / ``hi``, of all its
     columns).  A distributed group-by."""
     key = F.struct(*keys)
-    return df.groupBy(F.col(unit).alias("unit")).agg(
+    return df.groupBy(F.expr(unit).alias("unit")).agg(
         F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"), F.max(key).alias("hi"))
 
 
@@ -138,9 +142,11 @@ def clustering_depth(ranges: DataFrame, keys: list[str]) -> DataFrame:
         F.round(F.try_divide((d - n) * 2, n), 4).alias("average_overlaps"))
 
 
-def layout_report(spark: SparkSession, folders: list[str], keys: list[str]) -> DataFrame:
-    """Clustering effectiveness of written parquet folders on the whole clustering key."""
-    return clustering_depth(file_ranges(spark.read.parquet(*folders), keys), keys)
+def layout_report(spark: SparkSession, folders: list[str], keys: list[str],
+                  unit: str = "_metadata.file_path") -> DataFrame:
+    """Clustering effectiveness of written parquet folders on the whole clustering key, by file or by another
+    ``unit``, such as ``FOLDER``."""
+    return clustering_depth(file_ranges(spark.read.parquet(*folders), keys, unit), keys)
 
 
 def table_inventory(spark: SparkSession,

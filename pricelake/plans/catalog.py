@@ -703,10 +703,11 @@ def q_file_overlaps(spark, sf):
     """The same report on files whose ranges are known: one per industry."""
     def build(path):
         (fct_mart(spark, sf).withColumn("part", F.coalesce("industry", F.lit("")))
-         .repartition("part").write.partitionBy("part").parquet(path))
+         .write.option("compression", "zstd").partitionBy("part").parquet(path))
     w = Warehouse.of(spark, sf)
     w.derived("fct_by_industry", build)
-    return joblog.layout_report(spark, [files.layer_path(w.root, "DERIVED", "fct_by_industry")], marts.FCT_CLUSTER)
+    return joblog.layout_report(spark, [files.layer_path(w.root, "DERIVED", "fct_by_industry")], marts.FCT_CLUSTER,
+                                joblog.FOLDER)
 
 
 @register("table_inventory")
