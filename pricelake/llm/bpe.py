@@ -3,7 +3,11 @@
 A rank file (one base-64 token and its rank per line) becomes a tokenizers BPE model: each byte is
 written as the character that the byte-level alphabet gives it, and every way to cut a token into
 two known tokens is a merge, ordered by the token's rank, so that the lowest rank merges first.
-Text is cut by the published pattern and each match is encoded by itself; no special tokens.
+Text is cut by the published pattern and each match is encoded by itself; no special tokens.  With
+the library's own pattern no match goes on over a blank after a visible character (``words``), nor over a
+change between ASCII letters, digits and other characters, but for the apostrophe before a letter.  The
+distinct words between such places are encoded by the library and remembered, and a text's ids are
+gathered from theirs.
 
 Decoding maps ids to token bytes with two numpy gathers (byte table and offsets).  A character may
 be split over several tokens, so only the bytes of a whole text are read as UTF-8.
@@ -21,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,12 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .textscan import slices
+from .textscan import pieces, slices
+from .words import KIND, WordIds, as_binary, cuts, flat_ids, one_by_one
 
 #: The pattern built into the tokenizers library's byte-level step, which is the faster way for it.
 BUILT_IN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Bytes of text encoded at once, so that the library's objects stay small.
-PIECE = 1 << 17
+#: Bytes of text encoded at once: whole texts, so that the library's objects stay small, and words.
+PIECE, WORDS_PIECE = 1 << 17, 1 << 20
+#: Words that are one match of the built-in pattern.
+ONE_MATCH = re.compile(rb" ?(?:[A-Za-z]+|[0-9]+|[!-/:-@\[-`{-~]+)")
 
 
 def byte_alphabet() -> list[str]:
@@ -110,8 +118,45 @@ def char_spans(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     return begun[starts + 1] - 1, begun[ends]
 
 
-def encode_texts(texts: list[str], path: str, pattern: str) -> Iterator[np.ndarray]:
-    """Ids of each text, in order, a bounded piece at a time."""
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """Ids of words for the built-in pattern, by the library: a word of one match by its model, any other by
+    pattern and model."""
+    tok = encoder(path, BUILT_IN)
+    model, shown = tok.model, dict(enumerate(byte_alphabet()))
+
+    def run(words):
+        ids = [[t.id for t in model.tokenize(w.decode("latin-1").translate(shown))] if ONE_MATCH.fullmatch(w) else None for w in words]
+        rest = [k for k, x in enumerate(ids) if x is None]
+        for k, e in zip(rest, tok.encode_batch_fast([words[k].decode() for k in rest], add_special_tokens=False)):
+            ids[k] = e.ids
+        return (one_by_one(ids),)
+
+    return WordIds(run, 1)
+
+
+def word_cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``words.cuts``, and cuts where one of the built-in pattern's matches ends beside ASCII characters."""
+    starts, _ = cuts(data, offsets)
+    begins = np.zeros(len(data), bool)
+    begins[starts] = True
+    kind, after = KIND[data[:-1]], KIND[data[1:]]
+    begins[1:] |= (kind != after) & (kind > 0) & (after > 0) & ~((data[:-1] == 0x27) & (after == 1))
+    starts = np.flatnonzero(begins)
+    return starts, np.searchsorted(starts, offsets)
+
+
+def encode_texts(texts: pa.Array | list[str], path: str, pattern: str) -> Iterator[np.ndarray]:
+    """Ids of each text (none for a null), in order, a bounded piece at a time."""
+    if pattern == BUILT_IN:
+        known = word_ids(path)
+        for _, _, data, offsets in pieces(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), WORDS_PIECE):
+            starts, first = word_cuts(data, offsets)
+            ids, by_word = flat_ids(known.take(known.find(as_binary(data, starts)), 0))
+            bounds, ids = by_word[first].tolist(), ids.astype(np.uint32)
+            yield from (ids[a:b] for a, b in zip(bounds, bounds[1:]))
+        return
+    texts = texts.fill_null("").to_pylist() if isinstance(texts, pa.Array) else texts
     tok = encoder(path, pattern)
     lo = 0
     while lo < len(texts):
@@ -134,7 +179,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     def run(batches):
         for batch in slices(batches):
-            found = list(encode_texts(batch.column(at).fill_null("").to_pylist(), path, pattern))
+            found = list(encode_texts(batch.column(at), path, pattern))
             cols = [found]
             if spans:
                 both = [char_spans(x, path) for x in found]
@@ -156,7 +201,7 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
     def run(batches):
         for batch in slices(batches):
             n, a, b, size, ids = [], [], [], [], []
-            for x in encode_texts(batch.column(1).fill_null("").to_pylist(), path, pattern):
+            for x in encode_texts(batch.column(1), path, pattern):
                 back = decode(x, path)
                 n.append(len(x))
                 size.append(len(back))

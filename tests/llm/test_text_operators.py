@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -67,6 +68,18 @@ def test_bpe_equals_the_rank_file_library(tok):
             assert piece in t[a:b].encode() and b - a <= len(piece)
 
 
+def test_bpe_of_distinct_words(tok):
+    """Each distinct word is encoded once, and a text's ids are those of the whole text."""
+    rng = random.Random(7)
+    signs = [*" \t\n\r''\u0085\u00a0\u3000 aZstlmdrev19", "\u00e9", "\u03b1", "\u4e2d", "\u2014", *'!<|."-']
+    texts = ["".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(3000)]
+    assert [list(x) for x in bpe.encode_texts(texts, PATH, PATTERN)] == [tok.encode_ordinary(t) for t in texts]
+    known = bpe.word_ids(PATH)
+    known.clear()
+    list(bpe.encode_texts(["to be, or (not) to be. It's 3rd" + " to be," * 999, None], PATH, PATTERN))
+    assert sorted(known.rows) == sorted(b"to| be|,| or| (|not|)| to|.| It|'s| 3|rd".split(b"|"))
+
+
 def test_bpe_with_another_pattern():
     import tiktoken
     other = r"\p{L}+|\P{L}"
