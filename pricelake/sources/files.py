@@ -97,15 +97,17 @@ def split_rejects(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, Data
     """Continue-on-error load: malformed records, and rows where a non-null text does not cast to
     its declared type, go to ``rejects`` (with the offending column names, ``record`` for a
     malformed one); all other rows are returned typed."""
-    bad_flags = [F.when(F.col(c).isNotNull() & _typed(c, t).isNull(), F.lit(c))
-                 for c, t in types.items()]
+    bad = {c: F.col(c).isNotNull() & _typed(c, t).isNull() for c, t in types.items() if t != "string"}
     if MALFORMED in df.columns:
-        bad_flags = [F.when(F.col(MALFORMED).isNotNull(), F.lit("record")), *bad_flags]
-    flagged = df.withColumn("_bad", F.array_compact(F.array(*bad_flags)))
-    good = flagged.filter(F.size("_bad") == 0).select(
-        *[_typed(c, t).alias(c) for c, t in types.items()])
-    rejects = flagged.filter(F.size("_bad") > 0).select(
-        *types.keys(), F.array_join("_bad", ",").alias("reject_columns"))
+        bad = {"record": F.col(MALFORMED).isNotNull(), **bad}
+    # Both sides are told apart by the conditions alone; only rejects get the names as text.  Over a CSV scan
+    # the conditions are one array: in one generated method with the null tokens and the casts they are more
+    # than 8,000 bytes, which the JVM never compiles.
+    any_bad = (F.exists(F.array(*bad.values()), lambda x: x) if MALFORMED in df.columns
+               else reduce(lambda x, y: x | y, bad.values(), F.lit(False)))
+    good = df.filter(~any_bad).select(*[_typed(c, t).alias(c) for c, t in types.items()])
+    names = F.concat_ws(",", *[F.when(x, F.lit(c)) for c, x in bad.items()])
+    rejects = df.filter(any_bad).select(*types.keys(), names.alias("reject_columns"))
     return good, rejects
 
 
