@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from pricelake.operators import series
 from pricelake.operators.series import COMPANY_COLUMNS
+from pricelake.operators.staging import price_derived
 
 JOINED_COLUMNS = [
     "stock_price_id", "ticker", "price_date", "open_price", "high_price", "low_price",
@@ -39,11 +40,11 @@ def prices_joined(stg_p: DataFrame, stg_c: DataFrame) -> DataFrame:
 # them: a company column never takes part in a window, and the side table of the series needs none.
 def daily_returns(stg_p: DataFrame, stg_c: DataFrame, **series_opts) -> DataFrame:
     """Joined prices with previous close, returns, intraday range and sequence (27 columns)."""
-    out = series.daily_returns(stg_p, attach=company_columns(stg_c), **series_opts)
+    out = series.daily_returns(stg_p, attach=company_columns(stg_c), derived=price_derived(), **series_opts)
     return out.select(*series.RETURNS_COLUMNS)
 
 
 def moving_averages(stg_p: DataFrame, stg_c: DataFrame, **series_opts) -> DataFrame:
     """Daily returns with moving averages, cumulative mean and signal (34 columns)."""
-    out = series.moving_averages(stg_p, attach=company_columns(stg_c), **series_opts)
+    out = series.moving_averages(stg_p, attach=company_columns(stg_c), derived=price_derived(), **series_opts)
     return out.select(*series.MOVING_AVERAGE_COLUMNS)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.functions.scalar import day_of_week0, safe_divide, sma_signal, surrogate_key, trunc_date
+from pricelake.functions.scalar import day_of_week0, safe_divide, sma_signal, trunc_date
 from pricelake.operators.intermediate import company_columns
 from pricelake.operators.series import daily_return, series_metrics
-from pricelake.operators.staging import STG_COMPANY_COLUMNS
+from pricelake.operators.staging import STG_COMPANY_COLUMNS, price_derived
 
 FCT_COLUMNS = [
     "stock_price_id", "ticker", "company_name", "sector", "industry", "country", "exchange",
@@ -46,21 +46,19 @@ def fct_prices(stg_p: DataFrame, stg_c: DataFrame, **series_opts) -> DataFrame:
     narrow price columns and the company attributes are attached once, after them, so the two
     big shuffles do not carry ten company columns.  They are joined by (ticker, chunk), as the passes
     are partitioned, so the finished rows are not shuffled for it."""
-    return fct_select(series_metrics(stg_p, attach=company_columns(stg_c), **series_opts))
+    return fct_select(series_metrics(stg_p, attach=company_columns(stg_c), derived=price_derived(), **series_opts))
 
 
 def fct_derived() -> dict[str, Column]:
     """Columns of a fact row that follow from its others, by the expressions that staging, the series and
     ``fct_select`` use: a shuffle of fact rows need not carry them."""
-    close, open_, spread = F.col("close_price"), F.col("open_price"), F.col("high_price") - F.col("low_price")
+    close, spread = F.col("close_price"), F.col("high_price") - F.col("low_price")
     return {
-        "stock_price_id": surrogate_key("ticker", "price_date"),
+        **price_derived(),
         "price_week": trunc_date("week", "price_date"),
         "price_month": trunc_date("month", "price_date"),
         "price_year": trunc_date("year", "price_date"),
         "day_of_week": day_of_week0("price_date"),
-        "price_change": F.round(close - open_, 4),
-        "pct_change_open_to_close": F.round(safe_divide(close - open_, open_) * 100, 4),
         "daily_return_pct": daily_return(close, F.col("prev_close_price")),
         "intraday_range": F.round(spread, 4),
         "intraday_range_pct": F.round(safe_divide(spread, close) * 100, 4),

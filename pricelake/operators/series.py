@@ -207,7 +207,7 @@ def context_rows(ctx: DataFrame, key: str, order: str, side: list[str]) -> DataF
 def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date",
                    averages: bool = True, chunk_days: int = CHUNK_DAYS,
                    state: DataFrame | None = None, stats: DataFrame | None = None,
-                   attach: DataFrame | None = None) -> DataFrame:
+                   attach: DataFrame | None = None, derived: dict[str, Column] | None = None) -> DataFrame:
     """Add the per-ticker series columns: sequence, previous close, returns, intraday range and,
     with ``averages``, the moving averages, volume averages, cumulative mean return and signal.
 
@@ -227,8 +227,10 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
     ``stats`` may be the stored state of exactly the rows of ``df``, so that the side table is not
     computed again.  ``attach`` holds columns per key that every row of the key gets (a left join): its rows
     are dealt to the key's chunks and joined on (key, chunk), by which the pass is partitioned and
-    sorted already, so the wide rows do not move for it whatever the size of ``attach``."""
-    base = df.drop(*[c for c in DERIVED if c in df.columns])
+    sorted already, so the wide rows do not move for it whatever the size of ``attach``.  ``derived`` are
+    columns of ``df`` that follow from its others: they are not shuffled but computed after the pass."""
+    more = derived or {}
+    base = df.drop(*[c for c in DERIVED if c in df.columns], *more)
     lookback = LOOKBACK if averages else 1
     side = ["_start", "_ps", "_pn"] if averages else ["_start"]
     if attach is not None:
@@ -281,7 +283,7 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
 
     helpers = ["_chunk", "_own", "_start", "_pos"]
     if not averages:
-        return _ordered(attached(d.filter(own)).drop(*helpers), RETURNS_COLUMNS)
+        return _ordered(attached(d.filter(own)).drop(*helpers).withColumns(more), RETURNS_COLUMNS)
 
     # Window operators 2 and 3: moving sums as R(p) - R(p - n), and the running return sum.  Volumes and the
     # wider price averages are a step behind, because all quotients in one projection become a generated
@@ -309,7 +311,7 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
                                        / F.nullif(moving("_Rvn", n), F.lit(0)).cast("double"),
                                        0).cast("bigint")
     d = attached(d.withColumns(cols).filter(own))
-    d = d.withColumn("price_vs_sma_30d", sma_signal("close_price", "sma_30d"))
+    d = d.withColumns({"price_vs_sma_30d": sma_signal("close_price", "sma_30d"), **more})
     return _ordered(d.drop(*helpers, "_ps", "_pn", "_Rc", "_Rf", "_Rcn", "_Rv", "_Rvn", "_rs", "_rn", *sums),
                     MOVING_AVERAGE_COLUMNS)
 
@@ -318,14 +320,16 @@ def series_metrics(df: DataFrame, key: str = "ticker", order: str = "price_date"
 # Public jobs (the reference's intermediate models)
 # --------------------------------------------------------------------------------------------
 def daily_returns(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                  chunk_days: int = CHUNK_DAYS, attach: DataFrame | None = None) -> DataFrame:
+                  chunk_days: int = CHUNK_DAYS, attach: DataFrame | None = None,
+                  derived: dict[str, Column] | None = None) -> DataFrame:
     """Previous close, day-over-day return %, intraday range and %, trading-day sequence."""
-    return series_metrics(df, key, order, averages=False, chunk_days=chunk_days, attach=attach)
+    return series_metrics(df, key, order, averages=False, chunk_days=chunk_days, attach=attach, derived=derived)
 
 
 def moving_averages(df: DataFrame, key: str = "ticker", order: str = "price_date",
-                    chunk_days: int = CHUNK_DAYS, attach: DataFrame | None = None) -> DataFrame:
+                    chunk_days: int = CHUNK_DAYS, attach: DataFrame | None = None,
+                    derived: dict[str, Column] | None = None) -> DataFrame:
     """7/30/90-row price averages, 7/30-row volume averages, cumulative mean return and the
     close-vs-30-row-average signal, on top of :func:`daily_returns` output (whose columns are
     recomputed in the same pass, with identical values)."""
-    return series_metrics(df, key, order, averages=True, chunk_days=chunk_days, attach=attach)
+    return series_metrics(df, key, order, averages=True, chunk_days=chunk_days, attach=attach, derived=derived)

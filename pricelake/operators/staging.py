@@ -81,16 +81,24 @@ def prices_renamed(raw: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def price_derived() -> dict[str, Column]:
+    """Columns of a staged bar that follow from its others."""
+    change = F.col("close_price") - F.col("open_price")
+    return {"stock_price_id": surrogate_key("ticker", "price_date"),
+            "price_change": F.round(change, 4),
+            "pct_change_open_to_close": F.round(safe_divide(change, "open_price") * 100, 4)}
+
+
 def stg_prices(raw: DataFrame, as_of=None, carried: tuple[str, ...] = ()) -> DataFrame:
     """Clean, cast and validate raw daily bars; key them and derive the open-to-close change.  Columns
     of ``raw`` that are ``carried`` are appended."""
     v = prices_renamed(raw, carried).filter(valid_prices())
-    chg = F.col("close_price") - F.col("open_price")
+    more = price_derived()
     return v.select(
-        surrogate_key("ticker", "price_date").alias("stock_price_id"),
+        more["stock_price_id"].alias("stock_price_id"),
         "ticker", "price_date", "open_price", "high_price", "low_price", "close_price", "volume",
-        F.round(chg, 4).alias("price_change"),
-        F.round(safe_divide(chg, "open_price") * 100, 4).alias("pct_change_open_to_close"),
+        more["price_change"].alias("price_change"),
+        more["pct_change_open_to_close"].alias("pct_change_open_to_close"),
         "ingested_at",
         updated_at(as_of).alias("dbt_updated_at"),
         *carried,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators import (
@@ -149,26 +149,32 @@ def q_cumulative_return(spark, sf):
         "cumulative_avg_return_pct", "sma_7d", "sma_30d", "sma_90d", "vol_ma_7d", "vol_ma_30d")
 
 
+def adjusted_derived() -> dict[str, Column]:
+    """Columns of an adjusted bar that follow from its others."""
+    move = F.col("close_price") - F.col("open_price")
+    return {**staging.price_derived(), "price_change": F.round(move, 4),
+            "pct_change_open_to_close": F.round(move / F.col("open_price") * 100, 4)}
+
+
 def adjusted(prices: DataFrame) -> DataFrame:
     """Staged prices as a source that adjusts for splits and dividends gives them: divided by a
     factor that moves every day, so they carry all the decimals of a double."""
     f = F.lit(1) + F.datediff("price_date", F.lit("1990-01-01")) / F.lit(3652.5)
     out = prices.withColumns({c: F.col(c) / f for c in ("open_price", "high_price", "low_price", "close_price")})
-    move = F.col("close_price") - F.col("open_price")
-    return out.withColumns({"price_change": F.round(move, 4),
-                            "pct_change_open_to_close": F.round(move / F.col("open_price") * 100, 4)})
+    return out.withColumns(adjusted_derived())
 
 
 @register("adjusted_moving_averages", O.with_ctes(
     "select * from adjusted_moving_averages", "adjusted_moving_averages"))
 def q_adjusted_moving_averages(spark, sf):
-    return _no_audit(series.series_metrics(adjusted(stg_p(spark, sf))))
+    return _no_audit(series.series_metrics(adjusted(stg_p(spark, sf)), derived=adjusted_derived()))
 
 
 @register("event_moving_averages", O.with_ctes(
     "select * from event_moving_averages", "event_moving_averages"))
 def q_event_moving_averages(spark, sf):
-    return _no_audit(series.series_metrics(staging.stg_prices(raw(spark, sf, "raw_event_prices"))))
+    return _no_audit(series.series_metrics(staging.stg_prices(raw(spark, sf, "raw_event_prices")),
+                                            derived=staging.price_derived()))
 
 
 # --------------------------------------------------------------------------------------------

@@ -5,10 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pricelake.functions.scalar import packed, unpacked
-from pricelake.operators import incremental, joblog, marts, quality, series, staging
+from pricelake.operators import incremental, intermediate, joblog, marts, quality, series, staging
 from pricelake.plans import catalog, layers, monthly
 from pricelake.session import scratch_path
-from pricelake.sources import manifest
+from pricelake.sources import files, manifest
 from tests.conftest import SF_SMALL
 
 
@@ -123,3 +123,30 @@ def test_layout_of_folders_of_several_files(spark):
     df.repartition(3).write.partitionBy("part").parquet(path)
     got = joblog.layout_report(spark, [path], marts.FCT_CLUSTER, joblog.FOLDER).collect()[0]
     assert (got["total_units"], got["total_rows"], got["max_depth"], got["average_overlaps"]) == (2, 60, 1, 0.0)
+
+
+def test_series_pass_moves_no_column_that_follows_from_others(spark):
+    for df in (intermediate.moving_averages(staged(spark), companies(spark)), intermediate.daily_returns(staged(spark), companies(spark)),
+               marts.fct_prices(staged(spark), companies(spark)),
+               series.series_metrics(catalog.adjusted(staged(spark)), derived=catalog.adjusted_derived())):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        at = plan.index("Window")
+        assert "md5(" in plan[:at] and "md5(" not in plan[at:]
+    key = ["stock_price_id", "ticker", "price_date", "price_change", "pct_change_open_to_close"]
+    got = intermediate.moving_averages(staged(spark), companies(spark)).select(key)
+    assert got.count() == 12 and got.exceptAll(staged(spark).select(key)).count() == 0
+    adjusted = catalog.adjusted(staged(spark))
+    got = series.series_metrics(adjusted, derived=catalog.adjusted_derived()).select(key)
+    assert got.count() == 12 and got.exceptAll(adjusted.select(key)).count() == 0
+
+
+def test_rejects_are_told_apart_without_their_names(spark):
+    df = spark.createDataFrame([("1", "2020-01-01", "t"), ("x", "2020-01-01", None), ("x", "y", "u"), (None, None, None)], "n string, d string, s string")
+    types = {"n": "bigint", "d": "date", "s": "string"}
+    for more in (False, True):
+        rows = df.withColumn(files.MALFORMED, F.when(F.col("s") == "t", "line")) if more else df
+        good, rejects = files.split_rejects(rows, types)
+        assert sorted(r["reject_columns"] for r in rejects.collect()) == ["n", "n,d"] + ["record"] * more
+        assert sorted((r["n"] or 0, r["s"] or "") for r in good.collect()) == [(0, "")] + [(1, "t")] * (not more)
+        plan = good._jdf.queryExecution().optimizedPlan().toString()
+        assert "CASE WHEN" not in plan.split("LogicalRDD")[0].replace("CASE WHEN (s", "")
