@@ -8,8 +8,8 @@ ONE full-width shuffle, partitioned by (ticker, calendar chunk of ``chunk_days``
 What a chunk cannot see by itself (rows of earlier chunks) comes from a narrow side table with one
 row per (ticker, chunk), built in two small steps:
 
-1. ``chunk_stats``: a window over the narrow columns (date, close, volume) per (ticker, chunk),
-   then an aggregate on the same partitioning, keeps the row count, first and last close, the
+1. ``chunk_stats``: windows over the narrow columns (date, close, volume) per (ticker, chunk),
+   then an aggregate of their last rows on the same partitioning, keeps the row count, first and last close, the
    exact sum / count of the returns *inside* the chunk, and the chunk's last ``LOOKBACK`` rows
    (the only collected list, so bounded by ``LOOKBACK``).
 2. ``chunk_context``: a window over that small table per ticker, ordered by chunk, gives each
@@ -92,30 +92,32 @@ def chunk_stats(df: DataFrame, key: str, order: str, chunk_days: int, lookback:
                 with_returns: bool, loaded: str | None = None) -> DataFrame:
     """One row per (key, chunk): row count, first/last close, the chunk's last ``lookback`` rows
     and - for averages - the exact sum / count of the returns between consecutive rows inside it.
-    A window over the narrow columns (it spills like any sort) followed by an aggregate on the
-    same partitioning; the only collected list holds at most ``lookback`` rows.  With ``loaded``, also
+    Windows over the narrow columns (they spill like any sort) followed by an aggregate of the tails on
+    the same partitioning; the only collected list holds at most ``lookback`` rows.  With ``loaded``, also
     the latest load time of the chunk's rows."""
     narrow = df.select(key, chunk_of(order, chunk_days).alias("_chunk"), order, "close_price",
                        "volume", *([loaded] if loaded else []))
-    w = Window.partitionBy(key, "_chunk").orderBy(order, "close_price", "volume")
+    whole = Window.partitionBy(key, "_chunk")
+    w = whole.orderBy(order, "close_price", "volume")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = narrow.withColumns({
         "_pos": F.row_number().over(w),
         "_lagc": F.lag("close_price").over(w),
-        "_cnt": F.count(F.lit(1)).over(Window.partitionBy(key, "_chunk")),
+        "_first_c": F.first("close_price").over(run),
+        "_n": F.count(F.lit(1)).over(whole),
+        **({"_hwm": F.max(loaded).over(whole)} if loaded else {}),
     })
-    tail = F.when(F.col("_pos") > F.col("_cnt") - lookback,
-                  F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"),
-                           F.col("volume").alias("v")))
-    aggs = [F.max("_cnt").alias("_n"),
-            F.max(F.when(F.col("_pos") == 1, F.col("close_price"))).alias("_first_c"),
-            F.max(F.when(F.col("_pos") == F.col("_cnt"), F.col("close_price"))).alias("_last_c"),
-            F.array_sort(F.collect_list(tail)).alias("_tail")]
     if with_returns:
         ret = _units(daily_return(F.col("close_price"), F.col("_lagc")), 4)
-        aggs += [F.coalesce(F.sum(ret), F.lit(0)).alias("_in_rs"), F.count(ret).alias("_in_rn")]
-    if loaded:
-        aggs.append(F.max(loaded).alias("_hwm"))
-    return x.groupBy(key, "_chunk").agg(*aggs)
+        x = x.withColumns({"_in_rs": F.sum(F.coalesce(ret, F.lit(0))).over(run), "_in_rn": F.count(ret).over(run)})
+    # The last row of a chunk knows its figures, so only the rows of the tails are aggregated: the aggregate
+    # of a list sorts its input once more, and would hold (or spill) every row.
+    at_end = lambda c, name: F.max(F.when(F.col("_pos") == F.col("_n"), F.col(c))).alias(name)
+    tail = F.struct(F.col(order).alias("d"), F.col("close_price").alias("c"), F.col("volume").alias("v"))
+    more = [c for c in ("_in_rs", "_in_rn", "_hwm") if c in x.columns]
+    return x.filter(F.col("_pos") > F.col("_n") - lookback).groupBy(key, "_chunk").agg(
+        F.max("_n").alias("_n"), at_end("_first_c", "_first_c"), at_end("close_price", "_last_c"),
+        F.array_sort(F.collect_list(tail)).alias("_tail"), *[at_end(c, c) for c in more])
 
 
 def chunk_context(stats: DataFrame, key: str, lookback: int, with_returns: bool) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators.incremental import upsert
+from pricelake.session import TASK_BYTES, small_tasks
 from pricelake.sources import manifest
 from pricelake.sources.manifest import Manifest
 from pricelake.streaming.folders import list_folders
@@ -45,8 +46,9 @@ def write(df: DataFrame, path: str, keys: list[str], date: str = "price_date", d
     more = derived or {}
     rows = (df.drop(*more).withColumn(MONTH, F.date_format(date, "yyyy-MM"))
             .hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *keys))
-    (rows.select(*[more[c].alias(c) if c in more else F.col(c) for c in df.columns], MONTH)
-     .write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(path))
+    out = rows.select(*[more[c].alias(c) if c in more else F.col(c) for c in df.columns], MONTH)
+    with small_tasks(df.sparkSession, 2 * TASK_BYTES):      # it is also the size of the files, before compression by column
+        out.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(path)
     return list_folders(df.sparkSession, path, f"{MONTH}=")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pricelake.functions.scalar import exact_ratio, packed
 from pricelake.operators import quality
 from pricelake.plans.layers import MONTH
+from pricelake.session import small_tasks
 from pricelake.sources import manifest
 from pricelake.sources.manifest import Manifest
 from pricelake.streaming.folders import list_folders
@@ -37,7 +38,8 @@ def follow(spark: SparkSession, table: Manifest, root: str, compute: Callable[[D
     n = manifest.last(spark, root) + 1
     fact = manifest.read(spark, table, changed).withColumn(MONTH, F.date_format("price_date", "yyyy-MM"))
     rows = compute(fact)
-    rows.hint("rebalance", F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH).parquet(f"{root}/v={n}")
+    with small_tasks(spark):
+        rows.hint("rebalance", F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH).parquet(f"{root}/v={n}")
     parts = {m: fs for m, fs in (old.parts if old else {}).items() if m in table.parts and m not in changed}
     parts |= {m: [f"v={n}/{MONTH}={m}"] for m in list_folders(spark, f"{root}/v={n}", f"{MONTH}=")}
     return manifest.commit(spark, root, n, parts, rows.drop(MONTH).schema, layer=f"v={n}", source=table.parts)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,26 @@ DEFAULT_CONF = {
 }
 
 
+# Compressed shuffle bytes of a task in the jobs that sort whole rows.  They are four to eight times as many in
+# memory, so Spark's 64 MB make tasks that spill on executors of 1 GB a core, and leave the last wave of tasks
+# short of cores; with this size a task holds some 100 MB, however large the table is.
+TASK_BYTES = 16 * 1024 * 1024
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, size: int = TASK_BYTES) -> Iterator[None]:
+    """Jobs run inside get shuffle tasks of ``size``; a size that the session sets itself is kept."""
+    if spark.conf.get(ADVISORY, None) is not None:
+        yield
+        return
+    spark.conf.set(ADVISORY, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(ADVISORY)
+
+
 def get_spark(master: str | None = None, app: str = "pricelake",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the package defaults."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelake.session import small_tasks
 from pricelake.sources import manifest
 from pricelake.streaming.folders import first_lines
 
@@ -161,7 +162,8 @@ def table(spark: SparkSession, path: str) -> DataFrame:
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to ``path`` and read back: computed once, and its lineage cut."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    with small_tasks(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,11 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from pricelake import session
 from pricelake.functions.scalar import packed, unpacked
 from pricelake.operators import incremental, intermediate, joblog, marts, quality, series, staging
 from pricelake.plans import catalog, layers, monthly
 from pricelake.session import scratch_path
-from pricelake.sources import files, manifest
+from pricelake.sources import driver_tables, files, manifest
 from tests.conftest import SF_SMALL
 
 
@@ -150,3 +151,46 @@ def test_rejects_are_told_apart_without_their_names(spark):
         assert sorted((r["n"] or 0, r["s"] or "") for r in good.collect()) == [(0, "")] + [(1, "t")] * (not more)
         plan = good._jdf.queryExecution().optimizedPlan().toString()
         assert "CASE WHEN" not in plan.split("LogicalRDD")[0].replace("CASE WHEN (s", "")
+
+
+def test_lines_are_dealt_once_and_sorted_once(spark):
+    for df in (driver_tables.supplier_bars(spark, SF_SMALL), driver_tables.event_bars(spark, SF_SMALL)):
+        plan = df._jdf.queryExecution().sparkPlan().toString().split("\n")
+        at = [i for i, x in enumerate(plan) if "Repartition" in x or "Exchange" in x]
+        aggregates = [i for i, x in enumerate(plan) if "Aggregate" in x]
+        assert len(at) == 1 and aggregates and max(aggregates) < at[0]      # none before the shuffle
+    lines = driver_tables.table(spark, SF_SMALL, "lineitem")
+    bars = driver_tables.supplier_bars(spark, SF_SMALL)
+    want = lines.groupBy("l_suppkey", F.to_date("l_shipdate").alias("d")).agg(
+        F.max("l_extendedprice").alias("h"), F.min("l_extendedprice").alias("l"), F.sum("l_quantity").cast("bigint").alias("v"))
+    got = bars.select(want.columns)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_state_aggregates_only_the_tails(spark):
+    stats = series.chunk_stats(staged(spark, days=8), "ticker", "price_date", 30_000, 2, True, "ingested_at")
+    plan = stats._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert "Aggregate" in plan[0] and any("Filter" in x and "_pos" in x and "_n" in x for x in plan[1:4])
+    got = {r["ticker"]: r for r in stats.collect()}
+    assert set(got) == {"A", "B"}
+    for r in got.values():
+        assert (r["_n"], r["_first_c"], r["_last_c"], r["_in_rn"]) == (8, 1.25, 8.25, 7)
+        assert [x["c"] for x in r["_tail"]] == [7.25, 8.25]
+        closes = [1.25 + k for k in range(8)]
+        assert r["_in_rs"] == sum(round(100 * (b - a) / a * 10000) for a, b in zip(closes, closes[1:]))
+        assert r["_hwm"] == dt.datetime(2020, 1, 1) + dt.timedelta(days=400 * 7 + 1)
+
+
+def test_jobs_with_wide_sorts_get_small_tasks(spark):
+    old = spark.conf.get(session.ADVISORY, None)
+    try:
+        spark.conf.unset(session.ADVISORY)
+        with session.small_tasks(spark):
+            assert spark.conf.get(session.ADVISORY) == str(session.TASK_BYTES)
+        assert spark.conf.get(session.ADVISORY, None) is None
+        spark.conf.set(session.ADVISORY, "5MB")
+        with session.small_tasks(spark):
+            assert spark.conf.get(session.ADVISORY) == "5MB"
+        assert spark.conf.get(session.ADVISORY) == "5MB"
+    finally:
+        spark.conf.unset(session.ADVISORY) if old is None else spark.conf.set(session.ADVISORY, old)
