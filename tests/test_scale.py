@@ -194,3 +194,16 @@ def test_jobs_with_wide_sorts_get_small_tasks(spark):
         assert spark.conf.get(session.ADVISORY) == "5MB"
     finally:
         spark.conf.unset(session.ADVISORY) if old is None else spark.conf.set(session.ADVISORY, old)
+
+
+def test_rows_outside_the_range_of_a_batch_are_not_joined(spark):
+    names = "k string, d date, x int"
+    day = lambda n: dt.date(2020, 1, n)
+    target = spark.createDataFrame([("a", day(1), 1), ("b", day(2), 1), ("c", day(3), 1), ("e", day(9), 1), ("n", None, 1), (None, None, 1)], names)
+    for batch in ([("c", day(3), 2), ("f", day(4), 2), ("n", None, 2)], [("n", None, 2)], [], [("b", day(2), 2), ("b", day(2), 3)]):
+        rows = spark.createDataFrame(batch, names)
+        got = incremental.upsert(target, rows, "k", follows="d")
+        want = incremental.upsert(target, rows, "k")
+        assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).count() == 0
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "scalar-subquery" in plan.split("LeftAnti")[1] and "scalar-subquery" in plan.split("LeftAnti")[0]
