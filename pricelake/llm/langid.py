@@ -16,8 +16,9 @@ to compare.
 
 Training: the sample holds about ``per_language`` distinct texts of each language, chosen by a hash of
 the text from all of them, so copies neither crowd a language out nor fill its sample; every language
-with a text is learned.  Sampled texts become counts where they are read; one task per language runs
-k-means over its bounded number of them, and the bounds come from one row per cut.  Scoring is one
+with a text is learned.  Sampled texts become counts where they are read, and only those that are not 0
+are stored and shuffled; one task per language runs k-means over its bounded number of them, as one matrix
+of ``per_language`` rows without copies of it, and the bounds come from one row per cut.  Scoring is one
 pass over whole texts, a bounded piece of a batch at a time.  The model is sent with the tasks: a language
 takes ``clusters`` rows of DIM floats, fewer clusters and then fewer dimensions (counts are folded) if
 all languages would exceed ``max_bytes`` that way.
@@ -43,13 +44,14 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .textscan import slices
-from .vectors import packed, unpacked
 
 DIM = 4096
 #: Words of the cuts that bounds are learned from; those of up to SHORT words scatter widely.
 CUTS, SHORT = (1, 2, 4, 8, 16, 32, 64, 128, 256, 1024), 8
 #: Rows whose counts are held at once, and about the characters of a piece.
 ROWS, PIECE = 128, 1 << 19
+#: A count of a text that is not 0, as it is stored.
+COUNT = np.dtype([("at", "<u2"), ("n", "<f4")])
 
 
 @lru_cache(maxsize=1)
@@ -93,6 +95,23 @@ def counts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarra
         lo = hi
 
 
+def packed(c: np.ndarray) -> pa.Array:
+    """The counts of each row that are not 0, as a binary column."""
+    row, at = np.nonzero(c)
+    out = np.empty(len(at), COUNT)
+    out["at"], out["n"] = at, c[row, at]
+    bounds = np.searchsorted(row, np.arange(len(c) + 1)).astype(np.int32) * COUNT.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(bounds), pa.py_buffer(out.tobytes())])
+
+
+def unpacked(values: list[bytes], dim: int) -> np.ndarray:
+    """Counts [rows, dim] as float32."""
+    found = np.frombuffer(b"".join(values), COUNT)
+    out = np.zeros((len(values), dim), np.float32)
+    out[np.repeat(np.arange(len(values)), [len(x) // COUNT.itemsize for x in values]), found["at"]] = found["n"]
+    return out
+
+
 def tfidf(n: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Rows of count times idf, of length 1; counts are folded to idf's dimensions."""
     v = n.reshape(len(n), -1, len(idf)).sum(1) * idf
@@ -110,12 +129,23 @@ def kmeans(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     for _ in range(rounds):
         own = np.argmax(v @ c.T, axis=1)
         for j in range(len(c)):
-            if (own == j).any():
-                m = v[own == j].sum(0)
+            rows = np.flatnonzero(own == j)
+            if len(rows):
+                m = v[rows[0]].copy()
+                for i in rows[1:]:      # a sum of v[rows] would copy up to the whole sample
+                    m += v[i]
                 c[j] = m / max(float(np.linalg.norm(m)), 1e-12)
     return c
 
 
+def centroids(values: list[bytes], idf: np.ndarray, clusters: int) -> np.ndarray:
+    """Centroids of the texts whose packed counts are given."""
+    v = np.empty((len(values), len(idf)), np.float32)
+    for lo in range(0, len(v), ROWS):
+        v[lo:lo + ROWS] = tfidf(unpacked(values[lo:lo + ROWS], len(idf)), idf)
+    return kmeans(v, clusters)
+
+
 def sampled(rows: DataFrame, per_language: int) -> tuple[list[str], DataFrame]:
     """The languages, and lang and text of about ``per_language`` distinct texts of each."""
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
@@ -150,17 +180,15 @@ def learn(rows: DataFrame, per_language: int = 1500, clusters: int = 3, reject:
         for batch in slices(batches):
             for lo, c, found in counts(batch.column(1).to_pylist()):
                 c = c.reshape(len(c), -1, dim).sum(1)[found]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)).filter(pa.array(found)), packed(c, np.float32)], names=["lang", "counts"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)).filter(pa.array(found)), packed(c)], names=["lang", "counts"])
 
     counted = stored(sample.mapInArrow(vectors, "lang string, counts binary"), "langid-counts")
 
     def seen(batches):
         df, n = np.zeros(dim, np.int64), 0
         for batch in slices(batches):
-            if len(batch):
-                c = unpacked(batch.column(1).to_pylist(), np.float32)
-                df += (c > 0).sum(0)
-                n += len(c)
+            df += np.bincount(np.frombuffer(b"".join(batch.column(1).to_pylist()), COUNT)["at"], minlength=dim)
+            n += len(batch)
         yield pa.RecordBatch.from_pydict({"df": [df.tolist()], "n": [n]})
 
     df, n = np.zeros(dim), 0
@@ -170,7 +198,7 @@ def learn(rows: DataFrame, per_language: int = 1500, clusters: int = 3, reject:
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def centre(key, pdf):
-        c = kmeans(tfidf(unpacked(pdf["counts"], np.float32), idf), clusters)
+        c = centroids(pdf["counts"].tolist(), idf, clusters)
         return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [x.tolist() for x in c]})
 
     got = sorted(counted.groupBy("lang").applyInPandas(centre, "lang string, centroid array<float>").collect())

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -179,6 +180,34 @@ def test_all_labelled_languages_are_learned(spark):
     assert got[1] == next(c for c, t in sorted(many) if t == many[7][1])
 
 
+def peak_bytes(run):
+    """What ``run`` allocates at most beyond what was there."""
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+def test_centroids_hold_their_sample_once():
+    rng = np.random.default_rng(5)
+    idf = rng.random(langid.DIM).astype(np.float32) + 1
+    for n in (1, 5, 700):
+        c = (rng.poisson(0.15, (n, langid.DIM)) * rng.integers(1, 300, (n, langid.DIM))).astype(np.float32)
+        c[:, 0] += 1 << 20
+        v = langid.tfidf(c, idf)
+        got = langid.kmeans(v, 1, rounds=1)
+        total = v.sum(0)
+        assert (got == total / float(np.linalg.norm(total))).all()
+        if n == 700:    # k-means copied the rows of a cluster, here all of them
+            assert peak_bytes(lambda: langid.kmeans(v, 1, rounds=1)) < v.nbytes / 2
+        values = langid.packed(c).to_pylist()
+        assert all(len(x) == 6 * (row > 0).sum() for x, row in zip(values, c))      # zeros are not stored
+        assert (langid.unpacked(values, langid.DIM) == c).all()
+        assert (langid.centroids(values, idf, 3) == langid.kmeans(v, 3)).all()
+    assert peak_bytes(lambda: langid.centroids(values, idf, 3)) < 2 * v.nbytes
+
+
 def test_language_of_odd_rows(spark):
     docs = table(spark, SF, "documents")
     model = langid.learn(docs)
