@@ -10,6 +10,8 @@ from pricelake.operators import incremental, intermediate, joblog, marts, qualit
 from pricelake.plans import catalog, layers, monthly
 from pricelake.session import scratch_path
 from pricelake.sources import driver_tables, files, manifest
+from pricelake.streaming import file_stream
+from pricelake.streaming.folders import list_names
 from tests.conftest import SF_SMALL
 
 
@@ -207,3 +209,38 @@ def test_rows_outside_the_range_of_a_batch_are_not_joined(spark):
         assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).count() == 0
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "scalar-subquery" in plan.split("LeftAnti")[1] and "scalar-subquery" in plan.split("LeftAnti")[0]
+
+
+def test_latest_bars_are_grouped_by_what_their_key_is_made_of(spark):
+    stg = staged(spark)
+    again = stg.unionByName(stg.withColumns({"volume": F.col("volume") + 1}))
+    again = again.unionByName(stg.filter("ticker = 'A'").withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 1 day")))
+    again = again.unionByName(stg.withColumn("close_price", F.lit(2.5)).drop(*staging.price_derived()).withColumns(staging.price_derived()))
+    got = incremental.latest_bars(again, ["ingested_at"])
+    want = incremental.latest_per_key(again, marts.FCT_KEY, ["ingested_at"])
+    assert got.columns == want.columns and got.count() == want.count() == 12 and got.exceptAll(want).count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    at = plan.index("Window")
+    assert "md5(" in plan[:at] and "stock_price_id" not in plan[at:].split("LocalRelation")[0].split("Union")[0]
+    assert "WindowGroupLimit" in plan                    # a bar that comes often does not travel whole
+
+
+def test_stored_rows_hold_no_column_that_follows_from_others(spark):
+    stg, path = staged(spark), scratch_path(spark, "narrow")
+    back = files.stored(stg, path, staging.price_derived())
+    assert set(spark.read.parquet(path).columns) == set(stg.columns) - set(staging.price_derived())
+    assert back.columns == stg.columns and back.dtypes == stg.dtypes
+    assert back.count() == 12 and back.exceptAll(stg).count() == 0
+
+
+def test_micro_batches_leave_only_what_later_ones_need(spark):
+    work, prices = scratch_path(spark, "stream-parts"), catalog.Warehouse.of(spark, SF_SMALL).stage("raw_stock_prices")
+    late = F.dayofmonth(F.to_date("date")) == 10
+    for epoch, rows in enumerate((prices.filter(~late), prices.filter(late))):
+        file_stream.process_batch(spark, rows, epoch, f"{work}/history", f"{work}/target", catalog.stg_c(spark, SF_SMALL))
+    left = {n: list_names(spark, f"{work}/{n}") for n in list_names(spark, work)}
+    assert [x for x in left["target-state"] if "=" in x] == ["v=1", "v=2"]
+    assert not [n for p in file_stream.PARTS for n in left.get(f"target-{p}", []) if "v=" in n]
+    full = marts.fct_prices(staging.stg_prices(prices), catalog.stg_c(spark, SF_SMALL)).drop("dbt_updated_at")
+    got = file_stream.latest(spark, f"{work}/target").select(full.columns)
+    assert got.count() == full.count() > 0 and got.exceptAll(full).count() == 0
