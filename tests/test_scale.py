@@ -244,3 +244,21 @@ def test_micro_batches_leave_only_what_later_ones_need(spark):
     full = marts.fct_prices(staging.stg_prices(prices), catalog.stg_c(spark, SF_SMALL)).drop("dbt_updated_at")
     got = file_stream.latest(spark, f"{work}/target").select(full.columns)
     assert got.count() == full.count() > 0 and got.exceptAll(full).count() == 0
+
+
+def test_merge_reads_only_months_that_keep_rows(spark, monkeypatch):
+    stg, firms = staged(spark, ("A", "B"), 4), companies(spark)
+    fact = marts.fct_prices(stg, firms)
+    table = layers.publish(fact, scratch_path(spark, "mixed"), marts.FCT_CLUSTER, derived=marts.fct_derived())
+    months = sorted(table.parts)
+    fixed = (F.col("price_month") == f"{months[1]}-01") | ((F.col("price_month") == f"{months[2]}-01") & (F.col("ticker") == "A"))
+    new = staged(spark, ("C",), 4).filter(F.date_format("price_date", "yyyy-MM") == months[0])
+    batch = fact.filter(fixed).withColumn("volume", F.lit(5).cast("bigint")).unionByName(marts.fct_prices(new, firms))
+    read, seen = manifest.read, []
+    monkeypatch.setattr(manifest, "read", lambda s, t, parts=None: seen.append(parts) or read(s, t, parts))
+    stored = files.stored(batch, scratch_path(spark, "mixed-batch"), marts.fct_derived())
+    found = layers.merge(spark, table, stored, marts.FCT_KEY, marts.FCT_CLUSTER, derived=marts.fct_derived(), parts=marts.FCT_PARTS)
+    assert sorted(seen[0]) == months[:3] and seen[1:] == [[months[2]]]
+    got, want = read(spark, found), incremental.upsert(fact, batch, marts.FCT_KEY)
+    assert got.count() == want.count() == 9 and got.exceptAll(want.select(got.columns)).count() == 0
+    assert [len(found.parts[m]) for m in months] == [2, 1, 1, 1]
