@@ -262,3 +262,17 @@ def test_merge_reads_only_months_that_keep_rows(spark, monkeypatch):
     got, want = read(spark, found), incremental.upsert(fact, batch, marts.FCT_KEY)
     assert got.count() == want.count() == 9 and got.exceptAll(want.select(got.columns)).count() == 0
     assert [len(found.parts[m]) for m in months] == [2, 1, 1, 1]
+
+
+def test_upsert_by_what_the_key_is_made_of(spark):
+    fact = marts.fct_prices(staged(spark), companies(spark)).withColumn("from_batch", F.lit(False))
+    batch = fact.filter("ticker = 'B' and volume >= 20").withColumns({"from_batch": F.lit(True), "volume": F.col("volume") + 7})
+    want = incremental.upsert(fact, batch, marts.FCT_KEY)
+    for follows in (None, "price_date"):
+        got = incremental.upsert(fact, batch, marts.FCT_KEY, follows=follows, parts=marts.FCT_PARTS, derived=marts.fct_derived())
+        assert got.columns == want.columns and got.count() == want.count() == 12 and got.exceptAll(want).count() == 0
+    every = batch.unionByName(batch.withColumn("ingested_at", F.col("ingested_at") - F.expr("interval 1 hour"))).unionByName(batch)
+    every = every.unionByName(batch.withColumn("high_price", F.col("high_price") + 1).drop(*marts.fct_derived()).withColumns(marts.fct_derived()).select(*batch.columns))
+    want = incremental.latest_per_key(every, marts.FCT_KEY, ["ingested_at"])
+    got = incremental.latest_per_key(every, marts.FCT_KEY, ["ingested_at"], marts.FCT_PARTS, marts.fct_order_free())
+    assert got.columns == want.columns and got.count() == want.count() == 4 and got.exceptAll(want).count() == 0
