@@ -276,3 +276,14 @@ def test_upsert_by_what_the_key_is_made_of(spark):
     want = incremental.latest_per_key(every, marts.FCT_KEY, ["ingested_at"])
     got = incremental.latest_per_key(every, marts.FCT_KEY, ["ingested_at"], marts.FCT_PARTS, marts.fct_order_free())
     assert got.columns == want.columns and got.count() == want.count() == 4 and got.exceptAll(want).count() == 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    known = lambda: tracker.shuffleStatuses().size()
+    table = layers.publish(marts.fct_prices(staged(spark), companies(spark)), scratch_path(spark, "clean"), marts.FCT_CLUSTER)
+    before = known()
+    stored = files.stored(manifest.read(spark, table).groupBy("ticker").agg(F.count(F.lit(1)).alias("n")), scratch_path(spark, "clean-n"))
+    layers.publish(marts.fct_prices(staged(spark), companies(spark)), scratch_path(spark, "clean"), marts.FCT_CLUSTER)
+    assert known() <= before and sorted(map(tuple, stored.collect())) == [("A", 6), ("B", 6)]
+    assert spark.conf.get(session.CLEANUP, None) is None
